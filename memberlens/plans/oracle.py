@@ -138,3 +138,86 @@ select kind, daysLeft, count(distinct member_id) as memberCount from (
   where create_time >= timestamp '2024-01-16 00:00:00' and create_time < timestamp '2024-01-23 00:00:00') t
 where (kind = 'free' and daysLeft in (1, 2, 3, 4, 5, 6, 7)) or (kind = 'paid' and daysLeft in (1, 3, 5, 7))
 group by kind, daysLeft"""
+
+# ----------------------------------------------------------------- tags
+
+_ALL = ("t_member", "t_order", "t_order_commodity", "t_coupon", "t_coupon_member",
+        "t_delivery", "t_feedback")
+
+_TAG_PARTS = f"""
+, member_base as (
+  select id as memberId, phone, sex, member_channel as channel, mp_open_id as subOpenId,
+         address_default_id as address, {day('create_time')} as regTime from t_member)
+, order_behavior as (
+  select o.member_id as memberId, count(o.order_id) as orderCount,
+         {day('max(o.create_time)')} as orderTime,
+         cast(sum(cast(o.pay_price as decimal(18,2))) as double) as orderMoney,
+         list_sort(list_distinct(list(oc.commodity_id))) as favGoods
+  from t_order o left join t_order_commodity oc on o.order_id = oc.order_id
+  group by o.member_id)
+, order_behavior_by_order as (
+  select o.memberId, o.orderCount, o.orderTime, o.orderMoney, coalesce(g.favGoods, []) as favGoods
+  from (select member_id as memberId, count(*) as orderCount, {day('max(create_time)')} as orderTime,
+               cast(sum(cast(pay_price as decimal(18,2))) as double) as orderMoney
+        from t_order group by member_id) o
+  left join (select o.member_id as memberId, list_sort(list(distinct oc.commodity_id)) as favGoods
+             from t_order o join t_order_commodity oc on o.order_id = oc.order_id
+             group by o.member_id) g on o.memberId = g.memberId)
+, free_coupon as (
+  select member_id as memberId, {day('create_time')} as freeCouponTime
+  from t_coupon_member where coupon_id = 1)
+, coupon_times as (
+  select member_id as memberId, list_sort(list({day('create_time')})) as couponTimes
+  from t_coupon_member where coupon_id <> 1 group by member_id)
+, charge_money as (
+  select cm.member_id as memberId,
+         cast(sum(cast(c.coupon_price as decimal(18,2))) as double) / 2 as chargeMoney
+  from t_coupon_member cm left join t_coupon c on cm.coupon_id = c.id
+  where cm.coupon_channel <> 1 group by cm.member_id)
+, over_time as (
+  select cast(epoch(max(arrive_time)) as bigint) - cast(epoch(max(pick_time)) as bigint) as overTime,
+         member_id as memberId
+  from t_delivery group by member_id)
+, feedback as (
+  select fb.feedback_type as feedback, fb.member_id as memberId
+  from t_feedback fb right join (select max(id) as fid, member_id as memberId
+                                 from t_feedback group by member_id) t on fb.id = t.fid)
+"""
+
+_TAG_WITH = W(*_ALL) + _TAG_PARTS
+
+ORACLE["tag_member_base"] = _TAG_WITH + "select * from member_base"
+ORACLE["tag_order_behavior"] = _TAG_WITH + "select * from order_behavior"
+ORACLE["tag_order_behavior_by_order"] = _TAG_WITH + "select * from order_behavior_by_order"
+ORACLE["tag_free_coupon"] = _TAG_WITH + "select * from free_coupon"
+ORACLE["tag_coupon_times"] = _TAG_WITH + "select * from coupon_times"
+ORACLE["tag_charge_money"] = _TAG_WITH + "select * from charge_money"
+ORACLE["tag_over_time"] = _TAG_WITH + "select * from over_time"
+ORACLE["tag_feedback"] = _TAG_WITH + "select * from feedback"
+
+ORACLE["user_tag"] = _TAG_WITH + """
+select m.*, o.orderCount, o.orderTime, o.orderMoney, o.favGoods,
+       fb.freeCouponTime, ct.couponTimes, cm.chargeMoney, ot.overTime, f.feedback
+from member_base m
+left join order_behavior o on m.memberId = o.memberId
+left join free_coupon fb on m.memberId = fb.memberId
+left join coupon_times ct on m.memberId = ct.memberId
+left join charge_money cm on m.memberId = cm.memberId
+left join over_time ot on m.memberId = ot.memberId
+left join feedback f on m.memberId = f.memberId"""
+
+_USER_TAG_MEMBER = """
+, user_tag_member as (
+  select m.*, o.orderCount, o.orderTime, o.orderMoney, o.favGoods,
+         fb.freeCouponTime, ct.couponTimes, cm.chargeMoney, ot.overTime, f.feedback
+  from member_base m
+  left join order_behavior_by_order o on m.memberId = o.memberId
+  left join (select memberId, max(freeCouponTime) as freeCouponTime from free_coupon
+             group by memberId) fb on m.memberId = fb.memberId
+  left join coupon_times ct on m.memberId = ct.memberId
+  left join charge_money cm on m.memberId = cm.memberId
+  left join over_time ot on m.memberId = ot.memberId
+  left join feedback f on m.memberId = f.memberId)
+"""
+
+ORACLE["user_tag_member"] = _TAG_WITH + _USER_TAG_MEMBER + "select * from user_tag_member"

@@ -115,3 +115,66 @@ def q_remind_coupon(spark, root):
 @register("remind_expiry")
 def q_remind_expiry(spark, root):
     return M.remind_expiry(_v(spark, root, "t_coupon_member"), COUPON_AS_OF)
+
+
+# ----------------------------------------------------------------- tags (P16-P25)
+
+from memberlens.operators import tags as TG  # noqa: E402
+
+TAG_TABLES = ("t_member", "t_order", "t_order_commodity", "t_coupon", "t_coupon_member",
+              "t_delivery", "t_feedback")
+
+
+def shop_tables(spark, root) -> dict:
+    return FX.load(spark, root, *TAG_TABLES)
+
+
+@register("tag_member_base")
+def q_tag_member_base(spark, root):
+    return TG.tag_member_base(_v(spark, root, "t_member"))
+
+
+@register("tag_order_behavior")
+def q_tag_order_behavior(spark, root):
+    return TG.tag_order_behavior(_v(spark, root, "t_order"), _v(spark, root, "t_order_commodity"))
+
+
+@register("tag_order_behavior_by_order")
+def q_tag_order_behavior_by_order(spark, root):
+    return TG.tag_order_behavior_by_order(_v(spark, root, "t_order"),
+                                          _v(spark, root, "t_order_commodity"))
+
+
+@register("tag_free_coupon")
+def q_tag_free_coupon(spark, root):
+    return TG.tag_free_coupon(_v(spark, root, "t_coupon_member"))
+
+
+@register("tag_coupon_times")
+def q_tag_coupon_times(spark, root):
+    return TG.tag_coupon_times(_v(spark, root, "t_coupon_member"))
+
+
+@register("tag_charge_money")
+def q_tag_charge_money(spark, root):
+    return TG.tag_charge_money(_v(spark, root, "t_coupon_member"), _v(spark, root, "t_coupon"))
+
+
+@register("tag_over_time")
+def q_tag_over_time(spark, root):
+    return TG.tag_over_time(_v(spark, root, "t_delivery"))
+
+
+@register("tag_feedback")
+def q_tag_feedback(spark, root):
+    return TG.tag_feedback(_v(spark, root, "t_feedback"))
+
+
+@register("user_tag")
+def q_user_tag(spark, root):
+    return TG.user_tag(shop_tables(spark, root))
+
+
+@register("user_tag_member")
+def q_user_tag_member(spark, root):
+    return TG.user_tag_member(shop_tables(spark, root))
