@@ -221,3 +221,111 @@ _USER_TAG_MEMBER = """
 """
 
 ORACLE["user_tag_member"] = _TAG_WITH + _USER_TAG_MEMBER + "select * from user_tag_member"
+
+# ----------------------------------------------------------------- segments
+
+from memberlens.plans import registry as _R  # noqa: E402
+
+# Kinds of the tag fields, for writing clause predicates in SQL.
+_NUMERIC = {"memberid", "sex", "channel", "address", "ordercount", "ordermoney", "chargemoney",
+            "overtime", "feedback"}
+_ARRAYS = {"favgoods": "num", "coupontimes": "str"}
+_FIELDS = {c.lower(): c for c in ("memberId", "phone", "sex", "channel", "subOpenId", "address",
+                                  "regTime", "orderCount", "orderTime", "orderMoney", "favGoods",
+                                  "freeCouponTime", "couponTimes", "chargeMoney", "overTime",
+                                  "feedback")}
+
+
+def _lit(kind: str, v: str) -> str:
+    return repr(float(v)) if kind == "num" else "'" + v.replace("'", "''") + "'"
+
+
+def sql_clause(name: str, value: str, typ: str) -> str:
+    """SQL text of one clause; must-not clauses come back already negated."""
+    key = name.lower()
+    col = _FIELDS[key]
+    if typ == "exists":
+        pred = f"{col} is not null" + (f" and len({col}) > 0" if key in _ARRAYS else "")
+        return f"coalesce({pred}, false)"
+    kind = _ARRAYS.get(key) or ("num" if key in _NUMERIC else "str")
+    if key in _ARRAYS:
+        x = "x"
+    else:
+        x = col
+    if typ in ("match", "notMatch"):
+        p = f"{x} = {_lit(kind, value)}"
+    elif typ == "rangeGte":
+        p = f"{x} >= {_lit(kind, value)}"
+    elif typ == "rangeLte":
+        p = f"{x} <= {_lit(kind, value)}"
+    elif typ == "rangeBoth":
+        lo, hi = value.split("-")
+        p = f"{x} between {_lit(kind, lo)} and {_lit(kind, hi)}"
+    else:
+        raise ValueError(typ)
+    if key in _ARRAYS and typ in ("match", "notMatch"):
+        p = f"list_contains({col}, {_lit(kind, value)})"
+    elif key in _ARRAYS:
+        p = f"len(list_filter({col}, lambda x: {p})) > 0"
+    p = f"coalesce({p}, false)"
+    return f"not {p}" if typ == "notMatch" else p
+
+
+def sql_segment(clauses) -> tuple[str, str]:
+    """(where, matched) SQL for a clause list, combine='any'."""
+    should = [sql_clause(c["name"], c["value"], c["type"]) for c in clauses if c["type"] != "notMatch"]
+    must_not = [sql_clause(c["name"], c["value"], c["type"]) for c in clauses if c["type"] == "notMatch"]
+    where = "(" + " or ".join(should) + ")" if should else "true"
+    for p in must_not:
+        where += f" and {p}"
+    matched = " + ".join(f"cast({p} as integer)" for p in should) if should else "0"
+    return where, matched
+
+
+_TAGS_WITH = _TAG_WITH + _USER_TAG_MEMBER
+
+
+def _select_sql(clauses, limit=1000):
+    where, matched = sql_segment(clauses)
+    return _TAGS_WITH + f"""
+select memberId, phone, {matched} as matched from user_tag_member where {where}
+order by matched desc, memberId limit {limit}"""
+
+
+ORACLE["segment_select"] = _select_sql(_R.SEGMENT_OR_NOT)
+ORACLE["segment_select_mixed"] = _select_sql(_R.SEGMENT_MIXED)
+ORACLE["segment_select_not_only"] = _select_sql(_R.SEGMENT_NOT_ONLY)
+ORACLE["segment_size"] = _TAGS_WITH + f"""
+select count(*) as members from user_tag_member where {sql_segment(_R.SEGMENT_OR_NOT)[0]}"""
+
+ORACLE["segment_export"] = _TAGS_WITH + f"""
+select '[' || cast(memberId as varchar) || ',' || coalesce(phone, 'null') || ']' as line from (
+  select memberId, phone, {sql_segment(_R.SEGMENT_OR_NOT)[1]} as matched
+  from user_tag_member where {sql_segment(_R.SEGMENT_OR_NOT)[0]}
+  order by matched desc, memberId limit 1000) s"""
+
+
+def _bulk_sql() -> str:
+    segs: dict[str, list] = {}
+    for sid, name, value, typ in _R.bulk_rule_rows():
+        segs.setdefault(sid, []).append({"name": name, "value": value, "type": typ})
+    parts = [f"select '{sid}' as segment_id, memberId from user_tag_member where {sql_segment(cl)[0]}"
+             for sid, cl in segs.items()]
+    return _TAGS_WITH + "\nunion all\n".join(parts)
+
+
+ORACLE["segment_bulk"] = _bulk_sql()
+
+
+def _counts_sql() -> str:
+    rows = _R.catalogue_rows()
+    counts = ",\n  ".join(
+        f"count(*) filter (where {sql_segment([{'name': n, 'value': v, 'type': t}])[0]}) as c{i}"
+        for i, (_, _, n, v, t) in enumerate(rows))
+    sel = "\nunion all\n".join(
+        f"select '{g}' as tagGroup, '{lbl}' as label, '{n}' as name, '{v}' as value, '{t}' as type, "
+        f"c{i} as memberCount from agg" for i, (g, lbl, n, v, t) in enumerate(rows))
+    return _TAGS_WITH + f", agg as (select\n  {counts}\nfrom user_tag_member)\n" + sel
+
+
+ORACLE["tag_counts"] = _counts_sql()

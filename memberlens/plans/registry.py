@@ -178,3 +178,76 @@ def q_user_tag(spark, root):
 @register("user_tag_member")
 def q_user_tag_member(spark, root):
     return TG.user_tag_member(shop_tables(spark, root))
+
+
+# ----------------------------------------------------------------- segments (P26-P30)
+
+from memberlens.operators import catalogue as CT  # noqa: E402
+from memberlens.operators import segments as SG  # noqa: E402
+
+# Parameters of the registered segment queries (what a user clicks).
+SEGMENT_OR_NOT = [{"name": "sex", "value": "1", "type": "match"},
+                  {"name": "channel", "value": "2", "type": "match"},
+                  {"name": "subOpenId", "value": "null", "type": "notMatch"}]
+SEGMENT_MIXED = [{"name": "orderMoney", "value": "100000-200000", "type": "rangeBoth"},
+                 {"name": "favGoods", "value": "6", "type": "match"},
+                 {"name": "couponTimes", "value": "2024-01-20", "type": "match"},
+                 {"name": "overTime", "value": "3000", "type": "rangeGte"},
+                 {"name": "feedBack", "value": "4", "type": "notMatch"}]
+SEGMENT_NOT_ONLY = [{"name": "subOpenId", "value": "null", "type": "notMatch"},
+                    {"name": "address", "value": "-1", "type": "notMatch"}]
+
+
+def catalogue_rows():
+    return CT.tag_catalogue_rows(MEMBER_AS_OF, COUPON_AS_OF)
+
+
+def bulk_rule_rows():
+    """Every catalogue tag as its own segment plus three multi-clause segments."""
+    rows = [(f"tag{i:02d}", name, value, typ)
+            for i, (_, _, name, value, typ) in enumerate(catalogue_rows())]
+    for sid, clauses in (("or_not", SEGMENT_OR_NOT), ("mixed", SEGMENT_MIXED),
+                         ("not_only", SEGMENT_NOT_ONLY)):
+        rows += [(sid, c["name"], c["value"], c["type"]) for c in clauses]
+    return rows
+
+
+def _tags(spark, root):
+    return TG.user_tag_member(shop_tables(spark, root))
+
+
+@register("segment_select")
+def q_segment_select(spark, root):
+    return SG.segment_select(_tags(spark, root), SEGMENT_OR_NOT)
+
+
+@register("segment_select_mixed")
+def q_segment_select_mixed(spark, root):
+    return SG.segment_select(_tags(spark, root), SEGMENT_MIXED)
+
+
+@register("segment_select_not_only")
+def q_segment_select_not_only(spark, root):
+    return SG.segment_select(_tags(spark, root), SEGMENT_NOT_ONLY)
+
+
+@register("segment_size")
+def q_segment_size(spark, root):
+    return SG.segment_size(_tags(spark, root), SEGMENT_OR_NOT)
+
+
+@register("segment_bulk")
+def q_segment_bulk(spark, root):
+    rules = spark.createDataFrame(bulk_rule_rows(),
+                                  "segment_id string, name string, value string, type string")
+    return SG.segment_bulk(_tags(spark, root), rules)
+
+
+@register("segment_export")
+def q_segment_export(spark, root):
+    return SG.segment_export(SG.segment_select(_tags(spark, root), SEGMENT_OR_NOT))
+
+
+@register("tag_counts")
+def q_tag_counts(spark, root):
+    return CT.tag_counts(_tags(spark, root), catalogue_rows())
