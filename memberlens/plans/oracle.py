@@ -329,3 +329,80 @@ def _counts_sql() -> str:
 
 
 ORACLE["tag_counts"] = _counts_sql()
+
+# ----------------------------------------------------------------- hot words
+
+_FIELDS_SQL = "string_split(regexp_replace(value, '\\t+$', ''), chr(9))"
+
+ORACLE["hot_words"] = W("search_log") + f"""
+select word, count(*) as searchCount from (
+  select case when len({_FIELDS_SQL}) > 2 then {_FIELDS_SQL}[3] else 'null' end as word
+  from search_log) t
+group by word order by searchCount desc, word limit 10"""
+
+ORACLE["hot_words_malformed"] = W("search_log") + f"""
+select value as line from search_log where len({_FIELDS_SQL}) <= 2"""
+
+# ----------------------------------------------------------------- change events
+
+_CHANGES = """
+with ch as (
+  select event_id as seq, ts, user_id, value, event_type,
+         case when event_type = 'purchase' then 'order_info' else 'user_info' end as tbl,
+         case event_type when 'view' then 'read' when 'signup' then 'create'
+                         when 'error' then 'delete' else 'update' end as operation,
+         epoch_us(ts) // 1000 as ts_ms
+  from events)
+, env as (
+  select seq, operation, 'ecommerce' as database, tbl as "table", cast(ts_ms as varchar) as timestamp,
+         case when tbl = 'order_info' then seq else user_id end as id,
+         user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as create_time,
+         case when operation in ('update', 'delete') then strftime(ts, '%Y-%m-%d %H:%M:%S') end as operate_time,
+         seq % 34 as province_id, 1 + seq % 5 as order_status, value as total_amount, ts_ms
+  from ch)
+, env_json as (
+  select *, json_object('id', cast(id as varchar), 'user_id', cast(user_id as varchar),
+                        'create_time', create_time, 'operate_time', operate_time,
+                        'province_id', cast(province_id as varchar),
+                        'order_status', cast(order_status as varchar),
+                        'total_amount', cast(total_amount as varchar))::varchar as data_json
+  from env)
+"""
+
+ORACLE["cdc_envelope"] = _CHANGES + """
+select operation, database, "table", timestamp, data_json from env_json"""
+
+ORACLE["cdc_route_topics"] = _CHANGES + """
+select "table" as topic, data_json as value from env_json"""
+
+_TYPED = """
+select id, user_id, create_time, operate_time, cast(province_id as integer) as province_id,
+       cast(order_status as integer) as order_status, total_amount, timestamp, operation as op"""
+
+ORACLE["cdc_typed_rows"] = _CHANGES + _TYPED + """
+from env where "table" = 'order_info'"""
+
+ORACLE["cdc_watermark"] = _CHANGES + _TYPED + """,
+       strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S.%g') as event_time
+from env where "table" = 'order_info'"""
+
+ORACLE["cdc_current_state"] = _CHANGES + """
+select "table", cast(id as varchar) as id, operation, timestamp, data_json from (
+  select *, row_number() over (partition by "table", id order by ts_ms desc, seq desc) as rn
+  from env_json) t
+where rn = 1 and operation <> 'delete'"""
+
+ORACLE["cdc_dedup"] = _CHANGES + """
+select operation, "table", timestamp, data_json from env_json"""
+
+ORACLE["cdc_ods_partitioned"] = _CHANGES + _TYPED + """,
+       strftime(strptime(create_time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d') as dt,
+       strftime(strptime(create_time, '%Y-%m-%d %H:%M:%S'), '%H') as hr
+from env where "table" = 'order_info'"""
+
+ORACLE["cdc_partition_commit"] = _CHANGES + """
+, hours as (select distinct strftime(ts, '%Y-%m-%d') as dt, strftime(ts, '%H') as hr,
+                   epoch_us(date_trunc('hour', ts)) // 1000 as start_ms
+            from env join ch using (seq) where env."table" = 'order_info')
+, wm as (select max(ts_ms) - 5000 as wm_ms from env where "table" = 'order_info')
+select dt, hr from hours, wm where start_ms + 61 * 60 * 1000 <= wm_ms"""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from memberlens.operators import metrics as M
 from memberlens.sources import fixtures as FX
@@ -251,3 +252,103 @@ def q_segment_export(spark, root):
 @register("tag_counts")
 def q_tag_counts(spark, root):
     return CT.tag_counts(_tags(spark, root), catalogue_rows())
+
+
+# ----------------------------------------------------------------- hot words (P31-P32)
+
+from memberlens.operators import hotwords as HW  # noqa: E402
+
+
+@register("hot_words")
+def q_hot_words(spark, root):
+    return HW.hot_words(_v(spark, root, "search_log"))
+
+
+@register("hot_words_malformed")
+def q_hot_words_malformed(spark, root):
+    return HW.hot_words_malformed(_v(spark, root, "search_log"))
+
+
+# ----------------------------------------------------------------- change events (P33-P40)
+
+from memberlens.operators import changes as CH  # noqa: E402
+from memberlens.session import scratch_dir  # noqa: E402
+from memberlens.sources import changes as CS  # noqa: E402
+from memberlens.sources.tables import read_parquet_table  # noqa: E402
+from memberlens.streaming import cdc as ST  # noqa: E402
+
+
+def _raw_changes(spark, root):
+    events = read_parquet_table(spark, root, "events")
+    return CS.parse_change_json(CS.change_records_from_events(events))
+
+
+def _envelope(spark, root):
+    return CH.cdc_envelope(_raw_changes(spark, root), keep=("seq",))
+
+
+@register("cdc_envelope")
+def q_cdc_envelope(spark, root):
+    env = _envelope(spark, root)
+    return env.select("operation", "database", "table", "timestamp",
+                      F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
+
+
+@register("cdc_route_topics")
+def q_cdc_route_topics(spark, root):
+    return CH.cdc_route_topics(_envelope(spark, root))
+
+
+@register("cdc_typed_rows")
+def q_cdc_typed_rows(spark, root):
+    return CH.cdc_typed_rows(_envelope(spark, root), CH.ORDER_INFO_SCHEMA, table="order_info")
+
+
+@register("cdc_watermark")
+def q_cdc_watermark(spark, root):
+    rows = CH.cdc_watermark(CH.cdc_typed_rows(_envelope(spark, root), table="order_info"))
+    return rows.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSS"))
+
+
+@register("cdc_current_state")
+def q_cdc_current_state(spark, root):
+    st = CH.cdc_current_state(_envelope(spark, root), key="id", tiebreak="seq")
+    return st.select("table", "id", "operation", "timestamp",
+                     F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
+
+
+@register("cdc_dedup")
+def q_cdc_dedup(spark, root):
+    # Every record delivered twice (an at-least-once sink replaying a whole batch).
+    raw = _raw_changes(spark, root)
+    env = CH.cdc_envelope(raw.unionByName(raw))
+    return CH.cdc_dedup(env, key="id").select(
+        "operation", "table", "timestamp", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
+
+
+def _run_ods_stream(spark, root):
+    """Stage the change records as JSON files, stream them through the ODS sink."""
+    base = scratch_dir(spark, "ods-run")
+    events = read_parquet_table(spark, root, "events")
+    # Four files in event-time order: the file source feeds one per micro-batch.
+    (CS.change_records_from_events(events)
+       .withColumn("ts_ms", F.get_json_object("value", "$.ts_ms").cast("long"))
+       .repartitionByRange(4, "ts_ms").sortWithinPartitions("ts_ms")
+       .select("value").write.text(f"{base}/raw"))
+    raw = CS.read_change_files(spark, f"{base}/raw", stream=True, max_files_per_trigger=1)
+    rows = CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info")
+    rows = CH.ods_partition_columns(CH.cdc_watermark(rows))
+    q = ST.ods_stream(rows, f"{base}/ods", checkpoint=f"{base}/checkpoint",
+                      trigger={"availableNow": True})
+    q.awaitTermination()
+    return f"{base}/ods"
+
+
+@register("cdc_ods_partitioned")
+def q_cdc_ods_partitioned(spark, root):
+    return ST.read_ods(spark, _run_ods_stream(spark, root))
+
+
+@register("cdc_partition_commit")
+def q_cdc_partition_commit(spark, root):
+    return ST.read_commits(spark, _run_ods_stream(spark, root)).select("dt", "hr")
