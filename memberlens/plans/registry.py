@@ -332,7 +332,6 @@ def _run_ods_stream(spark, root):
     events = read_parquet_table(spark, root, "events")
     # Four files in event-time order: the file source feeds one per micro-batch.
     (CS.change_records_from_events(events)
-       .withColumn("ts_ms", F.get_json_object("value", "$.ts_ms").cast("long"))
        .repartitionByRange(4, "ts_ms").sortWithinPartitions("ts_ms")
        .select("value").write.text(f"{base}/raw"))
     raw = CS.read_change_files(spark, f"{base}/raw", stream=True, max_files_per_trigger=1)

@@ -28,7 +28,8 @@ JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
 def parse_change_json(lines: DataFrame, column: str = "value") -> DataFrame:
     """``topic, op, ts_ms, before, after`` from JSON text records (other columns kept)."""
     parsed = F.from_json(F.col(column).cast("string"), RAW_SCHEMA)
-    return lines.withColumn("_rec", parsed).select("*", "_rec.*").drop("_rec")
+    clash = [c for c in RAW_SCHEMA.fieldNames() if c in lines.columns]
+    return lines.withColumn("_rec", parsed).drop(*clash).select("*", "_rec.*").drop("_rec")
 
 
 def read_change_files(spark: SparkSession, path: str, stream: bool = False,
@@ -75,7 +76,7 @@ DATABASE = "ecommerce"    # fixed value: the shop database
 
 
 def change_records_from_events(events: DataFrame) -> DataFrame:
-    """Change records (JSON text in ``value``) derived from the ``events`` table.
+    """Change records (JSON text in ``value``; ``seq``, ``ts_ms`` alongside) from ``events``.
 
     Purchases become changes of ``order_info`` rows, all other events
     changes of ``user_info`` rows; ``view`` is a snapshot read, ``signup`` a
@@ -104,5 +105,5 @@ def change_records_from_events(events: DataFrame) -> DataFrame:
                       F.unix_millis(ts).alias("ts_ms"),
                       F.when(op.isin("u", "d"), row).alias("before"),
                       F.when(op != "d", row).alias("after"))
-    return events.select(F.col("event_id").alias("seq"),
+    return events.select(F.col("event_id").alias("seq"), F.unix_millis(ts).alias("ts_ms"),
                          F.to_json(record, JSON_KEEP_NULLS).alias("value"))

@@ -82,39 +82,93 @@ TOUCHED_SCHEMA = "batch_id long, dt string, hr string, rows long, max_event_time
 COMMIT_SCHEMA = "dt string, hr string, batch_id long, watermark timestamp"
 
 
-def commit_ready_partitions(spark: SparkSession, path: str, batch_id: int,
-                            commit_delay: str = "61 minutes",
-                            watermark_delay: str = "5 seconds",
-                            table: str | None = None, success_file: bool = True) -> DataFrame:
-    """Mark the partitions whose time + ``commit_delay`` is behind the watermark.
-
-    Works from the small logs under ``{path}/_ods_meta`` (one row per
-    partition and batch), never from the data. Returns the newly committed
-    partitions.
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _interval_seconds(spark: SparkSession, text: str) -> float:
+    """Seconds of a delay such as ``'5 seconds'`` or ``'1 hour 1 minute'``."""
+    words = text.split()
+    if not words or len(words) % 2:
+        raise ValueError(f"bad delay {text!r}")
+    total = 0.0
+    for amount, unit in zip(words[::2], words[1::2]):
+        total += float(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+    return total
+
+
+class PartitionCommitter:
+    """Watermark-driven partition commit for one ODS folder.
+
+    State is one row per hour of data: the partitions written so far with
+    their latest event time (log ``{path}/_ods_meta/touched``) and the
+    partitions already committed (log ``{path}/_ods_meta/commits``). Both
+    logs are durable; the driver keeps a copy of this small state between
+    micro-batches and reloads it from the logs after a restart.
     """
-    meta = f"{path}/_ods_meta"
-    touched = _read_log(spark, f"{meta}/touched", TOUCHED_SCHEMA)
-    commits = _read_log(spark, f"{meta}/commits", COMMIT_SCHEMA)
-    watermark = touched.agg((F.max("max_event_time") - F.expr(f"interval {watermark_delay}"))
-                            .alias("watermark"))
-    part_time = F.to_timestamp(F.concat_ws(" ", "dt", F.concat("hr", F.lit(":00:00"))))
-    ready = (touched.filter(F.col("dt").isNotNull() & F.col("hr").isNotNull())
-                    .select("dt", "hr").distinct()
-                    .crossJoin(watermark)
-                    .filter(part_time + F.expr(f"interval {commit_delay}") <= F.col("watermark"))
-                    .join(commits.select("dt", "hr"), ["dt", "hr"], "left_anti")
-                    .select("dt", "hr", F.lit(batch_id).cast("long").alias("batch_id"), "watermark"))
-    # One row per hour of data: a bounded list, fine to bring to the driver.
-    newly = ready.collect()
-    for r in newly:
-        if success_file:
-            _touch(spark, f"{path}/dt={r['dt']}/hr={r['hr']}/_SUCCESS")
-        if table:
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION "
-                      f"(dt='{r['dt']}', hr='{r['hr']}')")
-    if newly:
-        spark.createDataFrame(newly, COMMIT_SCHEMA).write.mode("append").parquet(f"{meta}/commits")
-    return spark.createDataFrame(newly, COMMIT_SCHEMA)
+
+    def __init__(self, path: str, commit_delay: str = "61 minutes",
+                 watermark_delay: str = "5 seconds", table: str | None = None,
+                 success_file: bool = True):
+        self.path, self.table, self.success_file = path, table, success_file
+        self.commit_delay, self.watermark_delay = commit_delay, watermark_delay
+        self.meta = f"{path}/_ods_meta"
+        self._loaded = False
+
+    def _load(self, spark: SparkSession) -> None:
+        touched = _read_log(spark, f"{self.meta}/touched", TOUCHED_SCHEMA)
+        rows = touched.groupBy("dt", "hr").agg(F.max("max_event_time").alias("t"),
+                                               F.max("batch_id").alias("b")).collect()
+        self.partitions = {(r["dt"], r["hr"]): r["t"] for r in rows}
+        self.batches = {r["b"] for r in touched.select(F.col("batch_id").alias("b")).distinct().collect()}
+        self.max_event = max((t for t in self.partitions.values() if t is not None), default=None)
+        commits = _read_log(spark, f"{self.meta}/commits", COMMIT_SCHEMA).collect()
+        self.committed = {(r["dt"], r["hr"]) for r in commits}
+        self.delay_s = _interval_seconds(spark, self.commit_delay)
+        self.lateness_s = _interval_seconds(spark, self.watermark_delay)
+        self._loaded = True
+
+    def seen(self, spark: SparkSession, batch_id: int) -> bool:
+        if not self._loaded:
+            self._load(spark)
+        return batch_id in self.batches
+
+    def record(self, spark: SparkSession, batch_id: int, touched: list) -> None:
+        """Remember the partitions a batch wrote (rows of TOUCHED_SCHEMA)."""
+        if touched:
+            spark.createDataFrame(touched, TOUCHED_SCHEMA).write.mode("append") \
+                 .parquet(f"{self.meta}/touched")
+        self.batches.add(batch_id)
+        for r in touched:
+            key = (r["dt"], r["hr"])
+            t = r["max_event_time"]
+            self.partitions[key] = max(t, self.partitions.get(key) or t)
+            if t is not None and (self.max_event is None or t > self.max_event):
+                self.max_event = t
+
+    def commit(self, spark: SparkSession, batch_id: int) -> list[tuple]:
+        """Commit every complete, not yet committed partition; return them."""
+        import datetime as _dt
+        if self.max_event is None:
+            return []
+        watermark = self.max_event - _dt.timedelta(seconds=self.lateness_s)
+        ready = []
+        for (dt, hr) in sorted(k for k in self.partitions if k[0] is not None and k[1] is not None):
+            if (dt, hr) in self.committed:
+                continue
+            start = _dt.datetime.fromisoformat(f"{dt} {hr}:00:00")
+            if start + _dt.timedelta(seconds=self.delay_s) <= watermark:
+                ready.append((dt, hr, batch_id, watermark))
+        for dt, hr, _, _ in ready:
+            if self.success_file:
+                _touch(spark, f"{self.path}/dt={dt}/hr={hr}/_SUCCESS")
+            if self.table:
+                spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS PARTITION "
+                          f"(dt='{dt}', hr='{hr}')")
+        if ready:
+            spark.createDataFrame(ready, COMMIT_SCHEMA).write.mode("append") \
+                 .parquet(f"{self.meta}/commits")
+            self.committed.update((dt, hr) for dt, hr, _, _ in ready)
+        return ready
 
 
 def ods_batch_writer(path: str, commit_delay: str = "61 minutes",
@@ -122,30 +176,33 @@ def ods_batch_writer(path: str, commit_delay: str = "61 minutes",
                      success_file: bool = True, event_time: str = "event_time"):
     """The ``foreachBatch`` function of the ODS sink (see module doc).
 
-    Each micro-batch is appended under ``path`` partitioned by ``dt, hr``;
-    a batch already recorded in ``{path}/_ods_meta/batches`` is not written
+    Each micro-batch is appended under ``path`` partitioned by ``dt, hr``
+    (two jobs over the cached batch: the data write and the per-partition
+    summary). A batch already recorded in the touched log is not written
     again when a restarted query replays it.
     """
+    committer = PartitionCommitter(path, commit_delay, watermark_delay, table, success_file)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        meta = f"{path}/_ods_meta"
-        done = _read_log(spark, f"{meta}/batches", "batch_id long").filter(
-            F.col("batch_id") == batch_id).limit(1).count() > 0
-        if not done:
+        if not committer.seen(spark, batch_id):
             batch.persist()
             try:
-                batch.drop(event_time).write.mode("append").partitionBy(*ODS_PARTITIONS).parquet(path)
-                (batch.groupBy(*ODS_PARTITIONS)
-                      .agg(F.count(F.lit(1)).alias("rows"), F.max(event_time).alias("max_event_time"))
-                      .select(F.lit(batch_id).cast("long").alias("batch_id"), "dt", "hr", "rows",
-                              "max_event_time")
-                      .write.mode("append").parquet(f"{meta}/touched"))
-                spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append") \
-                     .parquet(f"{meta}/batches")
+                # Rebalance on the partition columns: each hour's rows land in
+                # few tasks (few files per hour), hours are written in
+                # parallel, and AQE splits an hour that holds most of a batch.
+                (batch.drop(event_time).hint("rebalance", *ODS_PARTITIONS)
+                      .write.mode("append").partitionBy(*ODS_PARTITIONS).parquet(path))
+                touched = (batch.groupBy(*ODS_PARTITIONS)
+                                .agg(F.count(F.lit(1)).alias("rows"),
+                                     F.max(event_time).alias("max_event_time"))
+                                .select(F.lit(batch_id).cast("long").alias("batch_id"),
+                                        "dt", "hr", "rows", "max_event_time")
+                                .collect())   # one row per hour in the batch
             finally:
                 batch.unpersist()
-        commit_ready_partitions(spark, path, batch_id, commit_delay, watermark_delay, table,
-                                success_file)
+            committer.record(spark, batch_id, touched)
+        committer.commit(spark, batch_id)
     return write
 
 
@@ -169,6 +226,15 @@ def read_ods(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ODS_SCHEMA).parquet(path)
 
 
+def commit_ready_partitions(spark: SparkSession, path: str, batch_id: int = -1,
+                            commit_delay: str = "61 minutes", watermark_delay: str = "5 seconds",
+                            table: str | None = None, success_file: bool = True) -> list[tuple]:
+    """Commit pass over an ODS folder outside a running stream (e.g. after a backfill)."""
+    c = PartitionCommitter(path, commit_delay, watermark_delay, table, success_file)
+    c.seen(spark, batch_id)
+    return c.commit(spark, batch_id)
+
+
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
     return _read_log(spark, f"{path}/_ods_meta/commits", COMMIT_SCHEMA)
 
