@@ -42,32 +42,45 @@ def tag_member_base(member: DataFrame) -> DataFrame:
                          day_string("create_time").alias("regTime"))
 
 
-def _lines_per_order(order_commodity: DataFrame) -> DataFrame:
-    # Map-side partial aggregation collapses the lines of an order before
-    # the shuffle; the result is hash-partitioned on order_id, which is the
-    # join key, so the join below re-shuffles only the orders.
-    return (order_commodity.groupBy("order_id")
-            .agg(F.count(F.lit(1)).alias("nLines"),
-                 F.collect_set("commodity_id").alias("goods")))
+def _goods_per_order(order_commodity: DataFrame) -> DataFrame:
+    """``(order_id, commodity_id, n)``: lines per order and good.
+
+    A plain hash aggregate (count), partially applied in the map tasks, so
+    the big line table is reduced before its only shuffle. Everything
+    after works on this reduced table.
+    """
+    return (order_commodity.groupBy("order_id", "commodity_id")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def _order_behavior(order: DataFrame, order_commodity: DataFrame, line_grain: bool) -> DataFrame:
-    lines = _lines_per_order(order_commodity)
-    joined = (order.select("order_id", "member_id", "pay_price", "create_time")
-                   .join(lines, "order_id", "left"))
-    weight = (F.greatest(F.coalesce(F.col("nLines"), F.lit(0)), F.lit(1)) if line_grain
-              else F.lit(1))
-    # One row per (order, distinct good); order-level numbers are taken
-    # from the first of them only, so one aggregate gives all five tags.
-    exploded = joined.select("member_id", "pay_price", "create_time", weight.alias("w"),
-                             F.posexplode_outer("goods").alias("pos", "good"))
-    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    return (exploded.groupBy(F.col("member_id").alias("memberId"))
-            .agg(F.sum(F.when(first, F.col("w"))).alias("orderCount"),
-                 day_string(F.max("create_time")).alias("orderTime"),
-                 F.sum(F.when(first, F.col("pay_price").cast("decimal(18,2)") * F.col("w")))
-                  .cast("double").alias("orderMoney"),
-                 F.array_sort(F.collect_set("good")).alias("favGoods")))
+    goods = _goods_per_order(order_commodity)
+    # Same projection of the orders on both branches below, so the
+    # exchange of orders on order_id is computed once and reused.
+    orders = order.select("order_id", "member_id", "pay_price", "create_time")
+
+    if line_grain:
+        lines = goods.groupBy("order_id").agg(F.sum("n").alias("nLines"))
+        weight = F.greatest(F.coalesce(F.col("nLines"), F.lit(0)), F.lit(1))
+        per_order = orders.join(lines, "order_id", "left").withColumn("w", weight)
+    else:
+        per_order = orders.withColumn("w", F.lit(1).cast("bigint"))
+    money = F.sum(F.col("pay_price").cast("decimal(18,2)") * F.col("w"))
+    counts = (per_order.groupBy(F.col("member_id").alias("memberId"))
+              .agg(F.sum("w").alias("orderCount"),
+                   day_string(F.max("create_time")).alias("orderTime"),
+                   money.cast("double").alias("orderMoney")))
+
+    # Distinct (member, good) pairs first (hash aggregate), then one list
+    # per member: the list is built from at most one row per good.
+    member_goods = (orders.join(goods, "order_id")
+                    .select("member_id", "commodity_id").distinct()
+                    .groupBy(F.col("member_id").alias("memberId"))
+                    .agg(F.array_sort(F.collect_list("commodity_id")).alias("goods")))
+    return (counts.join(member_goods, "memberId", "left")
+                  .select("memberId", "orderCount", "orderTime", "orderMoney",
+                          F.coalesce(F.col("goods"), F.array().cast("array<bigint>"))
+                           .alias("favGoods")))
 
 
 def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
