@@ -173,9 +173,14 @@ def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any",
                                                                     F.lit(salt_buckets - 1))))
         hits = salted_long.join(salted_rules, _rule_condition(salted_long, salted_rules)
                                 & (salted_long["salt"] == salted_rules["salt"]))
-    folded = (hits.groupBy("segment_id", KEY)
-                  .agg(F.size(F.collect_set(F.when(~F.col("negated"), F.col("rule_key"))))
-                        .alias("hits"),
+    # One shuffle on (segment, member); the distinct matched rules and the
+    # per-member fold are then two hash aggregates on that partitioning.
+    folded = (hits.select("segment_id", KEY, "rule_key", "negated", "nShould")
+                  .repartition("segment_id", KEY)
+                  .groupBy("segment_id", KEY, "rule_key", "negated")
+                  .agg(F.max("nShould").alias("nShould"))
+                  .groupBy("segment_id", KEY)
+                  .agg(F.count(F.when(~F.col("negated"), 1)).alias("hits"),
                        F.max("negated").alias("excluded"),
                        F.max("nShould").alias("nShould")))
     need = F.lit(1) if combine == "any" else F.greatest(F.col("nShould"), F.lit(1))
