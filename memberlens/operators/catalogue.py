@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from memberlens.functions.clauses import Clause, segment_columns
 from memberlens.functions.columns import days_before
 
-# Fixed values of the shop's tag page: (group, label, field, value, type).
-# Date-valued tags are given as a day offset and resolved against as_of.
+# Fixed values of the shop's tag page: (group, label, field, value, type),
+# in the page's order. Fields, values and types must equal the page's; the
+# labels are English renderings of the page's display labels and do not
+# affect any result. Date-valued tags are day offsets resolved against as_of.
 _SEX = [("sex", "male", "sex", "1", "match"),
         ("sex", "female", "sex", "2", "match"),
         ("sex", "unknown", "sex", "-1", "match")]

@@ -38,10 +38,14 @@ def _writer(df: DataFrame, name: str, checkpoint: str | None, trigger: dict | No
     return w.trigger(**(trigger or DEFAULT_TRIGGER))
 
 
+DEFAULT_TOPIC = "DEFAULT_DATA"   # fixed value: topic for rows without a table
+
+
 def route_topics_stream(envelope: DataFrame, *, kafka_servers: str | None = None,
                         path: str | None = None, checkpoint: str | None = None,
                         trigger: dict | None = None, include_envelope: bool = False,
                         kafka_options: dict[str, str] | None = None,
+                        fixed_topic: str | None = None, console: bool = False,
                         name: str = "cdc_route_topics") -> StreamingQuery:
     """Send each change to the topic named after its table.
 
@@ -51,14 +55,25 @@ def route_topics_stream(envelope: DataFrame, *, kafka_servers: str | None = None
     ``path`` is written (exactly-once through the sink's commit log).
     """
     rows = cdc_route_topics(envelope, include_envelope)
+    rows = rows.withColumn("topic", F.coalesce(F.col("topic"), F.lit(DEFAULT_TOPIC)))
+    if fixed_topic:
+        # One topic for everything: the Kafka sink's ``topic`` option wins
+        # over the column only when the column is absent.
+        rows = rows.drop("topic")
     w = _writer(rows, name, checkpoint, trigger)
+    if console:
+        return w.format("console").option("truncate", "false").start()
     if kafka_servers:
         w = w.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+        if fixed_topic:
+            w = w.option("topic", fixed_topic)
         for k, v in (kafka_options or {}).items():
             w = w.option(k, v)
         return w.start()
     if not path:
-        raise ValueError("give kafka_servers or path")
+        raise ValueError("give kafka_servers, path or console")
+    if fixed_topic:
+        return w.format("json").option("path", f"{path}/topic={fixed_topic}").start()
     return w.format("json").partitionBy("topic").option("path", path).start()
 
 

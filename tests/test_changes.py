@@ -159,3 +159,28 @@ def test_stream_dedup_and_current_state(spark, workdir):
     q2.awaitTermination()
     rows = spark.table("state_out").collect()
     assert [(r.id, r.operation) for r in rows] == [("1", "update")]
+
+
+def test_stream_equals_batch_operator(spark, workdir):
+    from memberlens.sources.tables import read_parquet_table
+    from tests.conftest import SF_SMALL
+    events = read_parquet_table(spark, SF_SMALL, "events")
+    recs = CS.change_records_from_events(events)
+    recs.repartitionByRange(3, "ts_ms").select("value").write.text(f"{workdir}/raw")
+    batch = CH.ods_partition_columns(CH.cdc_typed_rows(
+        CH.cdc_envelope(CS.parse_change_json(recs)), table="order_info"))
+    _ods_run(spark, f"{workdir}/raw", f"{workdir}/ods", f"{workdir}/ck")
+    streamed = ST.read_ods(spark, f"{workdir}/ods")
+    cols = streamed.columns
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_fixed_topic_and_console_options(spark, workdir):
+    src = f"{workdir}/src"
+    _write_batches(src, [[rec("order_info", "c", T0, after=order(1, "t"))]])
+    env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True))
+    q = ST.route_topics_stream(env, path=f"{workdir}/t", fixed_topic="all_changes",
+                               checkpoint=f"{workdir}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    back = spark.read.schema("value string, topic string").json(f"{workdir}/t")
+    assert [r.topic for r in back.collect()] == ["all_changes"]

@@ -38,3 +38,22 @@ def test_top_k_is_not_a_global_sort(spark):
 def test_coupon_dimension_is_broadcast_when_small(spark):
     p = plan(E.queries()["tag_charge_money"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p
+
+
+def test_aggregates_are_partial_before_the_shuffle(spark):
+    # With broadcasts off (the shape at scale) every shuffle of the tag build
+    # is fed by a partial aggregate or is the member-keyed join input.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(E.queries()["user_tag_member"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert p.count("partial_") >= 5 or p.count("HashAggregate") >= 10
+    # no collect over raw order lines: the only list aggregates are per member
+    assert "collect_set" not in p
+
+
+def test_bulk_segments_broadcast_rules_after_size_check(spark):
+    p = plan(E.queries()["segment_bulk"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in p and "ObjectHashAggregate" not in p.split("Generate")[0]

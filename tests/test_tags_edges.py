@@ -74,3 +74,47 @@ def test_coupon_times_keeps_duplicates_sorted(spark):
                             (3, 7, 4, 2, D("2020-01-05 12:00:00"))])
     r = TG.tag_coupon_times(t["t_coupon_member"]).first()
     assert r.couponTimes == ["2020-01-02", "2020-01-05", "2020-01-05"]
+
+
+def test_one_row_per_member_on_fixture(spark):
+    from memberlens.plans.registry import shop_tables
+    from tests.conftest import SF_SMALL
+    t = shop_tables(spark, SF_SMALL)
+    tags = TG.user_tag_member(t)
+    assert tags.count() == t["t_member"].count() == tags.select("memberId").distinct().count()
+
+
+def test_line_grain_equals_order_grain_when_one_line_per_order(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 19), st.integers(1, 500)),
+                    min_size=1, max_size=12))
+    def check(rows):
+        orders = [(i, m, 2, float(p), float(p) - 5.0, D("2020-01-01")) for i, (m, _, p) in enumerate(rows)]
+        lines = [(i, g) for i, (_, g, _) in enumerate(rows)]
+        t = shop(spark, orders=orders, lines=lines)
+        a = sorted(map(tuple, TG.tag_order_behavior(t["t_order"], t["t_order_commodity"]).collect()))
+        b = sorted(map(tuple, TG.tag_order_behavior_by_order(t["t_order"], t["t_order_commodity"]).collect()))
+        assert a == b
+
+    check()
+
+
+def test_skewed_member_is_exact(spark):
+    # One member owns most claims and orders: results must be whole and exact.
+    hot = 7
+    claims = [(i, hot, 1 + (i % 3 == 0), 2, D(f"2020-01-{1 + i % 9:02d} 10:00:00")) for i in range(3000)]
+    claims += [(10000 + i, 8, 5, 2, D("2020-01-02 10:00:00")) for i in range(3)]
+    orders = [(i, hot, 2, 10.0, 5.0, D("2020-01-03")) for i in range(2000)] + [(9999, 8, 2, 1.0, 1.0, D("2020-01-01"))]
+    members = [(7, "1", 1, 1, "x", 7, D("2020-01-01")), (8, "2", 1, 1, "x", 8, D("2020-01-01"))]
+    t = shop(spark, members=members, claims=claims, orders=orders, coupons=[(2, 4.0), (5, 2.0)])
+    rows = {r.memberId: r for r in TG.user_tag_member(t).collect()}
+    paid = [c for c in claims if c[1] == hot and c[2] != 1]
+    assert len(rows[hot].couponTimes) == len(paid)
+    assert rows[hot].couponTimes == sorted(c[4].strftime("%Y-%m-%d") for c in paid)
+    assert rows[hot].orderCount == 2000 and rows[hot].orderMoney == 10000.0
+    assert rows[hot].chargeMoney == 2.0 * len(paid)        # price 4.0 / 2 per paid claim
+    assert len(rows[8].couponTimes) == 3
+    fanned = [r for r in TG.user_tag(t).collect() if r.memberId == hot]
+    assert len(fanned) == sum(1 for c in claims if c[1] == hot and c[2] == 1)
