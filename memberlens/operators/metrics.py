@@ -85,25 +85,39 @@ def member_overview(member: DataFrame, order: DataFrame, coupon_member: DataFram
     """All member pies and the heat row in one long result ``(metric, key, value)``.
 
     ``key`` is the code for per-code metrics and NULL for single numbers.
+    The member table is scanned once: a single aggregate over the grouping
+    sets ``(sex), (member_channel), ()`` yields the sex pie, the channel pie
+    and the member totals (partial aggregation right after the expand).
     """
-    sex = member_sex(member).select(F.lit("sex").alias("metric"),
-                                    F.col("memberSex").cast("string").alias("key"),
-                                    F.col("sexCount").alias("value"))
-    channel = member_channel(member).select(F.lit("channel").alias("metric"),
-                                            F.col("memberChannel").cast("string").alias("key"),
-                                            F.col("channelCount").alias("value"))
-    sub = member_mp_sub(member)
-    sub_long = sub.select(F.explode(F.array(
-        F.struct(F.lit("subCount").alias("metric"), F.col("subCount").alias("value")),
-        F.struct(F.lit("unSubCount").alias("metric"), F.col("unSubCount").alias("value")))).alias("m"))
-    heat = member_heat(member, order, coupon_member)
-    heat_long = heat.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value"))
-        for c in ("coupon", "reg", "complete", "order", "orderAgain")])).alias("m"))
-    singles = sub_long.unionByName(heat_long).select(
-        F.col("m.metric").alias("metric"), F.lit(None).cast("string").alias("key"),
-        F.col("m.value").alias("value"))
-    return sex.unionByName(channel).unionByName(singles)
+    oid, phone = F.col("mp_open_id"), F.col("phone")
+    sets = (member.groupingSets([["sex"], ["member_channel"], []], "sex", "member_channel")
+            .agg(F.grouping_id().alias("gid"),
+                 F.count("id").alias("n"),
+                 F.count(F.when(oid != NULL_SENTINEL, 1)).alias("subCount"),
+                 F.count(F.when(oid == NULL_SENTINEL, 1)).alias("unSubCount"),
+                 F.count(F.when(phone == NULL_SENTINEL, 1)).alias("reg"),
+                 F.count(F.when(phone != NULL_SENTINEL, 1)).alias("complete")))
+    n = F.col("orderCount")
+    orders = (_orders_per_member(order)
+              .agg(F.count(F.when(n == 1, 1)).alias("order"),
+                   F.count(F.when(n >= 2, 1)).alias("orderAgain")))
+    coupon = coupon_member.agg(F.count_distinct("member_id").alias("coupon"))
+
+    def entry(metric, key, value):
+        return F.struct(metric.alias("metric"), key.alias("key"), value.cast("bigint").alias("value"))
+
+    # grouping_id: 1 = sex pie row, 2 = channel pie row, 3 = totals row.
+    gid = F.col("gid")
+    pie = F.array(entry(F.when(gid == 1, F.lit("sex")).otherwise(F.lit("channel")),
+                        F.when(gid == 1, F.col("sex").cast("string"))
+                         .otherwise(F.col("member_channel").cast("string")),
+                        F.col("n")))
+    names = ("subCount", "unSubCount", "coupon", "reg", "complete", "order", "orderAgain")
+    totals = F.array(*[entry(F.lit(c), F.lit(None).cast("string"), F.col(c)) for c in names])
+    # ``sets`` is referenced once (9 rows), so the member table is read once.
+    return (sets.crossJoin(orders).crossJoin(coupon)
+                .select(F.explode(F.when(gid == 3, totals).otherwise(pie)).alias("m"))
+                .select("m.*"))
 
 
 # --------------------------------------------------------------------- funnel
@@ -186,22 +200,32 @@ def gmv_cumulative(member: DataFrame, order: DataFrame, as_of: str, days: int =
     """The growth line with the running GMV the dashboard plots.
 
     ``totalGmv`` on a day = all order value before the window plus the
-    daily GMV of every growth-line day up to and including it. The
-    running sum is a window over the day-grain result (one row per day).
+    daily GMV of every growth-line day up to and including it. Orders are
+    read once: one aggregate keyed by day inside the window and by NULL for
+    the history before it; a running sum over that day-grain result (NULL
+    row first) gives history + days so far.
     """
     start = days_before(as_of, days)
-    before = (_before(order, "create_time", start)
-              .agg(F.coalesce(F.sum(F.col("origin_price").cast("decimal(18,2)")),
-                              F.lit(0).cast("decimal(28,2)")).alias("before_exact")))
-    daily = (_daily_members(member, start)
-             .join(_daily_orders(order, start), "day", "inner"))
-    running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (daily.crossJoin(before)
-                 .select("day", "regCount", "memberCount", "orderCount",
-                         F.col("gmv_exact").cast("double").alias("gmv"),
-                         (F.col("before_exact") + F.sum("gmv_exact").over(running))
-                         .cast("double").alias("totalGmv"))
-                 .orderBy("day"))
+    ct = F.col("create_time")
+    inside = ct >= typed_literal(order, "create_time", at_midnight(start))
+    per_day = (order.filter(ct.isNotNull())
+               .groupBy(F.when(inside, day_string(ct)).alias("day"))
+               .agg(F.max(F.when(inside, F.col("order_id"))).alias("orderCount"),
+                    F.sum(F.col("origin_price").cast("decimal(18,2)")).alias("gmv_exact")))
+    # Only days that survive the inner join with registrations count, as
+    # in the original loop over the joined rows.
+    reg_days = _daily_members(member, start)
+    days_kept = (per_day.join(reg_days, "day", "left")
+                 .filter(F.col("day").isNull() | F.col("regCount").isNotNull()))
+    running = (Window.orderBy(F.col("day").asc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.coalesce(F.sum("gmv_exact").over(running), F.lit(0))
+    return (days_kept.withColumn("totalGmv", total)
+                     .filter(F.col("day").isNotNull())
+                     .select("day", "regCount", "memberCount", "orderCount",
+                             F.col("gmv_exact").cast("double").alias("gmv"),
+                             F.col("totalGmv").cast("double").alias("totalGmv"))
+                     .orderBy("day"))
 
 
 # --------------------------------------------------------------------- week over week

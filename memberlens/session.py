@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults applied when the session does not set them itself.
 _DEFAULTS = {
@@ -73,3 +73,36 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder.
+
+    Use it between a large build and many consumers (the tag table before
+    a batch of segment queries): consumers then read the checkpointed
+    files instead of recomputing the build, and a lost executor costs a
+    re-read, not a rebuild. Never a machine-local folder: the checkpoint
+    goes to ``spark.checkpoint.dir``.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
+def scale_settings(input_bytes: int, cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Shuffle sizing for a job reading ``input_bytes`` on ``cores`` cores.
+
+    Starts with enough shuffle partitions that each holds about
+    ``target_partition_mb`` (at least three waves of tasks), lets AQE
+    coalesce small ones to the same advisory size and split skewed ones,
+    and caps scan splits at 256 MB so tasks fit executor memory. Apply with
+    ``get_session(extra=scale_settings(...))`` or ``spark.conf.set``.
+    """
+    target = target_partition_mb * 1024 * 1024
+    partitions = max(3 * cores, -(-input_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    }
