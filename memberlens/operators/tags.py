@@ -20,7 +20,7 @@ few rows per map task through the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from memberlens.functions.columns import day_string
@@ -54,33 +54,37 @@ def _goods_per_order(order_commodity: DataFrame) -> DataFrame:
 
 
 def _order_behavior(order: DataFrame, order_commodity: DataFrame, line_grain: bool) -> DataFrame:
+    """Order tags from one scan of orders and one of order lines.
+
+    Orders are joined with their ``(good, n)`` rows, then aggregated in two
+    levels: per ``(member, good)`` (partial aggregation in the map tasks;
+    a heavy member is spread over its goods), then per member over at most
+    one row per good, which also builds the goods list.
+
+    Line grain weighs each row by its line count (an order without lines
+    weighs 1). Order grain weighs the first row of each order by 1 and the
+    others by 0; the window for that is partitioned by ``order_id``, which
+    the join output already is, so it adds a sort but no shuffle, and an
+    order never has more rows than distinct goods.
+    """
     goods = _goods_per_order(order_commodity)
-    # Same projection of the orders on both branches below, so the
-    # exchange of orders on order_id is computed once and reused.
-    orders = order.select("order_id", "member_id", "pay_price", "create_time")
-
+    joined = (order.select("order_id", "member_id", "pay_price", "create_time")
+                   .join(goods, "order_id", "left"))
     if line_grain:
-        lines = goods.groupBy("order_id").agg(F.sum("n").alias("nLines"))
-        weight = F.greatest(F.coalesce(F.col("nLines"), F.lit(0)), F.lit(1))
-        per_order = orders.join(lines, "order_id", "left").withColumn("w", weight)
+        weight = F.coalesce(F.col("n"), F.lit(1))
     else:
-        per_order = orders.withColumn("w", F.lit(1).cast("bigint"))
-    money = F.sum(F.col("pay_price").cast("decimal(18,2)") * F.col("w"))
-    counts = (per_order.groupBy(F.col("member_id").alias("memberId"))
-              .agg(F.sum("w").alias("orderCount"),
-                   day_string(F.max("create_time")).alias("orderTime"),
-                   money.cast("double").alias("orderMoney")))
-
-    # Distinct (member, good) pairs first (hash aggregate), then one list
-    # per member: the list is built from at most one row per good.
-    member_goods = (orders.join(goods, "order_id")
-                    .select("member_id", "commodity_id").distinct()
-                    .groupBy(F.col("member_id").alias("memberId"))
-                    .agg(F.array_sort(F.collect_list("commodity_id")).alias("goods")))
-    return (counts.join(member_goods, "memberId", "left")
-                  .select("memberId", "orderCount", "orderTime", "orderMoney",
-                          F.coalesce(F.col("goods"), F.array().cast("array<bigint>"))
-                           .alias("favGoods")))
+        first = F.row_number().over(Window.partitionBy("order_id").orderBy("commodity_id")) == 1
+        weight = F.when(first, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    per_good = (joined.withColumn("w", weight)
+                .groupBy("member_id", "commodity_id")
+                .agg(F.sum("w").alias("orders"),
+                     F.sum(F.col("pay_price").cast("decimal(18,2)") * F.col("w")).alias("money"),
+                     F.max("create_time").alias("last")))
+    return (per_good.groupBy(F.col("member_id").alias("memberId"))
+            .agg(F.sum("orders").alias("orderCount"),
+                 day_string(F.max("last")).alias("orderTime"),
+                 F.sum("money").cast("double").alias("orderMoney"),
+                 F.array_sort(F.collect_list("commodity_id")).alias("favGoods")))
 
 
 def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
