@@ -340,6 +340,9 @@ def _run_ods_stream(spark, root):
     q = ST.ods_stream(rows, f"{base}/ods", checkpoint=f"{base}/checkpoint",
                       trigger={"availableNow": True})
     q.awaitTermination()
+    c = ST.partition_commit_stream(spark, f"{base}/ods", checkpoint=f"{base}/checkpoint-commit",
+                                   trigger={"availableNow": True})
+    c.awaitTermination()
     return f"{base}/ods"
 
 

@@ -5,11 +5,14 @@ Checkpoints default to a fresh folder under the shared
 ``spark.checkpoint.dir`` (never a machine-local folder on a cluster), so a
 restarted driver resumes from the last committed offsets.
 
-Partition commit (ODS): a partition ``(dt, hr)`` is *complete* once the
-watermark - the largest event time seen so far minus the allowed lateness -
-has passed the partition's time (the start of the hour) plus
-``commit_delay``. Complete partitions get a ``_SUCCESS`` file, a row in the
-commit log ``{path}/_ods_meta/commits`` and, when a catalog table is named,
+ODS table: :func:`ods_stream` appends typed rows with Spark's partitioned
+parquet file sink (exactly-once through the sink's commit log).
+:func:`partition_commit_stream` follows the committed files and marks a
+partition ``(dt, hr)`` *complete* once the watermark - the largest event
+time written so far minus the allowed lateness - has passed the
+partition's time (the start of the hour) plus ``commit_delay``. Complete
+partitions get a ``_SUCCESS`` file, a row in the commit log
+``{path}/_ods_meta/commits`` and, when a catalog table is named,
 ``ALTER TABLE ... ADD IF NOT EXISTS PARTITION``. Late rows are never
 dropped: they are appended even to a partition that is already marked.
 The default delay of 61 minutes marks an hour once it is over; the
@@ -192,49 +195,52 @@ class PartitionCommitter:
         return ready
 
 
-def ods_batch_writer(path: str, commit_delay: str = "61 minutes",
-                     watermark_delay: str = "5 seconds", table: str | None = None,
-                     success_file: bool = True, event_time: str = "event_time"):
-    """The ``foreachBatch`` function of the ODS sink (see module doc).
-
-    Each micro-batch is appended under ``path`` partitioned by ``dt, hr``
-    (two jobs over the cached batch: the data write and the per-partition
-    summary). A batch already recorded in the touched log is not written
-    again when a restarted query replays it.
+def ods_stream(rows: DataFrame, path: str, *, checkpoint: str | None = None,
+               trigger: dict | None = None, name: str = "cdc_ods") -> StreamingQuery:
+    """Append typed change rows (with ``dt``, ``hr``) to the ODS folder.
+
+    Spark's file sink, partitioned by ``dt, hr``: exactly-once through the
+    sink's own commit log, so a restarted query never writes a batch twice
+    and readers only see committed files. Rows are rebalanced on the
+    partition columns first, so each hour gets few files per batch and AQE
+    splits an hour that holds most of a batch. No row is dropped for being
+    late; the watermark only drives :func:`partition_commit_stream`.
+    """
+    data = rows.drop("event_time") if "event_time" in rows.columns else rows
+    data = data.hint("rebalance", *ODS_PARTITIONS)
+    return (_writer(data, name, checkpoint, trigger).format("parquet")
+            .partitionBy(*ODS_PARTITIONS).option("path", path).start())
+
+
+def partition_commit_stream(spark: SparkSession, path: str, *, checkpoint: str | None = None,
+                            trigger: dict | None = None, commit_delay: str = "61 minutes",
+                            watermark_delay: str = "5 seconds", table: str | None = None,
+                            success_file: bool = True, millis_column: str = "timestamp",
+                            name: str = "cdc_ods_commit") -> StreamingQuery:
+    """Commit ODS partitions as the data behind them is committed.
+
+    Reads the ODS folder as a stream (the file source reads only files the
+    sink committed, and only new ones), folds each batch into one row per
+    hour ``(dt, hr, rows, latest event time)`` and commits every hour whose
+    start + ``commit_delay`` is behind the watermark (latest event time -
+    ``watermark_delay``). A replayed batch is recognised in the log and not
+    counted twice; committing is idempotent.
     """
     committer = PartitionCommitter(path, commit_delay, watermark_delay, table, success_file)
+    written = spark.readStream.schema(ODS_SCHEMA).parquet(path)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
         if not committer.seen(spark, batch_id):
-            batch.persist()
-            try:
-                # Rebalance on the partition columns: each hour's rows land in
-                # few tasks (few files per hour), hours are written in
-                # parallel, and AQE splits an hour that holds most of a batch.
-                (batch.drop(event_time).hint("rebalance", *ODS_PARTITIONS)
-                      .write.mode("append").partitionBy(*ODS_PARTITIONS).parquet(path))
-                touched = (batch.groupBy(*ODS_PARTITIONS)
-                                .agg(F.count(F.lit(1)).alias("rows"),
-                                     F.max(event_time).alias("max_event_time"))
-                                .select(F.lit(batch_id).cast("long").alias("batch_id"),
-                                        "dt", "hr", "rows", "max_event_time")
-                                .collect())   # one row per hour in the batch
-            finally:
-                batch.unpersist()
+            event_time = F.timestamp_millis(F.col(millis_column).cast("bigint"))
+            touched = (batch.groupBy(*ODS_PARTITIONS)
+                            .agg(F.count(F.lit(1)).alias("rows"), F.max(event_time).alias("max_event_time"))
+                            .select(F.lit(batch_id).cast("long").alias("batch_id"),
+                                    "dt", "hr", "rows", "max_event_time")
+                            .collect())   # one row per hour in the batch
             committer.record(spark, batch_id, touched)
         committer.commit(spark, batch_id)
-    return write
 
-
-def ods_stream(rows: DataFrame, path: str, *, checkpoint: str | None = None,
-               trigger: dict | None = None, commit_delay: str = "61 minutes",
-               watermark_delay: str = "5 seconds", table: str | None = None,
-               success_file: bool = True, name: str = "cdc_ods") -> StreamingQuery:
-    """Append typed change rows (with ``dt``, ``hr``, ``event_time``) to the ODS folder."""
-    w = _writer(rows, name, checkpoint, trigger)
-    return w.foreachBatch(ods_batch_writer(path, commit_delay, watermark_delay, table,
-                                           success_file)).start()
+    return _writer(written, name, checkpoint, trigger).foreachBatch(on_batch).start()
 
 
 ODS_SCHEMA = ("id long, user_id long, create_time string, operate_time string, province_id int, "

@@ -88,8 +88,11 @@ def _ods_run(spark, src, out, ckpt, delay="61 minutes"):
     raw = CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1)
     rows = CH.ods_partition_columns(CH.cdc_watermark(
         CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info")))
-    q = ST.ods_stream(rows, out, checkpoint=ckpt, trigger={"availableNow": True}, commit_delay=delay)
+    q = ST.ods_stream(rows, out, checkpoint=ckpt, trigger={"availableNow": True})
     q.awaitTermination()
+    c = ST.partition_commit_stream(spark, out, checkpoint=ckpt + "-commit",
+                                   trigger={"availableNow": True}, commit_delay=delay)
+    c.awaitTermination()
 
 
 def test_ods_stream_keeps_late_rows_and_commits(spark, workdir):
