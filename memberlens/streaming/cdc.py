@@ -285,3 +285,26 @@ def current_state_stream(envelope: DataFrame, *, key: str = "id", checkpoint: st
     if sink == "memory":
         return w.format("memory").start()
     return w.foreachBatch(lambda df, _id: df.write.mode("append").parquet(path)).start()
+
+
+# ----------------------------------------------------------------- catalog table and SQL form
+
+def ensure_ods_table(spark: SparkSession, table: str, path: str) -> None:
+    """Create the ODS catalog table over ``path`` if it does not exist (never dropped)."""
+    cols = ", ".join(c.strip() for c in ODS_SCHEMA.split(",") if not c.strip().startswith(("dt ", "hr ")))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, dt string, hr string) "
+              f"USING parquet PARTITIONED BY (dt, hr) LOCATION '{path}'")
+
+
+def ods_rows_sql(spark: SparkSession, view: str) -> DataFrame:
+    """The ODS projection in SQL over a (streaming) temp view of typed rows.
+
+    The same result as :func:`memberlens.operators.changes.ods_partition_columns`,
+    for pipelines that register the stream as a view and select from it.
+    """
+    return spark.sql(f"""
+        SELECT id, user_id, create_time, operate_time, province_id, order_status, total_amount,
+               `timestamp`, op,
+               date_format(try_to_timestamp(create_time, 'yyyy-MM-dd HH:mm:ss'), 'yyyy-MM-dd') AS dt,
+               date_format(try_to_timestamp(create_time, 'yyyy-MM-dd HH:mm:ss'), 'HH') AS hr
+        FROM {view}""")

@@ -187,3 +187,26 @@ def test_fixed_topic_and_console_options(spark, workdir):
     q.awaitTermination()
     back = spark.read.schema("value string, topic string").json(f"{workdir}/t")
     assert [r.topic for r in back.collect()] == ["all_changes"]
+
+
+def test_sql_view_stream_and_catalog_partitions(spark, workdir):
+    src = f"{workdir}/src"
+    _write_batches(src, [[rec("order_info", "c", T0 + 2 * 3600 * 1000, after=order(1, "2024-01-01 00:30:00")),
+                          rec("order_info", "c", T0 + 2 * 3600 * 1000, after=order(2, "2024-01-01 02:00:00"))]])
+    raw = CS.read_change_files(spark, src, stream=True)
+    CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info").createOrReplaceTempView("merged_order_info")
+    rows = ST.ods_rows_sql(spark, "merged_order_info")
+    assert rows.isStreaming
+    out = f"{workdir}/ods"
+    table = "ods_order_info_test"
+    ST.ensure_ods_table(spark, table, out)
+    ST.ensure_ods_table(spark, table, out)          # idempotent, never drops
+    q = ST.ods_stream(rows, out, checkpoint=f"{workdir}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    c = ST.partition_commit_stream(spark, out, checkpoint=f"{workdir}/ck2", table=table,
+                                   trigger={"availableNow": True})
+    c.awaitTermination()
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    assert parts == {"dt=2024-01-01/hr=00"}
+    assert spark.table(table).count() == 2          # the in-memory catalog lists all files
+    spark.sql(f"DROP TABLE {table}")
