@@ -21,6 +21,7 @@ original job used 1 minute (``commit_delay='1 minute'``).
 
 from __future__ import annotations
 
+import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,14 +99,13 @@ def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-TOUCHED_SCHEMA = "batch_id long, dt string, hr string, rows long, max_event_time timestamp"
 COMMIT_SCHEMA = "dt string, hr string, batch_id long, watermark timestamp"
 
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
-def _interval_seconds(spark: SparkSession, text: str) -> float:
+def _interval_seconds(text: str) -> float:
     """Seconds of a delay such as ``'5 seconds'`` or ``'1 hour 1 minute'``."""
     words = text.split()
     if not words or len(words) % 2:
@@ -117,66 +117,38 @@ def _interval_seconds(spark: SparkSession, text: str) -> float:
 
 
 class PartitionCommitter:
-    """Watermark-driven partition commit for one ODS folder.
+    """Marks complete ODS partitions, given the latest event time per hour.
 
-    State is one row per hour of data: the partitions written so far with
-    their latest event time (log ``{path}/_ods_meta/touched``) and the
-    partitions already committed (log ``{path}/_ods_meta/commits``). Both
-    logs are durable; the driver keeps a copy of this small state between
-    micro-batches and reloads it from the logs after a restart.
+    The per-hour state itself lives in Spark (the state store of
+    :func:`partition_commit_stream`); this object only remembers which
+    hours are committed (log ``{path}/_ods_meta/commits``, one row per hour,
+    reloaded after a restart), so committing is idempotent.
     """
 
     def __init__(self, path: str, commit_delay: str = "61 minutes",
                  watermark_delay: str = "5 seconds", table: str | None = None,
                  success_file: bool = True):
         self.path, self.table, self.success_file = path, table, success_file
-        self.commit_delay, self.watermark_delay = commit_delay, watermark_delay
+        self.delay = _dt.timedelta(seconds=_interval_seconds(commit_delay))
+        self.lateness = _dt.timedelta(seconds=_interval_seconds(watermark_delay))
         self.meta = f"{path}/_ods_meta"
-        self._loaded = False
-
-    def _load(self, spark: SparkSession) -> None:
-        touched = _read_log(spark, f"{self.meta}/touched", TOUCHED_SCHEMA)
-        rows = touched.groupBy("dt", "hr").agg(F.max("max_event_time").alias("t"),
-                                               F.max("batch_id").alias("b")).collect()
-        self.partitions = {(r["dt"], r["hr"]): r["t"] for r in rows}
-        self.batches = {r["b"] for r in touched.select(F.col("batch_id").alias("b")).distinct().collect()}
-        self.max_event = max((t for t in self.partitions.values() if t is not None), default=None)
-        commits = _read_log(spark, f"{self.meta}/commits", COMMIT_SCHEMA).collect()
-        self.committed = {(r["dt"], r["hr"]) for r in commits}
-        self.delay_s = _interval_seconds(spark, self.commit_delay)
-        self.lateness_s = _interval_seconds(spark, self.watermark_delay)
-        self._loaded = True
-
-    def seen(self, spark: SparkSession, batch_id: int) -> bool:
-        if not self._loaded:
-            self._load(spark)
-        return batch_id in self.batches
-
-    def record(self, spark: SparkSession, batch_id: int, touched: list) -> None:
-        """Remember the partitions a batch wrote (rows of TOUCHED_SCHEMA)."""
-        if touched:
-            spark.createDataFrame(touched, TOUCHED_SCHEMA).write.mode("append") \
-                 .parquet(f"{self.meta}/touched")
-        self.batches.add(batch_id)
-        for r in touched:
-            key = (r["dt"], r["hr"])
-            t = r["max_event_time"]
-            self.partitions[key] = max(t, self.partitions.get(key) or t)
-            if t is not None and (self.max_event is None or t > self.max_event):
-                self.max_event = t
-
-    def commit(self, spark: SparkSession, batch_id: int) -> list[tuple]:
-        """Commit every complete, not yet committed partition; return them."""
-        import datetime as _dt
-        if self.max_event is None:
+        self.committed: set | None = None
+
+    def commit(self, spark: SparkSession, batch_id: int, hours: list) -> list[tuple]:
+        """``hours``: rows ``(dt, hr, max_event_time)`` for every hour written so far."""
+        if self.committed is None:
+            log = _read_log(spark, f"{self.meta}/commits", COMMIT_SCHEMA).select("dt", "hr").collect()
+            self.committed = {(r["dt"], r["hr"]) for r in log}
+        latest = [h["max_event_time"] for h in hours if h["max_event_time"] is not None]
+        if not latest:
             return []
-        watermark = self.max_event - _dt.timedelta(seconds=self.lateness_s)
+        watermark = max(latest) - self.lateness
         ready = []
-        for (dt, hr) in sorted(k for k in self.partitions if k[0] is not None and k[1] is not None):
-            if (dt, hr) in self.committed:
+        for h in sorted(hours, key=lambda r: (str(r["dt"]), str(r["hr"]))):
+            dt, hr = h["dt"], h["hr"]
+            if dt is None or hr is None or (dt, hr) in self.committed:
                 continue
-            start = _dt.datetime.fromisoformat(f"{dt} {hr}:00:00")
-            if start + _dt.timedelta(seconds=self.delay_s) <= watermark:
+            if _dt.datetime.fromisoformat(f"{dt} {hr}:00:00") + self.delay <= watermark:
                 ready.append((dt, hr, batch_id, watermark))
         if self.success_file and ready:
             # Marker files are metadata calls on the driver; issue them
@@ -195,6 +167,12 @@ class PartitionCommitter:
         return ready
 
 
+def _hour_state(rows: DataFrame, millis_column: str) -> DataFrame:
+    event_time = F.timestamp_millis(F.col(millis_column).cast("bigint"))
+    return (rows.groupBy(*ODS_PARTITIONS)
+                .agg(F.count(F.lit(1)).alias("rows"), F.max(event_time).alias("max_event_time")))
+
+
 def ods_stream(rows: DataFrame, path: str, *, checkpoint: str | None = None,
                trigger: dict | None = None, name: str = "cdc_ods") -> StreamingQuery:
     """Append typed change rows (with ``dt``, ``hr``) to the ODS folder.
@@ -220,27 +198,22 @@ def partition_commit_stream(spark: SparkSession, path: str, *, checkpoint: str |
     """Commit ODS partitions as the data behind them is committed.
 
     Reads the ODS folder as a stream (the file source reads only files the
-    sink committed, and only new ones), folds each batch into one row per
-    hour ``(dt, hr, rows, latest event time)`` and commits every hour whose
-    start + ``commit_delay`` is behind the watermark (latest event time -
-    ``watermark_delay``). A replayed batch is recognised in the log and not
-    counted twice; committing is idempotent.
+    sink committed, and only new ones) and keeps a streaming aggregate of
+    one row per hour ``(dt, hr, rows, latest event time)`` in the state
+    store. Every micro-batch sees all hours (complete mode: the state is
+    one row per hour of data, bounded by the calendar) and commits every
+    hour whose start + ``commit_delay`` is behind the watermark (latest
+    event time - ``watermark_delay``). A restart resumes from the state in
+    the checkpoint; committing is idempotent.
     """
     committer = PartitionCommitter(path, commit_delay, watermark_delay, table, success_file)
-    written = spark.readStream.schema(ODS_SCHEMA).parquet(path)
+    hours = _hour_state(spark.readStream.schema(ODS_SCHEMA).parquet(path), millis_column)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if not committer.seen(spark, batch_id):
-            event_time = F.timestamp_millis(F.col(millis_column).cast("bigint"))
-            touched = (batch.groupBy(*ODS_PARTITIONS)
-                            .agg(F.count(F.lit(1)).alias("rows"), F.max(event_time).alias("max_event_time"))
-                            .select(F.lit(batch_id).cast("long").alias("batch_id"),
-                                    "dt", "hr", "rows", "max_event_time")
-                            .collect())   # one row per hour in the batch
-            committer.record(spark, batch_id, touched)
-        committer.commit(spark, batch_id)
+        committer.commit(spark, batch_id, batch.collect())   # one row per hour
 
-    return _writer(written, name, checkpoint, trigger).foreachBatch(on_batch).start()
+    return (_writer(hours, name, checkpoint, trigger).outputMode("complete")
+            .foreachBatch(on_batch).start())
 
 
 ODS_SCHEMA = ("id long, user_id long, create_time string, operate_time string, province_id int, "
@@ -253,13 +226,13 @@ def read_ods(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ODS_SCHEMA).parquet(path)
 
 
-def commit_ready_partitions(spark: SparkSession, path: str, batch_id: int = -1,
-                            commit_delay: str = "61 minutes", watermark_delay: str = "5 seconds",
-                            table: str | None = None, success_file: bool = True) -> list[tuple]:
-    """Commit pass over an ODS folder outside a running stream (e.g. after a backfill)."""
+def commit_ready_partitions(spark: SparkSession, path: str, commit_delay: str = "61 minutes",
+                            watermark_delay: str = "5 seconds", table: str | None = None,
+                            success_file: bool = True) -> list[tuple]:
+    """One commit pass over an ODS folder outside a stream (e.g. after a backfill)."""
+    hours = _hour_state(read_ods(spark, path), "timestamp").collect()   # one row per hour
     c = PartitionCommitter(path, commit_delay, watermark_delay, table, success_file)
-    c.seen(spark, batch_id)
-    return c.commit(spark, batch_id)
+    return c.commit(spark, -1, hours)
 
 
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
