@@ -8,6 +8,7 @@ fixed values: members/orders as of 2001-08-01, coupons as of 2024-01-31.
 
 from __future__ import annotations
 
+from memberlens.plans import registry as _R
 from memberlens.sources.fixtures import with_views as W
 
 DAY = "strftime({c}, '%Y-%m-%d')"
@@ -224,7 +225,6 @@ ORACLE["user_tag_member"] = _TAG_WITH + _USER_TAG_MEMBER + "select * from user_t
 
 # ----------------------------------------------------------------- segments
 
-from memberlens.plans import registry as _R  # noqa: E402
 
 # Kinds of the tag fields, for writing clause predicates in SQL.
 _NUMERIC = {"memberid", "sex", "channel", "address", "ordercount", "ordermoney", "chargemoney",

@@ -29,13 +29,16 @@ _LOCAL_FALLBACK: dict[str, str] = {}
 
 def get_session(app_name: str = "memberlens", master: str | None = None,
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None, hive: bool = False) -> SparkSession:
     """Return the active session, creating one if needed.
 
     ``master`` is only for tests and local runs; on a cluster leave it unset
-    so the launcher decides.
+    so the launcher decides. ``hive=True`` reads the shop tables from a Hive
+    metastore (its address comes from the cluster's ``hive-site.xml``).
     """
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     for key, value in _DEFAULTS.items():

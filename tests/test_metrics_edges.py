@@ -93,3 +93,13 @@ def test_remind_expiry(spark):
     ], CM_COLS)
     got = {(r.kind, r.daysLeft): r.memberCount for r in M.remind_expiry(cm, "2020-01-15").collect()}
     assert got == {("free", 1): 1, ("paid", 3): 1}
+
+
+def test_member_heat_approx_option(spark):
+    from tests.conftest import SF_SMALL
+    from memberlens.sources import fixtures as FX
+    t = FX.load(spark, SF_SMALL, "t_member", "t_order", "t_coupon_member")
+    exact = M.member_heat(t["t_member"], t["t_order"], t["t_coupon_member"]).first()
+    approx = M.member_heat(t["t_member"], t["t_order"], t["t_coupon_member"], approx=True).first()
+    assert abs(approx.coupon - exact.coupon) <= max(2, 0.05 * exact.coupon)
+    assert approx.reg == exact.reg and approx.orderAgain == exact.orderAgain
