@@ -141,27 +141,60 @@ def _rule_condition(long: DataFrame, rules: DataFrame):
     return (L["field"] == R["field"]) & F.coalesce(cond, F.lit(False))
 
 
+def _compiled_bulk(tags: DataFrame, rules: DataFrame, combine: str) -> DataFrame:
+    """Bulk segments as one generator over the tag table (small rule sets).
+
+    Every segment becomes one Column predicate; each member row emits the
+    ids of the segments it belongs to. No join and no shuffle.
+    """
+    segments: dict[str, list[dict]] = {}
+    # The rule set passed the size check in segment_bulk: a bounded list.
+    for r in rules.select("segment_id", "name", "value", "type").collect():
+        segments.setdefault(r["segment_id"], [])
+        segments[r["segment_id"]].append({"name": r["name"], "value": r["value"] or "",
+                                          "type": r["type"]})
+    hits = [F.when(segment_columns(tags.schema, clauses, combine)[0], F.lit(sid))
+            for sid, clauses in segments.items()]
+    if not hits:
+        return tags.sparkSession.createDataFrame([], f"segment_id string, {KEY} bigint")
+    ids = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    return tags.select(F.explode(ids).alias("segment_id"), F.col(KEY))
+
+
 def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any",
-                 broadcast_max_rules: int = 100_000, salt_buckets: int = 64) -> DataFrame:
+                 compile_max_rules: int = 500, broadcast_max_rules: int = 100_000,
+                 salt_buckets: int = 64) -> DataFrame:
     """``(segment_id, memberId)`` for every segment of ``rules``.
 
     ``rules`` has columns ``segment_id, name, value, type`` (one row per
     clause). Semantics per segment are those of :func:`segment_select`
     without the limit.
+
+    Strategy by the size of the rule set (counted first):
+    up to ``compile_max_rules`` the rules are compiled into predicates and
+    evaluated in one pass without any shuffle; up to
+    ``broadcast_max_rules`` the tag table's long form is joined with the
+    broadcast rules; above that the join is salted by member.
     """
     if combine not in ("any", "all"):
         raise ValueError("combine must be 'any' or 'all'")
     norm = _normalise_rules(rules)
+    fields = [c.lower() for c in tags.columns]
     # Size check and validation in one small action over the rules.
     stats = norm.agg(F.count(F.lit(1)).alias("n"),
                      F.count(F.when(~F.col("type").isin(*CLAUSE_TYPES), 1)).alias("bad_type"),
+                     F.count(F.when(~F.col("field").isin(*fields), 1)).alias("bad_field"),
                      F.count(F.when((F.col("type") == "rangeBoth")
                                     & (F.col("lo").isNull() | F.col("hi").isNull()), 1))
                       .alias("bad_range")).first()
     if stats["bad_type"]:
         raise ValueError(f"{stats['bad_type']} rule(s) with an unknown type; expected {CLAUSE_TYPES}")
+    if stats["bad_field"]:
+        raise ValueError(f"{stats['bad_field']} rule(s) name a field the tag table does not have")
     if stats["bad_range"]:
         raise ValueError(f"{stats['bad_range']} rangeBoth rule(s) not of the form 'lo-hi'")
+    if stats["n"] <= compile_max_rules:
+        return _compiled_bulk(tags, rules, combine)
 
     long = tag_long_form(tags)
     if stats["n"] <= broadcast_max_rules:

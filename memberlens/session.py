@@ -65,6 +65,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared "
+                           "folder (e.g. on the distributed file system); a driver-local folder "
+                           "would not survive a lost executor or a restarted driver")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="memberlens-ckpt-")

@@ -115,8 +115,9 @@ def test_bulk_equals_select_per_segment(spark, tags):
     }
     rules = spark.createDataFrame([(s, n, v, t) for s, cl in segs.items() for n, v, t in cl],
                                   "segment_id string, name string, value string, type string")
-    for salted in (False, True):
-        got = SG.segment_bulk(tags, rules, broadcast_max_rules=0 if salted else 1000, salt_buckets=3)
+    for mode in ("compiled", "broadcast", "salted"):
+        got = SG.segment_bulk(tags, rules, compile_max_rules=1000 if mode == "compiled" else 0,
+                              broadcast_max_rules=0 if mode == "salted" else 1000, salt_buckets=3)
         by_seg = {}
         for r in got.collect():
             by_seg.setdefault(r.segment_id, []).append(r.memberId)
@@ -124,7 +125,7 @@ def test_bulk_equals_select_per_segment(spark, tags):
             if not cl:
                 continue
             expect = sel(tags, [{"name": n, "value": v, "type": t} for n, v, t in cl], limit=None)
-            assert sorted(by_seg.get(s, [])) == expect, (s, salted)
+            assert sorted(by_seg.get(s, [])) == expect, (s, mode)
 
 
 def test_tag_counts_equal_single_tag_segments(spark, tags):
