@@ -335,11 +335,12 @@ def _run_ods_stream(spark, root):
     raw = CS.read_change_files(spark, f"{base}/raw", stream=True, max_files_per_trigger=1)
     rows = CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info")
     rows = CH.ods_partition_columns(CH.cdc_watermark(rows))
+    run = base.rsplit("-", 1)[-1]          # unique per run: runs may overlap
     q = ST.ods_stream(rows, f"{base}/ods", checkpoint=f"{base}/checkpoint",
-                      trigger={"availableNow": True})
+                      trigger={"availableNow": True}, name=f"cdc_ods_{run}")
     q.awaitTermination()
     c = ST.partition_commit_stream(spark, f"{base}/ods", checkpoint=f"{base}/checkpoint-commit",
-                                   trigger={"availableNow": True})
+                                   trigger={"availableNow": True}, name=f"cdc_ods_commit_{run}")
     c.awaitTermination()
     return f"{base}/ods"
 
