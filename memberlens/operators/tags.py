@@ -127,8 +127,11 @@ def tag_coupon_times(coupon_member: DataFrame) -> DataFrame:
     per_day = (coupon_member.filter(F.col("coupon_id") != FREE_COUPON_ID)
                .groupBy("member_id", day_string("create_time").alias("day"))
                .agg(F.count(F.lit(1)).alias("n")))
+    # A claim without a time has no day: it keeps the member in the result
+    # but adds no entry (the list skips NULLs).
     return (per_day.groupBy(F.col("member_id").alias("memberId"))
-            .agg(F.collect_list(F.struct("day", "n")).alias("entries"))
+            .agg(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "n")))
+                 .alias("entries"))
             .select("memberId", _expand_days("entries").alias("couponTimes")))
 
 
@@ -178,7 +181,8 @@ def _coupon_profile(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
                           "coupon_id", "left")
     return (priced.groupBy(F.col("member_id").alias("memberId"))
             .agg(F.max(F.when(free, F.col("day"))).alias("freeCouponTime"),
-                 F.collect_list(F.when(~free, F.struct("day", "n"))).alias("paid"),
+                 F.collect_list(F.when(~free & F.col("day").isNotNull(), F.struct("day", "n")))
+                  .alias("paid"),
                  F.count(F.when(~free, 1)).alias("nPaid"),
                  F.count(F.when(F.col("charged"), 1)).alias("nCharged"),
                  F.sum(F.when(F.col("charged"),

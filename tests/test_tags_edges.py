@@ -118,3 +118,17 @@ def test_skewed_member_is_exact(spark):
     assert len(rows[8].couponTimes) == 3
     fanned = [r for r in TG.user_tag(t).collect() if r.memberId == hot]
     assert len(fanned) == sum(1 for c in claims if c[1] == hot and c[2] == 1)
+
+
+def test_claim_without_time(spark):
+    t = shop(spark, claims=[(1, 7, 4, 2, None), (2, 7, 4, 2, D("2020-01-03 10:00:00")),
+                            (3, 7, 1, 2, None)],
+             coupons=[(4, 10.0)])
+    r = TG.tag_coupon_times(t["t_coupon_member"]).first()
+    assert r.couponTimes == ["2020-01-03"]
+    one = TG.user_tag_member(t).first()
+    assert one.couponTimes == ["2020-01-03"] and one.freeCouponTime is None
+    wide = TG.user_tag(t).collect()
+    assert len(wide) == 1 and wide[0].freeCouponTime is None   # the free claim row, no day
+    only_null = shop(spark, claims=[(1, 7, 4, 2, None)], coupons=[(4, 10.0)])
+    assert TG.tag_coupon_times(only_null["t_coupon_member"]).first().couponTimes == []
