@@ -138,16 +138,20 @@ def tag_coupon_times(coupon_member: DataFrame) -> DataFrame:
 def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
     """``memberId, chargeMoney``: half the price of coupons not from channel 1.
 
-    The coupon table is a dimension; the optimizer broadcasts it when its
-    size statistics are under the broadcast threshold and otherwise uses a
-    shuffle join (AQE splits a skewed coupon id on the streamed side).
+    Claims are first reduced to ``(member, coupon, n)`` in the map tasks,
+    so the join with the coupon dimension sees one row per member and
+    coupon, and a coupon bought by everyone is already collapsed. The
+    optimizer broadcasts the dimension when its size statistics are under
+    the broadcast threshold and otherwise uses a shuffle join (AQE splits a
+    skewed coupon id on the streamed side).
     """
-    cm = coupon_member.filter(F.col("coupon_channel") != CHARGE_FREE_CHANNEL)
+    cm = (coupon_member.filter(F.col("coupon_channel") != CHARGE_FREE_CHANNEL)
+          .groupBy("member_id", "coupon_id").agg(F.count(F.lit(1)).alias("n")))
     priced = cm.join(coupon.select(F.col("id").alias("coupon_id"), "coupon_price"),
                      "coupon_id", "left")
+    total = F.sum(F.col("coupon_price").cast("decimal(18,2)") * F.col("n"))
     return (priced.groupBy(F.col("member_id").alias("memberId"))
-            .agg((F.sum(F.col("coupon_price").cast("decimal(18,2)")).cast("double") / 2)
-                 .alias("chargeMoney")))
+            .agg((total.cast("double") / 2).alias("chargeMoney")))
 
 
 def tag_over_time(delivery: DataFrame) -> DataFrame:
