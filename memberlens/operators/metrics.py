@@ -86,8 +86,9 @@ def member_heat(member: DataFrame, order: DataFrame, coupon_member: DataFrame,
                    .agg(F.count(F.when(n == 1, 1)).alias("order"),
                         F.count(F.when(n >= 2, 1)).alias("orderAgain")))
     coupon = _distinct_members(coupon_member, approx)
-    # Each side is a global aggregate with exactly one row.
-    return (coupon.crossJoin(reg_complete).crossJoin(order_again)
+    # Each side is a global aggregate with exactly one row: a proven size
+    # bound, so the broadcast is explicit and does not depend on estimates.
+    return (coupon.crossJoin(F.broadcast(reg_complete)).crossJoin(F.broadcast(order_again))
                   .select("coupon", "reg", "complete", "order", "orderAgain"))
 
 
@@ -126,7 +127,8 @@ def member_overview(member: DataFrame, order: DataFrame, coupon_member: DataFram
     names = ("subCount", "unSubCount", "coupon", "reg", "complete", "order", "orderAgain")
     totals = F.array(*[entry(F.lit(c), F.lit(None).cast("string"), F.col(c)) for c in names])
     # ``sets`` is referenced once (9 rows), so the member table is read once.
-    return (sets.crossJoin(orders).crossJoin(coupon)
+    # orders and coupon are global aggregates (exactly one row each).
+    return (sets.crossJoin(F.broadcast(orders)).crossJoin(F.broadcast(coupon))
                 .select(F.explode(F.when(gid == 3, totals).otherwise(pie)).alias("m"))
                 .select("m.*"))
 

@@ -58,3 +58,13 @@ def test_bulk_segments_compiled_without_shuffle(spark):
     p = plan(E.queries()["segment_bulk"](spark, SF_SMALL))
     top = p.split("Generate")[0]          # everything above the segment generator
     assert "Exchange" not in top and "Join" not in top
+
+
+def test_one_row_crosses_are_broadcast_even_without_estimates(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("member_heat", "member_overview"):
+            p = plan(E.queries()[name](spark, SF_SMALL))
+            assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" in p, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
