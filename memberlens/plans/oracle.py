@@ -406,3 +406,7 @@ ORACLE["cdc_partition_commit"] = _CHANGES + """
             from env join ch using (seq) where env."table" = 'order_info')
 , wm as (select max(ts_ms) - 5000 as wm_ms from env where "table" = 'order_info')
 select dt, hr from hours, wm where start_ms + 61 * 60 * 1000 <= wm_ms"""
+
+# Stream forms read back from their sinks: same results as the batch forms.
+ORACLE["cdc_route_topics_stream"] = ORACLE["cdc_route_topics"]
+ORACLE["cdc_current_state_stream"] = ORACLE["cdc_current_state"]

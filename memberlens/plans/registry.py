@@ -324,14 +324,23 @@ def q_cdc_dedup(spark, root):
         "operation", "table", "timestamp", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
 
 
-def _run_ods_stream(spark, root):
-    """Stage the change records as JSON files, stream them through the ODS sink."""
-    base = scratch_dir(spark, "ods-run")
+def _stage_changes(spark, root, name):
+    """Write the change records derived from ``events`` as JSON-lines files.
+
+    Four files in event-time order: the file source feeds one per
+    micro-batch, as a change log arrives over time.
+    """
+    base = scratch_dir(spark, name)
     events = read_parquet_table(spark, root, "events")
-    # Four files in event-time order: the file source feeds one per micro-batch.
     (CS.change_records_from_events(events)
        .repartitionByRange(4, "ts_ms").sortWithinPartitions("ts_ms")
        .select("value").write.text(f"{base}/raw"))
+    return base
+
+
+def _run_ods_stream(spark, root):
+    """Stage the change records as JSON files, stream them through the ODS sink."""
+    base = _stage_changes(spark, root, "ods-run")
     raw = CS.read_change_files(spark, f"{base}/raw", stream=True, max_files_per_trigger=1)
     rows = CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info")
     rows = CH.ods_partition_columns(CH.cdc_watermark(rows))
@@ -353,3 +362,31 @@ def q_cdc_ods_partitioned(spark, root):
 @register("cdc_partition_commit")
 def q_cdc_partition_commit(spark, root):
     return ST.read_commits(spark, _run_ods_stream(spark, root)).select("dt", "hr")
+
+
+@register("cdc_route_topics_stream")
+def q_cdc_route_topics_stream(spark, root):
+    """P34 through the streaming topic sink (partitioned JSON files), read back."""
+    base = _stage_changes(spark, root, "topics-run")
+    run = base.rsplit("-", 1)[-1]
+    env = CH.cdc_envelope(CS.read_change_files(spark, f"{base}/raw", stream=True,
+                                               max_files_per_trigger=1))
+    q = ST.route_topics_stream(env, path=f"{base}/topics", checkpoint=f"{base}/checkpoint",
+                               trigger={"availableNow": True}, name=f"cdc_topics_{run}")
+    q.awaitTermination()
+    return spark.read.schema("value string, topic string").json(f"{base}/topics").select("topic", "value")
+
+
+@register("cdc_current_state_stream")
+def q_cdc_current_state_stream(spark, root):
+    """P39 as a stateful stream (update-mode log), resolved to current rows."""
+    base = _stage_changes(spark, root, "state-run")
+    run = base.rsplit("-", 1)[-1]
+    env = CH.cdc_envelope(CS.read_change_files(spark, f"{base}/raw", stream=True,
+                                               max_files_per_trigger=1))
+    q = ST.current_state_stream(env, path=f"{base}/state", checkpoint=f"{base}/checkpoint",
+                                trigger={"availableNow": True}, name=f"cdc_state_{run}")
+    q.awaitTermination()
+    return (ST.read_current_state(spark, f"{base}/state")
+              .select("table", "id", "operation", "timestamp",
+                      F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json")))

@@ -241,23 +241,45 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame:
 
 # ----------------------------------------------------------------- state and dedup streams
 
-def current_state_stream(envelope: DataFrame, *, key: str = "id", checkpoint: str | None = None,
-                         trigger: dict | None = None, sink: str = "memory",
-                         name: str = "cdc_current_state", path: str | None = None) -> StreamingQuery:
-    """Keep the newest change per ``(table, key)`` as a streaming aggregate (update mode).
-
-    The state store holds one row per key; deletes are kept in the state
-    (a later re-insert must win over them) and filtered by readers.
+def current_state_stream(envelope: DataFrame, *, path: str | None = None, key: str = "id",
+                         tiebreak: str | None = None, checkpoint: str | None = None,
+                         trigger: dict | None = None, sink: str = "parquet",
+                         name: str = "cdc_current_state") -> StreamingQuery:
+    """Newest change per ``(table, key)`` as a streaming aggregate.
+
+    The state store holds one row per key (use the RocksDB state store
+    provider for large key spaces). Each micro-batch appends the keys it
+    changed, with their newest change, to the parquet log at ``path``
+    (update mode); :func:`read_current_state` resolves the log to the
+    current rows. Deletes stay in the state (a later re-insert must win
+    over them) and are dropped by the reader. A replayed batch appends
+    identical rows, which the reader collapses. ``sink='memory'`` (complete
+    mode, collected on the driver) is for small tests only.
     """
+    order = [F.col("timestamp").cast("bigint")] + ([F.col(tiebreak)] if tiebreak else [])
     latest = (envelope.withColumn("k", F.try_element_at(F.col("data"), F.lit(key)))
               .groupBy("table", "k")
-              .agg(F.max_by(F.struct("operation", "timestamp", "data"),
-                            F.col("timestamp").cast("bigint")).alias("s"))
+              .agg(F.max_by(F.struct("operation", "timestamp", "data"), F.struct(*order)).alias("s"))
               .select("table", F.col("k").alias(key), "s.operation", "s.timestamp", "s.data"))
-    w = _writer(latest, name, checkpoint, trigger).outputMode("update" if sink != "memory" else "complete")
     if sink == "memory":
-        return w.format("memory").start()
-    return w.foreachBatch(lambda df, _id: df.write.mode("append").parquet(path)).start()
+        return _writer(latest, name, checkpoint, trigger).outputMode("complete").format("memory").start()
+    if not path:
+        raise ValueError("give path (or sink='memory' for a small test)")
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+
+    return _writer(latest, name, checkpoint, trigger).outputMode("update").foreachBatch(append).start()
+
+
+def read_current_state(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
+    """Current rows from the log of :func:`current_state_stream` (deletes removed)."""
+    log = spark.read.parquet(path)
+    newest = (log.groupBy("table", key)
+              .agg(F.max_by(F.struct("operation", "timestamp", "data"),
+                            F.struct(F.col("timestamp").cast("bigint"), F.col("batch_id"))).alias("s")))
+    return (newest.filter(F.col("s.operation") != "delete")
+                  .select("table", key, "s.operation", "s.timestamp", "s.data"))
 
 
 # ----------------------------------------------------------------- catalog table and SQL form

@@ -158,12 +158,28 @@ def test_stream_dedup_and_current_state(spark, workdir):
     q.awaitTermination()
     assert spark.table("dedup_out").count() == 2
     q2 = ST.current_state_stream(env, checkpoint=f"{workdir}/ck2", trigger={"availableNow": True},
-                                 name="state_out")
+                                 name="state_out", sink="memory")
     q2.awaitTermination()
     rows = spark.table("state_out").collect()
     assert [(r.id, r.operation) for r in rows] == [("1", "update")]
 
 
+def test_current_state_log_with_delete_and_reinsert(spark, workdir):
+    src = f"{workdir}/src"
+    _write_batches(src, [
+        [rec("order_info", "c", T0, after=order(1, "t")), rec("order_info", "c", T0, after=order(2, "t"))],
+        [rec("order_info", "d", T0 + 5, before=order(1, "t")), rec("order_info", "u", T0 + 6, after=order(2, "t", 5))],
+        [rec("order_info", "c", T0 + 9, after=order(1, "t", 7))],
+    ])
+    env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1))
+    q = ST.current_state_stream(env, path=f"{workdir}/state", checkpoint=f"{workdir}/ck",
+                                trigger={"availableNow": True})
+    q.awaitTermination()
+    got = {r.id: (r.operation, r.data["order_status"])
+           for r in ST.read_current_state(spark, f"{workdir}/state").collect()}
+    assert got == {"1": ("create", "7"), "2": ("update", "5")}
+
+
 def test_stream_equals_batch_operator(spark, workdir):
     from memberlens.sources.tables import read_parquet_table
     from tests.conftest import SF_SMALL
