@@ -410,3 +410,4 @@ select dt, hr from hours, wm where start_ms + 61 * 60 * 1000 <= wm_ms"""
 # Stream forms read back from their sinks: same results as the batch forms.
 ORACLE["cdc_route_topics_stream"] = ORACLE["cdc_route_topics"]
 ORACLE["cdc_current_state_stream"] = ORACLE["cdc_current_state"]
+ORACLE["cdc_dedup_stream"] = ORACLE["cdc_dedup"]

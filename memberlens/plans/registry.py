@@ -324,17 +324,21 @@ def q_cdc_dedup(spark, root):
         "operation", "table", "timestamp", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
 
 
-def _stage_changes(spark, root, name):
+def _stage_changes(spark, root, name, redeliver=False):
     """Write the change records derived from ``events`` as JSON-lines files.
 
     Four files in event-time order: the file source feeds one per
-    micro-batch, as a change log arrives over time.
+    micro-batch, as a change log arrives over time. ``redeliver`` writes
+    every record twice, next to each other (an at-least-once producer
+    retrying).
     """
     base = scratch_dir(spark, name)
     events = read_parquet_table(spark, root, "events")
-    (CS.change_records_from_events(events)
-       .repartitionByRange(4, "ts_ms").sortWithinPartitions("ts_ms")
-       .select("value").write.text(f"{base}/raw"))
+    records = CS.change_records_from_events(events)
+    if redeliver:
+        records = records.unionByName(records)
+    (records.repartitionByRange(4, "ts_ms").sortWithinPartitions("ts_ms")
+            .select("value").write.text(f"{base}/raw"))
     return base
 
 
@@ -390,3 +394,26 @@ def q_cdc_current_state_stream(spark, root):
     return (ST.read_current_state(spark, f"{base}/state")
               .select("table", "id", "operation", "timestamp",
                       F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json")))
+
+
+@register("cdc_dedup_stream")
+def q_cdc_dedup_stream(spark, root):
+    """P40 on a stream: every record delivered twice, de-duplicated within the watermark.
+
+    The staged files are read as one micro-batch: the file source orders
+    files by modification time, which concurrent writers do not keep in
+    event-time order, and a watermark that jumps ahead would (correctly)
+    drop the older rows as late. Redelivery across batches is covered by
+    the stream tests.
+    """
+    base = _stage_changes(spark, root, "dedup-run", redeliver=True)
+    run = base.rsplit("-", 1)[-1]
+    env = CH.cdc_envelope(CS.read_change_files(spark, f"{base}/raw", stream=True))
+    out = CH.cdc_dedup(env, key="id", delay="5 seconds").select(
+        "operation", "table", "timestamp", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
+    q = (out.writeStream.queryName(f"cdc_dedup_{run}").format("parquet")
+            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema("operation string, table string, timestamp string, data_json string") \
+                .parquet(f"{base}/out")
