@@ -133,6 +133,36 @@ def member_overview(member: DataFrame, order: DataFrame, coupon_member: DataFram
                 .select("m.*"))
 
 
+def member_overview_document(member: DataFrame, order: DataFrame, coupon_member: DataFrame,
+                             approx: bool = False) -> DataFrame:
+    """The member dashboard as one JSON document (``document``), as the job printed it.
+
+    ``{"memberSexes": [{"memberSex", "sexCount"}...], "memberChannels":
+    [{"memberChannel", "channelCount"}...], "memberMpSubs": [{"subCount",
+    "unSubCount"}], "memberHeat": {"reg", "complete", "order", "orderAgain",
+    "coupon"}}``; lists sorted by code. Folded from the long form (one row
+    per code and total), so the document is built from a handful of rows.
+    """
+    long = member_overview(member, order, coupon_member, approx)
+    m, k, v = F.col("metric"), F.col("key"), F.col("value")
+
+    def total(name):
+        return F.max(F.when(m == name, v))
+
+    doc = long.agg(
+        F.array_sort(F.collect_list(F.when(m == "sex", F.struct(k.cast("int").alias("memberSex"),
+                                                               v.alias("sexCount"))))).alias("memberSexes"),
+        F.array_sort(F.collect_list(F.when(m == "channel", F.struct(k.cast("int").alias("memberChannel"),
+                                                                   v.alias("channelCount")))))
+         .alias("memberChannels"),
+        F.array(F.struct(total("subCount").alias("subCount"),
+                         total("unSubCount").alias("unSubCount"))).alias("memberMpSubs"),
+        F.struct(*[total(c).alias(c) for c in ("reg", "complete", "order", "orderAgain", "coupon")])
+         .alias("memberHeat"))
+    return doc.select(F.to_json(F.struct("memberSexes", "memberChannels", "memberMpSubs",
+                                         "memberHeat")).alias("document"))
+
+
 # --------------------------------------------------------------------- funnel
 
 def conversion_funnel(order: DataFrame, coupon_member: DataFrame, present: int = 1000,

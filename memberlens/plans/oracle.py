@@ -63,6 +63,20 @@ union all select 'complete', null, complete from heat
 union all select 'order', null, "order" from heat
 union all select 'orderAgain', null, orderAgain from heat"""
 
+ORACLE["member_overview_document"] = W("t_member", "t_order", "t_coupon_member") + f"""
+, heat as ({_HEAT})
+, sx as (select sex, count(id) as n from t_member group by sex)
+, ch as (select member_channel as c, count(id) as n from t_member group by member_channel)
+, sub as (select count(case when mp_open_id <> 'null' then 1 end) as subCount,
+                 count(case when mp_open_id = 'null' then 1 end) as unSubCount from t_member)
+select to_json({{
+  'memberSexes': (select list({{'memberSex': sex, 'sexCount': n}} order by sex) from sx),
+  'memberChannels': (select list({{'memberChannel': c, 'channelCount': n}} order by c) from ch),
+  'memberMpSubs': (select [{{'subCount': subCount, 'unSubCount': unSubCount}}] from sub),
+  'memberHeat': (select {{'reg': reg, 'complete': complete, 'order': "order",
+                         'orderAgain': orderAgain, 'coupon': coupon}} from heat)
+}})::varchar as document"""
+
 ORACLE["conversion_funnel"] = W("t_order", "t_coupon_member") + """
 , paid as (select member_id, count(*) as n from t_order where order_status = 2 group by member_id)
 , charged as (select distinct member_id from t_coupon_member where coupon_channel = 1)

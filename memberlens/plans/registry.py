@@ -72,6 +72,12 @@ def q_member_overview(spark, root):
                              _v(spark, root, "t_coupon_member"))
 
 
+@register("member_overview_document")
+def q_member_overview_document(spark, root):
+    return M.member_overview_document(_v(spark, root, "t_member"), _v(spark, root, "t_order"),
+                                      _v(spark, root, "t_coupon_member"))
+
+
 @register("conversion_funnel")
 def q_conversion_funnel(spark, root):
     return M.conversion_funnel(_v(spark, root, "t_order"), _v(spark, root, "t_coupon_member"))
