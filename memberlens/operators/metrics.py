@@ -240,35 +240,53 @@ def gmv_before(order: DataFrame, as_of: str, days: int = 7) -> DataFrame:
 
 
 def gmv_cumulative(member: DataFrame, order: DataFrame, as_of: str, days: int = 7) -> DataFrame:
-    """The growth line with the running GMV the dashboard plots.
+    """The growth line with the running totals the dashboard plots.
 
-    ``totalGmv`` on a day = all order value before the window plus the
-    daily GMV of every growth-line day up to and including it. Orders are
-    read once: one aggregate keyed by day inside the window and by NULL for
-    the history before it; a running sum over that day-grain result (NULL
-    row first) gives history + days so far.
+    ``(day, regCount, memberCount, orderCount, gmv, totalGmv, totalMembers,
+    totalOrders)``:
+
+    * ``totalGmv``: all order value before the window plus the daily GMV of
+      every growth-line day up to and including this one (the original
+      loop summed over the joined days);
+    * ``totalMembers`` / ``totalOrders``: true running counts of all members
+      registered / orders placed up to the end of the day, over the whole
+      history (what the max-id columns stand in for).
+
+    Each table is read once: one aggregate keyed by day inside the window
+    and by NULL for the history before it; running sums over those
+    day-grain results (NULL row first) give history + days so far.
     """
     start = days_before(as_of, days)
-    ct = F.col("create_time")
-    inside = ct >= typed_literal(order, "create_time", at_midnight(start))
-    per_day = (order.filter(ct.isNotNull())
-               .groupBy(F.when(inside, day_string(ct)).alias("day"))
-               .agg(F.max(F.when(inside, F.col("order_id"))).alias("orderCount"),
-                    F.sum(F.col("origin_price").cast("decimal(18,2)")).alias("gmv_exact")))
-    # Only days that survive the inner join with registrations count, as
-    # in the original loop over the joined rows.
-    reg_days = _daily_members(member, start)
-    days_kept = (per_day.join(reg_days, "day", "left")
-                 .filter(F.col("day").isNull() | F.col("regCount").isNotNull()))
+
+    def per_day(df: DataFrame, id_col: str, extra: list) -> DataFrame:
+        ct = F.col("create_time")
+        inside = ct >= typed_literal(df, "create_time", at_midnight(start))
+        return (df.filter(ct.isNotNull())
+                  .groupBy(F.when(inside, day_string(ct)).alias("day"))
+                  .agg(F.max(F.when(inside, F.col(id_col))).alias("maxId"),
+                       F.count(id_col).alias("n"), *extra))
+
     running = (Window.orderBy(F.col("day").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.coalesce(F.sum("gmv_exact").over(running), F.lit(0))
-    return (days_kept.withColumn("totalGmv", total)
-                     .filter(F.col("day").isNotNull())
-                     .select("day", "regCount", "memberCount", "orderCount",
-                             F.col("gmv_exact").cast("double").alias("gmv"),
-                             F.col("totalGmv").cast("double").alias("totalGmv"))
-                     .orderBy("day"))
+    orders = (per_day(order, "order_id",
+                      [F.sum(F.col("origin_price").cast("decimal(18,2)")).alias("gmv_exact")])
+              .withColumn("totalOrders", F.sum("n").over(running)))
+    members = (per_day(member, "id", [])
+               .withColumn("totalMembers", F.sum("n").over(running))
+               .filter(F.col("day").isNotNull())
+               .select("day", F.col("n").alias("regCount"), F.col("maxId").alias("memberCount"),
+                       "totalMembers"))
+    # Only days that survive the inner join with registrations add to
+    # totalGmv, as in the original loop over the joined rows.
+    kept = (orders.join(members, "day", "left")
+                  .filter(F.col("day").isNull() | F.col("regCount").isNotNull())
+                  .withColumn("totalGmv", F.coalesce(F.sum("gmv_exact").over(running), F.lit(0))))
+    return (kept.filter(F.col("day").isNotNull())
+                .select("day", "regCount", "memberCount", F.col("maxId").alias("orderCount"),
+                        F.col("gmv_exact").cast("double").alias("gmv"),
+                        F.col("totalGmv").cast("double").alias("totalGmv"),
+                        "totalMembers", "totalOrders")
+                .orderBy("day"))
 
 
 # --------------------------------------------------------------------- week over week

@@ -100,12 +100,18 @@ ORACLE["gmv_before"] = W("t_order") + f"""
 select coalesce({money('origin_price')}, 0.0) as totalGmv
 from t_order where create_time < timestamp '2001-07-25 00:00:00'"""
 
-ORACLE["gmv_cumulative"] = W("t_member", "t_order") + _GROWTH_DAILY + """
+ORACLE["gmv_cumulative"] = W("t_member", "t_order") + _GROWTH_DAILY + f"""
 , b as (select coalesce(sum(cast(origin_price as decimal(18,2))), 0) as before_exact
         from t_order where create_time < timestamp '2001-07-25 00:00:00')
+, md as (select {day('create_time')} as day, count(id) as n from t_member
+         where create_time is not null group by 1)
+, od as (select {day('create_time')} as day, count(order_id) as n from t_order
+         where create_time is not null group by 1)
 select m.day, regCount, memberCount, orderCount, cast(gmv_exact as double) as gmv,
        cast(b.before_exact + sum(gmv_exact) over (order by m.day rows between unbounded preceding
-            and current row) as double) as totalGmv
+            and current row) as double) as totalGmv,
+       cast((select sum(n) from md where md.day <= m.day) as bigint) as totalMembers,
+       cast((select sum(n) from od where od.day <= m.day) as bigint) as totalOrders
 from m join o on m.day = o.day cross join b order by m.day"""
 
 ORACLE["wow_reg"] = W("t_member") + f"""

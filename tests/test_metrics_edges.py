@@ -71,6 +71,7 @@ def test_gmv_cumulative_running_total(spark):
                                (3, 1, 2, 0.2, 0.0, ts("2020-01-06"))], ORDER_COLS)
     rows = M.gmv_cumulative(m, o, "2020-01-08").collect()
     assert [(r.day, r.totalGmv) for r in rows] == [("2020-01-05", 100.1), ("2020-01-06", 100.3)]
+    assert [(r.totalMembers, r.totalOrders) for r in rows] == [(1, 2), (2, 3)]
 
 
 def test_wow_window_edges(spark):
