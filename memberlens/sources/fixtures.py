@@ -123,6 +123,10 @@ _BUILDERS = {
 }
 
 
+SHOP_TABLE_NAMES = ("t_member", "t_order", "t_order_commodity", "t_coupon", "t_coupon_member",
+                    "t_delivery", "t_feedback")
+
+
 def load(spark: SparkSession, root: str, *names: str) -> dict[str, DataFrame]:
     """The named fixture views (all of them when no name is given)."""
     wanted = names or tuple(_BUILDERS)
