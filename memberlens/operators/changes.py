@@ -96,9 +96,11 @@ def cdc_watermark(rows: DataFrame, delay: str = "5 seconds",
                   millis_column: str = "timestamp") -> DataFrame:
     """Add ``event_time`` (from the envelope milliseconds) with a bounded-lateness watermark.
 
-    On a stream the watermark trails the largest event time by ``delay``;
-    rows are never dropped by it here (no stateful operator follows), it
-    only drives partition commits. On a batch it is a no-op.
+    On a stream the watermark trails the largest event time by ``delay``
+    and is reported in the query progress; with no stateful operator after
+    it, no row is dropped. The ODS partition commit applies the same
+    lateness to the event times of the committed rows. On a batch it is a
+    no-op.
     """
     event_time = F.timestamp_millis(F.col(millis_column).cast("bigint"))
     return rows.withColumn("event_time", event_time).withWatermark("event_time", delay)
@@ -136,6 +138,9 @@ def cdc_dedup(envelope: DataFrame, key: str = "id", delay: str | None = None) ->
 
     On a stream, give ``delay``: duplicates are recognised while their
     event time is within the watermark, and the state is purged after it.
+    As in every stateful stream operator, a row older than the watermark
+    (later than ``delay``) is dropped, so ``delay`` must cover the source's
+    disorder.
     """
     cols = ["table", "_key", "timestamp", "operation"]
     keyed = envelope.withColumn("_key", F.try_element_at(F.col("data"), F.lit(key)))
