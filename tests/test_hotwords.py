@@ -14,3 +14,32 @@ def test_java_split_semantics(spark):
 def test_ties_broken_by_word(spark):
     lines = spark.createDataFrame([("t\tu\tb",), ("t\tu\ta",)], "value string")
     assert [r.word for r in HW.hot_words(lines, k=1).collect()] == ["a"]
+
+
+def _java_split_tab(s):
+    """Java String.split("\\t"): trailing empty strings removed; "" -> [""]."""
+    if s == "":
+        return [""]
+    parts = s.split("\t")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_word_counts_match_java_split_model(spark):
+    from collections import Counter
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.text(alphabet="ab\t", max_size=7), min_size=1, max_size=30))
+    def check(lines):
+        df = spark.createDataFrame([(x,) for x in lines], "value string")
+        model = Counter((p[2] if len(p) > 2 else "null") for p in map(_java_split_tab, lines))
+        got = {r.word: r.searchCount for r in HW.word_counts(df).collect()}
+        assert got == dict(model)
+        malformed = sorted(x for x in lines if len(_java_split_tab(x)) <= 2)
+        assert sorted(r.line for r in HW.hot_words_malformed(df).collect()) == malformed
+
+    check()
