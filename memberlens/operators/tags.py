@@ -31,6 +31,7 @@ TAG_COLUMNS = ("memberId", "phone", "sex", "channel", "subOpenId", "address", "r
 
 FREE_COUPON_ID = 1       # fixed value: coupon id 1 is the free first cup
 CHARGE_FREE_CHANNEL = 1  # fixed value: coupons from channel 1 carry no charge
+FANOUT_CHUNK = 4096      # largest array built when re-expanding the free-coupon fan-out
 
 
 def tag_member_base(member: DataFrame) -> DataFrame:
@@ -211,11 +212,19 @@ def user_tag(t: dict[str, DataFrame]) -> DataFrame:
             .join(tag_over_time(t["t_delivery"]), "memberId", "left")
             .join(tag_feedback(t["t_feedback"]), "memberId", "left"))
     # The free-coupon fan-out is joined pre-aggregated per (member, day)
-    # and expanded afterwards, so the shuffle carries one row per day.
+    # and expanded afterwards, so the shuffle carries one row per day. The
+    # expansion is done in chunks of at most FANOUT_CHUNK copies, so no
+    # generated array grows with a member's number of coupons.
+    n = F.col("n")
+    chunk = F.col("_chunk")
     fanned = (wide.join(_free_coupon_days(t["t_coupon_member"]), "memberId", "left")
-                  .withColumn("freeCouponTime",
-                              F.explode_outer(F.array_repeat("freeCouponTime",
-                                                             F.col("n").cast("int")))))
+                  .withColumn("_chunk", F.explode_outer(
+                      F.sequence(F.lit(0), F.floor((n - 1) / FANOUT_CHUNK).cast("int"))))
+                  .withColumn("freeCouponTime", F.explode_outer(F.array_repeat(
+                      "freeCouponTime",
+                      # least() skips NULLs: members without free coupons keep n = NULL
+                      F.when(n.isNotNull(),
+                             F.least(F.lit(FANOUT_CHUNK), n - chunk * FANOUT_CHUNK)).cast("int")))))
     return fanned.select(*TAG_COLUMNS)
 
 

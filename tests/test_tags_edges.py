@@ -132,3 +132,14 @@ def test_claim_without_time(spark):
     assert len(wide) == 1 and wide[0].freeCouponTime is None   # the free claim row, no day
     only_null = shop(spark, claims=[(1, 7, 4, 2, None)], coupons=[(4, 10.0)])
     assert TG.tag_coupon_times(only_null["t_coupon_member"]).first().couponTimes == []
+
+
+def test_fan_out_expansion_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(TG, "FANOUT_CHUNK", 7)
+    claims = [(i, 7, 1, 2, D("2020-01-02 10:00:00")) for i in range(30)]     # 30 on one day
+    claims += [(100 + i, 7, 1, 2, D("2020-01-03 10:00:00")) for i in range(7)]  # exactly one chunk
+    t = shop(spark, claims=claims)
+    days = [r.freeCouponTime for r in TG.user_tag(t).collect()]
+    assert sorted(days) == ["2020-01-02"] * 30 + ["2020-01-03"] * 7
+    nobody = shop(spark)
+    assert [r.freeCouponTime for r in TG.user_tag(nobody).collect()] == [None]
