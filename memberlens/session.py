@@ -62,17 +62,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created once per application and registered with the
     SparkContext, so streaming checkpoints and lineage cuts have a home.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+        configured, master = sc.getConf().get("spark.checkpoint.dir", None), sc.master
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc, master = None, "unknown"
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if sc is None:
+        raise RuntimeError("spark.checkpoint.dir is not set; it must name a shared folder")
+    if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared "
                            "folder (e.g. on the distributed file system); a driver-local folder "
                            "would not survive a lost executor or a restarted driver")
-    app = spark.sparkContext.applicationId
+    app = sc.applicationId
     if app not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="memberlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(_LOCAL_FALLBACK[app])
+        sc.setCheckpointDir(_LOCAL_FALLBACK[app])
     return _LOCAL_FALLBACK[app]
 
 
