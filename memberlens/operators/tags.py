@@ -20,7 +20,7 @@ few rows per map task through the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from memberlens.functions.columns import day_string
@@ -43,49 +43,46 @@ def tag_member_base(member: DataFrame) -> DataFrame:
                          day_string("create_time").alias("regTime"))
 
 
-def _goods_per_order(order_commodity: DataFrame) -> DataFrame:
-    """``(order_id, commodity_id, n)``: lines per order and good.
+def _member_goods(orders: DataFrame, order_commodity: DataFrame) -> DataFrame:
+    """``(memberId, goods)``: sorted distinct goods per member.
 
-    A plain hash aggregate (count), partially applied in the map tasks, so
-    the big line table is reduced before its only shuffle. Everything
-    after works on this reduced table.
+    The order lines are joined to their order's member as they are (one
+    shuffle of the line table; ``order_id`` is unique in the orders, so an
+    order with a huge number of lines is a skewed many-to-one inner join
+    that AQE splits), reduced to distinct ``(member, good)`` pairs in the
+    map tasks, and only then gathered into one list per member.
     """
-    return (order_commodity.groupBy("order_id", "commodity_id")
-            .agg(F.count(F.lit(1)).alias("n")))
+    return (order_commodity.select("order_id", "commodity_id")
+            .join(orders.select("order_id", "member_id"), "order_id")
+            .select("member_id", "commodity_id").distinct()
+            .groupBy(F.col("member_id").alias("memberId"))
+            .agg(F.array_sort(F.collect_list("commodity_id")).alias("goods")))
 
 
 def _order_behavior(order: DataFrame, order_commodity: DataFrame, line_grain: bool) -> DataFrame:
-    """Order tags from one scan of orders and one of order lines.
-
-    Orders are joined with their ``(good, n)`` rows, then aggregated in two
-    levels: per ``(member, good)`` (partial aggregation in the map tasks;
-    a heavy member is spread over its goods), then per member over at most
-    one row per good, which also builds the goods list.
-
-    Line grain weighs each row by its line count (an order without lines
-    weighs 1). Order grain weighs the first row of each order by 1 and the
-    others by 0; the window for that is partitioned by ``order_id``, which
-    the join output already is, so it adds a sort but no shuffle, and an
-    order never has more rows than distinct goods.
+    """Order tags: counts and money from the orders, goods from the lines.
+
+    Order grain takes count, last day and money from the orders alone.
+    Line grain weighs each order by its number of lines (an order without
+    lines weighs 1), counted per order with a partial aggregate, so an
+    order with many lines is pre-reduced in the map tasks.
     """
-    goods = _goods_per_order(order_commodity)
-    joined = (order.select("order_id", "member_id", "pay_price", "create_time")
-                   .join(goods, "order_id", "left"))
+    orders = order.select("order_id", "member_id", "pay_price", "create_time")
     if line_grain:
-        weight = F.coalesce(F.col("n"), F.lit(1))
+        lines = order_commodity.groupBy("order_id").agg(F.count(F.lit(1)).alias("nLines"))
+        per_order = (orders.join(lines, "order_id", "left")
+                     .withColumn("w", F.coalesce(F.col("nLines"), F.lit(1))))
     else:
-        first = F.row_number().over(Window.partitionBy("order_id").orderBy("commodity_id")) == 1
-        weight = F.when(first, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    per_good = (joined.withColumn("w", weight)
-                .groupBy("member_id", "commodity_id")
-                .agg(F.sum("w").alias("orders"),
-                     F.sum(F.col("pay_price").cast("decimal(18,2)") * F.col("w")).alias("money"),
-                     F.max("create_time").alias("last")))
-    return (per_good.groupBy(F.col("member_id").alias("memberId"))
-            .agg(F.sum("orders").alias("orderCount"),
-                 day_string(F.max("last")).alias("orderTime"),
-                 F.sum("money").cast("double").alias("orderMoney"),
-                 F.array_sort(F.collect_list("commodity_id")).alias("favGoods")))
+        per_order = orders.withColumn("w", F.lit(1).cast("bigint"))
+    counts = (per_order.groupBy(F.col("member_id").alias("memberId"))
+              .agg(F.sum("w").alias("orderCount"),
+                   day_string(F.max("create_time")).alias("orderTime"),
+                   F.sum(F.col("pay_price").cast("decimal(18,2)") * F.col("w"))
+                    .cast("double").alias("orderMoney")))
+    return (counts.join(_member_goods(orders, order_commodity), "memberId", "left")
+                  .select("memberId", "orderCount", "orderTime", "orderMoney",
+                          F.coalesce(F.col("goods"), F.array().cast("array<bigint>"))
+                           .alias("favGoods")))
 
 
 def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
