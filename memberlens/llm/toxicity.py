@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon that an Aho-Corasick automaton matches.
 
-Texts are folded first: case, accents, letters that look like Latin ones, and
+Texts are folded first: case, loose accents, letters that look like Latin ones, and
 digits and signs that stand for letters. The lexicon (words and word starts)
 and its weights are learned from labelled rows; exception phrases take the
 weight of the entry inside them back. The sum of the weights, and the sum
@@ -35,7 +35,7 @@ FIT_ROWS = 20_000
 MAX_ENTRIES = 2_000
 STEMS = (4, 5, 6, 7)
 STEM_WORDS = 8
-MIN_WEIGHT = 3.0
+MIN_WEIGHT = 2.0
 MIN_SHARE = 0.02
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish")
 # Letters that look like Latin ones, and digits that stand for letters.
@@ -59,7 +59,7 @@ def fold(text: str | None) -> str:
     text = text.lower()
     if "@" in text or "$" in text:
         text = _SIGN.sub(lambda m: "a" if m.group() == "@" else "s", text)
-    text = text.translate(_DIGITS) if text.isascii() else unicodedata.normalize("NFKD", text).translate(_OTHER)
+    text = text.translate(_DIGITS) if text.isascii() else unicodedata.normalize("NFKC", text).translate(_OTHER)
     return f" {_GAP.sub(' ', text).strip()} " if text else " "
 
 
@@ -111,6 +111,31 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["entry", "next", "toxic", "other"])
 
 
+def choose(entries: dict[str, tuple[float, int]]) -> dict[str, float]:
+    """Patterns and weights from entries with their weight and number of toxic texts.
+
+    A word start counts if no single word makes up most of it, and if no
+    longer or shorter start does better; a word under a start adds what its
+    own weight has above that of the start.
+    """
+    words = {e: v for e, v in entries.items() if not e.endswith("*")}
+    starts = {e[:-1]: v for e, v in entries.items() if e.endswith("*")}
+    most: dict[str, int] = {}
+    for word, (_, n) in words.items():
+        for k in STEMS:
+            most[word[:k]] = max(most.get(word[:k], 0), n)
+    kept: dict[str, float] = {}
+    for s, (weight, n) in sorted(starts.items(), key=lambda x: (-x[1][0] * x[1][1] ** 0.5, len(x[0]), x[0])):
+        if most.get(s, 0) < 0.6 * n and not any(s.startswith(o) or o.startswith(s) for o in kept):
+            kept[s] = weight
+    out = {f" {s}": w for s, w in kept.items()}
+    for word, (weight, _) in words.items():
+        more = weight - max((w for s, w in kept.items() if word.startswith(s)), default=0.0)
+        if more > 1:
+            out[f" {word} "] = more
+    return out
+
+
 def learn(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1, fit_rows: int = FIT_ROWS,
           exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """The lexicon and score weights from labelled rows that are not held out.
@@ -134,12 +159,7 @@ def learn(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1, fit_r
                   .join(spread, "entry").where(
                       F.col("spread") >= F.when(F.col("entry").endswith("*"), STEM_WORDS).otherwise(2 * least))
                   .orderBy(F.desc("spread"), "entry").limit(MAX_ENTRIES).collect())
-        words = {r["entry"]: r for r in chosen if not r["entry"].endswith("*")}
-        stems = {r["entry"][:-1]: r for r in chosen if r["entry"].endswith("*")}
-        # A start is an entry of its own only if several words share it, and not within another start.
-        stems = {s: r for s, r in stems.items() if not any(s[:k] in stems for k in range(1, len(s)))}
-        weights = {f" {s}": r["weight"] for s, r in stems.items()}
-        weights |= {f" {w} ": r["weight"] for w, r in words.items() if not any(w.startswith(s) for s in stems)}
+        weights = choose({r["entry"]: (r["weight"], r["toxic"]) for r in chosen})
     inside = {}
     for phrase in map(fold, exceptions):
         back = sum(w for p, w in weights.items() if p in phrase)
