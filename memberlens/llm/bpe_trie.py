@@ -17,8 +17,9 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,16 +31,12 @@ from memberlens.llm.token_counts import byte_letters
 #: The pattern that byte-level pre-tokenizers split with (a fixed value; letters first, which matches alike).
 PATTERN = r""" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words and pairs that a Python worker keeps; beyond it the memory starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
 KEPT_PAIRS = 500_000
 
 
-class State(NamedTuple):
-    """A start of tokens, the states after one more byte, and the tokens it ends in, longest first."""
-
-    text: bytes
-    next: dict[int, "State"]
-    ends: list[tuple[int, int]]
+State = tuple[dict, list[tuple[int, int]], bytes]
+"""The states after one more byte, the tokens that end here (longest first: bytes, id), and the bytes so far."""
 
 
 class ByteTrie:
@@ -55,7 +52,6 @@ class ByteTrie:
         self.ids = {as_bytes(t): i for t, i in vocab.items() if t not in special}
         self.bytes_of = {i: t for t, i in self.ids.items()}
         self.bytes_of.update({i: s.encode() for s, i in special.items()})
-        self.names = {i: str(i) for i in self.bytes_of}
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.pattern = regex.compile(PATTERN)
@@ -92,7 +88,7 @@ class ByteTrie:
         found = self.states.get(text)
         if found is None:
             ends = [(len(text) - k, self.ids[text[k:]]) for k in range(len(text)) if text[k:] in self.ids]
-            found = self.states[text] = State(text, {}, ends)
+            found = self.states[text] = ({}, ends, text)
         return found
 
     def encode(self, words: set[bytes]) -> dict[bytes, list[int]]:
@@ -108,11 +104,11 @@ class ByteTrie:
             now, depth = states[-1], shared
             for byte in word[shared:]:
                 depth += 1
-                after = now.next.get(byte)
-                if after is None:
-                    after = now.next[byte] = self.state(now.text + bytes((byte,)))
-                now = after
-                for n, token in now.ends:
+                follow, _, text = now
+                now = follow.get(byte)
+                if now is None:
+                    now = follow[byte] = self.state(text + bytes((byte,)))
+                for n, token in now[1]:
                     if n == depth:
                         break
                     pair = last[depth - n] * span + token
@@ -136,19 +132,63 @@ def byte_trie(path: str) -> ByteTrie:
     return ByteTrie(path)
 
 
-#: By tokenizer file: the joined ids of each word, and what they decode to.
-_KEPT: dict[str, tuple[dict[str, str], dict[str, str]]] = {}
+class Coded:
+    """Words that a Python worker has encoded, as one flat array of ids."""
+
+    def __init__(self, trie: ByteTrie):
+        self.trie = trie
+        size = max(trie.bytes_of) + 1
+        names = [f"{i}," for i in range(size)]
+        self.digits = np.zeros((size, len(names[-1])), np.uint8)
+        for i, name in enumerate(names):
+            self.digits[i, :len(name)] = np.frombuffer(name.encode(), np.uint8)
+        raw = [trie.bytes_of.get(i, b"") for i in range(size)]
+        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.at = np.zeros(1 << 16, np.int64)
+        self.add([(s, [i]) for s, i in self.trie.special.items()])
+
+    def add(self, words: list[tuple[str, list[int]]]) -> None:
+        old = len(self.index)
+        size = np.cumsum([len(ids) for _, ids in words]) + self.at[old]
+        flat = np.fromiter(chain.from_iterable(ids for _, ids in words), np.int32)
+        self.ids = _room(self.ids, self.at[old] + len(flat))
+        self.at = _room(self.at, old + len(words) + 1)
+        self.ids[self.at[old]:self.at[old] + len(flat)] = flat
+        self.at[old + 1:old + 1 + len(words)] = size
+        self.index.update(zip((w for w, _ in words), range(old, old + len(words))))
+
+
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    if n <= len(array):
+        return array
+    out = np.zeros(max(n, 2 * len(array)), array.dtype)
+    out[:len(array)] = array
+    return out
+
+
+def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indexes start .. start + size of every slice, one after another."""
+    end = np.cumsum(size)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)
 
 
-def encode_texts(texts: list[str | None], path: str) -> list[tuple[int, str, str]]:
-    """For each text its number of ids, the ids joined by commas, and the text decoded from them."""
+_KEPT: dict[str, Coded] = {}
+
+
+def encode_texts(texts: list[str | None], path: str) -> list[tuple[np.ndarray, bytes, bytes]]:
+    """For each text its ids, the ids joined by commas, and the UTF-8 text decoded from them."""
     trie = byte_trie(path)
-    joined, decoded = _KEPT.setdefault(path, ({}, {}))
-    if len(joined) > KEPT_WORDS:
-        joined.clear()
-        decoded.clear()
-    for s, i in trie.special.items():
-        joined[s], decoded[s] = str(i), trie.bytes_of[i].decode()
+    coded = _KEPT.get(path)
+    if coded is None:
+        coded = _KEPT[path] = Coded(trie)
+    elif len(coded.index) > KEPT_WORDS:
+        coded.clear()
     split = []
     for text in texts:
         parts = trie.cut.split(text) if text and trie.cut else [text or ""]
@@ -156,20 +196,24 @@ def encode_texts(texts: list[str | None], path: str) -> list[tuple[int, str, str
         for part in parts:
             tokens += [part] if part in trie.special else trie.pattern.findall(part)
         split.append(tokens)
-    new = set().union(*split).difference(joined)
+    new = set().union(*split).difference(coded.index)
     if new:
-        coded = trie.encode({t.encode() for t in new})
-        name, raw = trie.names.__getitem__, trie.bytes_of.__getitem__
-        for t in new:
-            ids = coded[t.encode()]
-            joined[t] = ",".join(map(name, ids))
-            back = b"".join(map(raw, ids)).decode("utf-8", "replace")  # a word holds whole letters
-            decoded[t] = t if back == t else back
-    out = []
-    for tokens in split:
-        ids = ",".join(map(joined.__getitem__, tokens))
-        out.append((ids.count(",") + 1 if ids else 0, ids, "".join(map(decoded.__getitem__, tokens))))
-    return out
+        ids = trie.encode({t.encode() for t in new})
+        coded.add([(t, ids[t.encode()]) for t in new])
+    word = np.fromiter(map(coded.index.__getitem__, chain.from_iterable(split)), np.int64)
+    size = coded.at[word + 1] - coded.at[word]
+    ids = coded.ids[ragged(coded.at[word], size)]
+    words_at = np.concatenate([[0], np.cumsum([len(t) for t in split])])
+    ids_at = np.concatenate([[0], np.cumsum(size)])[words_at]
+    digits = coded.digits[ids]
+    solid = digits > 0
+    digits_at = np.concatenate([[0], np.cumsum(solid.sum(1))])[ids_at]
+    joined = digits[solid].tobytes()
+    raw_size = coded.raw_at[ids + 1] - coded.raw_at[ids]
+    raw_at = np.concatenate([[0], np.cumsum(raw_size)])[ids_at]
+    raw = coded.raw[ragged(coded.raw_at[ids], raw_size)].tobytes()
+    return [(ids[ids_at[k]:ids_at[k + 1]], joined[digits_at[k]:max(digits_at[k + 1] - 1, digits_at[k])],
+             raw[raw_at[k]:raw_at[k + 1]].decode("utf-8", "replace").encode()) for k in range(len(texts))]
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids: bool = False) -> DataFrame:
@@ -191,12 +235,12 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
             coded = encode_texts(batch.column(text).to_pylist(), path)
-            more = [pa.array([c[0] for c in coded], pa.int64()),
-                    pa.array([hashlib.sha256(c[1].encode()).hexdigest() for c in coded]),
-                    pa.array([hashlib.sha256(c[2].encode()).hexdigest() for c in coded])]
+            more = [pa.array([len(c[0]) for c in coded], pa.int64()),
+                    pa.array([hashlib.sha256(c[1]).hexdigest() for c in coded]),
+                    pa.array([hashlib.sha256(c[2]).hexdigest() for c in coded])]
             if ids:
-                more += [pa.array([[int(x) for x in c[1].split(",")] if c[1] else [] for c in coded],
-                                  pa.list_(pa.int32())), pa.array([c[2] for c in coded])]
+                more += [pa.array([c[0] for c in coded], pa.list_(pa.int32())),
+                         pa.array([c[2].decode() for c in coded])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more],
                                              [*batch.schema.names, *(f"x{k}" for k in range(len(more)))])
 
