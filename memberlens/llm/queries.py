@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memberlens.llm import (bpe_trie, fingerprints, license_rules, mixing, quality, token_counts, toxicity,
+from memberlens.llm import (bpe_trie, fingerprints, license_rules, mixing, ngram_join, quality, token_counts, toxicity,
                             vectors)
 from memberlens.llm.common import table
 
 DOCS = "documents"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_texts(table(spark, sf_dir, DOCS), n=4, percent=85)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, DOCS)).drop("copies")
 
@@ -49,5 +53,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_mix_sources, op3_fingerprints, op4_toxicity, op5_quality, op6_token_counts, op7_near_vectors, op9_bpe_encode,
+    op1_ngram_join, op2_mix_sources, op3_fingerprints, op4_toxicity, op5_quality, op6_token_counts, op7_near_vectors, op9_bpe_encode,
     op10_license_scan)}
