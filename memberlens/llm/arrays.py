@@ -44,7 +44,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts (null: empty), one after another, and the n + 1 offsets."""
     column = pc.fill_null(column, "") if column.null_count else column
-    wide = pa.types.is_large_string(column.type)
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1]
     at = at.astype(np.int64)

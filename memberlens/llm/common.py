@@ -36,21 +36,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder of ``spark.checkpoint.dir``, its lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the setting is missing and the
-    master is local, as in tests; on a cluster a missing setting is an error.
+    One of our own is made only where the setting is missing and the master is
+    local, as in tests; on a cluster a missing setting is an error.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if shared is None:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="checkpoints-")
     if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(shared)
+    return shared.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

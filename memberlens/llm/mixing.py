@@ -105,18 +105,28 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
         F.coalesce("s.below", F.lit(1 << HASH_BITS)).alias("below"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0,
-                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, size, source_size, target, copies, taken`` of every row.
+def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0,
+                  id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with ``mix_size, mix_source_size, mix_target, mix_copies``: how often the mix takes each document.
 
-    ``taken`` is ``copies * size``, ``copies`` the times the mix repeats the document.
+    Only ids, sources and sizes are shuffled; the texts are joined with the
+    limits of their source where they are read.
     """
-    rows = checkpointed(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                                    word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("hash")))
+    size, hash_ = word_count(F.col(text_col)), id_hash(F.col(id_col))
+    rows = checkpointed(docs.select(F.col(source_col).alias("source"), size.alias("size"), hash_.alias("hash")))
     limits = thresholds(rows, checkpointed(source_targets(rows, weights, most)))
-    limits = joinable(checkpointed(limits).withColumnRenamed("source", "s"))
-    count = F.col("copies") + F.when(F.col("copies") < F.floor(F.lit(most)),
-                                     (F.col("hash") < F.col("below")).cast("long")).otherwise(F.lit(0))
-    return rows.join(limits, rows["source"].eqNullSafe(limits["s"])).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", count.cast("long").alias("copies"),
-        (count * F.col("size")).cast("long").alias("taken"))
+    limits = joinable(checkpointed(limits.select(*[F.col(c).alias(f"mix_{c}") for c in limits.columns])))
+    more = (F.col("mix_copies") < F.floor(F.lit(most))) & (F.col("mix_hash") < F.col("mix_below"))
+    own = [c for c in docs.columns if not c.startswith("mix_")]
+    named = docs.select(*own, size.alias("mix_size"), hash_.alias("mix_hash"))
+    return (named.join(limits, named[source_col].eqNullSafe(limits["mix_source"]))
+            .select(*own, "mix_size", "mix_source_size", "mix_target",
+                    (F.col("mix_copies") + more.cast("long")).alias("mix_copies")))
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``doc_id, size, source_size, target, copies, taken`` of every row: ``taken`` words are ``copies * size``."""
+    mixed = mix_documents(docs, id_col=id_col, **options)
+    return mixed.select(id_col, F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
+                        F.col("mix_target").alias("target"), F.col("mix_copies").alias("copies"),
+                        (F.col("mix_copies") * F.col("mix_size")).alias("taken"))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memberlens.llm import (bpe_trie, fingerprints, license_rules, mixing, ngram_join, quality, token_counts, toxicity,
-                            vectors)
+from memberlens.llm import (bpe_trie, fingerprints, license_rules, mixing, ngram_join, quality, repeats,
+                            token_counts, toxicity, vectors)
 from memberlens.llm.common import table
 
 DOCS = "documents"
@@ -42,6 +42,10 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, DOCS)).drop("kept")
+
+
 def op9_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_trie.encode_documents(table(spark, sf_dir, DOCS).select("doc_id", "text"),
                                       public_tokenizers.path("byte_bpe_50k.json"))
@@ -53,5 +57,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_ngram_join, op2_mix_sources, op3_fingerprints, op4_toxicity, op5_quality, op6_token_counts, op7_near_vectors, op9_bpe_encode,
+    op1_ngram_join, op2_mix_sources, op3_fingerprints, op4_toxicity, op5_quality, op6_token_counts, op7_near_vectors, op8_remove_repeats, op9_bpe_encode,
     op10_license_scan)}
