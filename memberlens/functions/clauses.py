@@ -14,7 +14,8 @@ shop used:
   not empty;
 * a NULL field fails every should clause and passes every must-not
   clause (the predicate is coalesced to false before negation);
-* values are cast to the field's type, so numbers compare as numbers;
+* values are read by the field's type, so numbers compare as numbers, and
+  whole and decimal fields exactly (no way through floating point);
   ``rangeBoth`` takes ``lo-hi``, both inclusive;
 * field names resolve case-insensitively (the page says ``feedBack``).
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,21 +91,31 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _number(text: str, clause: Clause) -> float | int:
+#: Values of whole and decimal fields are compared exactly, with up to ten decimals.
+EXACT = T.DecimalType(38, 10)
+_LARGEST = Decimal(10) ** 27      # beyond every whole number and still within EXACT
+
+
+def exact_number(text: str, what: object) -> Decimal:
+    """The finite number a clause value stands for."""
     try:
-        x = float(text)
-    except ValueError:
-        raise ValueError(f"clause {clause}: {text!r} is not a number") from None
-    return int(x) if x.is_integer() else x
+        x = Decimal(text.strip())
+    except InvalidOperation:
+        x = Decimal("nan")
+    if not x.is_finite():
+        raise ValueError(f"clause {what}: {text!r} is not a number")
+    return x
 
 
 def _typed_value(dtype: T.DataType, text: str, clause: Clause) -> Column:
-    if isinstance(dtype, _NUMERIC):
-        x = _number(text, clause)
-        if isinstance(dtype, _INTEGRAL) and isinstance(x, int):
-            return F.lit(x).cast(dtype)
+    if not isinstance(dtype, _NUMERIC):
+        return F.lit(text).cast(dtype)
+    x = exact_number(text, clause)
+    if not isinstance(dtype, (*_INTEGRAL, T.DecimalType)):
         return F.lit(float(x))
-    return F.lit(text).cast(dtype)
+    if isinstance(dtype, _INTEGRAL) and x == x.to_integral_value() and abs(x) < 2**63:
+        return F.lit(int(x)).cast("bigint")
+    return F.lit(format(max(-_LARGEST, min(_LARGEST, x)), "f")).cast(EXACT)
 
 
 def _compare(col: Column, dtype: T.DataType, clause: Clause) -> Column:

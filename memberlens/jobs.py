@@ -73,8 +73,7 @@ def run_user_tags(spark: SparkSession, args) -> None:
 def run_segment(spark: SparkSession, args) -> None:
     tags = spark.read.format(args.format).load(args.tags)
     clauses = json.loads(args.clauses)
-    seg = SG.segment_select(tags, clauses, combine=args.combine,
-                            limit=None if args.limit <= 0 else args.limit)
+    seg = SG.segment_select(tags, clauses, combine=args.combine, limit=args.top)
     SG.segment_export(seg, path=args.out)
 
 
@@ -149,7 +148,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--format", default="parquet")
     s.add_argument("--clauses", required=True, help='JSON list of {"name","value","type"}')
     s.add_argument("--combine", default="any", choices=("any", "all"))
-    s.add_argument("--limit", type=int, default=SG.DEFAULT_LIMIT, help="0 = whole segment")
+    s.add_argument("--top", type=int, help=f"the best so many (the page showed {SG.PAGE_SIZE}); all if left out")
     s.add_argument("--out", required=True)
 
     s = sub.add_parser("hot-words")

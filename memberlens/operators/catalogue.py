@@ -1,9 +1,8 @@
 """The tag catalogue of the segment page and per-tag member counts.
 
 The catalogue is a parameter list (77 tags in 16 groups), not data: dates
-in it are relative to the day the page is shown. :func:`tag_counts`
-evaluates every catalogue tag over the tag table in a *single* scan (one
-conditional count per tag inside one aggregate), never one job per tag.
+in it are relative to the day the page is shown. :func:`tag_counts` counts
+all tags together, as the segments of a rules table, never one job per tag.
 """
 
 from __future__ import annotations
@@ -11,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberlens.functions.clauses import Clause, segment_columns
 from memberlens.functions.columns import days_before
+from memberlens.operators.segments import segment_bulk
 
 # Fixed values of the shop's tag page: (group, label, field, value, type),
 # in the page's order. Fields, values and types must equal the page's; the
-# labels are English renderings of the page's display labels and do not
-# affect any result. Date-valued tags are day offsets resolved against as_of.
+# labels are English renderings of the page's display labels and stand in
+# the output of tag_counts. Date-valued tags are day offsets resolved against as_of.
 _SEX = [("sex", "male", "sex", "1", "match"),
         ("sex", "female", "sex", "2", "match"),
         ("sex", "unknown", "sex", "-1", "match")]
@@ -87,17 +86,14 @@ def tag_catalogue(spark: SparkSession, as_of: str, coupon_as_of: str | None = No
 def tag_counts(tags: DataFrame, catalogue: list[tuple]) -> DataFrame:
     """Members per catalogue tag: ``(tagGroup, label, name, value, type, memberCount)``.
 
-    Each tag is counted as a one-clause segment (a ``notMatch`` tag counts
-    the members *not* matching). All tags are evaluated in one aggregate
-    over one scan of the tag table, then unpivoted.
+    Each tag is a one-clause segment (a ``notMatch`` tag counts the members
+    *not* matching), so the catalogue goes through :func:`segment_bulk` as a
+    rules table and the members of each segment are counted.
     """
-    counts = []
-    for i, (_, _, name, value, typ) in enumerate(catalogue):
-        keep, _ = segment_columns(tags.schema, [Clause(name, value, typ)])
-        counts.append(F.count(F.when(keep, 1)).alias(f"c{i}"))
-    one_row = tags.agg(*counts)
-    entries = [F.struct(F.lit(g).alias("tagGroup"), F.lit(lbl).alias("label"),
-                        F.lit(n).alias("name"), F.lit(v).alias("value"), F.lit(t).alias("type"),
-                        F.col(f"c{i}").alias("memberCount"))
-               for i, (g, lbl, n, v, t) in enumerate(catalogue)]
-    return one_row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    spark = tags.sparkSession
+    rows = [(f"{k:06d}", *r) for k, r in enumerate(catalogue)]
+    rules = spark.createDataFrame(rows, f"segment_id string, {CATALOGUE_SCHEMA}")
+    counts = segment_bulk(tags, rules).groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
+    return (rules.join(counts, "segment_id", "left")
+            .select("tagGroup", "label", "name", "value", "type",
+                    F.coalesce("n", F.lit(0)).cast("bigint").alias("memberCount")))

@@ -22,7 +22,7 @@ DEFAULT_TOP_K = 10      # fixed value: the job printed the ten hottest words
 
 def log_fields(line: F.Column) -> F.Column:
     """Tab-separated fields with trailing empty fields removed."""
-    return F.split(F.regexp_replace(line, "\t+$", ""), "\t", -1)
+    return F.split(F.regexp_replace(line, "\t+\\z", ""), "\t", -1)
 
 
 def _word(line: F.Column, field: int) -> F.Column:

@@ -1,19 +1,17 @@
 """Member segments from tag clauses: select, bulk-evaluate, export.
 
 :func:`segment_select` compiles a clause list into one Column predicate
-(see :mod:`memberlens.functions.clauses`) and keeps the top ``limit``
-members, as the shop's search page returned the first 1000 hits.
+(see :mod:`memberlens.functions.clauses`) and returns the whole segment, or
+its best ``k`` members where the caller asks for them (the shop's search
+page showed the first 1000 hits).
 
 :func:`segment_bulk` evaluates *many* segments given as a rules DataFrame
-``(segment_id, name, value, type)`` in one pass: the tag table is turned
-into long form ``(memberId, field, num, str)`` by a generator (no
-shuffle), joined with the rules on the field name plus the clause
-condition, and the hits are folded per ``(segment, member)``.
-
-Scale: rules are broadcast only after a size check (their row count);
-above the limit the rules are replicated over ``salt_buckets`` salts and
-the long form is salted by member, so a field that every member has
-(``sex``, ``regTime``) is spread over many tasks instead of one.
+``(segment_id, name, value, type)``: the tag rows are turned into long form
+by a generator and joined with the rules, on (field, value) for equality and
+on the field for ranges; the hits are folded per segment and tag row. There
+is one plan and one meaning for any number of rules. Whether the rules are
+broadcast is left to the optimizer's size estimate; where they are not, AQE
+splits a field or value that every member has.
 """
 
 from __future__ import annotations
@@ -22,25 +20,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memberlens.functions.clauses import CLAUSE_TYPES, segment_columns
+from memberlens.functions.clauses import CLAUSE_TYPES, EXACT, segment_columns
 
-DEFAULT_LIMIT = 1000          # fixed value: the page fetched the first 1000 hits
+PAGE_SIZE = 1000              # fixed value: the page showed the first 1000 hits
 KEY = "memberId"
 
 
 def segment_select(tags: DataFrame, clauses, combine: str = "any",
-                   limit: int | None = DEFAULT_LIMIT) -> DataFrame:
+                   limit: int | None = None) -> DataFrame:
     """``(memberId, phone, matched)`` of the segment, best matches first.
 
     ``matched`` = number of should clauses that hold; ties are broken by
-    ``memberId`` so the result is deterministic. ``limit=None`` returns the
-    whole segment.
+    ``memberId`` so the result is deterministic. ``limit`` keeps the best
+    so many (a top-k, planned without a full sort); by default the segment
+    is whole.
     """
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1; leave it out for the whole segment")
     keep, matched = segment_columns(tags.schema, clauses, combine)
     out = (tags.filter(keep)
                .select(KEY, "phone", matched.alias("matched"))
                .orderBy(F.desc("matched"), F.asc(KEY)))
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)
 
 
 def segment_size(tags: DataFrame, clauses, combine: str = "any") -> DataFrame:
@@ -65,157 +66,138 @@ def segment_export(segment: DataFrame, path: str | None = None) -> DataFrame:
 
 # --------------------------------------------------------------------- bulk
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+_FLOAT = (T.FloatType, T.DoubleType)
+_ENTRY = T.StructType([T.StructField("field", T.StringType()), T.StructField("key", T.StringType()),
+                       T.StructField("exact", EXACT), T.StructField("num", T.DoubleType())])
+
+
+def _kind(dtype: T.DataType) -> str:
+    """How a field's values compare: ``whole`` (exactly), ``float`` or ``text``."""
+    dtype = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+    return "whole" if isinstance(dtype, _WHOLE) else "float" if isinstance(dtype, _FLOAT) else "text"
+
+
 def tag_long_form(tags: DataFrame) -> DataFrame:
-    """``(memberId, field, num, str)``: one row per non-null scalar and per array element.
+    """``(memberId, row, field, key, exact, num)``: one row per non-null value and distinct array element.
 
-    ``field`` is the lower-cased column name; ``num`` is the value as double
-    for numeric fields (else NULL) and ``str`` its text.
+    ``row`` is a digest of the whole tag row, the same whenever it is
+    computed; ``field`` the lower-cased column name; ``key`` the text two
+    equal values share; ``exact`` and ``num`` the value of a whole or
+    decimal, or of a floating-point field.
     """
-    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-               T.DecimalType)
+    def entry(field: str, value, kind: str):
+        exact = value.cast(EXACT) if kind == "whole" else F.lit(None).cast(EXACT)
+        num = value.cast("double") + F.lit(0.0) if kind == "float" else F.lit(None).cast("double")
+        key = {"whole": exact.cast("string"), "float": num.cast("string")}.get(kind, value.cast("string"))
+        return F.struct(F.lit(field).alias("field"), key.alias("key"), exact.alias("exact"), num.alias("num"))
 
-    def entry(field: str, value, dtype):
-        num = value.cast("double") if isinstance(dtype, numeric) else F.lit(None).cast("double")
-        return F.struct(F.lit(field).alias("field"), num.alias("num"),
-                        value.cast("string").alias("str"))
-
-    def element_entry(field: str, dtype):
-        return lambda x: entry(field, x, dtype)
+    def element(field: str, kind: str):
+        return lambda x: entry(field, x, kind)
 
+    none = F.array().cast(T.ArrayType(_ENTRY))
     parts = []
     for f in tags.schema.fields:
-        col = F.col(f.name)
-        name = f.name.lower()
+        name, kind = f.name.lower(), _kind(f.dataType)
         if isinstance(f.dataType, T.ArrayType):
-            elem = f.dataType.elementType
-            parts.append(F.coalesce(F.transform(col, element_entry(name, elem)),
-                                    F.array().cast(T.ArrayType(_ENTRY))))
+            values = F.array_distinct(F.filter(F.col(f.name), lambda x: x.isNotNull()))
+            # An element that is null makes the array non-empty, as ``exists`` asks; it equals nothing.
+            lone = F.when(F.size(F.col(f.name)) > F.size(F.array_compact(F.col(f.name))),
+                          F.array(F.struct(F.lit(name).alias("field"), F.lit(None).cast("string").alias("key"),
+                                           F.lit(None).cast(EXACT).alias("exact"),
+                                           F.lit(None).cast("double").alias("num")))).otherwise(none)
+            parts.append(F.coalesce(F.concat(F.transform(values, element(name, kind)), lone), none))
         else:
-            parts.append(F.when(col.isNotNull(), F.array(entry(name, col, f.dataType)))
-                          .otherwise(F.array().cast(T.ArrayType(_ENTRY))))
-    return (tags.select(F.col(KEY).alias("m"), F.explode(F.flatten(F.array(*parts))).alias("e"))
-                .select(F.col("m").alias(KEY), "e.field", "e.num", "e.str"))
-
-
-_ENTRY = T.StructType([T.StructField("field", T.StringType()),
-                       T.StructField("num", T.DoubleType()),
-                       T.StructField("str", T.StringType())])
-
-
-def _normalise_rules(rules: DataFrame) -> DataFrame:
-    r = rules.select(F.col("segment_id"), F.lower("name").alias("field"),
-                     F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"),
-                     F.col("type"))
-    should = F.col("type") != "notMatch"
-    need = (r.groupBy("segment_id")
-             .agg(F.count_distinct(F.when(should, F.struct("field", "value", "type")))
-                  .alias("nShould")))
-    # A segment without should clauses starts from all members: give it an
-    # always-true clause (the member key exists for every member).
+            parts.append(F.when(F.col(f.name).isNotNull(), F.array(entry(name, F.col(f.name), kind))).otherwise(none))
+    row = F.xxhash64(*[F.col(c) for c in tags.columns])
+    return (tags.select(F.col(KEY).alias("m"), row.alias("row"), F.explode(F.flatten(F.array(*parts))).alias("e"))
+                .select(F.col("m").alias(KEY), "row", "e.*"))
+
+
+def _normalise_rules(rules: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """The rules with typed values; a segment without should clauses gets one that every member meets."""
+    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    r = rules.select("segment_id", F.lower("name").alias("field"),
+                     F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), "type").distinct()
+    need = r.groupBy("segment_id").agg(F.count(F.when(F.col("type") != "notMatch", 1)).alias("nShould"))
     always = (need.filter(F.col("nShould") == 0)
                   .select("segment_id", F.lit(KEY.lower()).alias("field"),
                           F.lit("").alias("value"), F.lit("exists").alias("type")))
-    parts = F.split("value", "-")
-    return (r.unionByName(always).join(need, "segment_id")
-             .select("segment_id", "field", "value", "type", "nShould",
-                     (F.col("type") == "notMatch").alias("negated"),
-                     F.concat_ws("\u0001", "field", "value", "type").alias("rule_key"),
-                     F.expr("try_cast(value as double)").alias("vnum"),
-                     F.when(F.size(parts) == 2, parts[0].try_cast("double")).alias("lo"),
-                     F.when(F.size(parts) == 2, parts[1].try_cast("double")).alias("hi")))
-
-
-def _rule_condition(long: DataFrame, rules: DataFrame):
-    L, R = long, rules
-    num_known = L["num"].isNotNull()
-    eq = F.when(num_known, L["num"] == R["vnum"]).otherwise(L["str"] == R["value"])
-    ge = F.when(num_known, L["num"] >= R["vnum"]).otherwise(L["str"] >= R["value"])
-    le = F.when(num_known, L["num"] <= R["vnum"]).otherwise(L["str"] <= R["value"])
-    t = R["type"]
-    cond = (F.when(t.isin("match", "notMatch"), eq)
-             .when(t == "rangeGte", ge)
-             .when(t == "rangeLte", le)
-             .when(t == "rangeBoth", L["num"].between(R["lo"], R["hi"]))
-             .when(t == "exists", F.lit(True))
-             .otherwise(F.lit(False)))
-    return (L["field"] == R["field"]) & F.coalesce(cond, F.lit(False))
-
-
-def _compiled_bulk(tags: DataFrame, rules: DataFrame, combine: str) -> DataFrame:
-    """Bulk segments as one generator over the tag table (small rule sets).
-
-    Every segment becomes one Column predicate; each member row emits the
-    ids of the segments it belongs to. No join and no shuffle.
-    """
-    segments: dict[str, list[dict]] = {}
-    # The rule set passed the size check in segment_bulk: a bounded list.
-    for r in rules.select("segment_id", "name", "value", "type").collect():
-        segments.setdefault(r["segment_id"], [])
-        segments[r["segment_id"]].append({"name": r["name"], "value": r["value"] or "",
-                                          "type": r["type"]})
-    hits = [F.when(segment_columns(tags.schema, clauses, combine)[0], F.lit(sid))
-            for sid, clauses in segments.items()]
-    if not hits:
-        return tags.sparkSession.createDataFrame([], f"segment_id string, {KEY} bigint")
-    ids = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return tags.select(F.explode(ids).alias("segment_id"), F.col(KEY))
-
-
-def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any",
-                 compile_max_rules: int = 500, broadcast_max_rules: int = 100_000,
-                 salt_buckets: int = 64) -> DataFrame:
-    """``(segment_id, memberId)`` for every segment of ``rules``.
+    both = F.col("type") == "rangeBoth"
+    parts = F.split("value", "-", -1)
+    low = F.when(both, F.when(F.size(parts) == 2, parts[0])).otherwise(F.col("value"))
+    high = F.when(both, F.when(F.size(parts) == 2, parts[1])).otherwise(F.col("value"))
+    finite = lambda c: F.when(F.abs(c) < float("inf"), c + F.lit(0.0))
+
+    def exact(c):
+        # Beyond every whole number a bound is as good as the largest.
+        wide = finite(c.try_cast("double"))
+        return F.coalesce(F.trim(c).try_cast(EXACT), F.when(F.abs(wide) > 1e27, F.signum(wide) * F.lit(1e27)).cast(EXACT))
+
+    r = (r.unionByName(always).join(need, "segment_id")
+          .withColumn("kind", F.try_element_at(kind, F.col("field")))
+          .select("segment_id", "field", "value", "type", "nShould", "kind",
+                  (F.col("type") == "notMatch").alias("negated"),
+                  F.when(F.col("kind") == "whole", exact(low)).alias("loExact"),
+                  F.when(F.col("kind") == "whole", exact(high)).alias("hiExact"),
+                  F.when(F.col("kind") == "float", finite(low.try_cast("double"))).alias("loNum"),
+                  F.when(F.col("kind") == "float", finite(high.try_cast("double"))).alias("hiNum")))
+    key = (F.when(F.col("kind") == "whole", F.col("loExact").cast("string"))
+            .when(F.col("kind") == "float", F.col("loNum").cast("string")).otherwise(F.col("value")))
+    return r.withColumn("key", key)
+
+
+def _check_rules(norm: DataFrame) -> None:
+    """Refuse what :func:`segment_select` refuses: one row of counts comes back, never the rules."""
+    valued = F.col("type") != "exists"
+    unread = valued & (F.col("kind") != "text") & (F.coalesce(F.col("loExact").cast("double"), F.col("loNum")).isNull()
+                                                   | F.coalesce(F.col("hiExact").cast("double"), F.col("hiNum")).isNull())
+    n = norm.agg(F.count(F.when(~F.col("type").isin(*CLAUSE_TYPES), 1)).alias("type"),
+                 F.count(F.when(F.col("kind").isNull(), 1)).alias("field"),
+                 F.count(F.when((F.col("type") == "rangeBoth") & (F.col("kind") == "text"), 1)).alias("text"),
+                 F.count(F.when(unread, 1)).alias("value")).first()
+    if n["type"]:
+        raise ValueError(f"{n['type']} rule(s) with an unknown type; expected {CLAUSE_TYPES}")
+    if n["field"]:
+        raise ValueError(f"{n['field']} rule(s) name a field the tag table does not have")
+    if n["text"]:
+        raise ValueError(f"{n['text']} rangeBoth rule(s) on a field that is not numeric")
+    if n["value"]:
+        raise ValueError(f"{n['value']} rule(s) with a value that is not a number (rangeBoth takes 'lo-hi')")
+
+
+def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any") -> DataFrame:
+    """``(segment_id, memberId)``: the distinct members of every segment of ``rules``.
 
     ``rules`` has columns ``segment_id, name, value, type`` (one row per
-    clause). Semantics per segment are those of :func:`segment_select`
-    without the limit.
-
-    Strategy by the size of the rule set (counted first):
-    up to ``compile_max_rules`` the rules are compiled into predicates and
-    evaluated in one pass without any shuffle; up to
-    ``broadcast_max_rules`` the tag table's long form is joined with the
-    broadcast rules; above that the join is salted by member.
+    clause). A clause list means what it means to :func:`segment_select`: it
+    is judged per tag row, and a member belongs to a segment if one of its
+    rows does.
     """
     if combine not in ("any", "all"):
         raise ValueError("combine must be 'any' or 'all'")
-    norm = _normalise_rules(rules)
-    fields = [c.lower() for c in tags.columns]
-    # Size check and validation in one small action over the rules.
-    stats = norm.agg(F.count(F.lit(1)).alias("n"),
-                     F.count(F.when(~F.col("type").isin(*CLAUSE_TYPES), 1)).alias("bad_type"),
-                     F.count(F.when(~F.col("field").isin(*fields), 1)).alias("bad_field"),
-                     F.count(F.when((F.col("type") == "rangeBoth")
-                                    & (F.col("lo").isNull() | F.col("hi").isNull()), 1))
-                      .alias("bad_range")).first()
-    if stats["bad_type"]:
-        raise ValueError(f"{stats['bad_type']} rule(s) with an unknown type; expected {CLAUSE_TYPES}")
-    if stats["bad_field"]:
-        raise ValueError(f"{stats['bad_field']} rule(s) name a field the tag table does not have")
-    if stats["bad_range"]:
-        raise ValueError(f"{stats['bad_range']} rangeBoth rule(s) not of the form 'lo-hi'")
-    if stats["n"] <= compile_max_rules:
-        return _compiled_bulk(tags, rules, combine)
-
+    norm = _normalise_rules(rules, {f.name.lower(): _kind(f.dataType) for f in tags.schema.fields})
+    _check_rules(norm)
     long = tag_long_form(tags)
-    if stats["n"] <= broadcast_max_rules:
-        r = F.broadcast(norm)
-        hits = long.join(r, _rule_condition(long, norm))
-    else:
-        salted_long = long.withColumn("salt", F.pmod(F.xxhash64(KEY), F.lit(salt_buckets)))
-        salted_rules = norm.withColumn("salt", F.explode(F.sequence(F.lit(0),
-                                                                    F.lit(salt_buckets - 1))))
-        hits = salted_long.join(salted_rules, _rule_condition(salted_long, salted_rules)
-                                & (salted_long["salt"] == salted_rules["salt"]))
-    # One shuffle on (segment, member); the distinct matched rules and the
-    # per-member fold are then two hash aggregates on that partitioning.
-    folded = (hits.select("segment_id", KEY, "rule_key", "negated", "nShould")
-                  .repartition("segment_id", KEY)
-                  .groupBy("segment_id", KEY, "rule_key", "negated")
-                  .agg(F.max("nShould").alias("nShould"))
-                  .groupBy("segment_id", KEY)
+    out = [KEY, "row", "segment_id", "negated", "nShould", "rule"]
+    named = norm.withColumn("rule", F.xxhash64("field", "value", "type"))
+    equal = named.filter(F.col("type").isin("match", "notMatch")).select(
+        "segment_id", "negated", "nShould", "rule", F.col("field").alias("f"), F.col("key").alias("k"))
+    hits = long.join(equal, (F.col("field") == F.col("f")) & (F.col("key") == F.col("k"))).select(*out)
+    span = named.filter(~F.col("type").isin("match", "notMatch")).select(
+        "segment_id", "negated", "nShould", "rule", F.col("field").alias("f"), "type", "value", "kind",
+        "loExact", "hiExact", "loNum", "hiNum")
+    low = (F.when(F.col("kind") == "whole", F.col("exact") >= F.col("loExact"))
+            .when(F.col("kind") == "float", F.col("num") >= F.col("loNum")).otherwise(F.col("key") >= F.col("value")))
+    high = (F.when(F.col("kind") == "whole", F.col("exact") <= F.col("hiExact"))
+             .when(F.col("kind") == "float", F.col("num") <= F.col("hiNum")).otherwise(F.col("key") <= F.col("value")))
+    t = F.col("type")
+    within = F.coalesce(F.when(t == "exists", F.lit(True)).when(t == "rangeGte", low).when(t == "rangeLte", high)
+                         .otherwise(low & high), F.lit(False))
+    hits = hits.unionByName(long.join(span, (F.col("field") == F.col("f")) & within).select(*out))
+    folded = (hits.groupBy("segment_id", KEY, "row", "negated", "rule").agg(F.max("nShould").alias("nShould"))
+                  .groupBy("segment_id", KEY, "row")
                   .agg(F.count(F.when(~F.col("negated"), 1)).alias("hits"),
-                       F.max("negated").alias("excluded"),
-                       F.max("nShould").alias("nShould")))
+                       F.max("negated").alias("excluded"), F.max("nShould").alias("nShould")))
     need = F.lit(1) if combine == "any" else F.greatest(F.col("nShould"), F.lit(1))
-    return (folded.filter(~F.col("excluded") & (F.col("hits") >= need))
-                  .select("segment_id", KEY))
+    return folded.filter(~F.col("excluded") & (F.col("hits") >= need)).select("segment_id", KEY).distinct()

@@ -305,11 +305,11 @@ def sql_segment(clauses) -> tuple[str, str]:
 _TAGS_WITH = _TAG_WITH + _USER_TAG_MEMBER
 
 
-def _select_sql(clauses, limit=1000):
+def _select_sql(clauses):
     where, matched = sql_segment(clauses)
     return _TAGS_WITH + f"""
 select memberId, phone, {matched} as matched from user_tag_member where {where}
-order by matched desc, memberId limit {limit}"""
+order by matched desc, memberId"""
 
 
 ORACLE["segment_select"] = _select_sql(_R.SEGMENT_OR_NOT)
@@ -322,7 +322,7 @@ ORACLE["segment_export"] = _TAGS_WITH + f"""
 select '[' || cast(memberId as varchar) || ',' || coalesce(phone, 'null') || ']' as line from (
   select memberId, phone, {sql_segment(_R.SEGMENT_OR_NOT)[1]} as matched
   from user_tag_member where {sql_segment(_R.SEGMENT_OR_NOT)[0]}
-  order by matched desc, memberId limit 1000) s"""
+  order by matched desc, memberId) s"""
 
 
 def _bulk_sql() -> str:
@@ -352,7 +352,7 @@ ORACLE["tag_counts"] = _counts_sql()
 
 # ----------------------------------------------------------------- hot words
 
-_FIELDS_SQL = "string_split(regexp_replace(value, '\\t+$', ''), chr(9))"
+_FIELDS_SQL = "string_split(regexp_replace(value, '\\t+\\z', ''), chr(9))"
 
 ORACLE["hot_words"] = W("search_log") + f"""
 select word, count(*) as searchCount from (

@@ -43,3 +43,10 @@ def test_word_counts_match_java_split_model(spark):
         assert sorted(r.line for r in HW.hot_words_malformed(df).collect()) == malformed
 
     check()
+
+
+def test_fields_end_at_the_text_not_at_a_line_end(spark):
+    """As Java's split: only empty fields at the very end go."""
+    lines = spark.createDataFrame([("a\tb\t\r",), ("a\tb\t\u2028",), ("a\tb\t\t",)], "value string")
+    from memberlens.operators import hotwords as HW
+    assert {r.word for r in HW.word_counts(lines).collect()} == {"\r", "\u2028", "null"}

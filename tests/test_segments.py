@@ -64,7 +64,7 @@ def test_case_insensitive_field_and_string_dates(tags):
     assert sel(tags, [{"name": "regTime", "value": "2020-01-03", "type": "rangeGte"}]) == [3, 7]
 
 
-def test_no_clause_is_everyone_up_to_limit(tags):
+def test_no_clause_is_everyone(tags):
     assert sel(tags, []) == [1, 2, 3, 7]
     assert len(SG.segment_select(tags, [], limit=2).collect()) == 2
 
@@ -115,9 +115,9 @@ def test_bulk_equals_select_per_segment(spark, tags):
     }
     rules = spark.createDataFrame([(s, n, v, t) for s, cl in segs.items() for n, v, t in cl],
                                   "segment_id string, name string, value string, type string")
-    for mode in ("compiled", "broadcast", "salted"):
-        got = SG.segment_bulk(tags, rules, compile_max_rules=1000 if mode == "compiled" else 0,
-                              broadcast_max_rules=0 if mode == "salted" else 1000, salt_buckets=3)
+    for broadcast in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        got = SG.segment_bulk(tags, rules)
         by_seg = {}
         for r in got.collect():
             by_seg.setdefault(r.segment_id, []).append(r.memberId)
@@ -125,7 +125,64 @@ def test_bulk_equals_select_per_segment(spark, tags):
             if not cl:
                 continue
             expect = sel(tags, [{"name": n, "value": v, "type": t} for n, v, t in cl], limit=None)
-            assert sorted(by_seg.get(s, [])) == expect, (s, mode)
+            assert sorted(by_seg.get(s, [])) == expect, (s, broadcast)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+BIG = 2**53
+
+
+def test_whole_numbers_are_exact(spark):
+    """Neighbours beyond 2**53 are told apart by every clause type, in select, size, bulk and counts."""
+    rows = [(BIG + k, f"p{k}", [BIG + k, 5], BIG / 1) for k in range(3)]
+    big = spark.createDataFrame(rows, "memberId long, phone string, favGoods array<long>, orderMoney double")
+    cases = {("memberId", str(BIG + 1), "match"): [1], ("memberId", str(BIG + 1), "notMatch"): [0, 2],
+             ("memberId", str(BIG + 1), "rangeGte"): [1, 2], ("memberId", f"{BIG + 0}.5", "rangeGte"): [1, 2],
+             ("memberId", f"{BIG}-{BIG + 1}", "rangeBoth"): [0, 1], ("favGoods", str(BIG + 2), "match"): [2],
+             ("memberId", "1e40", "rangeLte"): [0, 1, 2], ("memberId", "2.5", "match"): []}
+    rules = spark.createDataFrame([(str(k), *c) for k, c in enumerate(cases)],
+                                  "segment_id string, name string, value string, type string")
+    bulk = SG.segment_bulk(big, rules).collect()
+    counts = {tuple(r[2:5]): r[5] for r in CT.tag_counts(big, [("g", "l", *c) for c in cases]).collect()}
+    for k, (c, want) in enumerate(cases.items()):
+        clause = [dict(zip(("name", "value", "type"), c))]
+        want = [BIG + x for x in want]
+        assert sel(big, clause) == want, c
+        assert sorted(r.memberId for r in bulk if r.segment_id == str(k)) == want, c
+        assert counts[c] == SG.segment_size(big, clause).first().members == len(want)
+
+
+def test_one_meaning_for_any_number_of_rules(spark):
+    """Several rows per member: the same members for a few rules, for 501, and for thousands, and as select finds."""
+    from memberlens.operators import tags as TG
+    from memberlens.sources import fixtures as FX
+    from tests.conftest import SF_SMALL
+    table = TG.user_tag(FX.load(spark, SF_SMALL, *FX.SHOP_TABLE_NAMES)).repartition(8)
+    clauses = [("freeCouponTime", "2024-01-05", "notMatch"), ("sex", "1", "match")]
+    want = sorted(set(sel(table, [dict(zip(("name", "value", "type"), c)) for c in clauses])))
+    mine = [("mine", *c) for c in clauses]
+    for n in (0, 499, 20_000):
+        more = [(f"s{k}", "orderMoney", f"{k}-{k + 1}", "rangeBoth") if n < 1000 else (f"s{k}", "memberId", str(k), "match")
+                for k in range(n)]
+        rules = spark.createDataFrame(mine + more, "segment_id string, name string, value string, type string")
+        got = SG.segment_bulk(table, rules).filter("segment_id = 'mine'").collect()
+        assert sorted(r.memberId for r in got) == want
+
+
+@pytest.mark.parametrize("rule", [("sex", "abc", "match"), ("regTime", "1-2", "rangeBoth"), ("orderMoney", "5", "rangeBoth"),
+                                  ("sex", "1", "fuzzy"), ("nothing", "1", "match"), ("orderMoney", "nan", "rangeGte"),
+                                  ("orderMoney", "-5-10", "rangeBoth")])
+def test_bulk_refuses_what_select_refuses(spark, tags, rule):
+    with pytest.raises((ValueError, KeyError)):
+        SG.segment_select(tags, [dict(zip(("name", "value", "type"), rule))])
+    with pytest.raises(ValueError):
+        SG.segment_bulk(tags, spark.createDataFrame([("a", *rule)],
+                                                    "segment_id string, name string, value string, type string"))
+
+
+def test_a_limit_is_asked_for(tags):
+    with pytest.raises(ValueError):
+        SG.segment_select(tags, [], limit=0)
 
 
 def test_tag_counts_equal_single_tag_segments(spark, tags):
