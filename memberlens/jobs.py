@@ -8,9 +8,13 @@ Jobs (each writes its results instead of printing them):
                  week-over-week, coupon reminders -> one folder per metric
 * ``user-tags``  the tag document table (one row per member, or ``--reference-form``)
 * ``segment``    a segment of a tag table from clauses -> ``[memberId,phone]`` lines
+* ``segments``   the members of every segment of a rules file
+* ``tag-counts`` members per catalogue tag
 * ``hot-words``  top-k words of a tab-separated search log
 * ``cdc-topics`` change records -> one topic per table (Kafka or JSON folders)
 * ``cdc-ods``    change records -> hour-partitioned ODS table + partition commit
+* ``cdc-state``  change records -> the rows as they are now
+* ``cdc-dedup``  change records -> the same without redeliveries, by topic
 
 Shop tables come from a catalog database (``--database``, ``--hive`` for a
 Hive metastore) or from parquet folders ``{--tables}/{t_member,...}``.
@@ -24,12 +28,13 @@ import json
 
 from pyspark.sql import SparkSession
 
+from memberlens.operators import catalogue as CT
 from memberlens.operators import changes as CH
 from memberlens.operators import hotwords as HW
 from memberlens.operators import metrics as M
 from memberlens.operators import segments as SG
 from memberlens.operators import tags as TG
-from memberlens.session import get_session, scratch_dir
+from memberlens.session import get_session
 from memberlens.sources import changes as CS
 from memberlens.sources.logs import read_log
 from memberlens.sources.sinks import write_documents
@@ -81,13 +86,25 @@ def run_hot_words(spark: SparkSession, args) -> None:
     HW.hot_words(read_log(spark, args.log), k=args.k).write.mode("overwrite").json(args.out)
 
 
-def _changes(spark: SparkSession, args):
+def run_segments(spark: SparkSession, args) -> None:
+    tags = spark.read.format(args.format).load(args.tags)
+    rules = spark.read.schema("segment_id string, name string, value string, type string").json(args.rules)
+    SG.segment_bulk(tags, rules, combine=args.combine).write.mode("overwrite").parquet(args.out)
+
+
+def run_tag_counts(spark: SparkSession, args) -> None:
+    tags = spark.read.format(args.format).load(args.tags)
+    rows = CT.tag_catalogue_rows(args.as_of, args.coupon_as_of)
+    CT.tag_counts(tags, rows).write.mode("overwrite").json(args.out)
+
+
+def _changes(spark: SparkSession, args, keep: tuple[str, ...] = ()):
     if args.kafka:
         raw = CS.read_change_kafka(spark, args.kafka, topics=args.topics, pattern=args.pattern,
                                    starting_offsets=args.starting_offsets)
     else:
         raw = CS.read_change_files(spark, args.source, stream=True)
-    return CH.cdc_envelope(raw)
+    return CH.cdc_envelope(CH.valid_changes(raw), keep=keep)
 
 
 def _trigger(args) -> dict:
@@ -102,15 +119,16 @@ def run_cdc_topics(spark: SparkSession, args) -> None:
 
 
 def run_cdc_ods(spark: SparkSession, args) -> None:
-    rows = CH.cdc_typed_rows(_changes(spark, args), table=args.source_table)
+    schema = CH.TABLE_SCHEMAS[args.source_table]
+    rows = CH.cdc_typed_rows(_changes(spark, args), schema, table=args.source_table)
     rows = CH.ods_partition_columns(CH.cdc_watermark(rows, args.watermark_delay))
-    ckpt = args.checkpoint or scratch_dir(spark, "cdc-ods")
     if args.table:
-        ST.ensure_ods_table(spark, args.table, args.ods)
-    data = ST.ods_stream(rows, args.ods, checkpoint=f"{ckpt}/data", trigger=_trigger(args))
+        ST.ensure_ods_table(spark, args.table, args.ods, schema)
+    place = lambda kind: args.checkpoint and f"{args.checkpoint}/{kind}"
+    data = ST.ods_stream(rows, args.ods, checkpoint=place("data"), trigger=_trigger(args))
     if args.available_now:
         data.awaitTermination()
-    commit = ST.partition_commit_stream(spark, args.ods, checkpoint=f"{ckpt}/commit",
+    commit = ST.partition_commit_stream(spark, args.ods, checkpoint=place("commit"), schema=schema,
                                         trigger=_trigger(args), commit_delay=args.commit_delay,
                                         watermark_delay=args.watermark_delay, table=args.table)
     if args.available_now:
@@ -119,6 +137,17 @@ def run_cdc_ods(spark: SparkSession, args) -> None:
         spark.streams.awaitAnyTermination()
 
 
+def run_cdc_state(spark: SparkSession, args) -> None:
+    ST.current_state_stream(_changes(spark, args), args.out, key=args.key, checkpoint=args.checkpoint,
+                            trigger=_trigger(args)).awaitTermination()
+
+
+def run_cdc_dedup(spark: SparkSession, args) -> None:
+    once = CH.cdc_dedup(_changes(spark, args, keep=("arrival",)), arrival="arrival", delay=args.delay)
+    ST.route_topics_stream(once, kafka_servers=args.sink_kafka, path=args.out, checkpoint=args.checkpoint,
+                           trigger=_trigger(args), include_envelope=True, name="cdc_dedup").awaitTermination()
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="memberlens.jobs")
     p.add_argument("--hive", action="store_true", help="use the Hive metastore catalog")
@@ -151,12 +180,26 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--top", type=int, help=f"the best so many (the page showed {SG.PAGE_SIZE}); all if left out")
     s.add_argument("--out", required=True)
 
+    s = sub.add_parser("segments")
+    s.add_argument("--tags", required=True)
+    s.add_argument("--format", default="parquet")
+    s.add_argument("--rules", required=True, help="JSON lines with segment_id, name, value, type")
+    s.add_argument("--combine", default="any", choices=("any", "all"))
+    s.add_argument("--out", required=True)
+
+    s = sub.add_parser("tag-counts")
+    s.add_argument("--tags", required=True)
+    s.add_argument("--format", default="parquet")
+    s.add_argument("--as-of", required=True)
+    s.add_argument("--coupon-as-of")
+    s.add_argument("--out", required=True)
+
     s = sub.add_parser("hot-words")
     s.add_argument("--log", required=True)
     s.add_argument("--k", type=int, default=HW.DEFAULT_TOP_K)
     s.add_argument("--out", required=True)
 
-    for name in ("cdc-topics", "cdc-ods"):
+    for name in ("cdc-topics", "cdc-ods", "cdc-state", "cdc-dedup"):
         s = sub.add_parser(name)
         src = s.add_mutually_exclusive_group(required=True)
         src.add_argument("--kafka", help="bootstrap servers of the change topics")
@@ -167,21 +210,28 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--checkpoint")
         s.add_argument("--trigger", default="5 seconds")
         s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
-        if name == "cdc-topics":
+        if name in ("cdc-topics", "cdc-dedup"):
             s.add_argument("--sink-kafka")
             s.add_argument("--out")
-            s.add_argument("--include-envelope", action="store_true")
+            if name == "cdc-topics":
+                s.add_argument("--include-envelope", action="store_true")
+            else:
+                s.add_argument("--delay", default="1 hour", help="how long a redelivery is recognised")
+        elif name == "cdc-state":
+            s.add_argument("--out", required=True)
+            s.add_argument("--key", default="id")
         else:
             s.add_argument("--ods", required=True)
             s.add_argument("--table")
-            s.add_argument("--source-table", default="order_info")
+            s.add_argument("--source-table", default="order_info", choices=sorted(CH.TABLE_SCHEMAS))
             s.add_argument("--commit-delay", default="61 minutes")
             s.add_argument("--watermark-delay", default="5 seconds")
     return p
 
 
 JOBS = {"metrics": run_metrics, "user-tags": run_user_tags, "segment": run_segment,
-        "hot-words": run_hot_words, "cdc-topics": run_cdc_topics, "cdc-ods": run_cdc_ods}
+        "segments": run_segments, "tag-counts": run_tag_counts, "hot-words": run_hot_words,
+        "cdc-topics": run_cdc_topics, "cdc-ods": run_cdc_ods, "cdc-state": run_cdc_state, "cdc-dedup": run_cdc_dedup}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

@@ -33,6 +33,25 @@ ORDER_INFO_SCHEMA = T.StructType([
     T.StructField("total_amount", T.DoubleType()),
 ])
 
+# The operational user table (fixed values: names and types of its columns).
+USER_INFO_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("login_name", T.StringType()),
+    T.StructField("nick_name", T.StringType()),
+    T.StructField("passwd", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("phone_num", T.StringType()),
+    T.StructField("email", T.StringType()),
+    T.StructField("head_img", T.StringType()),
+    T.StructField("user_level", T.StringType()),
+    T.StructField("birthday", T.DateType()),
+    T.StructField("gender", T.StringType()),
+    T.StructField("create_time", T.StringType()),
+    T.StructField("operate_time", T.StringType()),
+    T.StructField("status", T.StringType()),
+])
+TABLE_SCHEMAS = {"order_info": ORDER_INFO_SCHEMA, "user_info": USER_INFO_SCHEMA}
+
 ODS_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -62,21 +81,53 @@ def cdc_envelope(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         *keep)
 
 
+def reject_reason() -> F.Column:
+    """Why a parsed change record cannot be used; NULL for a good one."""
+    parts = F.split(F.col("topic"), r"\.")
+    return (F.when(F.col("topic").isNull() & F.col("op").isNull(), F.lit("not a change record"))
+             .when(F.coalesce(F.size(parts), F.lit(0)) < 3, F.lit("no server.database.table topic"))
+             .when(F.col("op").isNull(), F.lit("no operation"))
+             .when(F.col("after").isNull() & F.col("before").isNull(), F.lit("no row image")))
+
+
+def valid_changes(raw: DataFrame) -> DataFrame:
+    """The parsed records that :func:`cdc_envelope` can use."""
+    return raw.filter(reject_reason().isNull())
+
+
+def rejected_changes(raw: DataFrame, column: str = "value") -> DataFrame:
+    """``(value, reason)`` of the other records, with their text as it came."""
+    return raw.select(F.col(column).alias("value"), reject_reason().alias("reason")).filter("reason is not null")
+
+
+def change_quality(envelope: DataFrame, key: str = "id", time_column: str = "create_time") -> DataFrame:
+    """Per database and table: records, those without a key, and those whose time does not parse."""
+    value = lambda c: F.try_element_at(F.col("data"), F.lit(c))
+    parsed = F.try_to_timestamp(value(time_column), F.lit(ODS_TIME_FORMAT))
+    return envelope.groupBy("database", "table").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count(F.when(value(key).isNull(), 1)).alias("withoutKey"),
+        F.count(F.when(parsed.isNull(), 1)).alias("withoutTime"))
+
+
 def envelope_json(envelope: DataFrame) -> DataFrame:
     """The envelope serialised as one JSON object per change (``value``), nulls kept."""
     return envelope.select(F.to_json(F.struct(*ENVELOPE_COLUMNS), JSON_KEEP_NULLS).alias("value"))
 
 
-def cdc_route_topics(envelope: DataFrame, include_envelope: bool = False) -> DataFrame:
+def cdc_route_topics(envelope: DataFrame, include_envelope: bool = False,
+                     key_column: str | None = None) -> DataFrame:
     """``(topic, value)`` rows for a topic-per-table sink.
 
     The topic is the source table; the value is the row image as JSON
     (``include_envelope=True`` sends the whole envelope so that operation
-    and time survive downstream).
+    and time survive downstream). ``key_column`` adds the row's key as
+    ``key``: a topic keeps the order of the changes of one key.
     """
     value = (F.to_json(F.struct(*ENVELOPE_COLUMNS), JSON_KEEP_NULLS) if include_envelope
              else F.to_json(F.col("data"), JSON_KEEP_NULLS))
-    return envelope.select(F.col("table").alias("topic"), value.alias("value"))
+    key = [F.try_element_at(F.col("data"), F.lit(key_column)).alias("key")] if key_column else []
+    return envelope.select(F.col("table").alias("topic"), *key, value.alias("value"))
 
 
 def cdc_typed_rows(envelope: DataFrame, schema: T.StructType = ORDER_INFO_SCHEMA,
@@ -113,39 +164,49 @@ def ods_partition_columns(rows: DataFrame, time_column: str = "create_time",
     return rows.withColumn("dt", F.date_format(t, "yyyy-MM-dd")).withColumn("hr", F.date_format(t, "HH"))
 
 
+def newest_changes(envelope: DataFrame, key: str = "id", tiebreak: str | None = None) -> DataFrame:
+    """The newest change per ``(database, table, key)``, deletes included.
+
+    Newest is the largest millisecond time, then ``tiebreak`` (e.g. a log
+    offset), then the text of the change, so that the result is defined in
+    every case. Changes without the key are left out (:func:`change_quality`
+    counts them). ``max_by`` aggregates partially in the map tasks, so a key
+    with a huge change history is still folded in every task first.
+    """
+    tie = F.col(tiebreak).cast("bigint") if tiebreak else F.lit(None).cast("bigint")
+    order = F.struct(F.col("timestamp").cast("bigint"), tie, F.col("operation"),
+                     F.to_json("data", JSON_KEEP_NULLS))
+    return (envelope.withColumn("_key", F.try_element_at(F.col("data"), F.lit(key))).filter("_key is not null")
+            .groupBy("database", "table", F.col("_key").alias(key))
+            .agg(F.max_by(F.struct("operation", "timestamp", "data", tie.alias("tie")), order).alias("s"))
+            .select("database", "table", key, "s.operation", "s.timestamp", "s.data", "s.tie"))
+
+
 def cdc_current_state(envelope: DataFrame, key: str = "id",
                       tiebreak: str | None = None) -> DataFrame:
-    """Newest state per ``(table, key)``; keys whose newest change is a delete are dropped.
+    """``(database, table, key, operation, timestamp, data)``: the rows as they are now.
 
-    ``(table, key, operation, timestamp, data)``. The newest change is the
-    one with the largest millisecond time (then ``tiebreak``, e.g. a log
-    offset). ``max_by`` aggregates partially in the map tasks, so a key
-    with a huge change history is still folded in every task first.
+    The newest change of each key (:func:`newest_changes`); keys whose newest
+    change is a delete are dropped.
     """
-    order = [F.col("timestamp").cast("bigint")]
-    if tiebreak:
-        order.append(F.col(tiebreak))
-    latest = (envelope.withColumn("k", F.try_element_at(F.col("data"), F.lit(key)))
-              .groupBy("table", "k")
-              .agg(F.max_by(F.struct("operation", "timestamp", "data"), F.struct(*order))
-                   .alias("s")))
-    return (latest.filter(F.col("s.operation") != "delete")
-                  .select("table", F.col("k").alias(key), "s.operation", "s.timestamp", "s.data"))
-
-
-def cdc_dedup(envelope: DataFrame, key: str = "id", delay: str | None = None) -> DataFrame:
-    """Drop redelivered change events: same table, key, time and operation.
-
-    On a stream, give ``delay``: duplicates are recognised while their
-    event time is within the watermark, and the state is purged after it.
-    As in every stateful stream operator, a row older than the watermark
-    (later than ``delay``) is dropped, so ``delay`` must cover the source's
-    disorder.
+    return newest_changes(envelope, key, tiebreak).filter("operation <> 'delete'").drop("tie")
+
+
+def cdc_dedup(envelope: DataFrame, position: tuple[str, ...] = (), arrival: str | None = None,
+              delay: str = "1 hour") -> DataFrame:
+    """Drop redelivered change events, and nothing else.
+
+    A redelivery has the same source position (``position``, e.g. topic,
+    partition and offset of the log) or, without one, the same envelope in
+    full: database, table, operation, time and row image.
+
+    On a stream name the ``arrival`` column (the record time of the topic, or
+    the time of the file): redeliveries are recognised within ``delay`` of
+    each other and the state is purged after it. Arrival times grow as the
+    stream is read, so no change counts as late, however old its event time.
     """
-    cols = ["table", "_key", "timestamp", "operation"]
-    keyed = envelope.withColumn("_key", F.try_element_at(F.col("data"), F.lit(key)))
-    if delay is not None:
-        keyed = (keyed.withColumn("_event_time", F.timestamp_millis(F.col("timestamp").cast("bigint")))
-                      .withWatermark("_event_time", delay))
-        return keyed.dropDuplicatesWithinWatermark(cols).drop("_key", "_event_time")
-    return keyed.dropDuplicates(cols).drop("_key")
+    same = list(position) or ["database", "table", "operation", "timestamp", "_image"]
+    out = envelope if position else envelope.withColumn("_image", F.to_json("data", JSON_KEEP_NULLS))
+    if arrival is None:
+        return out.dropDuplicates(same).drop("_image")
+    return out.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(same).drop("_image")

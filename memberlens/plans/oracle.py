@@ -402,6 +402,18 @@ select id, user_id, create_time, operate_time, cast(province_id as integer) as p
 ORACLE["cdc_typed_rows"] = _CHANGES + _TYPED + """
 from env where "table" = 'order_info'"""
 
+ORACLE["cdc_typed_user_rows"] = _CHANGES + """
+select id, null::varchar as login_name, null::varchar as nick_name, null::varchar as passwd, null::varchar as name,
+       null::varchar as phone_num, null::varchar as email, null::varchar as head_img, null::varchar as user_level,
+       null::varchar as birthday, null::varchar as gender, create_time, operate_time, null::varchar as status,
+       timestamp, operation as op
+from env where "table" = 'user_info'"""
+
+ORACLE["cdc_change_quality"] = _CHANGES + """
+select database, "table", count(*) as records, count(*) filter (where id is null) as "withoutKey",
+       count(*) filter (where try_strptime(create_time, '%Y-%m-%d %H:%M:%S') is null) as "withoutTime"
+from env group by database, "table\""""
+
 ORACLE["cdc_watermark"] = _CHANGES + _TYPED + """,
        strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S.%g') as event_time
 from env where "table" = 'order_info'"""

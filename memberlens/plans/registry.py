@@ -22,7 +22,7 @@ from memberlens.operators import tags as TG
 from memberlens.session import scratch_dir
 from memberlens.sources import changes as CS
 from memberlens.sources import fixtures as FX
-from memberlens.sources.tables import read_parquet_table
+from memberlens.sources.tables import read_parquet_stream, read_parquet_table
 from memberlens.streaming import cdc as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -321,66 +321,61 @@ def q_cdc_current_state(spark, root):
                      F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
 
 
+@register("cdc_typed_user_rows")
+def q_cdc_typed_user_rows(spark, root):
+    rows = CH.cdc_typed_rows(_envelope(spark, root), CH.USER_INFO_SCHEMA, table="user_info")
+    return rows.withColumn("birthday", F.col("birthday").cast("string"))
+
+
+@register("cdc_change_quality")
+def q_cdc_change_quality(spark, root):
+    """Counts of the good records by table, and of the rejected ones by reason, as one table."""
+    raw = _raw_changes(spark, root)
+    good = CH.change_quality(CH.cdc_envelope(CH.valid_changes(raw)))
+    bad = CH.rejected_changes(raw).groupBy(F.col("reason").alias("table")).agg(F.count("*").alias("records"))
+    return good.unionByName(bad.select(F.lit("rejected").alias("database"), "table", "records",
+                                       F.col("records").alias("withoutKey"), F.col("records").alias("withoutTime")))
+
+
 @register("cdc_dedup")
 def q_cdc_dedup(spark, root):
     # Every record delivered twice (an at-least-once sink replaying a whole batch).
     raw = _raw_changes(spark, root)
     env = CH.cdc_envelope(raw.unionByName(raw))
-    return CH.cdc_dedup(env, key="id").select(
+    return CH.cdc_dedup(env).select(
         "operation", "table", "timestamp", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
 
 
-def _stage_changes(spark, root, name, redeliver=False):
-    """Write the change records derived from ``events`` as JSON-lines files.
+# The streams read the given table itself, as it lies there.
 
-    Four files in event-time order: the file source feeds one per
-    micro-batch, as a change log arrives over time. ``redeliver`` writes
-    every record twice, next to each other (an at-least-once producer
-    retrying).
-    """
-    base = scratch_dir(spark, name)
-    events = read_parquet_table(spark, root, "events")
-    records = CS.change_records_from_events(events)
+def _change_stream(spark, root, redeliver=False):
+    """Parsed change records derived from a stream over ``events``; ``arrival`` is the time of the file."""
+    events = read_parquet_stream(spark, root, "events")
+    arrived = events.select("*", F.col("_metadata.file_modification_time").alias("arrival"))
+    records = CS.change_records_from_events(arrived, keep=("arrival",))
     if redeliver:
         records = records.unionByName(records)
-    (records.repartitionByRange(4, "ts_ms").sortWithinPartitions("ts_ms")
-            .select("value").write.text(f"{base}/raw"))
-    _arrival_order(spark, f"{base}/raw")
-    return base
-
-
-def _arrival_order(spark, folder):
-    """Give the staged files modification times in name order.
-
-    Range partitioning numbers the files in event-time order, but they are
-    written concurrently; the file source reads files in modification-time
-    order, so the times are set to make the replay arrive in event-time
-    order, as a change log does. Four metadata calls on the driver.
-    """
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = sorted((st.getPath() for st in fs.listStatus(path)
-                    if st.getPath().getName().startswith("part-")), key=lambda p: p.getName())
-    start = max(st.getModificationTime() for st in fs.listStatus(path))
-    for i, f in enumerate(files):
-        fs.setTimes(f, start + 1000 * (i + 1), -1)
+    return CS.parse_change_json(records)
+
+
+def _drained(query):
+    query.awaitTermination()
+
+
+NOW = {"availableNow": True}
 
 
 def _run_ods_stream(spark, root):
-    """Stage the change records as JSON files, stream them through the ODS sink."""
-    base = _stage_changes(spark, root, "ods-run")
-    raw = CS.read_change_files(spark, f"{base}/raw", stream=True, max_files_per_trigger=1)
-    rows = CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info")
+    """Stream the order changes into an ODS folder of this run."""
+    out = scratch_dir(spark, "ods-run")
+    rows = CH.cdc_typed_rows(CH.cdc_envelope(_change_stream(spark, root)), table="order_info")
     rows = CH.ods_partition_columns(CH.cdc_watermark(rows))
-    run = base.rsplit("-", 1)[-1]          # unique per run: runs may overlap
-    q = ST.ods_stream(rows, f"{base}/ods", checkpoint=f"{base}/checkpoint",
-                      trigger={"availableNow": True}, name=f"cdc_ods_{run}")
-    q.awaitTermination()
-    c = ST.partition_commit_stream(spark, f"{base}/ods", checkpoint=f"{base}/checkpoint-commit",
-                                   trigger={"availableNow": True}, name=f"cdc_ods_commit_{run}")
-    c.awaitTermination()
-    return f"{base}/ods"
+    _drained(ST.ods_stream(rows, out, trigger=NOW, name=_run_name("cdc_ods", out)))
+    return out
+
+
+def _run_name(name, folder):
+    return f"{name}_{folder.rsplit('-', 1)[-1]}"          # unique per run: runs may overlap
 
 
 @register("cdc_ods_partitioned")
@@ -390,49 +385,38 @@ def q_cdc_ods_partitioned(spark, root):
 
 @register("cdc_partition_commit")
 def q_cdc_partition_commit(spark, root):
-    return ST.read_commits(spark, _run_ods_stream(spark, root)).select("dt", "hr")
+    out = _run_ods_stream(spark, root)
+    _drained(ST.partition_commit_stream(spark, out, trigger=NOW, name=_run_name("cdc_ods_commit", out)))
+    return ST.read_commits(spark, out).select("dt", "hr")
 
 
 @register("cdc_route_topics_stream")
 def q_cdc_route_topics_stream(spark, root):
     """P34 through the streaming topic sink (partitioned JSON files), read back."""
-    base = _stage_changes(spark, root, "topics-run")
-    run = base.rsplit("-", 1)[-1]
-    env = CH.cdc_envelope(CS.read_change_files(spark, f"{base}/raw", stream=True,
-                                               max_files_per_trigger=1))
-    q = ST.route_topics_stream(env, path=f"{base}/topics", checkpoint=f"{base}/checkpoint",
-                               trigger={"availableNow": True}, name=f"cdc_topics_{run}")
-    q.awaitTermination()
-    return spark.read.schema("value string, topic string").json(f"{base}/topics").select("topic", "value")
+    out = scratch_dir(spark, "topics-run")
+    env = CH.cdc_envelope(_change_stream(spark, root))
+    _drained(ST.route_topics_stream(env, path=out, trigger=NOW, name=_run_name("cdc_topics", out)))
+    return spark.read.schema("value string, topic string").json(out).select("topic", "value")
 
 
 @register("cdc_current_state_stream")
 def q_cdc_current_state_stream(spark, root):
-    """P39 as a stateful stream (update-mode log), resolved to current rows."""
-    base = _stage_changes(spark, root, "state-run")
-    run = base.rsplit("-", 1)[-1]
-    env = CH.cdc_envelope(CS.read_change_files(spark, f"{base}/raw", stream=True,
-                                               max_files_per_trigger=1))
-    q = ST.current_state_stream(env, path=f"{base}/state", checkpoint=f"{base}/checkpoint",
-                                trigger={"availableNow": True}, name=f"cdc_state_{run}")
-    q.awaitTermination()
-    return (ST.read_current_state(spark, f"{base}/state")
+    """P39 as a stream (log of batches and snapshot), resolved to current rows."""
+    out = scratch_dir(spark, "state-run")
+    env = CH.cdc_envelope(_change_stream(spark, root), keep=("seq",))
+    _drained(ST.current_state_stream(env, out, tiebreak="seq", trigger=NOW, name=_run_name("cdc_state", out)))
+    return (ST.read_current_state(spark, out)
               .select("table", "id", "operation", "timestamp",
                       F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json")))
 
 
 @register("cdc_dedup_stream")
 def q_cdc_dedup_stream(spark, root):
-    """P40 on a stream: every record delivered twice, de-duplicated within the watermark."""
-    base = _stage_changes(spark, root, "dedup-run", redeliver=True)
-    run = base.rsplit("-", 1)[-1]
-    env = CH.cdc_envelope(CS.read_change_files(spark, f"{base}/raw", stream=True,
-                                               max_files_per_trigger=1))
-    out = CH.cdc_dedup(env, key="id", delay="5 seconds").select(
+    """P40 on a stream: every record delivered twice, in the table's own order."""
+    out = scratch_dir(spark, "dedup-run")
+    env = CH.cdc_envelope(_change_stream(spark, root, redeliver=True), keep=("arrival",))
+    rows = CH.cdc_dedup(env, arrival="arrival").select(
         "operation", "table", "timestamp", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
-    q = (out.writeStream.queryName(f"cdc_dedup_{run}").format("parquet")
-            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-            .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.schema("operation string, table string, timestamp string, data_json string") \
-                .parquet(f"{base}/out")
+    _drained(rows.writeStream.queryName(_run_name("cdc_dedup", out)).format("parquet").option("path", out)
+             .option("checkpointLocation", f"{out}/_checkpoints/dedup").trigger(**NOW).start())
+    return spark.read.schema("operation string, table string, timestamp string, data_json string").parquet(out)

@@ -34,12 +34,17 @@ def parse_change_json(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def read_change_files(spark: SparkSession, path: str, stream: bool = False,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """JSON-lines change records from a folder, as a batch or a streaming DataFrame."""
+    """JSON-lines change records from a folder, as a batch or a streaming DataFrame.
+
+    The records keep their text (``value``) and, on a stream, the time of
+    their file as ``arrival``.
+    """
     if stream:
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        return parse_change_json(reader.load(path))
+        lines = reader.load(path)
+        return parse_change_json(lines.select("value", F.col("_metadata.file_modification_time").alias("arrival")))
     return parse_change_json(spark.read.text(path))
 
 
@@ -65,7 +70,8 @@ def read_change_kafka(spark: SparkSession, bootstrap_servers: str, topics: str |
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     raw = reader.load().select(F.col("value").cast("string").alias("value"),
-                               F.col("topic").alias("kafka_topic"), "partition", "offset")
+                               F.col("topic").alias("kafka_topic"), "partition", "offset",
+                               F.col("timestamp").alias("arrival"))
     return parse_change_json(raw)
 
 
@@ -75,14 +81,14 @@ SERVER = "mysql"          # fixed value: server name in the generated topics
 DATABASE = "ecommerce"    # fixed value: the shop database
 
 
-def change_records_from_events(events: DataFrame) -> DataFrame:
+def change_records_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Change records (JSON text in ``value``; ``seq``, ``ts_ms`` alongside) from ``events``.
 
     Purchases become changes of ``order_info`` rows, all other events
     changes of ``user_info`` rows; ``view`` is a snapshot read, ``signup`` a
     create, ``error`` a delete (row image in ``before`` only) and the rest
     updates (both images). The row image carries a real NULL
-    (``operate_time`` of reads and creates).
+    (``operate_time`` of reads and creates). ``keep`` names columns to carry.
     """
     ts = F.col("ts").cast("timestamp")
     table = F.when(F.col("event_type") == "purchase", F.lit("order_info")).otherwise(F.lit("user_info"))
@@ -105,5 +111,5 @@ def change_records_from_events(events: DataFrame) -> DataFrame:
                       F.unix_millis(ts).alias("ts_ms"),
                       F.when(op.isin("u", "d"), row).alias("before"),
                       F.when(op != "d", row).alias("after"))
-    return events.select(F.col("event_id").alias("seq"), F.unix_millis(ts).alias("ts_ms"),
+    return events.select(*keep, F.col("event_id").alias("seq"), F.unix_millis(ts).alias("ts_ms"),
                          F.to_json(record, JSON_KEEP_NULLS).alias("value"))

@@ -20,6 +20,18 @@ def read_parquet_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def read_parquet_stream(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The same table as a stream of its files, read where they lie (``_metadata`` is there)."""
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = spark.readStream.schema(schema)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return stream.parquet(path)
+    # A stream follows a folder; the pattern leaves the other tables out.
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(root)
+
+
 def catalog_tables(spark: SparkSession, database: str = "ecommerce") -> dict[str, DataFrame]:
     """The shop tables from a metastore database, as on the original cluster."""
     return {name: spark.table(f"{database}.{name}") for name in SHOP_TABLES}

@@ -1,9 +1,11 @@
 """Change-event streams: topic routing, the hour-partitioned ODS table with
 partition commit, the current-state table and de-duplication.
 
-Checkpoints default to a fresh folder under the shared
-``spark.checkpoint.dir`` (never a machine-local folder on a cluster), so a
-restarted driver resumes from the last committed offsets.
+A stream into a folder keeps its checkpoint in ``{path}/_checkpoints`` unless
+another is named, so a second start with the same arguments goes on where the
+first one stopped. A folder that a stream has written before is refused with
+a new checkpoint: Spark's file sink would take the new stream's first batches
+for ones it has already. Sinks without a folder need a checkpoint.
 
 ODS table: :func:`ods_stream` appends typed rows with Spark's partitioned
 parquet file sink (exactly-once through the sink's commit log).
@@ -21,25 +23,61 @@ original job used 1 minute (``commit_delay='1 minute'``).
 
 from __future__ import annotations
 
-import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from memberlens.operators.changes import cdc_route_topics
-from memberlens.session import scratch_dir
+from memberlens.operators.changes import ORDER_INFO_SCHEMA, cdc_route_topics, newest_changes
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}   # fixed value: 5 s checkpoint cadence
 ODS_PARTITIONS = ("dt", "hr")
 
 
-def _writer(df: DataFrame, name: str, checkpoint: str | None, trigger: dict | None):
+# ----------------------------------------------------------------- folders
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the complete ``batch=N`` folders under ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[6:]) for n in names if n.startswith("batch=") and _exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _writer(df: DataFrame, name: str, checkpoint: str | None, trigger: dict | None, path: str | None = None):
+    """A named stream writer with its checkpoint; see the module text."""
+    if checkpoint is None:
+        if path is None:
+            raise ValueError("name a checkpoint: this sink has no folder to keep one in")
+        checkpoint = f"{path.rstrip('/')}/_checkpoints/{name}"
     spark = df.sparkSession
-    w = df.writeStream.queryName(name).option("checkpointLocation",
-                                              checkpoint or scratch_dir(spark, f"ckpt-{name}"))
-    return w.trigger(**(trigger or DEFAULT_TRIGGER))
+    if path and _exists(spark, f"{path}/_spark_metadata") and not _exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{path} was written by a stream whose checkpoint is not {checkpoint}; "
+                         "name that checkpoint or another folder")
+    return df.writeStream.queryName(name).option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
 
 
 DEFAULT_TOPIC = "DEFAULT_DATA"   # fixed value: topic for rows without a table
@@ -49,22 +87,24 @@ def route_topics_stream(envelope: DataFrame, *, kafka_servers: str | None = None
                         path: str | None = None, checkpoint: str | None = None,
                         trigger: dict | None = None, include_envelope: bool = False,
                         kafka_options: dict[str, str] | None = None,
-                        fixed_topic: str | None = None, console: bool = False,
+                        fixed_topic: str | None = None, console: bool = False, key: str = "id",
                         name: str = "cdc_route_topics") -> StreamingQuery:
     """Send each change to the topic named after its table.
 
     With ``kafka_servers`` the Kafka sink routes rows by their ``topic``
-    column (at-least-once: pair with :func:`memberlens.operators.changes.cdc_dedup`
-    downstream). Otherwise a JSON file sink partitioned by ``topic`` under
+    column, with the row's ``key`` as record key, so the changes of one row
+    stay in order (at-least-once: pair with
+    :func:`memberlens.operators.changes.cdc_dedup` downstream). Otherwise a JSON file sink partitioned by ``topic`` under
     ``path`` is written (exactly-once through the sink's commit log).
     """
-    rows = cdc_route_topics(envelope, include_envelope)
+    rows = cdc_route_topics(envelope, include_envelope, key if kafka_servers else None)
     rows = rows.withColumn("topic", F.coalesce(F.col("topic"), F.lit(DEFAULT_TOPIC)))
     if fixed_topic:
         # One topic for everything: the Kafka sink's ``topic`` option wins
         # over the column only when the column is absent.
         rows = rows.drop("topic")
-    w = _writer(rows, name, checkpoint, trigger)
+    folder = None if console or kafka_servers else f"{path}/topic={fixed_topic}" if path and fixed_topic else path
+    w = _writer(rows, name, checkpoint, trigger, folder)
     if console:
         return w.format("console").option("truncate", "false").start()
     if kafka_servers:
@@ -83,23 +123,7 @@ def route_topics_stream(envelope: DataFrame, *, kafka_servers: str | None = None
 
 # ----------------------------------------------------------------- ODS sink
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def _touch(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True).close()
-
-
-def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if _exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
-
-
-COMMIT_SCHEMA = "dt string, hr string, batch_id long, watermark timestamp"
+COMMIT_SCHEMA = "dt string, hr string, watermark timestamp"
 
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -116,63 +140,6 @@ def _interval_seconds(text: str) -> float:
     return total
 
 
-class PartitionCommitter:
-    """Marks complete ODS partitions, given the latest event time per hour.
-
-    The per-hour state itself lives in Spark (the state store of
-    :func:`partition_commit_stream`); this object only remembers which
-    hours are committed (log ``{path}/_ods_meta/commits``, one row per hour,
-    reloaded after a restart), so committing is idempotent.
-    """
-
-    def __init__(self, path: str, commit_delay: str = "61 minutes",
-                 watermark_delay: str = "5 seconds", table: str | None = None,
-                 success_file: bool = True):
-        self.path, self.table, self.success_file = path, table, success_file
-        self.delay = _dt.timedelta(seconds=_interval_seconds(commit_delay))
-        self.lateness = _dt.timedelta(seconds=_interval_seconds(watermark_delay))
-        self.meta = f"{path}/_ods_meta"
-        self.committed: set | None = None
-
-    def commit(self, spark: SparkSession, batch_id: int, hours: list) -> list[tuple]:
-        """``hours``: rows ``(dt, hr, max_event_time)`` for every hour written so far."""
-        if self.committed is None:
-            log = _read_log(spark, f"{self.meta}/commits", COMMIT_SCHEMA).select("dt", "hr").collect()
-            self.committed = {(r["dt"], r["hr"]) for r in log}
-        latest = [h["max_event_time"] for h in hours if h["max_event_time"] is not None]
-        if not latest:
-            return []
-        watermark = max(latest) - self.lateness
-        ready = []
-        for h in sorted(hours, key=lambda r: (str(r["dt"]), str(r["hr"]))):
-            dt, hr = h["dt"], h["hr"]
-            if dt is None or hr is None or (dt, hr) in self.committed:
-                continue
-            if _dt.datetime.fromisoformat(f"{dt} {hr}:00:00") + self.delay <= watermark:
-                ready.append((dt, hr, batch_id, watermark))
-        if self.success_file and ready:
-            # Marker files are metadata calls on the driver; issue them
-            # concurrently (one per committed hour).
-            with ThreadPoolExecutor(max_workers=min(16, len(ready))) as pool:
-                list(pool.map(lambda r: _touch(spark, f"{self.path}/dt={r[0]}/hr={r[1]}/_SUCCESS"),
-                              ready))
-        for dt, hr, _, _ in ready:
-            if self.table:
-                spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS PARTITION "
-                          f"(dt='{dt}', hr='{hr}')")
-        if ready:
-            spark.createDataFrame(ready, COMMIT_SCHEMA).write.mode("append") \
-                 .parquet(f"{self.meta}/commits")
-            self.committed.update((dt, hr) for dt, hr, _, _ in ready)
-        return ready
-
-
-def _hour_state(rows: DataFrame, millis_column: str) -> DataFrame:
-    event_time = F.timestamp_millis(F.col(millis_column).cast("bigint"))
-    return (rows.groupBy(*ODS_PARTITIONS)
-                .agg(F.count(F.lit(1)).alias("rows"), F.max(event_time).alias("max_event_time")))
-
-
 def ods_stream(rows: DataFrame, path: str, *, checkpoint: str | None = None,
                trigger: dict | None = None, name: str = "cdc_ods") -> StreamingQuery:
     """Append typed change rows (with ``dt``, ``hr``) to the ODS folder.
@@ -186,122 +153,156 @@ def ods_stream(rows: DataFrame, path: str, *, checkpoint: str | None = None,
     """
     data = rows.drop("event_time") if "event_time" in rows.columns else rows
     data = data.hint("rebalance", *ODS_PARTITIONS)
-    return (_writer(data, name, checkpoint, trigger).format("parquet")
+    return (_writer(data, name, checkpoint, trigger, path).format("parquet")
             .partitionBy(*ODS_PARTITIONS).option("path", path).start())
 
 
+def commit_batch(batch: DataFrame, number: int, path: str, *, commit_delay: str = "61 minutes",
+                 watermark_delay: str = "5 seconds", table: str | None = None,
+                 success_file: bool = True, millis_column: str = "timestamp") -> list[tuple]:
+    """Mark the hours that are complete after a batch of newly committed rows.
+
+    ``{path}/_ods_meta/pending/batch=N`` holds the hours that wait after
+    batch N, and the largest event time so far; with the batch's own hours it
+    gives the next one. Only the newly complete hours come to the driver. A
+    replayed batch starts from the same pending hours and overwrites its own
+    results.
+    """
+    spark, meta = batch.sparkSession, f"{path}/_ods_meta"
+    event_time = F.timestamp_millis(F.col(millis_column).cast("bigint"))
+    hours = batch.groupBy(*ODS_PARTITIONS).agg(F.max(event_time).alias("latest"))
+    before = [v for v in _versions(spark, f"{meta}/pending") if v < number]
+    if before:
+        hours = hours.unionByName(spark.read.schema("dt string, hr string, latest timestamp")
+                                  .parquet(f"{meta}/pending/batch={before[-1]}"))
+    hours = hours.groupBy(*ODS_PARTITIONS).agg(F.max("latest").alias("latest"))
+    done = [v for v in _versions(spark, f"{meta}/commits") if v < number]
+    commits = read_commits(spark, path, done).select(*ODS_PARTITIONS)
+    top = hours.agg((F.max("latest") - F.expr(f"interval {_interval_seconds(watermark_delay)} seconds")).alias("watermark"))
+    start = F.try_to_timestamp(F.concat_ws(" ", "dt", "hr"), F.lit("yyyy-MM-dd HH"))
+    named = F.col("dt").isNotNull() & F.col("hr").isNotNull()
+    ready = (hours.filter(named).join(commits, list(ODS_PARTITIONS), "left_anti").crossJoin(F.broadcast(top))
+             .filter(start + F.expr(f"interval {_interval_seconds(commit_delay)} seconds") <= F.col("watermark"))
+             .select("dt", "hr", "watermark"))
+    ready.write.mode("overwrite").parquet(f"{meta}/commits/batch={number}")
+    now = spark.read.schema(COMMIT_SCHEMA).parquet(f"{meta}/commits/batch={number}")
+    # What waits: hours that are not complete, and the hour with the largest event time, which carries the watermark.
+    newest = hours.agg(F.max("latest").alias("latest")).select(
+        F.lit(None).cast("string").alias("dt"), F.lit(None).cast("string").alias("hr"), "latest")
+    (hours.filter(named).join(commits.unionByName(now.select(*ODS_PARTITIONS)), list(ODS_PARTITIONS), "left_anti")
+     .unionByName(newest).coalesce(1).write.mode("overwrite").parquet(f"{meta}/pending/batch={number}"))
+    complete = [(r["dt"], r["hr"]) for r in now.select(*ODS_PARTITIONS).collect()]
+    if success_file and complete:
+        # Marker files are metadata calls; they are issued side by side.
+        with ThreadPoolExecutor(max_workers=min(16, len(complete))) as pool:
+            list(pool.map(lambda r: _touch(spark, f"{path}/dt={r[0]}/hr={r[1]}/_SUCCESS"), complete))
+    if table:
+        for dt, hr in complete:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt='{dt}', hr='{hr}')")
+    for old in before[:-1]:
+        _drop(spark, f"{meta}/pending/batch={old}")
+    return complete
+
+
 def partition_commit_stream(spark: SparkSession, path: str, *, checkpoint: str | None = None,
                             trigger: dict | None = None, commit_delay: str = "61 minutes",
                             watermark_delay: str = "5 seconds", table: str | None = None,
                             success_file: bool = True, millis_column: str = "timestamp",
+                            schema: T.StructType = ORDER_INFO_SCHEMA,
                             name: str = "cdc_ods_commit") -> StreamingQuery:
     """Commit ODS partitions as the data behind them is committed.
 
     Reads the ODS folder as a stream (the file source reads only files the
-    sink committed, and only new ones) and keeps a streaming aggregate of
-    one row per hour ``(dt, hr, rows, latest event time)`` in the state
-    store. Every micro-batch sees all hours (complete mode: the state is
-    one row per hour of data, bounded by the calendar) and commits every
-    hour whose start + ``commit_delay`` is behind the watermark (latest
-    event time - ``watermark_delay``). A restart resumes from the state in
-    the checkpoint; committing is idempotent. The driver receives one row
-    per hour of data per micro-batch (about 9k rows per year of data),
-    never the data itself.
+    sink committed, and only new ones); :func:`commit_batch` does the rest.
+    ``schema`` is that of the table's rows.
     """
-    committer = PartitionCommitter(path, commit_delay, watermark_delay, table, success_file)
-    hours = _hour_state(spark.readStream.schema(ODS_SCHEMA).parquet(path), millis_column)
+    rows = spark.readStream.schema(ods_schema(schema)).parquet(path)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        committer.commit(spark, batch_id, batch.collect())   # one row per hour
+    def on_batch(batch: DataFrame, number: int) -> None:
+        commit_batch(batch, number, path, commit_delay=commit_delay, watermark_delay=watermark_delay, table=table,
+                     success_file=success_file, millis_column=millis_column)
 
-    return (_writer(hours, name, checkpoint, trigger).outputMode("complete")
-            .foreachBatch(on_batch).start())
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoints/{name}"
+    return _writer(rows, name, checkpoint, trigger).foreachBatch(on_batch).start()
 
 
-ODS_SCHEMA = ("id long, user_id long, create_time string, operate_time string, province_id int, "
-              "order_status int, total_amount double, timestamp string, op string, "
-              "dt string, hr string")
+def ods_schema(schema: T.StructType = ORDER_INFO_SCHEMA) -> T.StructType:
+    """The columns of an ODS table whose change rows have ``schema``."""
+    text = [T.StructField(c, T.StringType()) for c in ("timestamp", "op", *ODS_PARTITIONS)]
+    return T.StructType([*schema.fields, *text])
 
 
-def read_ods(spark: SparkSession, path: str) -> DataFrame:
+def read_ods(spark: SparkSession, path: str, schema: T.StructType = ORDER_INFO_SCHEMA) -> DataFrame:
     """The ODS folder with ``dt``/``hr`` kept as strings (explicit schema, no inference)."""
-    return spark.read.schema(ODS_SCHEMA).parquet(path)
+    return spark.read.schema(ods_schema(schema)).parquet(path)
 
 
-def commit_ready_partitions(spark: SparkSession, path: str, commit_delay: str = "61 minutes",
-                            watermark_delay: str = "5 seconds", table: str | None = None,
-                            success_file: bool = True) -> list[tuple]:
-    """One commit pass over an ODS folder outside a stream (e.g. after a backfill)."""
-    hours = _hour_state(read_ods(spark, path), "timestamp").collect()   # one row per hour
-    c = PartitionCommitter(path, commit_delay, watermark_delay, table, success_file)
-    return c.commit(spark, -1, hours)
+def read_commits(spark: SparkSession, path: str, versions: list[int] | None = None) -> DataFrame:
+    """The hours marked complete: ``dt, hr, watermark``."""
+    root = f"{path}/_ods_meta/commits"
+    found = _versions(spark, root) if versions is None else versions
+    if not found:
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return spark.read.schema(COMMIT_SCHEMA).parquet(*[f"{root}/batch={v}" for v in found])
 
 
-def read_commits(spark: SparkSession, path: str) -> DataFrame:
-    return _read_log(spark, f"{path}/_ods_meta/commits", COMMIT_SCHEMA)
+# ----------------------------------------------------------------- state and dedup streams
 
+STATE_SCHEMA = "database string, table string, {key} string, operation string, timestamp string, data map<string,string>, tie long"
 
-# ----------------------------------------------------------------- state and dedup streams
 
-def current_state_stream(envelope: DataFrame, *, path: str | None = None, key: str = "id",
+def current_state_stream(envelope: DataFrame, path: str, *, key: str = "id",
                          tiebreak: str | None = None, checkpoint: str | None = None,
-                         trigger: dict | None = None, sink: str = "parquet",
+                         trigger: dict | None = None, compact_every: int = 20,
                          name: str = "cdc_current_state") -> StreamingQuery:
-    """Newest change per ``(table, key)`` as a streaming aggregate.
-
-    The state store holds one row per key (use the RocksDB state store
-    provider for large key spaces). Each micro-batch appends the keys it
-    changed, with their newest change, to the parquet log at ``path``
-    (update mode); :func:`read_current_state` resolves the log to the
-    current rows. Deletes stay in the state (a later re-insert must win
-    over them) and are dropped by the reader. A replayed batch appends
-    identical rows, which the reader collapses. ``sink='memory'`` (complete
-    mode, collected on the driver) is for small tests only.
+    """Newest change per ``(database, table, key)``, kept as a log of batches and a folded snapshot.
+
+    Each micro-batch writes the newest change of the keys it touched to
+    ``{path}/changes/batch=N``; every ``compact_every`` batches the last
+    snapshot and the batches since are folded into ``{path}/snapshots/batch=N``
+    and what it covers is dropped, so the log stays as large as the state and
+    a few batches. :func:`read_current_state` resolves both. Deletes stay in
+    the state (a later re-insert must win over them). A replayed batch
+    overwrites its own folder.
     """
-    order = [F.col("timestamp").cast("bigint")] + ([F.col(tiebreak)] if tiebreak else [])
-    latest = (envelope.withColumn("k", F.try_element_at(F.col("data"), F.lit(key)))
-              .groupBy("table", "k")
-              .agg(F.max_by(F.struct("operation", "timestamp", "data"), F.struct(*order)).alias("s"))
-              .select("table", F.col("k").alias(key), "s.operation", "s.timestamp", "s.data"))
-    if sink == "memory":
-        return _writer(latest, name, checkpoint, trigger).outputMode("complete").format("memory").start()
-    if not path:
-        raise ValueError("give path (or sink='memory' for a small test)")
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
-
-    return _writer(latest, name, checkpoint, trigger).outputMode("update").foreachBatch(append).start()
+    def fold(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        newest_changes(batch, key, tiebreak).write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
+        if (number + 1) % compact_every == 0:
+            state = _folded(spark, path, key, number)
+            state.write.mode("overwrite").parquet(f"{path}/snapshots/batch={number}")
+            for kind in ("changes", "snapshots"):
+                for old in _versions(spark, f"{path}/{kind}"):
+                    if old < number or (kind == "changes" and old == number):
+                        _drop(spark, f"{path}/{kind}/batch={old}")
+
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoints/{name}"
+    return _writer(envelope, name, checkpoint, trigger).foreachBatch(fold).start()
+
+
+def _folded(spark: SparkSession, path: str, key: str, until: int | None = None) -> DataFrame:
+    """The newest change per key over the last snapshot and the batches after it."""
+    snapshots = [v for v in _versions(spark, f"{path}/snapshots") if until is None or v <= until]
+    since = snapshots[-1] if snapshots else -1
+    parts = [f"{path}/snapshots/batch={v}" for v in snapshots[-1:]]
+    parts += [f"{path}/changes/batch={v}" for v in _versions(spark, f"{path}/changes")
+              if v > since and (until is None or v <= until)]
+    schema = STATE_SCHEMA.format(key=key)
+    log = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+    return newest_changes(log, key, "tie")
 
 
 def read_current_state(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """Current rows from the log of :func:`current_state_stream` (deletes removed)."""
-    log = spark.read.parquet(path)
-    newest = (log.groupBy("table", key)
-              .agg(F.max_by(F.struct("operation", "timestamp", "data"),
-                            F.struct(F.col("timestamp").cast("bigint"), F.col("batch_id"))).alias("s")))
-    return (newest.filter(F.col("s.operation") != "delete")
-                  .select("table", key, "s.operation", "s.timestamp", "s.data"))
+    """Current rows from what :func:`current_state_stream` wrote (deletes removed)."""
+    return _folded(spark, path, key).filter("operation <> 'delete'").drop("tie")
 
 
-# ----------------------------------------------------------------- catalog table and SQL form
+# ----------------------------------------------------------------- catalog table
 
-def ensure_ods_table(spark: SparkSession, table: str, path: str) -> None:
-    """Create the ODS catalog table over ``path`` if it does not exist (never dropped)."""
-    cols = ", ".join(c.strip() for c in ODS_SCHEMA.split(",") if not c.strip().startswith(("dt ", "hr ")))
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, dt string, hr string) "
+def ensure_ods_table(spark: SparkSession, table: str, path: str, schema: T.StructType = ORDER_INFO_SCHEMA) -> None:
+    """Create the ODS catalog table over ``path`` (and its database) if it does not exist; never dropped."""
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ods_schema(schema).fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) "
               f"USING parquet PARTITIONED BY (dt, hr) LOCATION '{path}'")
-
-
-def ods_rows_sql(spark: SparkSession, view: str) -> DataFrame:
-    """The ODS projection in SQL over a (streaming) temp view of typed rows.
-
-    The same result as :func:`memberlens.operators.changes.ods_partition_columns`,
-    for pipelines that register the stream as a view and select from it.
-    """
-    return spark.sql(f"""
-        SELECT id, user_id, create_time, operate_time, province_id, order_status, total_amount,
-               `timestamp`, op,
-               date_format(try_to_timestamp(create_time, 'yyyy-MM-dd HH:mm:ss'), 'yyyy-MM-dd') AS dt,
-               date_format(try_to_timestamp(create_time, 'yyyy-MM-dd HH:mm:ss'), 'HH') AS hr
-        FROM {view}""")

@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from memberlens.operators import changes as CH
@@ -147,21 +148,100 @@ def test_route_topics_file_sink(spark, workdir):
     assert topics == {"order_info", "user_info"}
 
 
-def test_stream_dedup_and_current_state(spark, workdir):
+def test_dedup_keeps_distinct_changes(spark):
+    """Same row and millisecond with other data, and the same table in another database, are other changes."""
+    a = rec("order_info", "u", T0, after=order(1, "t"))
+    raw = lines_df(spark, [a, a, rec("order_info", "u", T0, after=order(1, "t", status=2)),
+                           rec("order_info", "u", T0, after=order(1, "t"), db="other")])
+    assert CH.cdc_dedup(CH.cdc_envelope(raw)).count() == 3
+    placed = CS.parse_change_json(spark.createDataFrame([(a, 0), (a, 1), (a, 1)], "value string, offset long"))
+    assert CH.cdc_dedup(CH.cdc_envelope(placed, keep=("offset",)), position=("offset",)).count() == 2
+
+
+def test_stream_dedup_drops_no_late_row(spark, workdir):
+    """250 changes out of order in their event times, 50 of them delivered again: 250 come out."""
+    import random
+    rng = random.Random(4)
+    once = [rec("order_info", "c", T0 + 60_000 * k, after=order(k, "t")) for k in range(250)]
+    rng.shuffle(once)
     src = f"{workdir}/src"
-    a = rec("order_info", "c", T0, after=order(1, "t"))
-    _write_batches(src, [[a, rec("order_info", "u", T0 + 10, after=order(1, "t", status=2))], [a]])
-    env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1))
-    dedup = CH.cdc_dedup(env, delay="5 seconds")
-    q = (dedup.writeStream.format("memory").queryName("dedup_out")
-              .option("checkpointLocation", f"{workdir}/ck1").trigger(availableNow=True).start())
+    _write_batches(src, [once[:80], once[80:170] + once[:30], once[170:] + once[100:120]])
+    env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1), keep=("arrival",))
+    q = (CH.cdc_dedup(env, arrival="arrival").select(F.to_json("data").alias("value")).writeStream.format("parquet")
+         .option("path", f"{workdir}/out").option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{workdir}/out")
+    assert got.count() == got.distinct().count() == 250
+
+
+def test_streams_go_on_after_a_restart_with_default_arguments(spark, workdir):
+    """Three starts over a growing source: every row once, in the ODS folder, the topics and the state."""
+    src, now = f"{workdir}/src", {"availableNow": True}
+    for start in range(3):
+        batch = [rec("order_info", "c", T0 + 1000 * k, after=order(k, "2024-01-01 00:00:00"))
+                 for k in range(50 * start, 50 * start + 50)]
+        os.makedirs(src, exist_ok=True)
+        with open(f"{src}/b{start}.json", "w") as f:
+            f.write("\n".join(batch) + "\n")
+        env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True))
+        rows = CH.ods_partition_columns(CH.cdc_typed_rows(env, table="order_info"))
+        ST.ods_stream(rows, f"{workdir}/ods", trigger=now).awaitTermination()
+        ST.partition_commit_stream(spark, f"{workdir}/ods", trigger=now).awaitTermination()
+        ST.route_topics_stream(env, path=f"{workdir}/topics", trigger=now).awaitTermination()
+        ST.current_state_stream(env, f"{workdir}/state", trigger=now, compact_every=2).awaitTermination()
+        n = 50 * (start + 1)
+        ids = [r.id for r in ST.read_ods(spark, f"{workdir}/ods").collect()]
+        assert sorted(ids) == list(range(n))
+        assert spark.read.schema("value string, topic string").json(f"{workdir}/topics").count() == n
+        assert ST.read_current_state(spark, f"{workdir}/state").count() == n
+    assert len(os.listdir(f"{workdir}/state/changes")) <= 3
+    with pytest.raises(ValueError):
+        ST.ods_stream(rows, f"{workdir}/ods", checkpoint=f"{workdir}/new", trigger=now)
+    with pytest.raises(ValueError):
+        ST.route_topics_stream(env, console=True, trigger=now)
+
+
+def test_state_by_database_and_without_key(spark):
+    raw = lines_df(spark, [rec("order_info", "c", T0, after=order(1, "t")), rec("order_info", "c", T0, after=order(1, "t"), db="b"),
+                           rec("x", "c", T0, after={"other": 1}), rec("x", "c", T0, after={"more": 2})])
+    env = CH.cdc_envelope(raw)
+    assert sorted((r.database, r.id) for r in CH.cdc_current_state(env).collect()) == [("b", "1"), ("ecommerce", "1")]
+    assert {(r.table, r.records, r.withoutKey) for r in CH.change_quality(env).collect()} == {
+        ("order_info", 1, 0), ("x", 2, 2)}
+
+
+def test_rejects_and_good_rows_are_all_rows(spark):
+    lines = ["not json", rec("order_info", "c", T0, after=order(1, "t")), "{}", json.dumps({"topic": "a.b", "op": "c"}),
+             rec("order_info", "c", T0), json.dumps({"topic": "a.b.c", "after": {"id": 1}})]
+    raw = lines_df(spark, lines)
+    bad = {r.value: r.reason for r in CH.rejected_changes(raw).collect()}
+    assert CH.valid_changes(raw).count() == 1 and len(bad) == 5 and set(bad) < set(lines)
+    assert bad["not json"] == "not a change record" and len(set(bad.values())) == 4
+
+
+def test_user_rows_are_typed_and_stored(spark, workdir):
+    user = {"id": 7, "login_name": "ann", "birthday": "1990-02-03", "create_time": "2024-01-01 05:00:00", "status": "1"}
+    _write_batches(f"{workdir}/src", [[rec("user_info", "c", T0 + 5 * 3600_000, after=user),
+                                       rec("user_info", "c", T0 + 9 * 3600_000, after={**user, "id": 8, "birthday": "x"})]])
+    env = CH.cdc_envelope(CS.read_change_files(spark, f"{workdir}/src", stream=True))
+    rows = CH.ods_partition_columns(CH.cdc_typed_rows(env, CH.USER_INFO_SCHEMA, table="user_info"))
+    ST.ods_stream(rows, f"{workdir}/ods", trigger={"availableNow": True}).awaitTermination()
+    ST.partition_commit_stream(spark, f"{workdir}/ods", schema=CH.USER_INFO_SCHEMA,
+                               trigger={"availableNow": True}).awaitTermination()
+    got = {r.id: r for r in ST.read_ods(spark, f"{workdir}/ods", CH.USER_INFO_SCHEMA).collect()}
+    assert str(got[7].birthday) == "1990-02-03" and got[8].birthday is None and got[7].hr == "05"
+    assert [(r.dt, r.hr) for r in ST.read_commits(spark, f"{workdir}/ods").collect()] == [("2024-01-01", "05")]
+
+
+def test_the_watermark_is_on_the_stream(spark, workdir):
+    _write_batches(f"{workdir}/src", [[rec("order_info", "c", T0 + 10_000, after=order(1, "t"))],
+                                      [rec("order_info", "c", T0 + 11_000, after=order(2, "t"))]])
+    rows = CH.cdc_watermark(CH.cdc_typed_rows(CH.cdc_envelope(
+        CS.read_change_files(spark, f"{workdir}/src", stream=True, max_files_per_trigger=1))))
+    q = (rows.writeStream.format("noop").option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
-    assert spark.table("dedup_out").count() == 2
-    q2 = ST.current_state_stream(env, checkpoint=f"{workdir}/ck2", trigger={"availableNow": True},
-                                 name="state_out", sink="memory")
-    q2.awaitTermination()
-    rows = spark.table("state_out").collect()
-    assert [(r.id, r.operation) for r in rows] == [("1", "update")]
+    marks = [p["eventTime"].get("watermark") for p in q.recentProgress if p.get("eventTime")]
+    assert "2024-01-01T00:00:05.000Z" in marks
 
 
 def test_current_state_log_with_delete_and_reinsert(spark, workdir):
@@ -172,7 +252,7 @@ def test_current_state_log_with_delete_and_reinsert(spark, workdir):
         [rec("order_info", "c", T0 + 9, after=order(1, "t", 7))],
     ])
     env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1))
-    q = ST.current_state_stream(env, path=f"{workdir}/state", checkpoint=f"{workdir}/ck",
+    q = ST.current_state_stream(env, f"{workdir}/state", checkpoint=f"{workdir}/ck",
                                 trigger={"availableNow": True})
     q.awaitTermination()
     got = {r.id: (r.operation, r.data["order_status"])
@@ -210,11 +290,11 @@ def test_sql_view_stream_and_catalog_partitions(spark, workdir):
     _write_batches(src, [[rec("order_info", "c", T0 + 2 * 3600 * 1000, after=order(1, "2024-01-01 00:30:00")),
                           rec("order_info", "c", T0 + 2 * 3600 * 1000, after=order(2, "2024-01-01 02:00:00"))]])
     raw = CS.read_change_files(spark, src, stream=True)
-    CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info").createOrReplaceTempView("merged_order_info")
-    rows = ST.ods_rows_sql(spark, "merged_order_info")
+    CH.ods_partition_columns(CH.cdc_typed_rows(CH.cdc_envelope(raw), table="order_info")).createOrReplaceTempView("merged")
+    rows = spark.sql("select * from merged where id > 0")
     assert rows.isStreaming
     out = f"{workdir}/ods"
-    table = "ods_order_info_test"
+    table = "ods_test.order_info"
     ST.ensure_ods_table(spark, table, out)
     ST.ensure_ods_table(spark, table, out)          # idempotent, never drops
     q = ST.ods_stream(rows, out, checkpoint=f"{workdir}/ck", trigger={"availableNow": True})
@@ -226,3 +306,4 @@ def test_sql_view_stream_and_catalog_partitions(spark, workdir):
     assert parts == {"dt=2024-01-01/hr=00"}
     assert spark.table(table).count() == 2          # the in-memory catalog lists all files
     spark.sql(f"DROP TABLE {table}")
+    spark.sql("DROP DATABASE ods_test")
