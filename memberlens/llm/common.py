@@ -64,7 +64,7 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of at most ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
         if not batch.num_rows:

@@ -43,8 +43,8 @@ def prefix_size(m, percent: int):
 
 
 def region(percent: int) -> np.uint64:
-    """Hashes below this are sorted by their frequency: enough to hold most prefixes."""
-    return np.uint64(min(1.0, (100 - percent) / 60) * (2**64 - 2**12))
+    """Hashes below this are sorted by their frequency: several times what a prefix holds."""
+    return np.uint64(min(1.0, (100 - percent) / 30) * (2**64 - 2**12))
 
 
 def set_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -77,7 +77,7 @@ def _dealt(n: int, percent: int, buckets: int):
     limit = region(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "t", 8 << 20):
+        for batch in pieces(batches, "t", 2 << 20):
             tokens, at = shingle_sets(batch.column("t"), n)
             key = np.repeat(set_keys(tokens, at), np.diff(at))
             low = tokens < limit
@@ -135,7 +135,7 @@ def _prefixes(percent: int):
     """The prefix under order 1, without the tokens that no other set has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, alone = [], []
             for m, low, extra, tokens, dfs in zip(*(batch.column(c).to_pylist()
                                                     for c in ("m", "low", "extra", "tokens", "dfs"))):
                 tokens = np.array([x for t in tokens or [] for x in t], np.int64)
@@ -143,8 +143,10 @@ def _prefixes(percent: int):
                 room = prefix_size(m, percent) - (low - len(tokens))
                 first = tokens[np.lexsort((tokens.view(np.uint64), df))][:max(room, 0)].tolist()
                 out.append(first + (extra or [])[:max(room - len(first), 0)])
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("m"),
-                                              pa.array(out, pa.list_(pa.int64()))], ["key", "m", "prefix"])
+                alone.append(low - len(tokens))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("m"), pa.array(alone, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
+                ["key", "m", "alone", "prefix"])
     return run
 
 
@@ -160,7 +162,11 @@ def _texts(column: pa.Array) -> pa.Array:
     return pa.array([unpack.decompress(z).decode() for z in column.to_pylist()], pa.large_string())
 
 
-def _cut(column: list[int], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _size(z: bytes) -> int:
+    return zstandard.frame_content_size(z)
+
+
+def _cut(column: list[int], limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose sizes add up to ``limit`` at most (one row at least)."""
     start, total = 0, 0
     for k, n in enumerate(column):
@@ -176,7 +182,7 @@ def _sketched(n: int, percent: int):
     """The prefixes of a set under orders 2 and 3, as 32-bit tokens, beside its packed text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for a, b in _cut([len(z) * 3 for z in whole.column("z").to_pylist()]):
+            for a, b in _cut([_size(z) for z in whole.column("z").to_pylist()]):
                 batch = whole.slice(a, b - a)
                 tokens, at = shingle_sets(_texts(batch.column("z")), n)
                 m = np.diff(at)
@@ -199,7 +205,7 @@ def _verified(n: int, percent: int):
     """The pairs whose sets are similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            sizes = [3 * (len(x) + len(y)) for x, y in zip(whole.column("za").to_pylist(), whole.column("zb").to_pylist())]
+            sizes = [_size(x) + _size(y) for x, y in zip(whole.column("za").to_pylist(), whole.column("zb").to_pylist())]
             for a, b in _cut(sizes):
                 batch = whole.slice(a, b - a)
                 (x, at), (y, to) = (shingle_sets(_texts(batch.column(c)), n) for c in ("za", "zb"))
@@ -245,8 +251,8 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     need = F.expr(f"m - (({percent} * m + 99) div 100) + 1")
     prefixes = checkpointed(
         classes.join(shared, "key", "left").where(own < need).select("key", "m", "low", "extra", "tokens", "dfs")
-        .mapInArrow(_prefixes(percent), "key long, m long, prefix array<long>")
-        .select("key", "m", F.explode("prefix").alias("token")))
+        .mapInArrow(_prefixes(percent), "key long, m long, alone long, prefix array<long>")
+        .select("key", "m", "alone", F.explode("prefix").alias("token")))
     pivots = (prefixes.groupBy("token").agg(F.min("key").alias("p"), F.max("key").alias("q")).where("p <> q"))
     met = checkpointed(prefixes.join(pivots, "token"))
     alive = met.select("key").distinct().join(classes.select("key", "id"), "key")
@@ -254,24 +260,27 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     sets = checkpointed(packed.join(alive.select(F.col("id").alias("i"), "key"), "i").select("key", "z")
                         .mapInArrow(_sketched(n, percent), "key long, m long, o2 array<int>, o3 array<int>, z binary")
                         .dropDuplicates(["key"]))
+    # A pair needs so many common tokens; those that a set has alone cannot be among them.
+    common = F.ceil(F.lit(percent) * (F.col("ma") + F.col("mb")) / F.lit(100 + percent))
+    close = ((F.least("ma", "mb") * 100 >= F.greatest("ma", "mb") * percent)
+             & (F.col("ma") - F.col("ua") >= common) & (F.col("mb") - F.col("ub") >= common))
+    sizes = met.select("key", "m", "alone").distinct()
+    side = lambda c: sizes.select(F.col("key").alias(c), F.col("m").alias(f"m{c}"), F.col("alone").alias(f"u{c}"))
     star = (met.select("key", F.explode(F.array("p", "q")).alias("pivot")).where("key <> pivot")
             .select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct())
-    sizes = met.select("key", "m").distinct()
-    close = F.least("ma", "mb") * 100 >= F.greatest("ma", "mb") * percent
-    star = checkpointed(star.join(sizes.select(F.col("key").alias("a"), F.col("m").alias("ma")), "a")
-                        .join(sizes.select(F.col("key").alias("b"), F.col("m").alias("mb")), "b")
-                        .where(close).select("a", "b"))
+    star = checkpointed(star.join(side("a"), "a").join(side("b"), "b").where(close).select("a", "b"))
     links = _links(star, sets, n, percent)
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     # What is left: pairs that meet at a token, across the components found so far.
     named = met.join(roots, met["key"] == roots["node"], "left").select(
-        "token", "key", "m", F.coalesce("root", "key").alias("root"))
+        "token", "key", "m", "alone", F.coalesce("root", "key").alias("root"))
     mixed = (named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
              .select("token"))
     open_ = checkpointed(named.join(mixed, "token"))
-    x = open_.select("token", F.col("key").alias("a"), F.col("m").alias("ma"), F.col("root").alias("ra"))
-    y = open_.select("token", F.col("key").alias("b"), F.col("m").alias("mb"), F.col("root").alias("rb"))
-    rest = (x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & close)
+    end = lambda c: open_.select(F.col("token").alias(f"t{c}"), F.col("key").alias(c), F.col("m").alias(f"m{c}"),
+                                 F.col("alone").alias(f"u{c}"), F.col("root").alias(f"r{c}"))
+    rest = (end("a").join(end("b"), (F.col("ta") == F.col("tb")) & (F.col("a") < F.col("b"))
+                          & (F.col("ra") != F.col("rb")) & close)
             .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
     more = _links(rest, sets, n, percent)
     roots = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
