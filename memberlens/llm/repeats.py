@@ -37,10 +37,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memberlens.llm.arrays import FACTORS, mix, powers, rolling, slice_hash, text_bytes
-from memberlens.llm.common import checkpointed, partitions, pieces, runs
+from memberlens.llm.common import partitions, pieces, runs
 
 GRAM = 20
 PACKED = 5
+#: A bucket of anchors is sorted in so many parts, each a suffix array of its own.
+PARTS = 32
 NO_ID = (1 << 63) - 1
 
 
@@ -91,7 +93,7 @@ def _unpack(raw: bytes) -> np.ndarray:
 def _dealt(least: int, buckets: int):
     """Digests of the anchors and contexts, dealt to buckets: a row for each piece of texts and bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "t", 4 << 20):
+        for batch in pieces(batches, "t", 2 << 20):
             data, offsets = text_bytes(batch.column("t"))
             _, doc, _, _, gram, context = anchors(data, offsets, least)
             if not len(doc):
@@ -156,7 +158,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(k, pa.field("z", pa.binary()), z)
 
 
-def _unzipped(batches: Iterator[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def _unzipped(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Slices of about ``limit`` bytes of text, and their texts as binary."""
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
@@ -186,12 +188,12 @@ def _contexts(least: int, buckets: int):
             data, offsets = text_bytes(texts)
             _, doc, start, end, gram, context = anchors(data, offsets, least)
             name = identity(gram, context).view(np.int64)
-            use = np.isin(_tagged(doc, name), _tagged(*_flat(batch.column("names"))))
+            use = np.isin(_tagged(doc, name), _tagged(*_flat(batch.column("compare"))))
             _, first = np.unique(_tagged(doc, name)[use], return_index=True)
             use = np.flatnonzero(use)[first]
             raw = data.tobytes()
             yield pa.RecordBatch.from_arrays([
-                pa.array((mix(gram[use]) % np.uint64(buckets)).astype(np.int64)),
+                pa.array((mix(gram[use]) % np.uint64(buckets * PARTS)).astype(np.int64)),
                 batch.column("i").take(pa.array(doc[use])), pa.array(name[use]),
                 pa.array([raw[a:b] for a, b in zip(start[use], end[use])], pa.binary())],
                 ["bucket", "doc", "name", "body"])
@@ -342,7 +344,7 @@ def _cut(least: int):
     return run
 
 
-_OWN = ("i", "z", "full", "names", "starts", "sizes")
+_OWN = ("i", "z", "full", "compare", "names", "starts", "sizes")
 
 
 def _order_key(id_col: str) -> Column:
@@ -358,31 +360,31 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
     left, without letters of which only some bytes are.
     """
     keep = [id_col] if keep is None else keep
-    rows = docs.select(_order_key(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    inner = {c: f"c{k}" for k, c in enumerate(keep)}
+    carried = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in inner.items())
+    head = carried + ", " if carried else ""
     many = partitions(docs)
-    judged = checkpointed(
-        rows.mapInArrow(_dealt(least, many), "bucket long, ids binary, counts binary, grams binary, contexts binary")
-        .repartition(many, "bucket").sortWithinPartitions("bucket")
-        .mapInArrow(_judged, "doc long, whole boolean, names array<long>"))
-    listed = lambda df: df.groupBy("doc").agg(F.flatten(F.collect_list("names")).alias("names"))
-    compare = listed(judged.where("not whole"))
-    bodies = (rows.mapInArrow(_packed, "i long, z binary").join(compare, F.col("i") == F.col("doc"))
-              .select("i", "z", "names")
-              .mapInArrow(_contexts(least, many), "bucket long, doc long, name long, body binary"))
-    spans = (bodies.repartition(many, "bucket").sortWithinPartitions("bucket")
+    texts = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], _order_key(id_col).alias("i"),
+                        F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    packed = texts.mapInArrow(_packed, f"{head}i long, z binary").where("i is not null")  # never: the joins infer it
+    judged = (texts.select("i", "t")
+              .mapInArrow(_dealt(least, many), "bucket long, ids binary, counts binary, grams binary, contexts binary")
+              .repartition(many, "bucket").sortWithinPartitions("bucket")
+              .mapInArrow(_judged, "doc long, whole boolean, names array<long>"))
+    flags = judged.groupBy("doc").agg(
+        F.flatten(F.collect_list(F.when(F.col("whole"), F.col("names")))).alias("full"),
+        F.flatten(F.collect_list(F.when(~F.col("whole"), F.col("names")))).alias("compare"))
+    # The texts and flags below are read twice with all their columns, so both are shuffled once.
+    known = packed.join(flags, F.col("i") == F.col("doc"), "left").drop("doc")
+    spans = (known.where(F.size("compare") > 0)
+             .mapInArrow(_contexts(least, many), "bucket long, doc long, name long, body binary")
+             .repartition(many, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_repeated(least), "doc long, name long, start int, size int")
              .groupBy("doc").agg(F.collect_list(F.struct("name", "start", "size")).alias("s"))
              .select("doc", F.col("s.name").alias("names"), F.col("s.start").alias("starts"),
                      F.col("s.size").alias("sizes")))
-    full = listed(judged.where("whole")).withColumnRenamed("names", "full")
-    flags = full.join(spans, "doc", "full_outer")
-    inner = {c: f"c{k}" for k, c in enumerate(keep)}
-    packed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], _order_key(id_col).alias("i"),
-                         F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    carried = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in inner.items())
-    head = carried + ", " if carried else ""
-    cut = (packed.mapInArrow(_packed, f"{head}i long, z binary").join(flags, F.col("i") == F.col("doc"), "left")
-           .select(*inner.values(), "i", "z", "full", "names", "starts", "sizes")
+    cut = (known.join(spans, F.col("i") == F.col("doc"), "left")
+           .select(*inner.values(), "i", "z", "full", "compare", "names", "starts", "sizes")
            .mapInArrow(_cut(least), f"{head}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"))
     return cut.select(*[F.col(n).alias(c) for c, n in inner.items()],
                       "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
