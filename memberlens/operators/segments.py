@@ -178,23 +178,21 @@ def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any") -> Dat
         raise ValueError("combine must be 'any' or 'all'")
     norm = _normalise_rules(rules, {f.name.lower(): _kind(f.dataType) for f in tags.schema.fields})
     _check_rules(norm)
-    long = tag_long_form(tags)
-    out = [KEY, "row", "segment_id", "negated", "nShould", "rule"]
-    named = norm.withColumn("rule", F.xxhash64("field", "value", "type"))
-    equal = named.filter(F.col("type").isin("match", "notMatch")).select(
-        "segment_id", "negated", "nShould", "rule", F.col("field").alias("f"), F.col("key").alias("k"))
-    hits = long.join(equal, (F.col("field") == F.col("f")) & (F.col("key") == F.col("k"))).select(*out)
-    span = named.filter(~F.col("type").isin("match", "notMatch")).select(
-        "segment_id", "negated", "nShould", "rule", F.col("field").alias("f"), "type", "value", "kind",
-        "loExact", "hiExact", "loNum", "hiNum")
+    # Every value asks twice: under itself, for rules of equality, and under its field, for the others.
+    point = F.col("type").isin("match", "notMatch")
+    rule = norm.select("segment_id", "negated", "nShould", "type", "value", "kind", "loExact", "hiExact", "loNum", "hiNum",
+                       F.xxhash64("field", "value", "type").alias("rule"), F.col("field").alias("f"),
+                       F.when(point, F.concat(F.lit("="), F.col("key"))).otherwise(F.lit("*")).alias("p"))
+    asked = tag_long_form(tags).withColumn("probe", F.explode(F.array(F.concat(F.lit("="), F.col("key")), F.lit("*"))))
     low = (F.when(F.col("kind") == "whole", F.col("exact") >= F.col("loExact"))
             .when(F.col("kind") == "float", F.col("num") >= F.col("loNum")).otherwise(F.col("key") >= F.col("value")))
     high = (F.when(F.col("kind") == "whole", F.col("exact") <= F.col("hiExact"))
              .when(F.col("kind") == "float", F.col("num") <= F.col("hiNum")).otherwise(F.col("key") <= F.col("value")))
     t = F.col("type")
-    within = F.coalesce(F.when(t == "exists", F.lit(True)).when(t == "rangeGte", low).when(t == "rangeLte", high)
+    within = F.coalesce(F.when(point | (t == "exists"), F.lit(True)).when(t == "rangeGte", low).when(t == "rangeLte", high)
                          .otherwise(low & high), F.lit(False))
-    hits = hits.unionByName(long.join(span, (F.col("field") == F.col("f")) & within).select(*out))
+    hits = (asked.join(rule, (F.col("field") == F.col("f")) & (F.col("probe") == F.col("p")) & within)
+                 .select(KEY, "row", "segment_id", "negated", "nShould", "rule"))
     folded = (hits.groupBy("segment_id", KEY, "row", "negated", "rule").agg(F.max("nShould").alias("nShould"))
                   .groupBy("segment_id", KEY, "row")
                   .agg(F.count(F.when(~F.col("negated"), 1)).alias("hits"),

@@ -7,7 +7,8 @@ Two forms exist:
   order lines (an order with n lines counts n times), and every free
   coupon of a member adds a row.
 * :func:`user_tag_member` is the intended table: exactly one row per
-  member, counts and money at order grain, the latest free-coupon day.
+  member, counts and money at order grain, the latest free-coupon day, and
+  each paid-coupon day once with its count.
 
 Plan shape (both forms): every side table is reduced to one row per
 member (or per member and day) by a partial + final aggregate, so all
@@ -59,46 +60,41 @@ def _member_goods(orders: DataFrame, order_commodity: DataFrame) -> DataFrame:
             .agg(F.array_sort(F.collect_list("commodity_id")).alias("goods")))
 
 
-def _order_behavior(order: DataFrame, order_commodity: DataFrame, line_grain: bool) -> DataFrame:
-    """Order tags: counts and money from the orders, goods from the lines.
-
-    Order grain takes count, last day and money from the orders alone.
-    Line grain weighs each order by its number of lines (an order without
-    lines weighs 1), counted per order with a partial aggregate, so an
-    order with many lines is pre-reduced in the map tasks.
-    """
-    orders = order.select("order_id", "member_id", "pay_price", "create_time")
-    if line_grain:
-        lines = order_commodity.groupBy("order_id").agg(F.count(F.lit(1)).alias("nLines"))
-        per_order = (orders.join(lines, "order_id", "left")
-                     .withColumn("w", F.coalesce(F.col("nLines"), F.lit(1))))
-    else:
-        per_order = orders.withColumn("w", F.lit(1).cast("bigint"))
-    counts = (per_order.groupBy(F.col("member_id").alias("memberId"))
-              .agg(F.sum("w").alias("orderCount"),
-                   day_string(F.max("create_time")).alias("orderTime"),
-                   F.sum(F.col("pay_price").cast("decimal(18,2)") * F.col("w"))
-                    .cast("double").alias("orderMoney")))
-    return (counts.join(_member_goods(orders, order_commodity), "memberId", "left")
-                  .select("memberId", "orderCount", "orderTime", "orderMoney",
-                          F.coalesce(F.col("goods"), F.array().cast("array<bigint>"))
-                           .alias("favGoods")))
-
-
 def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
     """Order tags at *line* grain, as the shop computed them.
 
     ``memberId, orderCount, orderTime, orderMoney, favGoods``: an order
     with n lines counts n times and adds its price n times; an order
     without lines counts once. ``favGoods`` is the sorted distinct list of
-    goods bought.
+    goods bought. Orders and lines are read once: the joined rows are
+    reduced to ``(member, good)`` in the map tasks and then to the member.
     """
-    return _order_behavior(order, order_commodity, line_grain=True)
+    per_good = (order.select("order_id", "member_id", "pay_price", "create_time")
+                .join(order_commodity.select("order_id", "commodity_id"), "order_id", "left")
+                .groupBy("member_id", "commodity_id")
+                .agg(F.count(F.lit(1)).alias("n"), F.max("create_time").alias("latest"),
+                     F.sum(F.col("pay_price").cast("decimal(18,2)")).alias("money")))
+    return (per_good.groupBy(F.col("member_id").alias("memberId"))
+            .agg(F.sum("n").alias("orderCount"), day_string(F.max("latest")).alias("orderTime"),
+                 F.sum("money").cast("double").alias("orderMoney"),
+                 F.array_sort(F.collect_list("commodity_id")).alias("favGoods")))
 
 
 def tag_order_behavior_by_order(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
-    """Order tags at *order* grain: each order counts once, money once."""
-    return _order_behavior(order, order_commodity, line_grain=False)
+    """Order tags at *order* grain: each order counts once, money once.
+
+    Count, last day and money come from the orders alone, the goods from
+    the lines (a second, cheap scan of two order columns).
+    """
+    orders = order.select("order_id", "member_id", "pay_price", "create_time")
+    counts = (orders.groupBy(F.col("member_id").alias("memberId"))
+              .agg(F.count(F.lit(1)).alias("orderCount"),
+                   day_string(F.max("create_time")).alias("orderTime"),
+                   F.sum(F.col("pay_price").cast("decimal(18,2)")).cast("double").alias("orderMoney")))
+    return (counts.join(_member_goods(orders, order_commodity), "memberId", "left")
+                  .select("memberId", "orderCount", "orderTime", "orderMoney",
+                          F.coalesce(F.col("goods"), F.array().cast("array<bigint>"))
+                           .alias("favGoods")))
 
 
 def tag_free_coupon(coupon_member: DataFrame) -> DataFrame:
@@ -171,7 +167,8 @@ def _coupon_profile(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
 
     One scan of the claims: claims are first reduced to
     ``(member, coupon, channel class, day, n)`` map-side, priced by a join
-    with the coupon dimension, then folded per member.
+    with the coupon dimension, then folded per member and day, and per
+    member: ``couponTimes`` holds each day once, ``couponCounts`` how often.
     """
     free = F.col("coupon_id") == FREE_COUPON_ID
     charged = F.col("coupon_channel") != CHARGE_FREE_CHANNEL
@@ -181,19 +178,23 @@ def _coupon_profile(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("n")))
     priced = reduced.join(coupon.select(F.col("id").alias("coupon_id"), "coupon_price"),
                           "coupon_id", "left")
-    return (priced.groupBy(F.col("member_id").alias("memberId"))
-            .agg(F.max(F.when(free, F.col("day"))).alias("freeCouponTime"),
-                 F.collect_list(F.when(~free & F.col("day").isNotNull(), F.struct("day", "n")))
+    # One entry per member and day: the lists are bounded by the calendar.
+    daily = (priced.groupBy("member_id", "day")
+             .agg(F.max(free).alias("free"), F.sum(F.when(~free, F.col("n"))).alias("nPaid"),
+                  F.count(F.when(F.col("charged"), 1)).alias("nCharged"),
+                  F.sum(F.when(F.col("charged"),
+                               F.col("coupon_price").cast("decimal(18,2)") * F.col("n"))).alias("charge")))
+    paid = F.col("nPaid").isNotNull()
+    return (daily.groupBy(F.col("member_id").alias("memberId"))
+            .agg(F.max(F.when(F.col("free"), F.col("day"))).alias("freeCouponTime"),
+                 F.array_sort(F.collect_list(F.when(paid & F.col("day").isNotNull(), F.struct("day", "nPaid"))))
                   .alias("paid"),
-                 F.count(F.when(~free, 1)).alias("nPaid"),
-                 F.count(F.when(F.col("charged"), 1)).alias("nCharged"),
-                 F.sum(F.when(F.col("charged"),
-                              F.col("coupon_price").cast("decimal(18,2)") * F.col("n")))
-                  .alias("chargeExact"))
+                 F.count(F.when(paid, 1)).alias("paidDays"),
+                 F.sum("nCharged").alias("nCharged"), F.sum("charge").alias("charge"))
             .select("memberId", "freeCouponTime",
-                    F.when(F.col("nPaid") > 0, _expand_days("paid")).alias("couponTimes"),
-                    F.when(F.col("nCharged") > 0,
-                           F.col("chargeExact").cast("double") / 2).alias("chargeMoney")))
+                    F.when(F.col("paidDays") > 0, F.col("paid.day")).alias("couponTimes"),
+                    F.when(F.col("paidDays") > 0, F.col("paid.nPaid")).alias("couponCounts"),
+                    F.when(F.col("nCharged") > 0, F.col("charge").cast("double") / 2).alias("chargeMoney")))
 
 
 def user_tag(t: dict[str, DataFrame]) -> DataFrame:
@@ -217,6 +218,8 @@ def user_tag(t: dict[str, DataFrame]) -> DataFrame:
     fanned = (wide.join(_free_coupon_days(t["t_coupon_member"]), "memberId", "left")
                   .withColumn("_chunk", F.explode_outer(
                       F.sequence(F.lit(0), F.floor((n - 1) / FANOUT_CHUNK).cast("int"))))
+                  # the chunks of one member and day go to different tasks
+                  .repartition("memberId", "freeCouponTime", "_chunk")
                   .withColumn("freeCouponTime", F.explode_outer(F.array_repeat(
                       "freeCouponTime",
                       # least() skips NULLs: members without free coupons keep n = NULL
@@ -233,4 +236,4 @@ def user_tag_member(t: dict[str, DataFrame]) -> DataFrame:
             .join(_coupon_profile(t["t_coupon_member"], t["t_coupon"]), "memberId", "left")
             .join(tag_over_time(t["t_delivery"]), "memberId", "left")
             .join(tag_feedback(t["t_feedback"]), "memberId", "left"))
-    return wide.select(*TAG_COLUMNS)
+    return wide.select(*TAG_COLUMNS, "couponCounts")

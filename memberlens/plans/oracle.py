@@ -230,12 +230,15 @@ left join feedback f on m.memberId = f.memberId"""
 _USER_TAG_MEMBER = """
 , user_tag_member as (
   select m.*, o.orderCount, o.orderTime, o.orderMoney, o.favGoods,
-         fb.freeCouponTime, ct.couponTimes, cm.chargeMoney, ot.overTime, f.feedback
+         fb.freeCouponTime, ct.couponTimes, ct.couponCounts, cm.chargeMoney, ot.overTime, f.feedback
   from member_base m
   left join order_behavior_by_order o on m.memberId = o.memberId
   left join (select memberId, max(freeCouponTime) as freeCouponTime from free_coupon
              group by memberId) fb on m.memberId = fb.memberId
-  left join coupon_times ct on m.memberId = ct.memberId
+  left join (select memberId, list(day order by day) as couponTimes, list(n order by day) as couponCounts
+             from (select memberId, day, count(*) as n
+                   from (select memberId, unnest(couponTimes) as day from coupon_times) group by memberId, day)
+             group by memberId) ct on m.memberId = ct.memberId
   left join charge_money cm on m.memberId = cm.memberId
   left join over_time ot on m.memberId = ot.memberId
   left join feedback f on m.memberId = f.memberId)

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from memberlens.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
-PLAN_QUERIES = [n for n in E.queries() if not n.startswith("cdc_ods") and n != "cdc_partition_commit"]
+PLAN_QUERIES = [n for n in QUERIES if not n.startswith("cdc_ods") and n != "cdc_partition_commit"]
 
 
 def plan(df):
@@ -30,6 +31,11 @@ def test_tag_build_prunes_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in p
 
 
+def test_line_grain_tags_read_each_table_once(spark):
+    p = plan(E.queries()["tag_order_behavior"](spark, SF_SMALL))
+    assert p.count("l_orderkey:bigint") == 1 and p.count("o_orderkey:bigint") == 1
+
+
 def test_top_k_is_not_a_global_sort(spark):
     p = plan(E.queries()["hot_words"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
