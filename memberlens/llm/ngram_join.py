@@ -12,7 +12,7 @@ so a candidate must do so under every one of three orders:
   verified only if its prefixes meet under both of them.
 
 Copies are folded first: texts of one set are one class. Texts that meet at a
-token are compared with two pivots of that token; what the links found so far
+token are compared with a few pivots of that token; what the links found so far
 connect need not be compared again, and only pairs across components remain,
 all of which are compared. So a group of n near copies costs about n
 comparisons, and no link that joins two groups is lost.
@@ -37,6 +37,9 @@ from memberlens.llm.arrays import FACTORS, mix, shingle_sets
 from memberlens.llm.common import checkpointed, components, partitions, pieces, runs
 
 
+PIVOTS = 5
+
+
 def prefix_size(m, percent: int):
     """Tokens among which a set of ``m`` shares one with every similar set."""
     return m - (percent * m + 99) // 100 + 1
@@ -44,7 +47,7 @@ def prefix_size(m, percent: int):
 
 def region(percent: int) -> np.uint64:
     """Hashes below this are sorted by their frequency: several times what a prefix holds."""
-    return np.uint64(min(1.0, (100 - percent) / 30) * (2**64 - 2**12))
+    return np.uint64(min(1.0, max(0.5, (100 - percent) / 60)) * (2**64 - 2**12))
 
 
 def set_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -105,30 +108,62 @@ def _dealt(n: int, percent: int, buckets: int):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each bucket, the tokens that several sets have, by set, with the number of those sets."""
-    for group in runs(batches, "bucket"):
-        join = lambda c, t: np.frombuffer(b"".join(group.column(c).to_pylist()), t)
-        tokens = join("tokens", np.uint64)
-        key = np.repeat(join("keys", np.int64), join("counts", np.uint32))
-        order = np.lexsort((key, tokens))
-        tokens, key = tokens[order], key[order]
-        fresh = np.ones(len(tokens), bool)
-        fresh[1:] = (tokens[1:] != tokens[:-1]) | (key[1:] != key[:-1])
-        tokens, key = tokens[fresh], key[fresh]
-        head = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
-        df = np.repeat(np.diff(head), np.diff(head))
-        several = df > 1
-        tokens, key, df = tokens[several], key[several], df[several]
-        order = np.lexsort((tokens, key))
-        tokens, key, df = tokens[order].view(np.int64), key[order], df[order]
-        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
-        for a in range(0, len(cut) - 1, 5000):
-            part = cut[a:a + 5001]
+def _cuts(*columns: np.ndarray) -> np.ndarray:
+    """Where rows that differ from the one before begin, and the end."""
+    n = len(columns[0])
+    new = np.zeros(n + 1, bool)
+    new[[0, n]] = True
+    for c in columns:
+        new[1:n] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _joined(group: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(group.column(column).to_pylist()), kind)
+
+
+def _shared(ranges: int):
+    """Of each bucket, the tokens that several sets have, with the number of those sets: a row for each range of sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, "bucket"):
+            tokens = _joined(group, "tokens", np.uint64)
+            key = np.repeat(_joined(group, "keys", np.int64), _joined(group, "counts", np.uint32))
+            order = np.lexsort((key, tokens))
+            tokens, key = tokens[order], key[order]
+            first = _cuts(tokens, key)[:-1]
+            tokens, key = tokens[first], key[first]
+            head = _cuts(tokens)
+            df = np.repeat(np.diff(head), np.diff(head))
+            several = df > 1
+            tokens, key, df = tokens[several], key[several], df[several]
+            if not len(key):
+                continue
+            part = (mix(key.view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+            order = np.lexsort((key, part))
+            tokens, key, df, part = tokens[order], key[order], df[order].astype(np.uint32), part[order]
+            cut, sets = _cuts(part), _cuts(part, key)
+            count = np.diff(sets).astype(np.uint32)
+            to = np.searchsorted(sets, cut)
+            blobs = lambda x, at: pa.array([x[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[cut[:-1]]), blobs(key[sets[:-1]], to), blobs(count, to), blobs(tokens, cut), blobs(df, cut)],
+                ["part", "keys", "counts", "tokens", "dfs"])
+    return run
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each set of a range: its tokens that others have too, and in how many sets each is."""
+    for group in runs(batches, "part"):
+        key = np.repeat(_joined(group, "keys", np.int64), _joined(group, "counts", np.uint32))
+        tokens, df = _joined(group, "tokens", np.int64), _joined(group, "dfs", np.uint32).astype(np.int64)
+        order = np.argsort(key, kind="stable")
+        key, tokens, df = key[order], tokens[order], df[order]
+        cut = _cuts(key)
+        for a in range(0, len(cut) - 1, 2000):
+            part = cut[a:a + 2001]
             lists = lambda x: pa.ListArray.from_arrays(
                 pa.array(part - part[0], pa.int32()), pa.array(x[part[0]:part[-1]]))
-            yield pa.RecordBatch.from_arrays([pa.array(key[part[:-1]]), lists(tokens), lists(df)],
-                                             ["key", "tokens", "dfs"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[part[:-1]]), lists(tokens), lists(df)], ["key", "tokens", "dfs"])
 
 
 def _prefixes(percent: int):
@@ -138,8 +173,7 @@ def _prefixes(percent: int):
             out, alone = [], []
             for m, low, extra, tokens, dfs in zip(*(batch.column(c).to_pylist()
                                                     for c in ("m", "low", "extra", "tokens", "dfs"))):
-                tokens = np.array([x for t in tokens or [] for x in t], np.int64)
-                df = np.array([x for d in dfs or [] for x in d], np.int64)
+                tokens, df = np.array(tokens or [], np.int64), np.array(dfs or [], np.int64)
                 room = prefix_size(m, percent) - (low - len(tokens))
                 first = tokens[np.lexsort((tokens.view(np.uint64), df))][:max(room, 0)].tolist()
                 out.append(first + (extra or [])[:max(room - len(first), 0)])
@@ -244,16 +278,21 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     many = partitions(docs)
     dealt = rows.mapInArrow(_dealt(n, percent, many), "bucket long, keys binary, counts binary, tokens binary")
     shared = (dealt.repartition(many, "bucket").sortWithinPartitions("bucket")
-              .mapInArrow(_shared, "key long, tokens array<long>, dfs array<long>")
-              .groupBy("key").agg(F.collect_list(F.struct("tokens", "dfs")).alias("s"))
-              .select("key", "s.tokens", "s.dfs"))
-    own = F.col("low") - F.coalesce(F.aggregate("tokens", F.lit(0), lambda n_, t: n_ + F.size(t)), F.lit(0))
+              .mapInArrow(_shared(many), "part long, keys binary, counts binary, tokens binary, dfs binary")
+              .repartition(many, "part").sortWithinPartitions("part")
+              .mapInArrow(_gathered, "key long, tokens array<long>, dfs array<long>"))
+    own = F.col("low") - F.when(F.col("tokens").isNotNull(), F.size("tokens")).otherwise(F.lit(0))
     need = F.expr(f"m - (({percent} * m + 99) div 100) + 1")
     prefixes = checkpointed(
         classes.join(shared, "key", "left").where(own < need).select("key", "m", "low", "extra", "tokens", "dfs")
         .mapInArrow(_prefixes(percent), "key long, m long, alone long, prefix array<long>")
         .select("key", "m", "alone", F.explode("prefix").alias("token")))
-    pivots = (prefixes.groupBy("token").agg(F.min("key").alias("p"), F.max("key").alias("q")).where("p <> q"))
+    # The pivots of a token: the set with the fewest tokens of its own, the likeliest source of the others, and some
+    # that a hash chooses, so that the sets of one group mostly have the same pivots.
+    pivot = [F.min_by("key", F.struct("alone", "key")), *[F.min_by("key", F.xxhash64("key", F.lit(k))) for k in range(PIVOTS)]]
+    pivots = (prefixes.groupBy("token").agg(F.min("key").alias("p"), F.max("key").alias("q"),
+                                            F.array_distinct(F.array(*pivot)).alias("pivots"))
+              .where("p <> q").select("token", "pivots"))
     met = checkpointed(prefixes.join(pivots, "token"))
     alive = met.select("key").distinct().join(classes.select("key", "id"), "key")
     packed = rows.mapInArrow(_packed, "i long, z binary")
@@ -266,7 +305,7 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
              & (F.col("ma") - F.col("ua") >= common) & (F.col("mb") - F.col("ub") >= common))
     sizes = met.select("key", "m", "alone").distinct()
     side = lambda c: sizes.select(F.col("key").alias(c), F.col("m").alias(f"m{c}"), F.col("alone").alias(f"u{c}"))
-    star = (met.select("key", F.explode(F.array("p", "q")).alias("pivot")).where("key <> pivot")
+    star = (met.select("key", F.explode("pivots").alias("pivot")).where("key <> pivot")
             .select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct())
     star = checkpointed(star.join(side("a"), "a").join(side("b"), "b").where(close).select("a", "b"))
     links = _links(star, sets, n, percent)
