@@ -25,10 +25,12 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +40,7 @@ from memberlens.llm.common import checkpointed, components, partitions, pieces,
 
 
 PIVOTS = 5
+TILE = 1000
 
 
 def prefix_size(m, percent: int):
@@ -212,58 +215,76 @@ def _cut(column: list[int], limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(column)
 
 
-def _sketched(n: int, percent: int):
-    """The prefixes of a set under orders 2 and 3, as 32-bit tokens, beside its packed text."""
+def _meant(n: int):
+    """Of several texts of one id, the one whose set is meant."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a, b in _cut([_size(z) for z in whole.column("z").to_pylist()]):
                 batch = whole.slice(a, b - a)
-                tokens, at = shingle_sets(_texts(batch.column("z")), n)
-                m = np.diff(at)
-                doc = np.repeat(np.arange(len(m)), m)
-                size = np.where(m > 0, prefix_size(m, percent), 0)
-                orders = []
-                for factor in (FACTORS[22], FACTORS[23]):
-                    other = mix(tokens * factor)
-                    other = other[np.lexsort((other, doc))]
-                    orders.append(pa.array([(other[x:x + k] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                                            for x, k in zip(at, size)], pa.list_(pa.int32())))
-                same = set_keys(tokens, at) == batch.column("key").to_numpy()
-                made = pa.RecordBatch.from_arrays([batch.column("key"), pa.array(m), *orders, batch.column("z")],
-                                                  ["key", "m", "o2", "o3", "z"])
-                yield made.filter(pa.array(same))  # of several texts of one id, the one that was meant
+                keys = set_keys(*shingle_sets(_texts(batch.column("z")), n))
+                yield batch.select(["key", "z"]).filter(pa.array(keys == batch.column("key").to_numpy()))
     return run
 
 
+def _common(tokens: np.ndarray, start: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each pair of sets (x, y) the number of tokens in both."""
+    both = np.concatenate([x, y])
+    pair = np.repeat(np.concatenate([np.arange(len(x))] * 2), size[both])
+    end = np.cumsum(size[both])
+    token = tokens[np.arange(end[-1] if len(end) else 0) + np.repeat(start[both] - end + size[both], size[both])]
+    order = np.lexsort((token, pair))
+    token, pair = token[order], pair[order]
+    return np.bincount(pair[1:][(token[1:] == token[:-1]) & (pair[1:] == pair[:-1])], minlength=len(x))
+
+
 def _verified(n: int, percent: int):
-    """The pairs whose sets are similar."""
+    """The similar pairs of a tile, whose texts come first: filters of orders 2 and 3, then the sets themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            sizes = [_size(x) + _size(y) for x, y in zip(whole.column("za").to_pylist(), whole.column("zb").to_pylist())]
-            for a, b in _cut(sizes):
-                batch = whole.slice(a, b - a)
-                (x, at), (y, to) = (shingle_sets(_texts(batch.column(c)), n) for c in ("za", "zb"))
-                pair = np.concatenate([np.repeat(np.arange(b - a), np.diff(at)), np.repeat(np.arange(b - a), np.diff(to))])
-                token = np.concatenate([x, y])
-                order = np.lexsort((token, pair))
-                token, pair = token[order], pair[order]
-                both = np.bincount(pair[1:][(token[1:] == token[:-1]) & (pair[1:] == pair[:-1])], minlength=b - a)
-                union = np.diff(at) + np.diff(to) - both
-                yield batch.select(["a", "b"]).filter(pa.array(100 * both >= percent * union))
+        for tile in runs(batches, "tile"):
+            text = pc.is_null(tile.column("b"))
+            texts, pairs = tile.filter(text).combine_chunks(), tile.filter(pc.invert(text))
+            packed = texts.column("z").combine_chunks()
+            made = [shingle_sets(_texts(packed.slice(a, b - a)), n) for a, b in _cut([_size(z) for z in packed.to_pylist()])]
+            tokens = np.concatenate([t for t, _ in made])
+            size = np.concatenate([np.diff(at) for _, at in made])
+            start = np.cumsum(size) - size
+            doc = np.repeat(np.arange(len(size)), size)
+            key = texts.column("key").to_numpy()
+            by_key = np.argsort(key)
+            find = lambda c: by_key[np.searchsorted(key, pairs.column(c).to_numpy(), sorter=by_key)]
+            x, y = find("key"), find("b")
+            shorter = np.where(size > 0, prefix_size(size, percent), 0)
+            prefixes = []
+            for factor in (FACTORS[22], FACTORS[23]):
+                other = mix(tokens * factor)
+                prefixes.append(other[np.lexsort((other, doc))])
+            for a, b in _cut((size[x] + size[y]).tolist(), 1 << 20):
+                p, q = x[a:b], y[a:b]
+                for other in prefixes:
+                    meet = _common(other, start, shorter, p, q) > 0
+                    p, q = p[meet], q[meet]
+                both = _common(tokens, start, size, p, q)
+                good = 100 * both >= percent * (size[p] + size[q] - both)
+                yield pa.RecordBatch.from_arrays([pa.array(key[p[good]]), pa.array(key[q[good]])], ["a", "b"])
     return run
 
 
 def _links(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` that pass the filters of orders 2 and 3 and are similar."""
-    sketch = sets.select("key", "o2", "o3")
-    left = sketch.select(F.col("key").alias("a"), F.col("o2").alias("a2"), F.col("o3").alias("a3"))
-    right = sketch.select(F.col("key").alias("b"), F.col("o2").alias("b2"), F.col("o3").alias("b3"))
-    passed = (pairs.join(left, "a").join(right, "b")
-              .where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3")).select("a", "b"))
-    texts = sets.select("key", "z")
-    full = (passed.join(texts.select(F.col("key").alias("a"), F.col("z").alias("za")), "a")
-            .join(texts.select(F.col("key").alias("b"), F.col("z").alias("zb")), "b"))
-    return checkpointed(full.select("a", "b", "za", "zb").mapInArrow(_verified(n, percent), "a long, b long"))
+    """Those of the pairs ``a, b`` that pass the filters of orders 2 and 3 and are similar.
+
+    Pairs are dealt to tiles of about ``TILE`` by a block of each side, and a
+    tile gets each of its texts once: of m texts that are all to be compared,
+    about m * m / sqrt(TILE) copies move, not m * m.
+    """
+    pairs = checkpointed(pairs)
+    sides = max(1, math.ceil(math.sqrt(pairs.count() / TILE)))
+    block = lambda c: F.pmod(F.xxhash64(c, F.lit(TILE)), F.lit(sides))
+    tiled = pairs.withColumn("tile", block("a") * sides + block("b"))
+    wanted = tiled.select("tile", F.explode(F.array("a", "b")).alias("key")).distinct()
+    texts = wanted.join(sets, "key").select("tile", "key", F.lit(None).cast("long").alias("b"), "z")
+    rows = texts.unionByName(tiled.select("tile", F.col("a").alias("key"), "b", F.lit(None).cast("binary").alias("z")))
+    return checkpointed(rows.repartition("tile").sortWithinPartitions("tile", F.col("b").asc_nulls_first())
+                        .mapInArrow(_verified(n, percent), "a long, b long"))
 
 
 def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -297,7 +318,7 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     alive = met.select("key").distinct().join(classes.select("key", "id"), "key")
     packed = rows.mapInArrow(_packed, "i long, z binary")
     sets = checkpointed(packed.join(alive.select(F.col("id").alias("i"), "key"), "i").select("key", "z")
-                        .mapInArrow(_sketched(n, percent), "key long, m long, o2 array<int>, o3 array<int>, z binary")
+                        .mapInArrow(_meant(n), "key long, z binary")
                         .dropDuplicates(["key"]))
     # A pair needs so many common tokens; those that a set has alone cannot be among them.
     common = F.ceil(F.lit(percent) * (F.col("ma") + F.col("mb")) / F.lit(100 + percent))
