@@ -4,6 +4,8 @@ A text is cut into sentences; a sentence is normalised to lower-case words
 and looked up among known licence sentences. The identifiers found, in text
 order, are matched against ordered licence rules: a rule holds where its
 identifiers occur in its order, other licence sentences between them allowed.
+A notice that reserves all rights is one of the licences, LicenseRef-proprietary;
+it is named next to others that the text holds.
 
 Nulls: a null or empty text has no sentence and no licence. Repeated rows
 give repeated results, an empty table an empty result; other columns are
@@ -35,6 +37,7 @@ SENTENCES: dict[str, str] = {
     "cc-by-nc-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-notice": "Licensed under CC BY-SA 4.0.",
+    "reserved-notice": "All rights reserved.",
 }
 # The sentences of each licence, in order.
 RULES: dict[str, list[list[str]]] = {
@@ -44,6 +47,7 @@ RULES: dict[str, list[list[str]]] = {
     "CC-BY-NC-4.0": [["cc-by-nc-notice"]],
     "CC-BY-SA-4.0": [["cc-by-sa-notice"]],
     "GPL-3.0": [["gpl3-notice"], ["gpl-free", "gpl-terms"]],
+    "LicenseRef-proprietary": [["reserved-notice"]],
     "MIT": [["mit-notice"], ["mit-grant", "mit-keep", "mit-asis"]],
 }
 

@@ -166,6 +166,19 @@ def test_license_rules(spark):
     assert got == {100: "Apache-2.0,MIT", 101: "", 102: "", 103: "BSD-2-Clause,MIT"}
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_every_licence_line_of_the_given_tables(spark, sf):
+    """Lines are found by words of their own, not by the rules."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    line = r"(?i)\b(licen[cs]ed?|copyright|rights reserved|creative commons|CC BY|all rights|proprietary|confidential)\b"
+    held = {r["doc_id"]: r["n"] for r in docs.select("doc_id", F.explode(F.split("text", "\n")).alias("l"))
+            .where(F.col("l").rlike(line)).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    got = {r["doc_id"]: r for r in license_rules.scan_licenses(docs).collect()}
+    assert held and {i for i, r in got.items() if r["licenses"]} == set(held)
+    assert all(got[i]["n_sentences"] == n for i, n in held.items())
+    assert any(r["licenses"] == "LicenseRef-proprietary" for r in got.values())
+
+
 def test_mix_meets_its_targets(spark):
     rows = [(k, prose(k, 5 + k % 90), "en", f"s{k % 7}" if k % 3 else "hot", 0) for k in range(600)]
     rows += [(9000, "w", "en", "tiny", 0)]
