@@ -187,11 +187,19 @@ def _prefixes(percent: int):
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        z = [pack.compress((t or "").encode()) for t in batch.column("t").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(z, pa.binary())], ["i", "z"])
+def _packed(n: int):
+    """A text of each set, by the set's digest; what one task sees again is not sent again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        sent: set[int] = set()
+        for batch in pieces(batches, "t"):
+            tokens, at = shingle_sets(batch.column("t"), n)
+            keys = set_keys(tokens, at).tolist()
+            first = {k: j for j, k in reversed(list(enumerate(keys))) if k not in sent and at[j + 1] > at[j]}
+            sent.update(first)
+            z = [pack.compress(t.encode()) for t in batch.column("t").take(pa.array(list(first.values()), pa.int64())).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.int64()), pa.array(z, pa.binary())], ["key", "z"])
+    return run
 
 
 def _texts(column: pa.Array) -> pa.Array:
@@ -215,17 +223,6 @@ def _cut(column: list[int], limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(column)
 
 
-def _meant(n: int):
-    """Of several texts of one id, the one whose set is meant."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a, b in _cut([_size(z) for z in whole.column("z").to_pylist()]):
-                batch = whole.slice(a, b - a)
-                keys = set_keys(*shingle_sets(_texts(batch.column("z")), n))
-                yield batch.select(["key", "z"]).filter(pa.array(keys == batch.column("key").to_numpy()))
-    return run
-
-
 def _common(tokens: np.ndarray, start: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """For each pair of sets (x, y) the number of tokens in both."""
     both = np.concatenate([x, y])
@@ -294,8 +291,7 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     described = checkpointed(rows.mapInArrow(
         _described(n, percent), "id long, m long, key long, low long, extra array<long>"))
     classes = (described.where("m > 0").groupBy("key")
-               .agg(F.min("id").alias("id"), F.any_value("m").alias("m"), F.any_value("low").alias("low"),
-                    F.any_value("extra").alias("extra")))
+               .agg(F.any_value("m").alias("m"), F.any_value("low").alias("low"), F.any_value("extra").alias("extra")))
     many = partitions(docs)
     dealt = rows.mapInArrow(_dealt(n, percent, many), "bucket long, keys binary, counts binary, tokens binary")
     shared = (dealt.repartition(many, "bucket").sortWithinPartitions("bucket")
@@ -315,11 +311,8 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
                                             F.array_distinct(F.array(*pivot)).alias("pivots"))
               .where("p <> q").select("token", "pivots"))
     met = checkpointed(prefixes.join(pivots, "token"))
-    alive = met.select("key").distinct().join(classes.select("key", "id"), "key")
-    packed = rows.mapInArrow(_packed, "i long, z binary")
-    sets = checkpointed(packed.join(alive.select(F.col("id").alias("i"), "key"), "i").select("key", "z")
-                        .mapInArrow(_meant(n), "key long, z binary")
-                        .dropDuplicates(["key"]))
+    packed = rows.mapInArrow(_packed(n), "key long, z binary")
+    sets = checkpointed(packed.join(met.select("key").distinct(), "key").dropDuplicates(["key"]))
     # A pair needs so many common tokens; those that a set has alone cannot be among them.
     common = F.ceil(F.lit(percent) * (F.col("ma") + F.col("mb")) / F.lit(100 + percent))
     close = ((F.least("ma", "mb") * 100 >= F.greatest("ma", "mb") * percent)

@@ -44,6 +44,24 @@ def test_chains_of_near_copies(spark):
     assert got == similar_components(rows, 5, 80)
 
 
+def edited(text, at):
+    words = text.split()
+    return " ".join(words[:at] + ["changed"] + words[at + 1:])
+
+
+def test_near_copies_without_an_id(spark):
+    """Near copies that both have a null id, alone in a table and next to one of a numbered text and a text that is alone."""
+    schema = "doc_id long, text string"
+    pair = [(None, prose(20, 120)), (None, edited(prose(20, 120), 60))]
+    got = ngram_join.similar_texts(spark.createDataFrame(pair, schema), 5, 80).collect()
+    assert [(r["doc_id"], r["component_id"]) for r in got] == [(None, None)] * 2
+    rows = pair + [(50, prose(21, 120)), (None, edited(prose(21, 120), 40)), (60, edited(prose(21, 120), 80)),
+                   (None, prose(22, 120)), (7, edited(edited(prose(20, 120), 60), 100)), (80, prose(23, 120))]
+    got = ngram_join.similar_texts(spark.createDataFrame(rows, schema), 5, 80).collect()
+    want = [(None, 7), (None, 7), (50, 50), (None, 50), (60, 50), (None, None), (7, 7), (80, 80)]
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=key) == sorted(want, key=key)
+
+
 def test_similar_texts_of_nothing(spark):
     assert ngram_join.similar_texts(nothing(spark)).collect() == []
 
