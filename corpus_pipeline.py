@@ -5,7 +5,9 @@ kept; all but the last return the columns of ``documents``.
 
 * toxicity: texts predicted toxic go; texts without a lexicon match stay.
 * near_duplicates: of each group linked by five-word shingles at 80 % or
-  more, the document with the smallest id stays; texts without words stay.
+  more, the document with the smallest id stays, one with a null id only where
+  all are null; texts without words stay, and so does each text that is alone,
+  whether its id is null or another text has it too.
 * repeated_passages: bytes that a document with a smaller id has as well, in
   strings of 50 or more, go; a document of which nothing is left goes.
 * mix: a document is repeated as often as the mix takes it, or goes.
@@ -38,9 +40,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    groups = ngram_join.similar_texts(docs, n=5, percent=80)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    return (docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept"])).select(*COLUMNS).dropDuplicates(["doc_id"]))
+    return ngram_join.one_of_each(docs.select(*COLUMNS), n=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

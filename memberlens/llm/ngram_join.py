@@ -284,9 +284,8 @@ def _links(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame
                         .mapInArrow(_verified(n, percent), "a long, b long"))
 
 
-def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: texts linked at a similarity of ``percent`` % or more."""
+def _placed(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, m, key, root`` of every row: the size and digest of its set, and its component, null without words."""
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     described = checkpointed(rows.mapInArrow(
         _described(n, percent), "id long, m long, key long, low long, extra array<long>"))
@@ -337,9 +336,49 @@ def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
             .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
     more = _links(rest, sets, n, percent)
     roots = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = described.join(roots, (described["key"] == roots["node"]) & (described["m"] > 0), "left").select(
-        "id", "m", F.when(F.col("m") > 0, F.coalesce("root", "key")).alias("root"))
+    return described.join(roots, (described["key"] == roots["node"]) & (described["m"] > 0), "left").select(
+        "id", "m", "key", F.when(F.col("m") > 0, F.coalesce("root", "key")).alias("root"))
+
+
+def similar_texts(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: texts linked at a similarity of ``percent`` % or more."""
+    placed = _placed(docs, n, percent, id_col, text_col)
     least = placed.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
     return (placed.join(least, "root", "left")
             .select(F.col("id").alias(id_col), F.col("m").alias("n_shingles"),
                     F.coalesce("component_id", "id").alias("component_id")))
+
+
+def _keyed(n: int, text: str):
+    """The rows as they are, with the digest and size of the text's set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            tokens, at = shingle_sets(batch.column(text), n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(set_keys(tokens, at)), pa.array(np.diff(at))],
+                                             [*batch.schema.names, "key", "m"])
+    return run
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """One row of each group of linked texts, with the columns of ``docs``, and every row without words.
+
+    The row with the smallest id stays, one with a null id only where all ids of
+    the group are null. Groups are told apart by their sets, not by ids: a text
+    that is alone stays, whatever other text has its id or has none. Of rows with
+    one id and set, the one with the smallest columns stays, the text first.
+    """
+    inner = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    schema = ", ".join(f"{i} {docs.schema[c].dataType.simpleString()}" for c, i in inner.items())
+    keyed = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in inner.items()]).mapInArrow(
+        _keyed(n, inner[text_col]), f"{schema}, key long, m long")
+    chosen = (_placed(docs, n, percent, id_col, text_col).where("root is not null").groupBy("root")
+              .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("w"))
+              .select(F.col("w.id").alias("w_id"), F.col("w.key").alias("w_key")))
+    order = [inner[text_col], *[i for c, i in inner.items() if c != text_col]]
+    ones = (keyed.where("m > 0").join(chosen, (F.col("key") == F.col("w_key"))
+                                      & F.col(inner[id_col]).cast("long").eqNullSafe(F.col("w_id")))
+            .groupBy("key").agg(F.min(F.struct(*order)).alias("row")).select(*[f"row.{i}" for i in inner.values()]))
+    return (ones.unionByName(keyed.where("m = 0").select(*inner.values()))
+            .select(*[F.col(i).alias(c) for c, i in inner.items()]))

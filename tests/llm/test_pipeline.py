@@ -8,7 +8,7 @@ import pytest
 
 from memberlens.llm import bpe_trie
 from memberlens.llm.common import ship
-from tests.llm.helpers import awkward_rows, nothing, removal, similar_components
+from tests.llm.helpers import awkward_rows, nothing, prose, removal, similar_components
 from tests.llm.test_texts import labelled_corpus
 
 
@@ -54,6 +54,26 @@ def test_stages(spark, folder):
     assert max(v for i, v in mixed.items() if i is not None and i != 5020) <= 3
 
 
+def test_near_duplicates_keep_rows_by_text(spark):
+    """Null ids, texts without words and different texts under one id: what is alone stays, one of each group stays."""
+    ship(spark)
+    edit = lambda t: " ".join(t.split()[:60] + ["changed"] + t.split()[61:])
+    alone = [prose(30 + k, 80) for k in range(12)]
+    twin, other, pair = prose(60, 120), prose(61, 120), prose(62, 120)
+    rows = [(None, t) for t in alone] + [(None, None), (None, ""), (9, " "), (9, " "), (None, None)]
+    rows += [(3, twin), (None, edit(twin)), (4, edit(twin)), (None, twin)]            # a numbered group: 3 stays
+    rows += [(None, pair), (None, edit(pair)), (None, pair), (None, pair.upper())]    # a group without ids: one row stays
+    rows += [(8, other), (8, prose(63, 50)), (8, other)]                              # two texts under one id: both stay
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "").collect()]
+    none = [t for i, t in got if i is None]
+    assert len(none) == 12 + 3 + 1 and Counter(none)[None] == 2 and set(alone) <= set(none)
+    assert len([t for t in none if t in (pair, edit(pair), pair.upper())]) == 1
+    assert sorted((i, t) for i, t in got if i is not None) == sorted(
+        [(3, twin), (8, other), (8, prose(63, 50)), (9, " "), (9, " ")])
+
+
 def test_run(spark, folder):
     got = corpus_pipeline.run(spark, folder).collect()
     assert got and len({r["doc_id"] for r in got}) < spark.read.parquet(f"{folder}/documents.parquet").count()
