@@ -1,6 +1,7 @@
 """Token counts, BPE, fingerprints, licences, mixing, toxicity and quality."""
 
 import hashlib
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -166,6 +167,39 @@ def test_license_rules(spark):
     assert got == {100: "Apache-2.0,MIT", 101: "", 102: "", 103: "BSD-2-Clause,MIT"}
 
 
+APACHE = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+          "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0")
+UNLESS = ('Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on '
+          'an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.')
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+       'documentation files (the "Software"), to deal in the Software without restriction, subject to the following conditions: '
+       "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+       'Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO')
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+       "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+       "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+       "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+ENDORSE = (" 3. Neither the name of Some Lab nor the names of its contributors may be used to endorse or promote products derived "
+           "from this software without specific prior written permission.")
+GPL = ("Thing is free software{} you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+       "published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version.")
+
+
+@pytest.mark.parametrize("width", [35, 50, 72, 79, 5000])
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_wrapped_licences(spark, width, mark):
+    texts = {"Apache-2.0": [APACHE, APACHE + " " + UNLESS], "MIT": [MIT, "Note: released under the MIT License."],
+             "BSD-2-Clause": [BSD], "BSD-3-Clause": [BSD + ENDORSE], "GPL-3.0": [GPL.format(":", ",", 3)],
+             "GPL-2.0": [GPL.format(";", ";", 2)], "CC-BY-4.0": ["This text is licensed under CC BY 4.0."],
+             "": [GPL.format(":", ",", 4), "It is not licensed under CC BY 4.0.", BSD[:200]],
+             "LicenseRef-proprietary": ["Copyright 2020 Some Lab, all rights reserved."]}
+    rows = [(name, "\n".join(mark + l for l in ["Intro", *textwrap.wrap(t, width, break_on_hyphens=False,
+                                                                       break_long_words=False), "", "The end."]))
+            for name, some in texts.items() for t in some]
+    got = license_rules.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert [(r["doc_id"], r["licenses"]) for r in got] == [(name, name) for name, _ in rows]
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
 def test_every_licence_line_of_the_given_tables(spark, sf):
     """Lines are found by words of their own, not by the rules."""
