@@ -81,23 +81,31 @@ def cdc_envelope(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         *keep)
 
 
-def reject_reason() -> F.Column:
-    """Why a parsed change record cannot be used; NULL for a good one."""
+def reject_reason(key: str | None = None) -> F.Column:
+    """Why a parsed change record cannot be used; NULL for a good one.
+
+    ``key`` names the column that the state is kept by: a record whose image
+    lacks it is no part of the state (:func:`newest_changes`).
+    """
     parts = F.split(F.col("topic"), r"\.")
-    return (F.when(F.col("topic").isNull() & F.col("op").isNull(), F.lit("not a change record"))
-             .when(F.coalesce(F.size(parts), F.lit(0)) < 3, F.lit("no server.database.table topic"))
-             .when(F.col("op").isNull(), F.lit("no operation"))
-             .when(F.col("after").isNull() & F.col("before").isNull(), F.lit("no row image")))
+    reason = (F.when(F.col("topic").isNull() & F.col("op").isNull(), F.lit("not a change record"))
+               .when(F.coalesce(F.size(parts), F.lit(0)) < 3, F.lit("no server.database.table topic"))
+               .when(F.col("op").isNull(), F.lit("no operation"))
+               .when(F.col("after").isNull() & F.col("before").isNull(), F.lit("no row image")))
+    if key is None:
+        return reason
+    image = F.coalesce(F.col("after"), F.col("before"))
+    return reason.when(F.try_element_at(image, F.lit(key)).isNull(), F.lit("no key"))
 
 
-def valid_changes(raw: DataFrame) -> DataFrame:
-    """The parsed records that :func:`cdc_envelope` can use."""
-    return raw.filter(reject_reason().isNull())
+def valid_changes(raw: DataFrame, key: str | None = None) -> DataFrame:
+    """The parsed records that :func:`cdc_envelope` can use; with ``key``, those that have it."""
+    return raw.filter(reject_reason(key).isNull())
 
 
-def rejected_changes(raw: DataFrame, column: str = "value") -> DataFrame:
-    """``(value, reason)`` of the other records, with their text as it came."""
-    return raw.select(F.col(column).alias("value"), reject_reason().alias("reason")).filter("reason is not null")
+def rejected_changes(raw: DataFrame, column: str = "value", key: str | None = None) -> DataFrame:
+    """``(value, reason)`` of the records that :func:`valid_changes` leaves out, with their text as it came."""
+    return raw.select(F.col(column).alias("value"), reject_reason(key).alias("reason")).filter("reason is not null")
 
 
 def change_quality(envelope: DataFrame, key: str = "id", time_column: str = "create_time") -> DataFrame:
@@ -169,8 +177,8 @@ def newest_changes(envelope: DataFrame, key: str = "id", tiebreak: str | None =
 
     Newest is the largest millisecond time, then ``tiebreak`` (e.g. a log
     offset), then the text of the change, so that the result is defined in
-    every case. Changes without the key are left out (:func:`change_quality`
-    counts them). ``max_by`` aggregates partially in the map tasks, so a key
+    every case. Changes without the key are left out (:func:`rejected_changes`
+    with the key returns them, :func:`change_quality` counts them). ``max_by`` aggregates partially in the map tasks, so a key
     with a huge change history is still folded in every task first.
     """
     tie = F.col(tiebreak).cast("bigint") if tiebreak else F.lit(None).cast("bigint")

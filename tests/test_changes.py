@@ -219,6 +219,18 @@ def test_rejects_and_good_rows_are_all_rows(spark):
     assert bad["not json"] == "not a change record" and len(set(bad.values())) == 4
 
 
+def test_changes_without_the_key_are_rejected_with_their_text(spark):
+    lines = [rec("order_info", "c", T0, after=order(1, "t")), rec("order_info", "u", T0 + 1, after=order(1, "t", 2)),
+             rec("order_info", "c", T0, after={"status": "1"}), rec("order_info", "c", T0, after={"id": None}),
+             rec("order_info", "d", T0, before={"status": "1"}), "not json"]
+    raw = lines_df(spark, lines)
+    good, bad = CH.valid_changes(raw, key="id"), CH.rejected_changes(raw, key="id").collect()
+    assert sorted([r.value for r in good.collect()] + [r.value for r in bad]) == sorted(lines)
+    assert sorted((r.value, r.reason) for r in bad) == sorted(zip(lines[2:], ["no key"] * 3 + ["not a change record"]))
+    state = CH.cdc_current_state(CH.cdc_envelope(CH.valid_changes(raw))).collect()
+    assert [tuple(r) for r in state] == [tuple(r) for r in CH.cdc_current_state(CH.cdc_envelope(good)).collect()]
+
+
 def test_user_rows_are_typed_and_stored(spark, workdir):
     user = {"id": 7, "login_name": "ann", "birthday": "1990-02-03", "create_time": "2024-01-01 05:00:00", "status": "1"}
     _write_batches(f"{workdir}/src", [[rec("user_info", "c", T0 + 5 * 3600_000, after=user),
