@@ -19,3 +19,11 @@ def test_scale_settings():
     conf = scale_settings(100 * 1024 ** 4, cores=8000)     # 100 TB on 8000 cores
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_settings(1024, cores=8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_the_bench_times_every_registered_query():
+    import __spark_entry__ as E
+    import bench
+    registered = E.queries()
+    assert "pipeline" in registered and bench.chosen(registered, []) == list(registered)
+    assert bench.chosen(registered, ["member_sex"]) == ["member_sex"]
