@@ -57,4 +57,23 @@ select doc_id, len(found)::bigint as n_sentences, array_to_string(found, ',') as
 from trails
 """
 
-ORACLE: dict[str, str] = {"op2_mix_sources": _MIX, "op10_license_scan": _LICENSES}
+_NEGATIVES = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda c: floor(256 * c::double)) as x
+           from embeddings
+           where label is not null and embedding is not null
+             and len(list_filter(embedding, lambda c: c is not null and isfinite(c))) = len(embedding)),
+pairs as (select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+                 list_dot_product(a.x, b.x)::bigint as score
+          from e a join e b on b.vec_id <> a.vec_id and len(a.x) = len(b.x) where a.vec_id % 100 = 0),
+positives as (select anchor_id, other as positive_id, score as positive_score from pairs where same
+              qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select anchor_id, positive_id,
+       (row_number() over (partition by anchor_id, positive_id order by score desc, other))::int as rank,
+       other as negative_id, positive_score, score as negative_score
+from positives join pairs using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op2_mix_sources": _MIX, "op10_license_scan": _LICENSES, "op12_hard_negatives": _NEGATIVES}

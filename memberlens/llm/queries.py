@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memberlens.llm import (bpe_trie, fingerprints, license_rules, mixing, ngram_join, quality, repeats,
-                            token_counts, toxicity, vectors)
+from memberlens.llm import (bpe_trie, fingerprints, html_text, license_rules, mixing, negatives, ngram_join, quality,
+                            repeats, token_counts, toxicity, vectors, whitening)
 from memberlens.llm.common import table
 
 DOCS = "documents"
@@ -56,6 +56,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan_licenses(table(spark, sf_dir, DOCS))
 
 
+def op11_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_ngram_join, op2_mix_sources, op3_fingerprints, op4_toxicity, op5_quality, op6_token_counts, op7_near_vectors, op8_remove_repeats, op9_bpe_encode,
-    op10_license_scan)}
+    op1_ngram_join, op2_mix_sources, op3_fingerprints, op4_toxicity, op5_quality, op6_token_counts, op7_near_vectors,
+    op8_remove_repeats, op9_bpe_encode, op10_license_scan, op11_extract_pages, op12_hard_negatives, op13_whiten)}
