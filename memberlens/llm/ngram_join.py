@@ -13,9 +13,14 @@ so a candidate must do so under every one of three orders:
 
 Copies are folded first: texts of one set are one class. Texts that meet at a
 token are compared with a few pivots of that token; what the links found so far
-connect need not be compared again, and only pairs across components remain,
-all of which are compared. So a group of n near copies costs about n
-comparisons, and no link that joins two groups is lost.
+connect need not be compared again, and only pairs across components remain.
+Tokens with the same sets are one list. The pairs of short lists are compared
+as they are, each once. A long list is dealt out as pairs of blocks, each block
+with its texts: a task counts the tokens that two sets have in common among
+their first ones under orders 2 and 3, drops the pairs that already miss more
+there than similar sets may, compares the rest, and returns a few links that
+connect the same texts, never the pairs. So a group of n near copies costs
+about n comparisons, and no link that joins two groups is lost.
 
 Nulls: a null or empty text has no shingle and is linked with nothing; so is
 one without words. A null id never names a component unless alone. Repeated
@@ -41,6 +46,11 @@ from memberlens.llm.common import checkpointed, components, partitions, pieces,
 
 PIVOTS = 5
 TILE = 1000
+#: Longer lists of sets that have a token are dealt out in blocks of at most so many sets and tokens.
+SHORT = 32
+BLOCK = 2048
+BLOCK_TOKENS = 1 << 21
+COLUMNS = 4096
 
 
 def prefix_size(m, percent: int):
@@ -266,6 +276,140 @@ def _verified(n: int, percent: int):
     return run
 
 
+def _few(percent: int):
+    """The pairs of short lists that could be similar and are not yet connected, each once a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in [*batches, None]:
+            parts = [t for t in (held, None if batch is None else pa.Table.from_batches([batch])) if t is not None]
+            if not parts:
+                return
+            rows = pa.concat_tables(parts).combine_chunks()
+            token, key, m, alone, root = (rows.column(c).to_numpy() for c in ("token", "key", "m", "alone", "root"))
+            # The last list goes on in the next batch.
+            whole = len(token) if batch is None else int(np.searchsorted(token, token[-1])) if len(token) else 0
+            held = rows.slice(whole)
+            found = []
+            for d in range(1, min(SHORT, whole)):
+                x = np.flatnonzero((token[:whole - d] == token[d:whole]) & (root[:whole - d] != root[d:whole]))
+                y = x + d
+                good = _close(m[x], m[y], m[x] - alone[x], m[y] - alone[y], percent)
+                found.append(np.column_stack([np.minimum(key[x], key[y]), np.maximum(key[x], key[y])])[good])
+            pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    return run
+
+
+def _required(ma, mb, percent: int):
+    """Tokens that similar sets of these sizes have in common at least."""
+    return -(-percent * (ma + mb) // (100 + percent))
+
+
+def _close(ma, mb, ca, cb, percent: int):
+    """Whether sets of these sizes can be similar if at most ``ca`` and ``cb`` of their tokens are common."""
+    return ((np.minimum(ma, mb) * 100 >= np.maximum(ma, mb) * percent)
+            & (np.minimum(ca, cb) >= _required(ma, mb, percent)))
+
+
+def _matrix(tokens: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """For each pair of a left and a right set the number of these tokens in both, by products of 0-1 matrices."""
+    count = np.zeros((len(left), len(right)), np.float32)
+    names, column = np.unique(tokens, return_inverse=True)
+    place = np.full(int(max(left.max(), right.max())) + 1, -1)
+    sides = []
+    for side in (left, right):
+        place[:] = -1
+        place[side] = np.arange(len(side))
+        at = place[doc]
+        sides.append((at[at >= 0], column[at >= 0]))
+    both = np.bincount(sides[0][1], minlength=len(names)) * np.bincount(sides[1][1], minlength=len(names)) > 0
+    if left is right:
+        both = np.bincount(sides[0][1], minlength=len(names)) > 1
+    number = np.cumsum(both) - 1
+    sides = [(at[both[c]], number[c[both[c]]]) for at, c in sides]
+    for start in range(0, int(both.sum()), COLUMNS):
+        dense = []
+        for (at, c), side in zip(sides, (left, right)):
+            here = (c >= start) & (c < start + COLUMNS)
+            one = np.zeros((len(side), COLUMNS), np.float32)
+            one[at[here], c[here] - start] = 1
+            dense.append(one)
+            if left is right:
+                dense.append(one)
+                break
+        count += dense[0] @ dense[1].T
+    return count
+
+
+def _block_links(n: int, percent: int):
+    """Links that connect what a pair of blocks connects: filters of orders 2 and 3, counted, then the sets themselves."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for deal in runs(batches, "deal"):
+            z = deal.column("z").combine_chunks()
+            made = [shingle_sets(_texts(z.slice(a, b - a)), n) for a, b in _cut([_size(x) for x in z.to_pylist()])]
+            tokens = np.concatenate([t for t, _ in made])
+            size = np.concatenate([np.diff(at) for _, at in made])
+            start = np.cumsum(size) - size
+            doc = np.repeat(np.arange(len(size)), size)
+            key, mine = deal.column("key").to_numpy(), deal.column("mine").to_numpy()
+            root = np.unique(deal.column("root").to_numpy(), return_inverse=True)[1].astype(np.int64)
+            b1, b2 = int(deal.column("b1")[0].as_py()), int(deal.column("b2")[0].as_py())
+            left = np.flatnonzero(mine == b1)
+            right = left if b1 == b2 else np.flatnonzero(mine == b2)
+            if not len(left) or not len(right):
+                continue
+            sizes = size[left][:, None], size[right][None, :]
+            need = _required(*sizes, percent)
+            alive = (_close(*sizes, *sizes, percent) & (root[left][:, None] != root[right][None, :])
+                     & (left[:, None] < right[None, :] if left is right else True))
+            exact = False
+            for factor, share in ((22, 0.02), (23, 0.02), (None, 0.01)):
+                # Of the tokens below the bar, similar sets miss no more of each other than of all tokens.
+                if alive.sum() <= 4 * len(left):
+                    break
+                bar = np.uint64(min(1.0, share * (100 - percent)) * (2**64 - 2**12))
+                low = np.ones(len(tokens), bool) if factor is None else mix(tokens * FACTORS[factor]) < bar
+                common = _matrix(tokens[low], doc[low], left, right)
+                own = np.bincount(doc[low], minlength=len(size))
+                alive &= ((own[left][:, None] - common <= sizes[0] - need) & (own[right][None, :] - common <= sizes[1] - need))
+                exact = factor is None
+            found = []
+            while True:
+                p = np.flatnonzero(alive.any(axis=1))
+                if not len(p):
+                    break
+                q = alive[p].argmax(axis=1)
+                alive[p, q] = False
+                x, y = left[p], right[q]
+                if not exact:
+                    good = []
+                    for a, b in _cut((size[x] + size[y]).tolist(), 1 << 20):
+                        both = _common(tokens, start, size, x[a:b], y[a:b])
+                        good.append(100 * both >= percent * (size[x[a:b]] + size[y[a:b]] - both))
+                    good = np.concatenate(good)
+                    x, y = x[good], y[good]
+                if not len(x):
+                    continue
+                found += list(zip(key[x].tolist(), key[y].tolist()))
+                root = _merged(root, x, y)
+                alive &= root[left][:, None] != root[right][None, :]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                                              pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+    return run
+
+
+def _merged(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The component of each set once those of each pair (x, y) are one."""
+    name = np.arange(root.max() + 1)
+    while True:
+        a, b = name[root[x]], name[root[y]]
+        if (a == b).all():
+            return name[root]
+        np.minimum.at(name, np.maximum(a, b), np.minimum(a, b))
+        while (name[name] != name).any():
+            name = name[name]
+
+
 def _links(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of the pairs ``a, b`` that pass the filters of orders 2 and 3 and are similar.
 
@@ -323,18 +467,25 @@ def _placed(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
     star = checkpointed(star.join(side("a"), "a").join(side("b"), "b").where(close).select("a", "b"))
     links = _links(star, sets, n, percent)
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    # What is left: pairs that meet at a token, across the components found so far.
+    # What is left: pairs that meet at a token, across the components found so far; tokens of the same sets are one list.
     named = met.join(roots, met["key"] == roots["node"], "left").select(
         "token", "key", "m", "alone", F.coalesce("root", "key").alias("root"))
-    mixed = (named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-             .select("token"))
-    open_ = checkpointed(named.join(mixed, "token"))
-    end = lambda c: open_.select(F.col("token").alias(f"t{c}"), F.col("key").alias(c), F.col("m").alias(f"m{c}"),
-                                 F.col("alone").alias(f"u{c}"), F.col("root").alias(f"r{c}"))
-    rest = (end("a").join(end("b"), (F.col("ta") == F.col("tb")) & (F.col("a") < F.col("b"))
-                          & (F.col("ra") != F.col("rb")) & close)
-            .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
-    more = _links(rest, sets, n, percent)
+    lists = (named.groupBy("token").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("length"), F.sum("m").alias("tokens"),
+        F.bit_xor(F.xxhash64("key")).alias("h"), F.sum(F.xxhash64("key", F.lit(1)).cast("decimal(38,0)")).alias("g"))
+        .where("lo <> hi").groupBy("length", "tokens", "h", "g").agg(F.min("token").alias("token")))
+    open_ = checkpointed(named.join(lists.select("token", "length", "tokens"), "token"))
+    few = (open_.where(F.col("length") <= SHORT).repartition(many, "token").sortWithinPartitions("token")
+           .mapInArrow(_few(percent), "a long, b long").distinct().join(star, ["a", "b"], "left_anti"))
+    blocks = F.greatest(F.ceil(F.col("length") / BLOCK), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("long")
+    placed = (open_.where(F.col("length") > SHORT).withColumn("blocks", blocks)
+              .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("key", "root", "mine", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"),
+                      F.xxhash64("token", F.least("mine", "other"), F.greatest("mine", "other")).alias("deal")))
+    blocked = checkpointed(placed.join(sets, "key").repartition(many, "deal").sortWithinPartitions("deal")
+                           .mapInArrow(_block_links(n, percent), "a long, b long"))
+    more = _links(few, sets, n, percent).unionByName(blocked)
     roots = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     return described.join(roots, (described["key"] == roots["node"]) & (described["m"] > 0), "left").select(
         "id", "m", "key", F.when(F.col("m") > 0, F.coalesce("root", "key")).alias("root"))

@@ -44,6 +44,27 @@ def test_chains_of_near_copies(spark):
     assert got == similar_components(rows, 5, 80)
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    """Tokens that very many texts have: lists dealt out in small blocks connect what the pairs would."""
+    monkeypatch.setattr(ngram_join, "SHORT", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 0)
+    rng = random.Random(11)
+    lines = [prose(300 + k, 12) for k in range(14)]
+    rows = []
+    for k in range(220):  # texts made of a few lines that many texts have
+        text = " ".join(rng.sample(lines, rng.randint(5, 9)))
+        rows.append((k, text))
+        if k % 4 == 0:
+            words = text.split()
+            words[rng.randrange(len(words))] = f"w{k}"
+            rows.append((1000 + k, " ".join(words)))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_texts(
+        spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    want = similar_components(rows, 4, 85)
+    assert got == want and len(set(want.values())) < len(rows) - 20
+
+
 def edited(text, at):
     words = text.split()
     return " ".join(words[:at] + ["changed"] + words[at + 1:])
