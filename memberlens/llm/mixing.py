@@ -7,7 +7,8 @@ hash bucket: the bucket in which the budget ends is refined into smaller
 buckets, level by level, and only that one; documents are never sorted.
 
 Nulls and ties: a null text has size 0, a null source is a source of its own
-and comes last. Repeated rows and rows with equal ids share a hash, so they
+and comes last. The hash is of id and text, so documents without an id, or
+with one id, are spread like others; rows equal in both share a hash, so they
 are taken or left together. A source without words has target 0. An empty
 table gives an empty result.
 """
@@ -29,10 +30,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def id_hash(key: Column) -> Column:
-    """The first 60 bits of the MD5 of an id as text, as a long."""
-    hex_ = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4)
-    return F.conv(hex_, 16, 10).cast("long")
+def row_hash(key: Column, text: Column) -> Column:
+    """The first 60 bits of the MD5 of an id and a text, as a long."""
+    named = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
@@ -112,7 +113,7 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0),
     Only ids, sources and sizes are shuffled; the texts are joined with the
     limits of their source where they are read.
     """
-    size, hash_ = word_count(F.col(text_col)), id_hash(F.col(id_col))
+    size, hash_ = word_count(F.col(text_col)), row_hash(F.col(id_col), F.col(text_col))
     rows = checkpointed(docs.select(F.col(source_col).alias("source"), size.alias("size"), hash_.alias("hash")))
     limits = thresholds(rows, checkpointed(source_targets(rows, weights, most)))
     limits = joinable(checkpointed(limits.select(*[F.col(c).alias(f"mix_{c}") for c in limits.columns])))

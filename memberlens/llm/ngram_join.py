@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from memberlens.llm.arrays import FACTORS, mix, shingle_sets
-from memberlens.llm.common import checkpointed, components, partitions, pieces, runs
+from memberlens.llm.common import checkpointed, components, partitions, pieces, runs, slim
 
 
 PIVOTS = 5
@@ -425,27 +425,27 @@ def _links(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame
     texts = wanted.join(sets, "key").select("tile", "key", F.lit(None).cast("long").alias("b"), "z")
     rows = texts.unionByName(tiled.select("tile", F.col("a").alias("key"), "b", F.lit(None).cast("binary").alias("z")))
     return checkpointed(rows.repartition("tile").sortWithinPartitions("tile", F.col("b").asc_nulls_first())
-                        .mapInArrow(_verified(n, percent), "a long, b long"))
+                        .mapInArrow(slim(_verified(n, percent)), "a long, b long"))
 
 
 def _placed(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """``id, m, key, root`` of every row: the size and digest of its set, and its component, null without words."""
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     described = checkpointed(rows.mapInArrow(
-        _described(n, percent), "id long, m long, key long, low long, extra array<long>"))
+        slim(_described(n, percent)), "id long, m long, key long, low long, extra array<long>"))
     classes = (described.where("m > 0").groupBy("key")
                .agg(F.any_value("m").alias("m"), F.any_value("low").alias("low"), F.any_value("extra").alias("extra")))
     many = partitions(docs)
-    dealt = rows.mapInArrow(_dealt(n, percent, many), "bucket long, keys binary, counts binary, tokens binary")
+    dealt = rows.mapInArrow(slim(_dealt(n, percent, many)), "bucket long, keys binary, counts binary, tokens binary")
     shared = (dealt.repartition(many, "bucket").sortWithinPartitions("bucket")
-              .mapInArrow(_shared(many), "part long, keys binary, counts binary, tokens binary, dfs binary")
+              .mapInArrow(slim(_shared(many)), "part long, keys binary, counts binary, tokens binary, dfs binary")
               .repartition(many, "part").sortWithinPartitions("part")
-              .mapInArrow(_gathered, "key long, tokens array<long>, dfs array<long>"))
+              .mapInArrow(slim(_gathered), "key long, tokens array<long>, dfs array<long>"))
     own = F.col("low") - F.when(F.col("tokens").isNotNull(), F.size("tokens")).otherwise(F.lit(0))
     need = F.expr(f"m - (({percent} * m + 99) div 100) + 1")
     prefixes = checkpointed(
         classes.join(shared, "key", "left").where(own < need).select("key", "m", "low", "extra", "tokens", "dfs")
-        .mapInArrow(_prefixes(percent), "key long, m long, alone long, prefix array<long>")
+        .mapInArrow(slim(_prefixes(percent)), "key long, m long, alone long, prefix array<long>")
         .select("key", "m", "alone", F.explode("prefix").alias("token")))
     # The pivots of a token: the set with the fewest tokens of its own, the likeliest source of the others, and some
     # that a hash chooses, so that the sets of one group mostly have the same pivots.
@@ -454,7 +454,7 @@ def _placed(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
                                             F.array_distinct(F.array(*pivot)).alias("pivots"))
               .where("p <> q").select("token", "pivots"))
     met = checkpointed(prefixes.join(pivots, "token"))
-    packed = rows.mapInArrow(_packed(n), "key long, z binary")
+    packed = rows.mapInArrow(slim(_packed(n)), "key long, z binary")
     sets = checkpointed(packed.join(met.select("key").distinct(), "key").dropDuplicates(["key"]))
     # A pair needs so many common tokens; those that a set has alone cannot be among them.
     common = F.ceil(F.lit(percent) * (F.col("ma") + F.col("mb")) / F.lit(100 + percent))
@@ -476,7 +476,7 @@ def _placed(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
         .where("lo <> hi").groupBy("length", "tokens", "h", "g").agg(F.min("token").alias("token")))
     open_ = checkpointed(named.join(lists.select("token", "length", "tokens"), "token"))
     few = (open_.where(F.col("length") <= SHORT).repartition(many, "token").sortWithinPartitions("token")
-           .mapInArrow(_few(percent), "a long, b long").distinct().join(star, ["a", "b"], "left_anti"))
+           .mapInArrow(slim(_few(percent)), "a long, b long").distinct().join(star, ["a", "b"], "left_anti"))
     blocks = F.greatest(F.ceil(F.col("length") / BLOCK), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("long")
     placed = (open_.where(F.col("length") > SHORT).withColumn("blocks", blocks)
               .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")))
@@ -484,7 +484,7 @@ def _placed(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
               .select("key", "root", "mine", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"),
                       F.xxhash64("token", F.least("mine", "other"), F.greatest("mine", "other")).alias("deal")))
     blocked = checkpointed(placed.join(sets, "key").repartition(many, "deal").sortWithinPartitions("deal")
-                           .mapInArrow(_block_links(n, percent), "a long, b long"))
+                           .mapInArrow(slim(_block_links(n, percent)), "a long, b long"))
     more = _links(few, sets, n, percent).unionByName(blocked)
     roots = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     return described.join(roots, (described["key"] == roots["node"]) & (described["m"] > 0), "left").select(
@@ -523,7 +523,7 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     inner = {c: f"c{k}" for k, c in enumerate(docs.columns)}
     schema = ", ".join(f"{i} {docs.schema[c].dataType.simpleString()}" for c, i in inner.items())
     keyed = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in inner.items()]).mapInArrow(
-        _keyed(n, inner[text_col]), f"{schema}, key long, m long")
+        slim(_keyed(n, inner[text_col])), f"{schema}, key long, m long")
     chosen = (_placed(docs, n, percent, id_col, text_col).where("root is not null").groupBy("root")
               .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("w"))
               .select(F.col("w.id").alias("w_id"), F.col("w.key").alias("w_key")))

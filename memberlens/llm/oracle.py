@@ -6,7 +6,7 @@ _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 _MIX = f"""
 with d as (select doc_id, source, {_WORDS}::bigint as size,
-                  ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as hash from documents),
+                  ('0x' || substr(md5(coalesce(doc_id::varchar, '') || chr(10) || coalesce(text, '')), 1, 15))::bigint as hash from documents),
 s as (select source, sum(size)::bigint as source_size,
              [5.0, 2.0, 1.0][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as weight
       from d group by source),

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memberlens.llm.arrays import FACTORS, mix, powers, rolling, slice_hash, text_bytes
-from memberlens.llm.common import partitions, pieces, runs
+from memberlens.llm.common import partitions, pieces, runs, slim
 
 GRAM = 20
 PACKED = 5
@@ -366,25 +366,25 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
     many = partitions(docs)
     texts = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], _order_key(id_col).alias("i"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    packed = texts.mapInArrow(_packed, f"{head}i long, z binary").where("i is not null")  # never: the joins infer it
+    packed = texts.mapInArrow(slim(_packed), f"{head}i long, z binary").where("i is not null")  # never: the joins infer it
     judged = (texts.select("i", "t")
-              .mapInArrow(_dealt(least, many), "bucket long, ids binary, counts binary, grams binary, contexts binary")
+              .mapInArrow(slim(_dealt(least, many)), "bucket long, ids binary, counts binary, grams binary, contexts binary")
               .repartition(many, "bucket").sortWithinPartitions("bucket")
-              .mapInArrow(_judged, "doc long, whole boolean, names array<long>"))
+              .mapInArrow(slim(_judged), "doc long, whole boolean, names array<long>"))
     flags = judged.groupBy("doc").agg(
         F.flatten(F.collect_list(F.when(F.col("whole"), F.col("names")))).alias("full"),
         F.flatten(F.collect_list(F.when(~F.col("whole"), F.col("names")))).alias("compare"))
     # The texts and flags below are read twice with all their columns, so both are shuffled once.
     known = packed.join(flags, F.col("i") == F.col("doc"), "left").drop("doc")
     spans = (known.where(F.size("compare") > 0)
-             .mapInArrow(_contexts(least, many), "bucket long, doc long, name long, body binary")
+             .mapInArrow(slim(_contexts(least, many)), "bucket long, doc long, name long, body binary")
              .repartition(many, "bucket").sortWithinPartitions("bucket")
-             .mapInArrow(_repeated(least), "doc long, name long, start int, size int")
+             .mapInArrow(slim(_repeated(least)), "doc long, name long, start int, size int")
              .groupBy("doc").agg(F.collect_list(F.struct("name", "start", "size")).alias("s"))
              .select("doc", F.col("s.name").alias("names"), F.col("s.start").alias("starts"),
                      F.col("s.size").alias("sizes")))
     cut = (known.join(spans, F.col("i") == F.col("doc"), "left")
            .select(*inner.values(), "i", "z", "full", "compare", "names", "starts", "sizes")
-           .mapInArrow(_cut(least), f"{head}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"))
+           .mapInArrow(slim(_cut(least)), f"{head}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"))
     return cut.select(*[F.col(n).alias(c) for c, n in inner.items()],
                       "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

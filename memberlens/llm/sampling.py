@@ -14,19 +14,21 @@ def remainder(key: Column, mod: int) -> Column:
 
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str, mod: int, held: int, bound: int,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text, label`` of about ``bound`` labelled rows at most, none of the held-out ones.
+    """``id, text, label`` of at most ``bound`` labelled ids, one row each, none of the held-out ones.
 
-    Rows are chosen by a hash of their id, at the rate that the number of
-    labels gives, on both sides before the join: texts without a chance are
-    not shuffled. Conflicting labels of one id count as the smaller.
+    Ids are chosen in the order of a hash, so the sample does not depend on how
+    the rows are spread. At most ``bound`` ids meet the documents, by a
+    broadcast of that proven size; no text without a label is shuffled. Of
+    rows with one id the text with the smallest hash counts, of its labels the
+    smallest.
     """
-    known = labels.where(F.col(label_col).isNotNull() & (remainder(F.col(id_col), mod) != held))
-    rate = min(1.0, bound / max(1, known.count()))
-    chance = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
-    chosen = (chance < int(rate * (1 << 20))) & (remainder(F.col(id_col), mod) != held)
-    left = docs.where(chosen).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    right = known.where(chosen).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
-    return left.join(right, "id")
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
+                         & (remainder(F.col(id_col), mod) != held))
+    chosen = (known.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
+              .orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(bound))
+    left = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return (left.join(F.broadcast(chosen), "id").groupBy("id", "label")
+            .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("id", "text", "label"))
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

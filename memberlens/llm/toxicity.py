@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memberlens.llm.common import checkpointed, pieces
+from memberlens.llm.common import checkpointed, pieces, slim
 from memberlens.llm.sampling import labelled, logistic, remainder, sigmoid
 
 FIT_ROWS = 20_000
@@ -149,7 +149,7 @@ def learn(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1, fit_r
     n_toxic, n_other = int(n_toxic or 0), int(n_all - (n_toxic or 0))
     weights: dict[str, float] = {}
     if n_toxic:
-        made = checkpointed(train.mapInArrow(_candidates, "entry string, next string, toxic long, other long"))
+        made = checkpointed(train.mapInArrow(slim(_candidates), "entry string, next string, toxic long, other long"))
         counts = made.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         weight = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("other") + 0.5) / (n_other + 1))
         spread = made.where("next is not null").distinct().groupBy("entry").agg(F.count("*").alias("spread"))
@@ -173,7 +173,7 @@ def learn(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1, fit_r
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x[:, 0]), pa.array(x[:, 1])],
                                              ["label", "a", "b"])
 
-    rows = train.mapInArrow(run, "label int, a double, b double").collect()  # at most fit_rows rows
+    rows = train.mapInArrow(slim(run), "label int, a double, b double").collect()  # at most fit_rows rows
     x = np.array([[r["a"], r["b"]] for r in rows], float).reshape(-1, 2)
     y = np.array([r["label"] for r in rows], float)
     model = logistic(x, y, ridge=0.05) if 0 < y.sum() < len(y) else np.zeros(3)
@@ -195,7 +195,7 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
 
     schema = ", ".join([f"{inner[c]} {docs.schema[c].dataType.simpleString()}" for c in keep] + ["score double"])
-    return (docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()]).mapInArrow(run, schema)
+    return (docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()]).mapInArrow(slim(run), schema)
             .select(*[F.col(n).alias(c) for c, n in inner.items()], F.col("score").alias("toxic_score")))
 
 

@@ -10,9 +10,13 @@ A pair is counted in the first table in which it meets. The number of bits
 follows the number of vectors, the number of tables from the bits and the
 recall asked for at the very threshold (closer pairs are found more often).
 
-Null, zero or non-finite vectors and null labels link with nothing. Rows with
-equal ids count as separate vectors of one component. An empty table gives an
-empty result; other columns are ignored.
+Equal vectors of a label are one class, which is linked within. Null, zero or
+non-finite vectors and null labels link with nothing. Rows with equal ids are
+separate vectors, linked only if they are near. A vector with a null id links
+like any other but never names a component: ``component_id`` is null, and
+``kept`` true, only where no vector of its component has an id. Vectors are
+scaled by their largest entry first, so no norm overflows. An empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,6 +58,7 @@ def _hashed(bits: int, tables: int):
                 rows = np.flatnonzero(size == dim)
                 part = batch.take(pa.array(rows))
                 x = part.column("vec").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
+                x = x / np.abs(x).max(axis=1, keepdims=True)
                 code = _codes(x, bits, tables)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("label"),
@@ -107,16 +112,17 @@ def near_vectors(rows: DataFrame, min_cosine: float = 0.93, recall: float = 0.99
     base = rows.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                        F.col(vec_col).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    valid = base.where(F.col("label").isNotNull() & F.col("id").isNotNull() & (F.size("vec") > 0) & finite
-                       & F.exists("vec", lambda x: x != 0))
-    # Equal vectors of a label are one class: its smallest id stands for it.
+    takes_part = (F.col("label").isNotNull() & (F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0))
+    valid = base.where(takes_part)
+    # The number of a class is written with it, so it stays the same if a task runs again.
     keys = valid.select("id", "label", "vec", F.xxhash64("label", "vec").alias("same"))
-    classes = checkpointed(keys.groupBy("label", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
+    classes = checkpointed(keys.groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+                           .withColumn("id", F.monotonically_increasing_id()))
     n = classes.count()
     bits, tables = table_plan(n, min_cosine, recall)
     coded = (classes.select("id", "label", "vec").mapInArrow(
         _hashed(bits, tables), "id long, label string, raw binary, codes array<int>")
-        .join(classes.select("id", "label", "copies"), ["id", "label"]))
+        .join(classes.select("id", "copies"), "id"))
     met = coded.select("id", "label", "raw", "codes", "copies", F.posexplode("codes").alias("t", "code")).withColumn(
         "bucket", F.xxhash64("label", F.length("raw"), "t", "code"))
     sizes = (met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -131,15 +137,16 @@ def near_vectors(rows: DataFrame, min_cosine: float = 0.93, recall: float = 0.99
                          .mapInArrow(_linked(min_cosine), "id long, links long, root long"))
     roots = components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classed = (classes.join(links, "id", "left").join(roots, classes["id"] == roots["node"], "left")
+    placed = (classes.join(links, "id", "left").join(roots, F.col("id") == F.col("node"), "left")
+              .withColumn("root", F.coalesce("root", "id")))
+    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    classed = (placed.drop("component_id").join(least, "root")
                .select(F.xxhash64("label", "vec").alias("same"), F.col("label").alias("l"), F.col("vec").alias("w"),
-                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                       F.coalesce("root", "id").alias("component_id")))
+                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"))
     linked = (keys.join(classed, (keys["same"] == classed["same"]) & (keys["label"] == classed["l"])
                         & (keys["vec"] == classed["w"])).select("id", "n_links", "component_id"))
-    alone = base.where(~F.coalesce(F.col("label").isNotNull() & F.col("id").isNotNull() & (F.size("vec") > 0) & finite
-                                   & F.exists("vec", lambda x: x != 0), F.lit(False)))
+    alone = base.where(~F.coalesce(takes_part, F.lit(False)))
     out = linked.unionByName(alone.select("id", F.lit(0).cast("long").alias("n_links"),
                                           F.col("id").alias("component_id")))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id",
-                      (F.col("id") == F.col("component_id")).alias("kept"))
+                      F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))

@@ -202,3 +202,30 @@ def test_repeated_vector_rows(spark):
                                "vec_id long, embedding array<double>, label int")
     got = sorted(tuple(r) for r in vectors.near_vectors(df).collect())
     assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)]
+
+
+def test_vectors_by_class_not_by_id(spark):
+    """Equal ids of different vectors, null ids and norms beyond a double, against every pair of rows."""
+    v, near, far = [1.0, 0.2, 0.0], [1.0, 0.21, 0.01], [0.0, 0.0, 1.0]
+    rows = [(1, v, 1), (1, near, 1), (2, [2.0, 0.4, 0.0], 1), (1, far, 1), (None, near, 1), (None, far, 2), (None, far, 2),
+            (7, [1e200, 2e199, 0.0], 1), (8, [1e-200, 2e-201, 0.0], 1), (None, [5.0, 5.0, 0.0], 3)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(
+        [(1, 5, 1, True), (1, 5, 1, True), (2, 5, 1, False), (1, 0, 1, True), (None, 5, 1, False), (None, 1, None, True),
+         (None, 1, None, True), (7, 5, 1, False), (8, 5, 1, False), (None, 0, None, True)], key=key)
+
+
+def test_recall_at_the_threshold_of_large_plans():
+    """Pairs right at the threshold meet in a table, for the plans of up to a billion vectors."""
+    rng = np.random.default_rng(6)
+    for n in (5 * 10**4, 2 * 10**6, 10**9):
+        bits, tables = vectors.table_plan(n, 0.93, 0.995)
+        a = rng.normal(size=(1500, 64))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b = rng.normal(size=a.shape)
+        b -= (a * b).sum(axis=1, keepdims=True) * a
+        b /= np.linalg.norm(b, axis=1, keepdims=True)
+        b = 0.9305 * a + (1 - 0.9305**2) ** 0.5 * b
+        met = (vectors._codes(a, bits, tables) == vectors._codes(b, bits, tables)).any(axis=1)
+        assert met.mean() >= 0.985

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from memberlens.llm import (bpe_trie, fingerprints, license_rules, mixing, quality, token_counts, toxicity)
 from memberlens.llm.common import ship
 from memberlens.llm.oracle import ORACLE
-from memberlens.llm.sampling import remainder
+from memberlens.llm.sampling import labelled, remainder
 from tests.llm.helpers import awkward, awkward_rows, nothing, prose, word_list
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -303,3 +303,28 @@ def test_text_stats_are_those_of_the_text():
     assert row["distinct"] == 1.0 and row["doubled"] == 0 and row["marked_words"] == 1 / 6
     alone = quality.text_stats(pa.array([texts[2]]))
     assert (alone[0] == got[2]).all()
+
+
+def test_mix_spreads_documents_without_an_id(spark):
+    """A source of null ids, and one of a single id, come near their targets like any other."""
+    rows = [(None, prose(400 + k, 40), "a") for k in range(500)] + [(7, prose(1000 + k, 40), "b") for k in range(500)]
+    rows += [(5000 + k, prose(k, 10), "c") for k in range(100)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r["doc_id"] if r["doc_id"] in (None, 7) else "c"] += r["taken"]
+        target[r["doc_id"] if r["doc_id"] in (None, 7) else "c"] = r["target"]
+    assert len(got) == 1100 and all(abs(taken[s] - target[s]) <= 40 for s in target)
+
+
+def test_sample_of_labelled_rows_is_bounded(spark):
+    """Thousands of documents of one labelled id, more labels than the bound, null and repeated labels."""
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(3000)] + [(k, f"other {k}") for k in range(2, 400)]
+                                 + [(None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)] + [(1, 0), (None, 1), (3, None)],
+                                   "doc_id long, quality int")
+    whole = labelled(docs, labels, "quality", 5, 0, 10_000).collect()
+    assert len({r["id"] for r in whole}) == len(whole) and all(zlib.crc32(str(r["id"]).encode()) % 5 for r in whole)
+    assert [r["label"] for r in whole if r["id"] == 1] == [0]
+    some = labelled(docs, labels, "quality", 5, 0, 60)
+    assert 50 <= some.count() <= 60 and sorted(map(tuple, some.collect())) == sorted(map(tuple, some.collect()))
