@@ -25,14 +25,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memberlens.llm.common import pieces
+from memberlens.llm.common import pieces, slim
 from memberlens.llm.token_counts import byte_letters
 
 #: The pattern that byte-level pre-tokenizers split with (a fixed value; letters first, which matches alike).
 PATTERN = r""" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words and pairs that a Python worker keeps; beyond it the memory starts anew.
-KEPT_WORDS = 600_000
-KEPT_PAIRS = 500_000
+KEPT_WORDS = 200_000
+KEPT_PAIRS = 250_000
 
 
 State = tuple[dict, list[tuple[int, int]], bytes]
@@ -245,5 +245,5 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids: bo
                                              [*batch.schema.names, *(f"x{k}" for k in range(len(more)))])
 
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
-    return rows.mapInArrow(run, schema).select(
+    return rows.mapInArrow(slim(run), schema).select(
         *[F.col(n).alias(c) for c, n in inner.items()], *[F.col(f"x{k}").alias(c) for k, c in enumerate(added)])

@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 
 
 _SHIPPED: set[str] = set()
+#: Rows of an Arrow batch, where the session has Spark's own 10,000: texts are long, and a task holds a batch twice.
+BATCH_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, as ``spark-submit --py-files`` does."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if sc.applicationId in _SHIPPED:
         return
     home = Path(__file__).resolve().parents[1]
