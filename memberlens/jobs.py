@@ -98,54 +98,78 @@ def run_tag_counts(spark: SparkSession, args) -> None:
     CT.tag_counts(tags, rows).write.mode("overwrite").json(args.out)
 
 
-def _changes(spark: SparkSession, args, keep: tuple[str, ...] = ()):
+def _changes(spark: SparkSession, args, out: str | None = None, key: str | None = None, keep: tuple[str, ...] = ()):
+    """The envelope of the usable records; the others are written, with their text and reason, beside the results.
+
+    Rejects go to ``--rejects``, or to a ``_rejects`` folder in the job's
+    output folder or, for a topic sink, in its checkpoint.
+    """
     if args.kafka:
         raw = CS.read_change_kafka(spark, args.kafka, topics=args.topics, pattern=args.pattern,
                                    starting_offsets=args.starting_offsets)
     else:
         raw = CS.read_change_files(spark, args.source, stream=True)
-    return CH.cdc_envelope(CH.valid_changes(raw), keep=keep)
+    to = args.rejects or f"{out or args.checkpoint}/_rejects"
+    ST.rejects_stream(CH.rejected_changes(raw, key=key), to, checkpoint=args.checkpoint and f"{args.checkpoint}/rejects",
+                      trigger=_trigger(args), name=f"{args.job}-rejects")
+    return CH.cdc_envelope(CH.valid_changes(raw, key=key), keep=keep if args.kafka else ())
+
+
+def _until_done(spark: SparkSession, args) -> None:
+    """All streams of an ``--available-now`` run come to their end; otherwise the job goes on until one stops."""
+    if args.available_now:
+        for query in spark.streams.active:
+            query.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 def _trigger(args) -> dict:
     return {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
 
 
+#: Where a record of a topic stands; two deliveries of one record have the same.
+POSITION = ("kafka_topic", "partition", "offset")
+
+
+def _place(args, kind: str) -> str | None:
+    return args.checkpoint and f"{args.checkpoint}/{kind}"
+
+
 def run_cdc_topics(spark: SparkSession, args) -> None:
-    q = ST.route_topics_stream(_changes(spark, args), kafka_servers=args.sink_kafka,
-                               path=args.out, checkpoint=args.checkpoint,
-                               trigger=_trigger(args), include_envelope=args.include_envelope)
-    q.awaitTermination()
+    ST.route_topics_stream(_changes(spark, args, args.out), kafka_servers=args.sink_kafka, path=args.out,
+                           checkpoint=args.checkpoint, trigger=_trigger(args), include_envelope=args.include_envelope)
+    _until_done(spark, args)
 
 
 def run_cdc_ods(spark: SparkSession, args) -> None:
     schema = CH.TABLE_SCHEMAS[args.source_table]
-    rows = CH.cdc_typed_rows(_changes(spark, args), schema, table=args.source_table)
+    rows = CH.cdc_typed_rows(_changes(spark, args, args.ods), schema, table=args.source_table)
     rows = CH.ods_partition_columns(CH.cdc_watermark(rows, args.watermark_delay))
     if args.table:
         ST.ensure_ods_table(spark, args.table, args.ods, schema)
-    place = lambda kind: args.checkpoint and f"{args.checkpoint}/{kind}"
-    data = ST.ods_stream(rows, args.ods, checkpoint=place("data"), trigger=_trigger(args))
+    data = ST.ods_stream(rows, args.ods, checkpoint=_place(args, "data"), trigger=_trigger(args))
     if args.available_now:
         data.awaitTermination()
-    commit = ST.partition_commit_stream(spark, args.ods, checkpoint=place("commit"), schema=schema,
-                                        trigger=_trigger(args), commit_delay=args.commit_delay,
-                                        watermark_delay=args.watermark_delay, table=args.table)
-    if args.available_now:
-        commit.awaitTermination()
-    else:
-        spark.streams.awaitAnyTermination()
+    ST.partition_commit_stream(spark, args.ods, checkpoint=_place(args, "commit"), schema=schema,
+                               trigger=_trigger(args), commit_delay=args.commit_delay,
+                               watermark_delay=args.watermark_delay, table=args.table)
+    _until_done(spark, args)
 
 
 def run_cdc_state(spark: SparkSession, args) -> None:
-    ST.current_state_stream(_changes(spark, args), args.out, key=args.key, checkpoint=args.checkpoint,
-                            trigger=_trigger(args)).awaitTermination()
+    env = _changes(spark, args, args.out, key=args.key, keep=("offset",))
+    ST.current_state_stream(env, args.out, key=args.key, tiebreak="offset" if args.kafka else None,
+                            checkpoint=args.checkpoint, trigger=_trigger(args))
+    _until_done(spark, args)
 
 
 def run_cdc_dedup(spark: SparkSession, args) -> None:
-    once = CH.cdc_dedup(_changes(spark, args, keep=("arrival",)), arrival="arrival", delay=args.delay)
+    env = _changes(spark, args, args.out, keep=POSITION)
+    once = CH.cdc_dedup(env, position=POSITION if args.kafka else (), delay=args.delay)
     ST.route_topics_stream(once, kafka_servers=args.sink_kafka, path=args.out, checkpoint=args.checkpoint,
-                           trigger=_trigger(args), include_envelope=True, name="cdc_dedup").awaitTermination()
+                           trigger=_trigger(args), include_envelope=True, name="cdc_dedup")
+    _until_done(spark, args)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -208,6 +232,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--pattern")
         s.add_argument("--starting-offsets", default="earliest")
         s.add_argument("--checkpoint")
+        s.add_argument("--rejects", help="folder for records that cannot be used")
         s.add_argument("--trigger", default="5 seconds")
         s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         if name in ("cdc-topics", "cdc-dedup"):

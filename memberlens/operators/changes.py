@@ -103,9 +103,11 @@ def valid_changes(raw: DataFrame, key: str | None = None) -> DataFrame:
     return raw.filter(reject_reason(key).isNull())
 
 
-def rejected_changes(raw: DataFrame, column: str = "value", key: str | None = None) -> DataFrame:
+def rejected_changes(raw: DataFrame, column: str = "value", key: str | None = None,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """``(value, reason)`` of the records that :func:`valid_changes` leaves out, with their text as it came."""
-    return raw.select(F.col(column).alias("value"), reject_reason(key).alias("reason")).filter("reason is not null")
+    return (raw.select(*keep, F.col(column).alias("value"), reject_reason(key).alias("reason"))
+            .filter("reason is not null"))
 
 
 def change_quality(envelope: DataFrame, key: str = "id", time_column: str = "create_time") -> DataFrame:
@@ -178,8 +180,9 @@ def newest_changes(envelope: DataFrame, key: str = "id", tiebreak: str | None =
     Newest is the largest millisecond time, then ``tiebreak`` (e.g. a log
     offset), then the text of the change, so that the result is defined in
     every case. Changes without the key are left out (:func:`rejected_changes`
-    with the key returns them, :func:`change_quality` counts them). ``max_by`` aggregates partially in the map tasks, so a key
-    with a huge change history is still folded in every task first.
+    with the key returns them, :func:`change_quality` counts them). ``max_by``
+    aggregates partially in the map tasks, so a key with a huge change history
+    is still folded in every task first.
     """
     tie = F.col(tiebreak).cast("bigint") if tiebreak else F.lit(None).cast("bigint")
     order = F.struct(F.col("timestamp").cast("bigint"), tie, F.col("operation"),
@@ -200,21 +203,21 @@ def cdc_current_state(envelope: DataFrame, key: str = "id",
     return newest_changes(envelope, key, tiebreak).filter("operation <> 'delete'").drop("tie")
 
 
-def cdc_dedup(envelope: DataFrame, position: tuple[str, ...] = (), arrival: str | None = None,
-              delay: str = "1 hour") -> DataFrame:
+def cdc_dedup(envelope: DataFrame, position: tuple[str, ...] = (), delay: str = "1 hour") -> DataFrame:
     """Drop redelivered change events, and nothing else.
 
     A redelivery has the same source position (``position``, e.g. topic,
     partition and offset of the log) or, without one, the same envelope in
     full: database, table, operation, time and row image.
 
-    On a stream name the ``arrival`` column (the record time of the topic, or
-    the time of the file): redeliveries are recognised within ``delay`` of
-    each other and the state is purged after it. Arrival times grow as the
-    stream is read, so no change counts as late, however old its event time.
+    On a stream the keys seen are kept state that expires: redeliveries are
+    recognised within ``delay`` of each other by the clock of the batches, and
+    the state is purged after it. That clock only moves on, whatever times the
+    source, the topic or a file carries, so no change is ever late.
     """
     same = list(position) or ["database", "table", "operation", "timestamp", "_image"]
     out = envelope if position else envelope.withColumn("_image", F.to_json("data", JSON_KEEP_NULLS))
-    if arrival is None:
+    if not envelope.isStreaming:
         return out.dropDuplicates(same).drop("_image")
-    return out.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(same).drop("_image")
+    return (out.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", delay)
+            .dropDuplicatesWithinWatermark(same).drop("_seen", "_image"))

@@ -383,13 +383,25 @@ with ch as (
          case when operation in ('update', 'delete') then strftime(ts, '%Y-%m-%d %H:%M:%S') end as operate_time,
          seq % 34 as province_id, 1 + seq % 5 as order_status, value as total_amount, ts_ms
   from ch)
-, env_json as (
-  select *, json_object('id', cast(id as varchar), 'user_id', cast(user_id as varchar),
-                        'create_time', create_time, 'operate_time', operate_time,
-                        'province_id', cast(province_id as varchar),
-                        'order_status', cast(order_status as varchar),
-                        'total_amount', cast(total_amount as varchar))::varchar as data_json
+, usr as (
+  select *, 'user' || user_id as login_name, 'nick' || (user_id % 10) as nick_name, null::varchar as passwd,
+         'N ' || (seq % 100) as name, '138' || lpad(user_id::varchar, 8, '0') as phone_num,
+         'user' || user_id || '@example.org' as email, '' as head_img, (1 + seq % 3)::varchar as user_level,
+         (date '1990-01-01' + (user_id % 3650)::int)::varchar as birthday,
+         case user_id % 3 when 1 then 'F' when 2 then 'M' end as gender, (seq % 2)::varchar as status
   from env)
+, env_json as (
+  select *, case when "table" = 'order_info'
+    then json_object('id', cast(id as varchar), 'user_id', cast(user_id as varchar),
+                     'create_time', create_time, 'operate_time', operate_time,
+                     'province_id', cast(province_id as varchar),
+                     'order_status', cast(order_status as varchar),
+                     'total_amount', cast(total_amount as varchar))::varchar
+    else json_object('id', cast(id as varchar), 'login_name', login_name, 'nick_name', nick_name, 'passwd', passwd,
+                     'name', name, 'phone_num', phone_num, 'email', email, 'head_img', head_img,
+                     'user_level', user_level, 'birthday', birthday, 'gender', gender, 'create_time', create_time,
+                     'operate_time', operate_time, 'status', status)::varchar end as data_json
+  from usr)
 """
 
 ORACLE["cdc_envelope"] = _CHANGES + """
@@ -406,11 +418,16 @@ ORACLE["cdc_typed_rows"] = _CHANGES + _TYPED + """
 from env where "table" = 'order_info'"""
 
 ORACLE["cdc_typed_user_rows"] = _CHANGES + """
-select id, null::varchar as login_name, null::varchar as nick_name, null::varchar as passwd, null::varchar as name,
-       null::varchar as phone_num, null::varchar as email, null::varchar as head_img, null::varchar as user_level,
-       null::varchar as birthday, null::varchar as gender, create_time, operate_time, null::varchar as status,
-       timestamp, operation as op
-from env where "table" = 'user_info'"""
+select id, login_name, nick_name, passwd, name, phone_num, email, head_img, user_level, birthday, gender,
+       create_time, operate_time, status, timestamp, operation as op
+from usr where "table" = 'user_info'"""
+
+# Which records are broken, and how, follows from their numbers.
+ORACLE["cdc_rejects"] = _CHANGES + """
+select case when seq % 101 = 0 then 'not a change record' when seq % 103 = 0 then 'no server.database.table topic'
+            when seq % 107 = 0 then 'no operation' when seq % 109 = 0 then 'no row image' else 'good' end as reason,
+       count(*) as records, sum(seq)::bigint as "seqSum"
+from env group by 1"""
 
 ORACLE["cdc_change_quality"] = _CHANGES + """
 select database, "table", count(*) as records, count(*) filter (where id is null) as "withoutKey",

@@ -337,6 +337,16 @@ def q_cdc_change_quality(spark, root):
                                        F.col("records").alias("withoutKey"), F.col("records").alias("withoutTime")))
 
 
+@register("cdc_rejects")
+def q_cdc_rejects(spark, root):
+    """Good and rejected records by reason: together they are all records."""
+    records = CS.with_broken_records(CS.change_records_from_events(read_parquet_table(spark, root, "events")))
+    raw = CS.parse_change_json(records)
+    bad = CH.rejected_changes(raw, keep=("seq",))
+    both = bad.select("reason", "seq").unionByName(CH.valid_changes(raw).select(F.lit("good").alias("reason"), "seq"))
+    return both.groupBy("reason").agg(F.count("*").alias("records"), F.sum("seq").alias("seqSum"))
+
+
 @register("cdc_dedup")
 def q_cdc_dedup(spark, root):
     # Every record delivered twice (an at-least-once sink replaying a whole batch).
@@ -349,10 +359,8 @@ def q_cdc_dedup(spark, root):
 # The streams read the given table itself, as it lies there.
 
 def _change_stream(spark, root, redeliver=False):
-    """Parsed change records derived from a stream over ``events``; ``arrival`` is the time of the file."""
-    events = read_parquet_stream(spark, root, "events")
-    arrived = events.select("*", F.col("_metadata.file_modification_time").alias("arrival"))
-    records = CS.change_records_from_events(arrived, keep=("arrival",))
+    """Parsed change records derived from a stream over ``events``."""
+    records = CS.change_records_from_events(read_parquet_stream(spark, root, "events"))
     if redeliver:
         records = records.unionByName(records)
     return CS.parse_change_json(records)
@@ -414,8 +422,8 @@ def q_cdc_current_state_stream(spark, root):
 def q_cdc_dedup_stream(spark, root):
     """P40 on a stream: every record delivered twice, in the table's own order."""
     out = scratch_dir(spark, "dedup-run")
-    env = CH.cdc_envelope(_change_stream(spark, root, redeliver=True), keep=("arrival",))
-    rows = CH.cdc_dedup(env, arrival="arrival").select(
+    env = CH.cdc_envelope(_change_stream(spark, root, redeliver=True))
+    rows = CH.cdc_dedup(env).select(
         "operation", "table", "timestamp", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
     _drained(rows.writeStream.queryName(_run_name("cdc_dedup", out)).format("parquet").option("path", out)
              .option("checkpointLocation", f"{out}/_checkpoints/dedup").trigger(**NOW).start())

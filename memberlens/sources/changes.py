@@ -36,15 +36,13 @@ def read_change_files(spark: SparkSession, path: str, stream: bool = False,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON-lines change records from a folder, as a batch or a streaming DataFrame.
 
-    The records keep their text (``value``) and, on a stream, the time of
-    their file as ``arrival``.
+    The records keep their text (``value``).
     """
     if stream:
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        lines = reader.load(path)
-        return parse_change_json(lines.select("value", F.col("_metadata.file_modification_time").alias("arrival")))
+        return parse_change_json(reader.load(path))
     return parse_change_json(spark.read.text(path))
 
 
@@ -87,25 +85,35 @@ def change_records_from_events(events: DataFrame, keep: tuple[str, ...] = ()) ->
     Purchases become changes of ``order_info`` rows, all other events
     changes of ``user_info`` rows; ``view`` is a snapshot read, ``signup`` a
     create, ``error`` a delete (row image in ``before`` only) and the rest
-    updates (both images). The row image carries a real NULL
-    (``operate_time`` of reads and creates). ``keep`` names columns to carry.
+    updates (both images). Each table's images have its own columns; both hold
+    real NULLs (``operate_time`` of reads and creates, ``passwd``, every third
+    ``gender``). ``keep`` names columns to carry.
     """
-    ts = F.col("ts").cast("timestamp")
-    table = F.when(F.col("event_type") == "purchase", F.lit("order_info")).otherwise(F.lit("user_info"))
+    ts, user, event = F.col("ts").cast("timestamp"), F.col("user_id"), F.col("event_id")
+    order = F.col("event_type") == "purchase"
     op = (F.when(F.col("event_type") == "view", F.lit("r"))
            .when(F.col("event_type") == "signup", F.lit("c"))
            .when(F.col("event_type") == "error", F.lit("d"))
            .otherwise(F.lit("u")))
     created = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    row = F.struct(
-        F.when(table == "order_info", F.col("event_id")).otherwise(F.col("user_id")).alias("id"),
-        F.col("user_id").alias("user_id"),
-        created.alias("create_time"),
-        F.when(op.isin("u", "d"), created).alias("operate_time"),
-        (F.col("event_id") % 34).alias("province_id"),
-        (F.lit(1) + F.col("event_id") % 5).alias("order_status"),
-        F.col("value").alias("total_amount"),
-    )
+    operated = F.when(op.isin("u", "d"), created)
+    order_row = {"id": event, "user_id": user, "create_time": created, "operate_time": operated,
+                 "province_id": event % 34, "order_status": F.lit(1) + event % 5, "total_amount": F.col("value")}
+    name = F.concat(F.lit("user"), user.cast("string"))
+    user_row = {"id": user, "login_name": name, "nick_name": F.concat(F.lit("nick"), (user % 10).cast("string")),
+                "passwd": F.lit(None), "name": F.concat(F.lit("N "), (event % 100).cast("string")),
+                "phone_num": F.concat(F.lit("138"), F.lpad(user.cast("string"), 8, "0")),
+                "email": F.concat(name, F.lit("@example.org")), "head_img": F.lit(""),
+                "user_level": (F.lit(1) + event % 3).cast("string"),
+                "birthday": F.date_add(F.lit("1990-01-01").cast("date"), (user % 3650).cast("int")),
+                "gender": F.when(user % 3 == 1, F.lit("F")).when(user % 3 == 2, F.lit("M")),
+                "create_time": created, "operate_time": operated, "status": (event % 2).cast("string")}
+
+    def image(row: dict):
+        return F.create_map(*[x for c, v in row.items() for x in (F.lit(c), v.cast("string"))])
+
+    row = F.when(order, image(order_row)).otherwise(image(user_row))
+    table = F.when(order, F.lit("order_info")).otherwise(F.lit("user_info"))
     record = F.struct(F.concat(F.lit(f"{SERVER}.{DATABASE}."), table).alias("topic"),
                       op.alias("op"),
                       F.unix_millis(ts).alias("ts_ms"),
@@ -113,3 +121,17 @@ def change_records_from_events(events: DataFrame, keep: tuple[str, ...] = ()) ->
                       F.when(op != "d", row).alias("after"))
     return events.select(*keep, F.col("event_id").alias("seq"), F.unix_millis(ts).alias("ts_ms"),
                          F.to_json(record, JSON_KEEP_NULLS).alias("value"))
+
+
+def with_broken_records(records: DataFrame) -> DataFrame:
+    """The records with some of each kind that a reader must reject, by ``seq``.
+
+    Cut off in the middle (101 divides ``seq``), a topic without a database
+    (103), no operation (107), no row image (109).
+    """
+    seq, value = F.col("seq"), F.col("value")
+    return records.withColumn("value", F.when(seq % 101 == 0, F.substring(value, 1, 20))
+                              .when(seq % 103 == 0, F.regexp_replace(value, r'"topic":"\w+\.\w+\.', '"topic":"'))
+                              .when(seq % 107 == 0, F.regexp_replace(value, r'"op":"\w"', '"op":null'))
+                              .when(seq % 109 == 0, F.regexp_replace(value, r'"before":.*$', '"before":null,"after":null}'))
+                              .otherwise(value))

@@ -80,6 +80,13 @@ def _writer(df: DataFrame, name: str, checkpoint: str | None, trigger: dict | No
     return df.writeStream.queryName(name).option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
 
 
+def rejects_stream(rejected: DataFrame, path: str, *, checkpoint: str | None = None, trigger: dict | None = None,
+                   name: str = "cdc_rejects") -> StreamingQuery:
+    """Append rejected records (text and reason) to a folder, partitioned by ``reason``."""
+    return (_writer(rejected, name, checkpoint, trigger, path).format("json").partitionBy("reason")
+            .option("path", path).start())
+
+
 DEFAULT_TOPIC = "DEFAULT_DATA"   # fixed value: topic for rows without a table
 
 

@@ -166,14 +166,45 @@ def test_stream_dedup_drops_no_late_row(spark, workdir):
     rng.shuffle(once)
     src = f"{workdir}/src"
     _write_batches(src, [once[:80], once[80:170] + once[:30], once[170:] + once[100:120]])
-    env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1), keep=("arrival",))
-    q = (CH.cdc_dedup(env, arrival="arrival").select(F.to_json("data").alias("value")).writeStream.format("parquet")
+    env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1))
+    q = (CH.cdc_dedup(env).select(F.to_json("data").alias("value")).writeStream.format("parquet")
          .option("path", f"{workdir}/out").option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     got = spark.read.parquet(f"{workdir}/out")
     assert got.count() == got.distinct().count() == 250
 
 
+def test_stream_dedup_state_survives_restarts_and_expires(spark, workdir):
+    """Files and changes two hours older than the last ones are kept over three restarts; old keys leave the state."""
+    src, out = f"{workdir}/src", f"{workdir}/out"
+    part = [[rec("order_info", "c", T0 + 1000 * k - 7_200_000 * p, after=order(1000 * p + k, "t")) for k in range(50)]
+            for p in range(4)]
+    removed = 0
+    for p in range(4):
+        os.makedirs(src, exist_ok=True)
+        for n, lines in enumerate((part[p], part[p - 1][:20] if p else [])):
+            name = f"{src}/f{p}{n}.json"
+            with open(name, "w") as f:
+                f.write("\n".join(lines))
+            os.utime(name, (time.time() - 7200 * (p + 1),) * 2)     # each file is older than all before it
+        env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1))
+        q = (CH.cdc_dedup(env, delay="2 hours").select(F.to_json("data").alias("value")).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        ops = [o for b in q.recentProgress for o in b["stateOperators"]]
+        assert all(o["numRowsDroppedByWatermark"] == 0 for o in ops)
+    got = spark.read.parquet(out)
+    assert got.count() == got.distinct().count() == 200
+    # With a delay that passes, the same keys leave the state.
+    env = CH.cdc_envelope(CS.read_change_files(spark, src, stream=True, max_files_per_trigger=1))
+    q = (CH.cdc_dedup(env, delay="1 millisecond").select(F.to_json("data").alias("value")).writeStream.format("parquet")
+         .option("path", f"{workdir}/short").option("checkpointLocation", f"{workdir}/ck2")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    ops = [o for b in q.recentProgress for o in b["stateOperators"]]
+    assert sum(o["numRowsRemoved"] for o in ops) >= 150 and ops[-1]["numRowsTotal"] <= 60
+
+
 def test_streams_go_on_after_a_restart_with_default_arguments(spark, workdir):
     """Three starts over a growing source: every row once, in the ODS folder, the topics and the state."""
     src, now = f"{workdir}/src", {"availableNow": True}

@@ -47,3 +47,21 @@ def test_hot_words_and_cdc_jobs(spark, workdir):
     jobs.main(["cdc-topics", "--source", f"{workdir}/changes", "--out", f"{workdir}/topics",
                "--checkpoint", f"{workdir}/ck2", "--available-now"], spark=spark)
     assert spark.read.json(f"{workdir}/topics").count() == events.count()
+
+
+def test_jobs_write_what_they_reject(spark, workdir):
+    """Every change job keeps the records it cannot use, with their text and reason."""
+    from memberlens.sources import changes as CS
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    records = CS.with_broken_records(CS.change_records_from_events(events)).select("value")
+    records.write.text(f"{workdir}/changes")
+    lone = json.dumps({"topic": "a.b.c", "op": "c", "ts_ms": 1, "before": None, "after": {"other": 1}})
+    spark.createDataFrame([(lone,)], "value string").write.mode("append").text(f"{workdir}/changes")
+    n_bad = events.filter("event_id % 101 = 0 or event_id % 103 = 0 or event_id % 107 = 0 or event_id % 109 = 0").count()
+    for job, more, reasons in (("cdc-topics", 0, 4), ("cdc-dedup", 0, 4), ("cdc-state", 1, 5), ("cdc-ods", 0, 4)):
+        out = f"{workdir}/{job}"
+        jobs.main([job, "--source", f"{workdir}/changes", "--ods" if job == "cdc-ods" else "--out", out,
+                   "--checkpoint", f"{out}-ck", "--available-now"], spark=spark)
+        bad = spark.read.json(f"{out}/_rejects")
+        assert n_bad and bad.count() == n_bad + more and bad.select("reason").distinct().count() == reasons
+        assert {r.value for r in bad.collect()} <= {r.value for r in records.collect()} | {lone}
