@@ -444,6 +444,27 @@ select "table", cast(id as varchar) as id, operation, timestamp, data_json from
   from env_json) t
 where rn = 1 and operation <> 'delete'"""
 
+# The log alone, in its own order.
+ORACLE["cdc_snapshot_handover"] = _CHANGES + """
+select "table", cast(id as varchar) as id, data_json from (
+  select *, row_number() over (partition by "table", id order by seq desc) as rn from env_json) t
+where rn = 1 and operation <> 'delete'"""
+
+# A key's chunk follows from the widths; its reads are the state at the chunk's high mark.
+ORACLE["cdc_snapshot_handover_log"] = _CHANGES + """
+, ends as (select "table", max(id) // 8 + 1 as width, max(seq) as last from env group by "table")
+, placed as (
+  select env.*, last * (id // width + 1) // 18 + last // 20 as high
+  from env join ends using ("table"))
+, at_high as (
+  select *, row_number() over (partition by "table", id order by seq desc) as rn from placed where seq <= high)
+, handed as (
+  select "table", 'read' as operation, high as position, id from at_high where rn = 1 and operation <> 'delete'
+  union all
+  select "table", operation, seq, id from placed where seq > high)
+select "table", operation, count(*) as records, sum(position)::bigint as "positionSum", sum(id)::bigint as "idSum"
+from handed group by 1, 2"""
+
 ORACLE["cdc_dedup"] = _CHANGES + """
 select operation, "table", timestamp, data_json from env_json"""
 

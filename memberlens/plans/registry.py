@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from memberlens.operators import catalogue as CT
 from memberlens.operators import changes as CH
+from memberlens.operators import handover as HO
 from memberlens.operators import hotwords as HW
 from memberlens.operators import metrics as M
 from memberlens.operators import segments as SG
 from memberlens.operators import tags as TG
-from memberlens.session import scratch_dir
+from memberlens.session import materialize, scratch_dir
 from memberlens.sources import changes as CS
 from memberlens.sources import fixtures as FX
 from memberlens.sources.tables import read_parquet_stream, read_parquet_table
@@ -347,6 +348,29 @@ def q_cdc_rejects(spark, root):
     return both.groupBy("reason").agg(F.count("*").alias("records"), F.sum("seq").alias("seqSum"))
 
 
+def _handover(spark, root):
+    """A chunked snapshot of both tables, read while the log went on, and the log."""
+    log = _envelope(spark, root)
+    rows, marks = CS.snapshot_from_changes(log)
+    marks = materialize(marks)          # as if read back: a row for each chunk
+    return HO.snapshot_then_log(rows, marks, log.withColumnRenamed("seq", "position"))
+
+
+@register("cdc_snapshot_handover")
+def q_cdc_snapshot_handover(spark, root):
+    """The state that snapshot and log give together, which is that of the log alone."""
+    state = HO.state_at_end(_handover(spark, root))
+    return state.select("table", "id", F.to_json("data", CS.JSON_KEEP_NULLS).alias("data_json"))
+
+
+@register("cdc_snapshot_handover_log")
+def q_cdc_snapshot_handover_log(spark, root):
+    """What is handed over: reads at the high marks, and the changes beyond them, each once."""
+    return _handover(spark, root).groupBy("table", "operation").agg(
+        F.count("*").alias("records"), F.sum("position").alias("positionSum"),
+        F.sum(F.try_element_at("data", F.lit("id")).cast("bigint")).alias("idSum"))
+
+
 @register("cdc_dedup")
 def q_cdc_dedup(spark, root):
     # Every record delivered twice (an at-least-once sink replaying a whole batch).

@@ -135,3 +135,32 @@ def with_broken_records(records: DataFrame) -> DataFrame:
                               .when(seq % 107 == 0, F.regexp_replace(value, r'"op":"\w"', '"op":null'))
                               .when(seq % 109 == 0, F.regexp_replace(value, r'"before":.*$', '"before":null,"after":null}'))
                               .otherwise(value))
+
+
+CHUNKS = 8
+
+
+def snapshot_from_changes(envelope: DataFrame, position: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """What a chunked snapshot of the tables behind a log would have read: ``(rows, marks)``.
+
+    Each table's ids (from 0 on) are cut into ``CHUNKS`` ranges of one width;
+    chunk k is read when about (k + 1) / (2 CHUNKS + 2) of the log is written,
+    with the marks a fortieth of the log before and after the moment it saw.
+    """
+    key = F.try_element_at(F.col("data"), F.lit("id"))
+    log = envelope.withColumn("_id", key.cast("bigint")).withColumn("_pos", F.col(position))
+    ends = log.groupBy("database", "table").agg(F.max("_id").alias("_most"), F.max("_pos").alias("_last"))
+    marks = (ends.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CHUNKS - 1).cast("long"))))
+             .withColumn("_width", F.expr(f"_most div {CHUNKS} + 1"))
+             .withColumn("low_mark", F.expr(f"_last * (chunk + 1) div {2 * CHUNKS + 2}"))
+             .withColumn("_seen", F.expr("low_mark + _last div 40"))
+             .withColumn("high_mark", F.expr("low_mark + _last div 20"))
+             .withColumn("low_key", F.when(F.col("chunk") > 0, (F.col("chunk") * F.col("_width")).cast("string")))
+             .withColumn("high_key", F.when(F.col("chunk") < CHUNKS - 1,
+                                            ((F.col("chunk") + 1) * F.col("_width")).cast("string"))))
+    seen = (log.join(F.broadcast(marks), ["database", "table"])        # CHUNKS rows a table
+            .where(F.expr("chunk = _id div _width") & (F.col("_pos") <= F.col("_seen")))
+            .groupBy("database", "table", "chunk", "_id")
+            .agg(F.max_by(F.struct("operation", "data"), "_pos").alias("c"))
+            .where("c.operation <> 'delete'").select("database", "table", "chunk", "c.data"))
+    return seen, marks.select("database", "table", "chunk", "low_key", "high_key", "low_mark", "high_mark")
