@@ -13,25 +13,41 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TOPS = 1000
 FEW = 200_000
 
 
-def interval_numbers(cuts: DataFrame):
+def _literal(value, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)])
+    return F.lit(value).cast(kind)
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind.fields])
+    return kind
+
+
+def interval_numbers(cuts: DataFrame, points: bool = False):
     """A function that numbers values by ``cuts``, a DataFrame with the one column ``cut``.
 
     ``number(rows, value, name)`` adds a column ``name``: how many distinct cuts
-    are at most the value (0 below all of them), NULL for a NULL value. Works for
-    every type with an order; the cuts are read once for the sample and once in
-    each plan. NULL cuts count for nothing.
+    are at most the value (0 below all of them), NULL for a NULL value. With
+    ``points`` cuts are intervals of their own: the i-th cut has the number
+    2 i - 1, what lies between it and the next one 2 i. Works for every type
+    with an order, structs too; the cuts are read once for the sample and once
+    in each plan. NULL cuts count for nothing. ``number.cuts`` is how many
+    there are.
     """
-    kind = cuts.schema["cut"].dataType
-    cuts = cuts.where("cut is not null").distinct()
-    n = cuts.count()
-    sample = min(TOPS, math.isqrt(n))
-    tops = [r["cut"] for r in cuts.orderBy(F.xxhash64(F.col("cut").cast("string")), "cut").limit(sample).collect()]
-    bounds = F.array(*[F.lit(t).cast(kind) for t in sorted(tops)]) if tops else None
+    kind = _nullable(cuts.schema["cut"].dataType)
+    cuts = cuts.where("cut is not null").select(F.col("cut").cast(kind).alias("cut")).distinct()
+    tops = [r["cut"] for r in cuts.orderBy(F.xxhash64("cut"), "cut").limit(TOPS).collect()]
+    n = len(tops) if len(tops) < TOPS else cuts.count()
+    tops = tops[:min(TOPS, math.isqrt(n))]
+    bounds = F.array_sort(F.array(*[_literal(t, kind) for t in tops])) if tops else None
 
     def part(value: Column) -> Column:
         found = F.size(F.filter(bounds, lambda t: t <= value)) if tops else F.lit(0)
@@ -48,7 +64,12 @@ def interval_numbers(cuts: DataFrame):
     def number(rows: DataFrame, value: Column, name: str) -> DataFrame:
         placed = rows.withColumn("_value", value.cast(kind)).withColumn("_part", part(F.col("_value")))
         inside = F.size(F.filter("_cuts", lambda c: c <= F.col("_value")))
-        return (placed.join(parts, "_part", "left").withColumn(name, (F.col("_base") + inside).cast("long"))
-                .drop("_part", "_value", "_cuts", "_base"))
+        found = placed.join(parts, "_part", "left").withColumn("_inside", inside)
+        at = F.col("_base") + F.col("_inside")
+        if points:
+            own = F.try_element_at("_cuts", F.greatest("_inside", F.lit(1))) == F.col("_value")
+            at = 2 * at - F.when((F.col("_inside") > 0) & own, 1).otherwise(0)
+        return found.withColumn(name, at.cast("long")).drop("_part", "_value", "_cuts", "_base", "_inside")
 
+    number.cuts = n
     return number

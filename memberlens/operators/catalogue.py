@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberlens.functions.columns import days_before
-from memberlens.operators.segments import segment_bulk
+from memberlens.operators.segments import segment_sizes
 
 # Fixed values of the shop's tag page: (group, label, field, value, type),
 # in the page's order. Fields, values and types must equal the page's; the
@@ -87,13 +87,13 @@ def tag_counts(tags: DataFrame, catalogue: list[tuple]) -> DataFrame:
     """Members per catalogue tag: ``(tagGroup, label, name, value, type, memberCount)``.
 
     Each tag is a one-clause segment (a ``notMatch`` tag counts the members
-    *not* matching), so the catalogue goes through :func:`segment_bulk` as a
-    rules table and the members of each segment are counted.
+    *not* matching), so the catalogue goes through :func:`segment_sizes` as a
+    rules table.
     """
     spark = tags.sparkSession
     rows = [(f"{k:06d}", *r) for k, r in enumerate(catalogue)]
     rules = spark.createDataFrame(rows, f"segment_id string, {CATALOGUE_SCHEMA}")
-    counts = segment_bulk(tags, rules).groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = segment_sizes(tags, rules).withColumnRenamed("members", "n")
     return (rules.join(counts, "segment_id", "left")
             .select("tagGroup", "label", "name", "value", "type",
                     F.coalesce("n", F.lit(0)).cast("bigint").alias("memberCount")))

@@ -6,12 +6,22 @@ its best ``k`` members where the caller asks for them (the shop's search
 page showed the first 1000 hits).
 
 :func:`segment_bulk` evaluates *many* segments given as a rules DataFrame
-``(segment_id, name, value, type)``: the tag rows are turned into long form
-by a generator and joined with the rules, on (field, value) for equality and
-on the field for ranges; the hits are folded per segment and tag row. There
-is one plan and one meaning for any number of rules. Whether the rules are
-broadcast is left to the optimizer's size estimate; where they are not, AQE
-splits a field or value that every member has.
+``(segment_id, name, value, type)`` through :func:`clause_index`, one bitmap of
+tag rows per distinct clause and 32,768 rows. Segments are ORs (or ANDs) and
+AND NOTs over bitmaps; sizes come from the bitmaps alone
+(:func:`segment_sizes`), members by expanding them. There is one plan and one
+meaning for any number of rules:
+
+* only fields that a rule names are read; a value of equality asks under its
+  field and value, a field once a row whether it exists;
+* the bounds of all range rules cut the values into elementary intervals. A
+  value finds its own by search (:mod:`memberlens.functions.intervals`) and
+  asks under the few nodes above it in a tree of them; a rule stands under the
+  nodes that make up its range, each value under one of these at most, so the
+  rows of the join grow with the hits, not with values times rules.
+
+Rules and row numbers are broadcast only if they are counted to be few; where
+they are not, AQE splits a value that every member has.
 """
 
 from __future__ import annotations
@@ -21,6 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from memberlens.functions.clauses import CLAUSE_TYPES, EXACT, segment_columns
+from memberlens.functions.intervals import interval_numbers
+from memberlens.session import materialize
 
 PAGE_SIZE = 1000              # fixed value: the page showed the first 1000 hits
 KEY = "memberId"
@@ -68,8 +80,12 @@ def segment_export(segment: DataFrame, path: str | None = None) -> DataFrame:
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
 _FLOAT = (T.FloatType, T.DoubleType)
-_ENTRY = T.StructType([T.StructField("field", T.StringType()), T.StructField("key", T.StringType()),
-                       T.StructField("exact", EXACT), T.StructField("num", T.DoubleType())])
+#: Children of a node in the tree of elementary intervals.
+FAN = 16
+BITS = 32_768                 # fixed value: rows in one of Spark's bitmaps
+#: Rules up to this number, and tag rows up to that one, are broadcast; they are counted first.
+FEW_RULES = 2_000
+FEW_ROWS = 1_000_000
 
 
 def _kind(dtype: T.DataType) -> str:
@@ -78,40 +94,53 @@ def _kind(dtype: T.DataType) -> str:
     return "whole" if isinstance(dtype, _WHOLE) else "float" if isinstance(dtype, _FLOAT) else "text"
 
 
-def tag_long_form(tags: DataFrame) -> DataFrame:
-    """``(memberId, row, field, key, exact, num)``: one row per non-null value and distinct array element.
+_VALUE = T.StructType([T.StructField("field", T.StringType()), T.StructField("exact", EXACT),
+                       T.StructField("num", T.DoubleType()), T.StructField("text", T.StringType())])
+
+
+def _value(field, exact, num, text):
+    """A value that sorts by field, then as its kind does; text only where the field is text."""
+    return F.struct(field.alias("field"), exact.alias("exact"), num.alias("num"), text.alias("text"))
 
-    ``row`` is a digest of the whole tag row, the same whenever it is
-    computed; ``field`` the lower-cased column name; ``key`` the text two
-    equal values share; ``exact`` and ``num`` the value of a whole or
-    decimal, or of a floating-point field.
-    """
-    def entry(field: str, value, kind: str):
-        exact = value.cast(EXACT) if kind == "whole" else F.lit(None).cast(EXACT)
-        num = value.cast("double") + F.lit(0.0) if kind == "float" else F.lit(None).cast("double")
-        key = {"whole": exact.cast("string"), "float": num.cast("string")}.get(kind, value.cast("string"))
-        return F.struct(F.lit(field).alias("field"), key.alias("key"), exact.alias("exact"), num.alias("num"))
 
-    def element(field: str, kind: str):
-        return lambda x: entry(field, x, kind)
+def _entries(tags: DataFrame, asked: dict[str, set[str]]) -> DataFrame:
+    """``(n, ask, field, key, value)``: what each tag row has of the asked fields.
+
+    ``ask`` is ``=`` for a value by its text (``key``), ``~`` for one by its
+    order (``value``), ``?`` for a field that is there at all.
+    """
+    kinds = T.StructType([T.StructField("ask", T.StringType()), T.StructField("field", T.StringType()),
+                          T.StructField("key", T.StringType()), T.StructField("value", _VALUE)])
+    none_of = F.array().cast(T.ArrayType(kinds))
+
+    def entry(ask: str, name: str, key, value):
+        return F.struct(F.lit(ask).alias("ask"), F.lit(name).alias("field"), key.cast("string").alias("key"),
+                        value.cast(_VALUE).alias("value"))
+
+    def element(ask: str, name: str, kind: str):
+        def one(x):
+            exact = x.cast(EXACT) if kind == "whole" else F.lit(None).cast(EXACT)
+            num = x.cast("double") + F.lit(0.0) if kind == "float" else F.lit(None).cast("double")
+            if ask == "=":
+                return entry(ask, name, {"whole": exact, "float": num}.get(kind, x), F.lit(None))
+            text = x.cast("string") if kind == "text" else F.lit(None).cast("string")
+            return entry(ask, name, F.lit(None), _value(F.lit(name), exact, num, text))
+        return one
 
-    none = F.array().cast(T.ArrayType(_ENTRY))
     parts = []
     for f in tags.schema.fields:
-        name, kind = f.name.lower(), _kind(f.dataType)
-        if isinstance(f.dataType, T.ArrayType):
-            values = F.array_distinct(F.filter(F.col(f.name), lambda x: x.isNotNull()))
-            # An element that is null makes the array non-empty, as ``exists`` asks; it equals nothing.
-            lone = F.when(F.size(F.col(f.name)) > F.size(F.array_compact(F.col(f.name))),
-                          F.array(F.struct(F.lit(name).alias("field"), F.lit(None).cast("string").alias("key"),
-                                           F.lit(None).cast(EXACT).alias("exact"),
-                                           F.lit(None).cast("double").alias("num")))).otherwise(none)
-            parts.append(F.coalesce(F.concat(F.transform(values, element(name, kind)), lone), none))
-        else:
-            parts.append(F.when(F.col(f.name).isNotNull(), F.array(entry(name, F.col(f.name), kind))).otherwise(none))
-    row = F.xxhash64(*[F.col(c) for c in tags.columns])
-    return (tags.select(F.col(KEY).alias("m"), row.alias("row"), F.explode(F.flatten(F.array(*parts))).alias("e"))
-                .select(F.col("m").alias(KEY), "row", "e.*"))
+        name, kind, col = f.name.lower(), _kind(f.dataType), F.col(f.name)
+        asks = asked.get(name, set())
+        if "?" in asks:
+            there = col.isNotNull() & (F.size(col) > 0) if isinstance(f.dataType, T.ArrayType) else col.isNotNull()
+            parts.append(F.when(there, F.array(entry("?", name, F.lit(None), F.lit(None)))).otherwise(none_of))
+        for ask in sorted(asks - {"?"}):
+            one = element(ask, name, kind)
+            if isinstance(f.dataType, T.ArrayType):
+                parts.append(F.coalesce(F.transform(F.array_distinct(F.array_compact(col)), one), none_of))
+            else:
+                parts.append(F.when(col.isNotNull(), F.array(one(col))).otherwise(none_of))
+    return tags.select("n", F.explode(F.flatten(F.array(*parts))).alias("e")).select("n", "e.*")
 
 
 def _normalise_rules(rules: DataFrame, kinds: dict[str, str]) -> DataFrame:
@@ -147,12 +176,18 @@ def _normalise_rules(rules: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return r.withColumn("key", key)
 
 
-def _check_rules(norm: DataFrame) -> None:
-    """Refuse what :func:`segment_select` refuses: one row of counts comes back, never the rules."""
+def _check_rules(norm: DataFrame) -> tuple[int, dict[str, set[str]]]:
+    """The number of rules, and how each field is asked for; refuses what :func:`segment_select` refuses.
+
+    One row comes back, with at most three entries a column of the tag table.
+    """
     valued = F.col("type") != "exists"
     unread = valued & (F.col("kind") != "text") & (F.coalesce(F.col("loExact").cast("double"), F.col("loNum")).isNull()
                                                    | F.coalesce(F.col("hiExact").cast("double"), F.col("hiNum")).isNull())
-    n = norm.agg(F.count(F.when(~F.col("type").isin(*CLAUSE_TYPES), 1)).alias("type"),
+    ask = F.when(F.col("type") == "exists", "?").when(F.col("type").startswith("range"), "~").otherwise("=")
+    n = norm.agg(F.count("*").alias("rules"),
+                 F.collect_set(F.when(F.col("kind").isNotNull(), F.struct("field", ask.alias("ask")))).alias("asked"),
+                 F.count(F.when(~F.col("type").isin(*CLAUSE_TYPES), 1)).alias("type"),
                  F.count(F.when(F.col("kind").isNull(), 1)).alias("field"),
                  F.count(F.when((F.col("type") == "rangeBoth") & (F.col("kind") == "text"), 1)).alias("text"),
                  F.count(F.when(unread, 1)).alias("value")).first()
@@ -164,6 +199,112 @@ def _check_rules(norm: DataFrame) -> None:
         raise ValueError(f"{n['text']} rangeBoth rule(s) on a field that is not numeric")
     if n["value"]:
         raise ValueError(f"{n['value']} rule(s) with a value that is not a number (rangeBoth takes 'lo-hi')")
+    asked: dict[str, set[str]] = {}
+    for r in n["asked"]:
+        asked.setdefault(r["field"], set()).add(r["ask"])
+    return n["rules"], asked
+
+
+def _tree_nodes(low, high, levels: int):
+    """The nodes ``(level, node)`` of the tree that make up the intervals ``low`` to ``high``, each of them once."""
+    nodes = T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("node", T.LongType())]))
+
+    def some(level, start, end):
+        """``start`` to ``end`` - 1 of a level."""
+        made = F.transform(F.sequence(start, F.greatest(end - 1, start)),
+                           lambda k: F.struct(level.alias("level"), k.alias("node")))
+        return F.when(start < end, made).otherwise(F.array().cast(nodes))
+
+    def step(state, level):
+        left, right = state["left"], state["right"]
+        inner_left, inner_right = F.ceil(left / FAN) * FAN, F.floor(right / FAN) * FAN
+        last = (inner_left >= inner_right) | (level == levels)
+        emitted = F.when(last, some(level, left, right)).otherwise(
+            F.concat(some(level, left, inner_left), some(level, inner_right, right)))
+        to = lambda x: F.when(last, F.lit(0)).otherwise((x / FAN)).cast("long")
+        return F.struct(to(inner_left).alias("left"), to(inner_right).alias("right"),
+                        F.concat(state["nodes"], emitted).alias("nodes"))
+
+    start = F.struct(low.cast("long").alias("left"), (high + 1).cast("long").alias("right"), F.array().cast(nodes).alias("nodes"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), start, step)["nodes"]
+
+
+def _rule_asks(clauses: DataFrame, has_range: bool):
+    """``(clause, probe)``: under what each distinct clause is asked for; how values probe ranges; the tree's levels."""
+    probe = (F.when(F.col("type") == "exists", F.xxhash64(F.lit("?"), "field"))
+             .otherwise(F.xxhash64(F.lit("="), "field", "key")))
+    plain = clauses.where(F.col("type").isin("match", "notMatch", "exists")).select("clause", probe.alias("probe"))
+    if not has_range:
+        return plain, None, 0
+    text = F.col("kind") == "text"
+    low, high = (_value(F.col("field"), F.col(f"{e}Exact"), F.col(f"{e}Num"), F.when(text, F.col("value")))
+                 for e in ("lo", "hi"))
+    ranges = (clauses.where(F.col("type").startswith("range"))
+              .withColumn("low", F.when(F.col("type") != "rangeLte", low))
+              .withColumn("high", F.when(F.col("type") != "rangeGte", high)))
+    number = interval_numbers(ranges.select(F.explode(F.array("low", "high")).alias("cut")), points=True)
+    most = 2 * number.cuts
+    levels = 0
+    while FAN ** (levels + 1) <= most:
+        levels += 1
+    placed = number(number(ranges, F.col("low"), "from"), F.col("high"), "to")
+    asked = (placed.withColumn("from", F.coalesce("from", F.lit(0))).withColumn("to", F.coalesce("to", F.lit(most)))
+             .where("from <= to")
+             .select("clause", "field", F.explode(_tree_nodes(F.col("from"), F.col("to"), levels)).alias("e")))
+    asked = asked.select("clause", F.xxhash64(F.lit("~"), "field", "e.level", "e.node").alias("probe"))
+    return plain.unionByName(asked), number, levels
+
+
+def clause_index(tags: DataFrame, norm: DataFrame, asked: dict[str, set[str]], few: bool) -> DataFrame:
+    """``(clause, bucket, bitmap, last)``: the rows of ``tags`` (numbered from 1 as ``n``) that meet each clause.
+
+    The bitmaps are built in the map tasks; a row that meets a clause by
+    several elements sets its bit once.
+    """
+    clauses = norm.select("clause", "field", "key", "value", "type", "kind", "loExact", "hiExact", "loNum", "hiNum").distinct()
+    rules, number, levels = _rule_asks(clauses, any("~" in a for a in asked.values()))
+    entries = _entries(tags, asked)
+    plain = entries.where("ask <> '~'").select("n", F.when(F.col("ask") == "?", F.xxhash64(F.lit("?"), "field"))
+                                               .otherwise(F.xxhash64(F.lit("="), "field", "key")).alias("probe"))
+    if number is not None:
+        ranged = number(entries.where("ask = '~'"), F.col("value"), "at")
+        up = F.explode(F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda h: F.struct(
+            h.alias("level"), F.floor(F.col("at") / F.pow(F.lit(FAN), h)).cast("long").alias("node"))))
+        above = ranged.select("n", "field", up.alias("e"))
+        plain = plain.unionByName(above.select("n", F.xxhash64(F.lit("~"), "field", "e.level", "e.node").alias("probe")))
+    return (plain.join(F.broadcast(rules) if few else rules, "probe").groupBy("clause", F.bitmap_bucket_number("n").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bitmap"),
+                 F.max(F.bitmap_bit_position("n")).alias("last")))
+
+
+def _segment_bitmaps(tags: DataFrame, rules: DataFrame, combine: str) -> tuple[DataFrame, DataFrame]:
+    """``(segment_id, bucket, yes, no, last)`` and the numbered tag rows ``(n, memberId)``.
+
+    A segment holds the rows in ``yes`` that are not in ``no`` (NULL: none).
+    """
+    if combine not in ("any", "all"):
+        raise ValueError("combine must be 'any' or 'all'")
+    norm = materialize(_normalise_rules(rules, {f.name.lower(): _kind(f.dataType) for f in tags.schema.fields})
+                       .withColumn("clause", F.xxhash64("field", "value", "type")))
+    n_rules, asked = _check_rules(norm)
+    few = n_rules <= FEW_RULES
+    # Written, so that the numbers of the rows stay the same if a task runs again.
+    numbered = materialize(tags.withColumn("n", F.monotonically_increasing_id() + 1))
+    rows = numbered.select("n", KEY)
+    cores = tags.sparkSession.sparkContext.defaultParallelism
+    if numbered.rdd.getNumPartitions() < cores:        # a small table, written by a few tasks
+        numbered = numbered.repartition(cores, "n")
+    uses = norm.select("segment_id", "clause", "negated", "nShould").distinct()
+    held = clause_index(numbered, norm, asked, few).join(F.broadcast(uses) if few else uses, "clause")
+    join = "bitmap_or_agg" if combine == "any" else "bitmap_and_agg"
+    made = held.groupBy("segment_id", "bucket").agg(
+        F.expr(f"{join}(bitmap) filter (where not negated)").alias("yes"),
+        F.expr("bitmap_or_agg(bitmap) filter (where negated)").alias("no"),
+        F.expr("count(1) filter (where not negated)").alias("met"),
+        F.max("nShould").alias("nShould"), F.expr("max(last) filter (where not negated)").alias("last"))
+    need = F.lit(1) if combine == "any" else F.greatest(F.col("nShould"), F.lit(1))
+    return (made.where(F.col("met") >= need).withColumn("no", F.when(F.bitmap_count("no") > 0, F.col("no")))
+            .select("segment_id", "bucket", "yes", "no", "last"), rows)
 
 
 def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any") -> DataFrame:
@@ -174,28 +315,35 @@ def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any") -> Dat
     is judged per tag row, and a member belongs to a segment if one of its
     rows does.
     """
-    if combine not in ("any", "all"):
-        raise ValueError("combine must be 'any' or 'all'")
-    norm = _normalise_rules(rules, {f.name.lower(): _kind(f.dataType) for f in tags.schema.fields})
-    _check_rules(norm)
-    # Every value asks twice: under itself, for rules of equality, and under its field, for the others.
-    point = F.col("type").isin("match", "notMatch")
-    rule = norm.select("segment_id", "negated", "nShould", "type", "value", "kind", "loExact", "hiExact", "loNum", "hiNum",
-                       F.xxhash64("field", "value", "type").alias("rule"), F.col("field").alias("f"),
-                       F.when(point, F.concat(F.lit("="), F.col("key"))).otherwise(F.lit("*")).alias("p"))
-    asked = tag_long_form(tags).withColumn("probe", F.explode(F.array(F.concat(F.lit("="), F.col("key")), F.lit("*"))))
-    low = (F.when(F.col("kind") == "whole", F.col("exact") >= F.col("loExact"))
-            .when(F.col("kind") == "float", F.col("num") >= F.col("loNum")).otherwise(F.col("key") >= F.col("value")))
-    high = (F.when(F.col("kind") == "whole", F.col("exact") <= F.col("hiExact"))
-             .when(F.col("kind") == "float", F.col("num") <= F.col("hiNum")).otherwise(F.col("key") <= F.col("value")))
-    t = F.col("type")
-    within = F.coalesce(F.when(point | (t == "exists"), F.lit(True)).when(t == "rangeGte", low).when(t == "rangeLte", high)
-                         .otherwise(low & high), F.lit(False))
-    hits = (asked.join(rule, (F.col("field") == F.col("f")) & (F.col("probe") == F.col("p")) & within)
-                 .select(KEY, "row", "segment_id", "negated", "nShould", "rule"))
-    folded = (hits.groupBy("segment_id", KEY, "row", "negated", "rule").agg(F.max("nShould").alias("nShould"))
-                  .groupBy("segment_id", KEY, "row")
-                  .agg(F.count(F.when(~F.col("negated"), 1)).alias("hits"),
-                       F.max("negated").alias("excluded"), F.max("nShould").alias("nShould")))
-    need = F.lit(1) if combine == "any" else F.greatest(F.col("nShould"), F.lit(1))
-    return folded.filter(~F.col("excluded") & (F.col("hits") >= need)).select("segment_id", KEY).distinct()
+    bitmaps, rows = _segment_bitmaps(tags, rules, combine)
+
+    def byte(column: str, k):
+        return F.ascii(F.decode(F.substring(F.col(column), k + 1, F.lit(1)), "ISO-8859-1"))
+
+    def left(k):
+        yes = byte("yes", k)
+        return F.when(F.col("no").isNull(), yes).otherwise(yes.bitwiseAND(F.bitwise_not(byte("no", k))))
+
+    used = F.sequence(F.lit(0), F.floor(F.col("last") / 8).cast("int"))
+    octets = F.filter(F.transform(used, lambda k: F.struct(k.alias("k"), left(k).alias("v"))), lambda o: o["v"] != 0)
+    bits = bitmaps.select("segment_id", "bucket", F.explode(octets).alias("o")).select(
+        "segment_id", "bucket", "o.k", F.explode(F.expr("filter(sequence(0, 7), b -> (shiftright(o.v, b) & 1) = 1)")).alias("b"))
+    hits = bits.select("segment_id", ((F.col("bucket") - 1) * BITS + F.col("k") * 8 + F.col("b") + 1).alias("n"))
+    rows = F.broadcast(rows) if rows.count() <= FEW_ROWS else rows
+    return hits.join(rows, "n").select("segment_id", KEY).where(F.col(KEY).isNotNull()).distinct()
+
+
+def segment_sizes(tags: DataFrame, rules: DataFrame, combine: str = "any") -> DataFrame:
+    """``(segment_id, members)`` of every segment that has members.
+
+    Counted on the bitmaps, without a row per member, where the tag table has
+    one row a member; where members repeat, their rows are expanded first.
+    """
+    bitmaps, rows = _segment_bitmaps(tags, rules, combine)
+    if rows.groupBy(KEY).count().where("count > 1").limit(1).count():
+        return segment_bulk(tags, rules, combine).groupBy("segment_id").agg(F.count("*").alias("members"))
+    both = bitmaps.select("segment_id", "bucket", "no", F.explode(F.array("yes", "no")).alias("b")).where("b is not null")
+    per = both.groupBy("segment_id", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("b")).alias("either"),
+                                                   F.max(F.coalesce(F.bitmap_count("no"), F.lit(0))).alias("none"))
+    return (per.groupBy("segment_id").agg(F.sum(F.col("either") - F.col("none")).alias("members"))
+            .where("members > 0"))

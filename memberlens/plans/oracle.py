@@ -340,6 +340,19 @@ def _bulk_sql() -> str:
 ORACLE["segment_bulk"] = _bulk_sql()
 
 
+def _sizes_sql() -> str:
+    segs: dict[str, list] = {}
+    for sid, name, value, typ in _R.range_rule_rows():
+        segs.setdefault(sid, []).append({"name": name, "value": value, "type": typ})
+    counts = ",\n  ".join(f"count(*) filter (where {sql_segment(cl)[0]}) as {sid}" for sid, cl in segs.items())
+    pairs = "\nunion all\n".join(f"select '{sid}' as segment_id, {sid} as members from agg" for sid in segs)
+    return (_TAGS_WITH + f", agg as (select\n  {counts}\nfrom user_tag_member), sizes as (\n{pairs})\n"
+            "select segment_id, members from sizes where members > 0")
+
+
+ORACLE["segment_sizes"] = _sizes_sql()
+
+
 def _counts_sql() -> str:
     rows = _R.catalogue_rows()
     counts = ",\n  ".join(

@@ -257,6 +257,21 @@ def q_segment_bulk(spark, root):
     return SG.segment_bulk(_tags(spark, root), rules)
 
 
+def range_rule_rows():
+    """The bulk rules, and 150 ranges of money and days that overlap one another."""
+    rows = bulk_rule_rows()
+    rows += [(f"order{k:03d}", "orderMoney", f"{k * 4000}-{k * 4000 + 3000 * (k % 7)}", "rangeBoth") for k in range(100)]
+    rows += [(f"wait{k:03d}", "overTime", str(600 + 90 * k), "rangeGte" if k % 2 else "rangeLte") for k in range(40)]
+    rows += [(f"day{k:03d}", "regTime", f"2001-0{6 + k % 2}-{1 + k:02d}", "rangeLte") for k in range(10)]
+    return rows
+
+
+@register("segment_sizes")
+def q_segment_sizes(spark, root):
+    rules = spark.createDataFrame(range_rule_rows(), "segment_id string, name string, value string, type string")
+    return SG.segment_sizes(_tags(spark, root), rules)
+
+
 @register("segment_export")
 def q_segment_export(spark, root):
     return SG.segment_export(SG.segment_select(_tags(spark, root), SEGMENT_OR_NOT))

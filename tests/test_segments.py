@@ -1,10 +1,12 @@
 """Segment semantics (OR of should clauses, null under negation, types, arrays)."""
 
 import json
+import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from memberlens.functions.clauses import parse_clauses
 from memberlens.operators import catalogue as CT
@@ -129,6 +131,63 @@ def test_bulk_equals_select_per_segment(spark, tags):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def random_rules(seed, n):
+    """Segments of a few clauses of every type over fields of every kind, with bounds that values hit exactly."""
+    rng = random.Random(seed)
+    money, day = ["0", "40", "40.0", "99.99", "100", "500.5", "1e3"], ["2020-01-0%d" % k for k in range(1, 7)]
+    pool = [("orderMoney", money), ("chargeMoney", money), ("orderCount", ["0", "1", "2", "2.5", "3"]), ("regTime", day),
+            ("favGoods", ["4", "5", "6", "19"]), ("couponTimes", day), ("sex", ["1", "2", "3"]), ("overTime", ["900", "1800"])]
+    segs = {}
+    for k in range(n):
+        clauses = set()
+        for _ in range(rng.randint(1, 4)):
+            name, values = rng.choice(pool)
+            kind = rng.choice(["match", "notMatch", "rangeGte", "rangeLte", "rangeBoth", "exists"])
+            text = name in ("regTime", "couponTimes")
+            if kind == "rangeBoth":
+                kind, value = ("rangeGte", rng.choice(values)) if text else (kind, "-".join(rng.sample(values, 2)))
+            else:
+                value = "" if kind == "exists" else rng.choice(values)
+            clauses.add((name, value, kind))
+        segs[f"s{k}"] = sorted(clauses)
+    return segs
+
+
+@pytest.mark.parametrize("seed,combine,few", [(1, "any", True), (2, "all", True), (3, "any", False), (4, "all", False)])
+def test_bitmaps_equal_select_for_random_rules(spark, tags, monkeypatch, seed, combine, few):
+    """Members and sizes of 60 random segments, with rules broadcast or not, and with members of several rows."""
+    if not few:
+        monkeypatch.setattr(SG, "FEW_RULES", 0)
+        monkeypatch.setattr(SG, "FEW_ROWS", 0)
+    table = tags.unionByName(tags.withColumn("orderMoney", F.lit(None).cast("double"))) if seed % 2 else tags
+    segs = random_rules(seed, 60)
+    rules = spark.createDataFrame([(s, *c) for s, cl in segs.items() for c in cl],
+                                  "segment_id string, name string, value string, type string")
+    got = {}
+    for r in SG.segment_bulk(table, rules, combine).collect():
+        got.setdefault(r.segment_id, []).append(r.memberId)
+    rows = table.collect()
+    local = spark.createDataFrame(rows, table.schema)
+    want = {}
+    for s, cl in segs.items():
+        keep, _ = SG.segment_columns(table.schema, [dict(zip(("name", "value", "type"), c)) for c in cl], combine)
+        want[s] = keep.cast("int")
+    flags = local.select("memberId", *[c.alias(s) for s, c in want.items()]).collect()
+    expect = {s: sorted({f.memberId for f in flags if f[s]}) for s in segs}
+    assert {s: sorted(m) for s, m in got.items()} == {s: m for s, m in expect.items() if m}
+    sizes = {r.segment_id: r.members for r in SG.segment_sizes(table, rules, combine).collect()}
+    assert sizes == {s: len(m) for s, m in expect.items() if m}
+
+
+def test_a_value_joins_only_the_ranges_that_hold_it(spark):
+    """10,000 disjoint ranges: as many hits as values, each found under one node of the interval tree."""
+    table = spark.range(1, 3001).selectExpr("id as memberId", "cast(id as string) as phone", "id * 10 as orderCount")
+    rules = spark.range(10_000).selectExpr("cast(id as string) as segment_id", "'orderCount' as name",
+                                           "concat(id * 3, '-', id * 3 + 2) as value", "'rangeBoth' as type")
+    got = SG.segment_bulk(table, rules)
+    assert got.count() == 2999 and got.where("cast(segment_id as long) <> memberId * 10 div 3").count() == 0
+
+
 BIG = 2**53
 
 
