@@ -16,7 +16,9 @@ partition's time (the start of the hour) plus ``commit_delay``. Complete
 partitions get a ``_SUCCESS`` file, a row in the commit log
 ``{path}/_ods_meta/commits`` and, when a catalog table is named,
 ``ALTER TABLE ... ADD IF NOT EXISTS PARTITION``. Late rows are never
-dropped: they are appended even to a partition that is already marked.
+dropped: they are appended even to a partition that is already marked, which
+is then marked again with the next version; :func:`read_ods_as_marked` reads
+the rows of a version.
 The default delay of 61 minutes marks an hour once it is over; the
 original job used 1 minute (``commit_delay='1 minute'``).
 """
@@ -130,7 +132,9 @@ def route_topics_stream(envelope: DataFrame, *, kafka_servers: str | None = None
 
 # ----------------------------------------------------------------- ODS sink
 
-COMMIT_SCHEMA = "dt string, hr string, watermark timestamp"
+COMMIT_SCHEMA = "dt string, hr string, version int, rows long, files array<string>, watermark timestamp"
+HOURS_SCHEMA = ("dt string, hr string, latest timestamp, version int, rows long, files array<string>, marked boolean, "
+                "watermark timestamp")
 
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -167,47 +171,56 @@ def ods_stream(rows: DataFrame, path: str, *, checkpoint: str | None = None,
 def commit_batch(batch: DataFrame, number: int, path: str, *, commit_delay: str = "61 minutes",
                  watermark_delay: str = "5 seconds", table: str | None = None,
                  success_file: bool = True, millis_column: str = "timestamp") -> list[tuple]:
-    """Mark the hours that are complete after a batch of newly committed rows.
-
-    ``{path}/_ods_meta/pending/batch=N`` holds the hours that wait after
-    batch N, and the largest event time so far; with the batch's own hours it
-    gives the next one. Only the newly complete hours come to the driver. A
-    replayed batch starts from the same pending hours and overwrites its own
-    results.
+    """Mark the hours that are complete after a batch of newly committed rows; returns them as ``(dt, hr, version)``.
+
+    ``{path}/_ods_meta/hours/batch=N`` holds a row for each hour after batch N:
+    its version (how often it was marked), and the rows and files that came
+    since. An hour with new rows is marked once the watermark has passed it; an
+    hour marked before that gets late rows is marked again, as its next version.
+    A batch reads one such table and writes the next, so its work follows the
+    hours, and its calls to the file system do not grow with the batches before
+    it. Only the newly marked hours come to the driver. A replayed batch starts
+    from the same table and overwrites its own results.
     """
     spark, meta = batch.sparkSession, f"{path}/_ods_meta"
     event_time = F.timestamp_millis(F.col(millis_column).cast("bigint"))
-    hours = batch.groupBy(*ODS_PARTITIONS).agg(F.max(event_time).alias("latest"))
-    before = [v for v in _versions(spark, f"{meta}/pending") if v < number]
+    timed = F.col("dt").isNotNull() & F.col("hr").isNotNull()         # rows without a time are in no hour
+    file = F.when(timed, F.col("file")) if "file" in batch.columns else F.lit(None).cast("string")
+    hours = (batch.withColumn("_file", file).groupBy(*ODS_PARTITIONS)
+             .agg(F.max(event_time).alias("latest"), F.lit(0).alias("version"), F.count("*").alias("rows"),
+                  F.collect_set("_file").alias("files")))
+    before = [v for v in _versions(spark, f"{meta}/hours") if v < number]
     if before:
-        hours = hours.unionByName(spark.read.schema("dt string, hr string, latest timestamp")
-                                  .parquet(f"{meta}/pending/batch={before[-1]}"))
-    hours = hours.groupBy(*ODS_PARTITIONS).agg(F.max("latest").alias("latest"))
-    done = [v for v in _versions(spark, f"{meta}/commits") if v < number]
-    commits = read_commits(spark, path, done).select(*ODS_PARTITIONS)
+        none = F.array().cast("array<string>")
+        held = spark.read.schema(HOURS_SCHEMA).parquet(f"{meta}/hours/batch={before[-1]}").select(
+            *ODS_PARTITIONS, "latest", "version", F.when(F.col("marked"), F.lit(0)).otherwise(F.col("rows")).alias("rows"),
+            F.when(F.col("marked"), none).otherwise(F.col("files")).alias("files"))
+        hours = (hours.unionByName(held).groupBy(*ODS_PARTITIONS)
+                 .agg(F.max("latest").alias("latest"), F.max("version").alias("version"), F.sum("rows").alias("rows"),
+                      F.flatten(F.collect_list("files")).alias("files")))
     top = hours.agg((F.max("latest") - F.expr(f"interval {_interval_seconds(watermark_delay)} seconds")).alias("watermark"))
     start = F.try_to_timestamp(F.concat_ws(" ", "dt", "hr"), F.lit("yyyy-MM-dd HH"))
-    named = F.col("dt").isNotNull() & F.col("hr").isNotNull()
-    ready = (hours.filter(named).join(commits, list(ODS_PARTITIONS), "left_anti").crossJoin(F.broadcast(top))
-             .filter(start + F.expr(f"interval {_interval_seconds(commit_delay)} seconds") <= F.col("watermark"))
-             .select("dt", "hr", "watermark"))
-    ready.write.mode("overwrite").parquet(f"{meta}/commits/batch={number}")
-    now = spark.read.schema(COMMIT_SCHEMA).parquet(f"{meta}/commits/batch={number}")
-    # What waits: hours that are not complete, and the hour with the largest event time, which carries the watermark.
-    newest = hours.agg(F.max("latest").alias("latest")).select(
-        F.lit(None).cast("string").alias("dt"), F.lit(None).cast("string").alias("hr"), "latest")
-    (hours.filter(named).join(commits.unionByName(now.select(*ODS_PARTITIONS)), list(ODS_PARTITIONS), "left_anti")
-     .unionByName(newest).coalesce(1).write.mode("overwrite").parquet(f"{meta}/pending/batch={number}"))
-    complete = [(r["dt"], r["hr"]) for r in now.select(*ODS_PARTITIONS).collect()]
+    over = start + F.expr(f"interval {_interval_seconds(commit_delay)} seconds") <= F.col("watermark")
+    marked = F.coalesce((F.col("rows") > 0) & over, F.lit(False))     # never the hour without a time
+    (hours.crossJoin(F.broadcast(top)).withColumn("marked", marked)
+     .withColumn("version", F.col("version") + F.col("marked").cast("int"))
+     .select("dt", "hr", "latest", "version", F.col("rows").cast("long").alias("rows"), "files", "marked", "watermark")
+     .coalesce(1).write.mode("overwrite").parquet(f"{meta}/hours/batch={number}"))
+    now = spark.read.schema(HOURS_SCHEMA).parquet(f"{meta}/hours/batch={number}").where("marked")
+    complete = [(r["dt"], r["hr"], r["version"]) for r in now.select(*ODS_PARTITIONS, "version").collect()]
+    if complete:
+        (now.select("dt", "hr", "version", "rows", "files", "watermark").coalesce(1)
+         .write.mode("overwrite").parquet(f"{meta}/commits/batch={number}"))
     if success_file and complete:
         # Marker files are metadata calls; they are issued side by side.
         with ThreadPoolExecutor(max_workers=min(16, len(complete))) as pool:
             list(pool.map(lambda r: _touch(spark, f"{path}/dt={r[0]}/hr={r[1]}/_SUCCESS"), complete))
     if table:
-        for dt, hr in complete:
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt='{dt}', hr='{hr}')")
+        for dt, hr, version in complete:
+            if version == 1:
+                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt='{dt}', hr='{hr}')")
     for old in before[:-1]:
-        _drop(spark, f"{meta}/pending/batch={old}")
+        _drop(spark, f"{meta}/hours/batch={old}")
     return complete
 
 
@@ -223,7 +236,8 @@ def partition_commit_stream(spark: SparkSession, path: str, *, checkpoint: str |
     sink committed, and only new ones); :func:`commit_batch` does the rest.
     ``schema`` is that of the table's rows.
     """
-    rows = spark.readStream.schema(ods_schema(schema)).parquet(path)
+    rows = (spark.readStream.schema(ods_schema(schema)).parquet(path)
+            .select(*ODS_PARTITIONS, millis_column, F.col("_metadata.file_name").alias("file")))
 
     def on_batch(batch: DataFrame, number: int) -> None:
         commit_batch(batch, number, path, commit_delay=commit_delay, watermark_delay=watermark_delay, table=table,
@@ -244,13 +258,33 @@ def read_ods(spark: SparkSession, path: str, schema: T.StructType = ORDER_INFO_S
     return spark.read.schema(ods_schema(schema)).parquet(path)
 
 
-def read_commits(spark: SparkSession, path: str, versions: list[int] | None = None) -> DataFrame:
-    """The hours marked complete: ``dt, hr, watermark``."""
+def read_commit_versions(spark: SparkSession, path: str) -> DataFrame:
+    """Every marking of an hour: ``dt, hr, version, rows, files, watermark``; rows and files are those it added."""
     root = f"{path}/_ods_meta/commits"
-    found = _versions(spark, root) if versions is None else versions
-    if not found:
+    if not _exists(spark, root):
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    return spark.read.schema(COMMIT_SCHEMA).parquet(*[f"{root}/batch={v}" for v in found])
+    return spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true").parquet(root)
+
+
+def read_commits(spark: SparkSession, path: str) -> DataFrame:
+    """The hours marked complete, as last marked: ``dt, hr, watermark, version, rows`` (all rows up to that version)."""
+    return (read_commit_versions(spark, path).groupBy(*ODS_PARTITIONS)
+            .agg(F.max("watermark").alias("watermark"), F.max("version").alias("version"), F.sum("rows").alias("rows")))
+
+
+def read_ods_as_marked(spark: SparkSession, path: str, version: int | None = 1,
+                       schema: T.StructType = ORDER_INFO_SCHEMA) -> DataFrame:
+    """The rows of the marked hours, each hour as of its ``version`` (or its last, where it has fewer; None: the last).
+
+    A reader that is pinned to a version sees the same rows whatever comes
+    late: a version is made of the files that were there when it was marked.
+    """
+    commits = read_commit_versions(spark, path)
+    if version is not None:
+        commits = commits.where(F.col("version") <= version)
+    files = commits.select(*ODS_PARTITIONS, F.explode("files").alias("_file")).distinct()
+    rows = read_ods(spark, path, schema).withColumn("_file", F.col("_metadata.file_name"))
+    return rows.join(files, [*ODS_PARTITIONS, "_file"], "left_semi").drop("_file")
 
 
 # ----------------------------------------------------------------- state and dedup streams

@@ -126,6 +126,52 @@ def test_ods_stream_keeps_late_rows_and_commits(spark, workdir):
     assert ST.read_ods(spark, out).count() == 6
 
 
+def test_late_rows_open_a_new_version_of_an_hour(spark, workdir):
+    """A reader pinned to a version sees the same rows before and after late ones come; the last version has all."""
+    h, src, out = 3600 * 1000, f"{workdir}/src", f"{workdir}/ods"
+    os.makedirs(src)
+
+    def put(name, lines):
+        with open(f"{src}/{name}.json", "w") as f:
+            f.write("\n".join(lines))
+
+    at = lambda i, ms, t: rec("order_info", "c", ms, after=order(i, t))
+    put("a", [at(1, T0, "2024-01-01 00:10:00"), at(2, T0 + 4 * h, "2024-01-01 04:00:00")])
+    _ods_run(spark, src, out, f"{workdir}/ckpt")
+    pinned = lambda v: sorted(r.id for r in ST.read_ods_as_marked(spark, out, v).collect())
+    assert pinned(1) == pinned(None) == [1]
+    put("b", [at(3, T0 + 1, "2024-01-01 00:20:00"), at(4, T0 + 2, "2024-01-01 01:20:00"), at(5, T0, "no time")])
+    _ods_run(spark, src, out, f"{workdir}/ckpt")
+    assert pinned(1) == [1, 4] and pinned(None) == pinned(2) == [1, 3, 4]
+    put("c", [at(6, T0 + 3, "2024-01-01 00:30:00"), at(7, T0 + 6 * h, "2024-01-01 06:00:00")])
+    _ods_run(spark, src, out, f"{workdir}/ckpt")
+    assert pinned(1) == [1, 2, 4] and pinned(2) == [1, 2, 3, 4] and pinned(None) == [1, 2, 3, 4, 6]
+    marks = {(r.hr, r.version): r.rows for r in ST.read_commit_versions(spark, out).collect()}
+    assert marks == {("00", 1): 1, ("00", 2): 1, ("00", 3): 1, ("01", 1): 1, ("04", 1): 1}
+    assert {r.hr: (r.version, r.rows) for r in ST.read_commits(spark, out).collect()} == {
+        "00": (3, 3), "01": (1, 1), "04": (1, 1)}
+
+
+def test_many_commit_batches_and_replays(spark, workdir):
+    """The folders that a batch lists stay as few however many batches there were; a replayed batch changes nothing."""
+    out, seen = f"{workdir}/ods", []
+    for n in range(40):
+        hour = n // 4
+        rows = [("2024-01-01", f"{hour:02d}", str(T0 + 3600_000 * hour + n), f"f{n}")]
+        if n % 10 == 9:
+            rows.append(("2024-01-01", "00", str(T0), f"late{n}"))
+        batch = spark.createDataFrame(rows, "dt string, hr string, timestamp string, file string")
+        done = ST.commit_batch(batch, n, out, success_file=False)
+        if n in (7, 20, 39):
+            assert ST.commit_batch(batch, n, out, success_file=False) == done
+        seen += done
+        assert len(os.listdir(f"{out}/_ods_meta/hours")) <= 2
+    assert len(seen) == len(set(seen)) == ST.read_commit_versions(spark, out).count()
+    files = {f for r in ST.read_commit_versions(spark, out).collect() for f in r.files}
+    assert files == {f"f{n}" for n in range(32)} | {"late9", "late19", "late29", "late39"}
+    assert {(r.hr, r.version) for r in ST.read_commits(spark, out).collect() if r.hr in ("00", "01")} == {("00", 5), ("01", 1)}
+
+
 def test_ods_reference_commit_delay(spark, workdir):
     batches = [[rec("order_info", "c", T0 + 90 * 1000, after=order(1, "2024-01-01 00:01:30"))]]
     src, out = f"{workdir}/src", f"{workdir}/ods"
