@@ -98,13 +98,13 @@ def _dealt(least: int, buckets: int):
             _, doc, _, _, gram, context = anchors(data, offsets, least)
             if not len(doc):
                 continue
-            ids = batch.column("i").to_numpy()[doc]
+            ids, ranks = batch.column("r").to_numpy()[doc], batch.column("i").to_numpy()[doc]
             bucket = (mix(gram) % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((context, gram, ids, bucket))
-            bucket, ids, gram, context = bucket[order], ids[order], gram[order], context[order]
+            bucket, ids, ranks, gram, context = (x[order] for x in (bucket, ids, ranks, gram, context))
             fresh = np.ones(len(ids), bool)
             fresh[1:] = (context[1:] != context[:-1]) | (gram[1:] != gram[:-1]) | (ids[1:] != ids[:-1])
-            bucket, ids, gram, context = bucket[fresh], ids[fresh], gram[fresh], context[fresh]
+            bucket, ids, ranks, gram, context = (x[fresh] for x in (bucket, ids, ranks, gram, context))
             heads = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (bucket[1:] != bucket[:-1])]))
             count = np.diff(np.concatenate([heads, [len(ids)]])).astype(np.uint32)
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
@@ -112,29 +112,37 @@ def _dealt(least: int, buckets: int):
             yield pa.RecordBatch.from_arrays([
                 pa.array(bucket[cut[:-1]]),
                 pa.array([ids[heads[a:b]].tobytes() for a, b in zip(to, to[1:])], pa.binary()),
+                pa.array([ranks[heads[a:b]].tobytes() for a, b in zip(to, to[1:])], pa.binary()),
                 pa.array([count[a:b].tobytes() for a, b in zip(to, to[1:])], pa.binary()),
                 pa.array([_pack(gram[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()),
                 pa.array([_pack(context[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())],
-                ["bucket", "ids", "counts", "grams", "contexts"])
+                ["bucket", "ids", "ranks", "counts", "grams", "contexts"])
     return run
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """By document: contexts that a smaller document has (whole), and those to compare with others of their anchor."""
+    """By row: contexts that a smaller document has (whole), and those to compare with others of their anchor.
+
+    Of a context, the rows of its smallest document are compared: one, unless rows share an id or have none.
+    """
     for group in runs(batches, "bucket"):
-        raw = {c: b"".join(group.column(c).to_pylist()) for c in ("ids", "counts", "grams", "contexts")}
-        doc = np.repeat(np.frombuffer(raw["ids"], np.int64), np.frombuffer(raw["counts"], np.uint32))
+        raw = {c: b"".join(group.column(c).to_pylist()) for c in ("ids", "ranks", "counts", "grams", "contexts")}
+        count = np.frombuffer(raw["counts"], np.uint32)
+        doc, rank = (np.repeat(np.frombuffer(raw[c], np.int64), count) for c in ("ids", "ranks"))
         gram, context = _unpack(raw["grams"]), _unpack(raw["contexts"])
-        order = np.lexsort((doc, context, gram))
-        doc, gram, context = doc[order], gram[order], context[order]
+        order = np.lexsort((doc, rank, context, gram))
+        doc, rank, gram, context = doc[order], rank[order], gram[order], context[order]
+        fresh = np.ones(len(doc), bool)  # copies of a row, from several pieces
+        fresh[1:] = (doc[1:] != doc[:-1]) | (context[1:] != context[:-1]) | (gram[1:] != gram[:-1])
+        doc, rank, gram, context = doc[fresh], rank[fresh], gram[fresh], context[fresh]
         new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
         new_kind = new_gram | np.concatenate([[True], context[1:] != context[:-1]])
         head = np.flatnonzero(new_kind)
-        smallest = np.repeat(doc[head], np.diff(np.concatenate([head, [len(doc)]])))
+        smallest = np.repeat(rank[head], np.diff(np.concatenate([head, [len(doc)]])))
         kinds = np.add.reduceat(new_kind.astype(np.int64), np.flatnonzero(new_gram))
         several = np.repeat(kinds > 1, np.diff(np.concatenate([np.flatnonzero(new_gram), [len(doc)]])))
-        whole = doc > smallest
-        compare = new_kind & several
+        whole = rank > smallest
+        compare = ~whole & several
         use = whole | compare
         name = identity(gram[use], context[use]).view(np.int64)
         doc, whole, bucket = doc[use], whole[use], (group.column("bucket")[0].as_py())
@@ -194,9 +202,9 @@ def _contexts(least: int, buckets: int):
             raw = data.tobytes()
             yield pa.RecordBatch.from_arrays([
                 pa.array((mix(gram[use]) % np.uint64(buckets * PARTS)).astype(np.int64)),
-                batch.column("i").take(pa.array(doc[use])), pa.array(name[use]),
+                batch.column("r").take(pa.array(doc[use])), batch.column("i").take(pa.array(doc[use])), pa.array(name[use]),
                 pa.array([raw[a:b] for a, b in zip(start[use], end[use])], pa.binary())],
-                ["bucket", "doc", "name", "body"])
+                ["bucket", "doc", "rank", "name", "body"])
     return run
 
 
@@ -264,8 +272,13 @@ def _repeated(least: int):
     """Of each bucket, the occurrences of maximal repeat groups in documents other than the group's smallest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, "bucket"):
-            bodies = group.column("body").to_pylist()
             doc, name = group.column("doc").to_numpy(), group.column("name").to_numpy()
+            order = np.lexsort((name, doc))
+            fresh = np.ones(len(doc), bool)  # copies of a row
+            fresh[1:] = (doc[order][1:] != doc[order][:-1]) | (name[order][1:] != name[order][:-1])
+            order = order[fresh]
+            doc, name, rank = doc[order], name[order], group.column("rank").to_numpy()[order]
+            bodies = group.column("body").take(pa.array(order)).to_pylist()
             string, start, common = suffix_order(bodies, least)
             if len(string) < 2:
                 continue
@@ -273,7 +286,7 @@ def _repeated(least: int):
             flat = np.frombuffer(b"".join(bodies), np.uint8)
             # A context ends at its start: what stands before it is another anchor's matter.
             left = np.where(start > 0, flat[at[string] + start - 1].astype(np.int64), -1)
-            owner = doc[string]
+            owner = rank[string]
             head = np.flatnonzero(np.concatenate([[True], common[1:] < least]))
             ends = np.concatenate([head[1:], [len(string)]])
             mixed = ((np.minimum.reduceat(owner, head) != np.maximum.reduceat(owner, head))
@@ -294,7 +307,7 @@ def _repeated(least: int):
             if rows:
                 row, size = np.concatenate(rows), np.concatenate(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(owner[row]), pa.array(name[string[row]]), pa.array(start[row].astype(np.int32)),
+                    [pa.array(doc[string[row]]), pa.array(name[string[row]]), pa.array(start[row].astype(np.int32)),
                      pa.array(size.astype(np.int32))], ["doc", "name", "start", "size"])
     return run
 
@@ -344,7 +357,7 @@ def _cut(least: int):
     return run
 
 
-_OWN = ("i", "z", "full", "compare", "names", "starts", "sizes")
+_OWN = ("i", "r", "z", "full", "compare", "names", "starts", "sizes")
 
 
 def _order_key(id_col: str) -> Column:
@@ -365,26 +378,29 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
     head = carried + ", " if carried else ""
     many = partitions(docs)
     texts = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], _order_key(id_col).alias("i"),
+                        # Flags belong to a row: rows of one id, or without any, do not carry each other's.
+                        F.xxhash64(_order_key(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("r"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    packed = texts.mapInArrow(slim(_packed), f"{head}i long, z binary").where("i is not null")  # never: the joins infer it
-    judged = (texts.select("i", "t")
-              .mapInArrow(slim(_dealt(least, many)), "bucket long, ids binary, counts binary, grams binary, contexts binary")
+    packed = texts.mapInArrow(slim(_packed), f"{head}i long, r long, z binary").where("r is not null")  # never: the joins infer it
+    judged = (texts.select("i", "r", "t")
+              .mapInArrow(slim(_dealt(least, many)),
+                          "bucket long, ids binary, ranks binary, counts binary, grams binary, contexts binary")
               .repartition(many, "bucket").sortWithinPartitions("bucket")
               .mapInArrow(slim(_judged), "doc long, whole boolean, names array<long>"))
     flags = judged.groupBy("doc").agg(
         F.flatten(F.collect_list(F.when(F.col("whole"), F.col("names")))).alias("full"),
         F.flatten(F.collect_list(F.when(~F.col("whole"), F.col("names")))).alias("compare"))
     # The texts and flags below are read twice with all their columns, so both are shuffled once.
-    known = packed.join(flags, F.col("i") == F.col("doc"), "left").drop("doc")
+    known = packed.join(flags, F.col("r") == F.col("doc"), "left").drop("doc")
     spans = (known.where(F.size("compare") > 0)
-             .mapInArrow(slim(_contexts(least, many)), "bucket long, doc long, name long, body binary")
+             .mapInArrow(slim(_contexts(least, many)), "bucket long, doc long, rank long, name long, body binary")
              .repartition(many, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(slim(_repeated(least)), "doc long, name long, start int, size int")
              .groupBy("doc").agg(F.collect_list(F.struct("name", "start", "size")).alias("s"))
              .select("doc", F.col("s.name").alias("names"), F.col("s.start").alias("starts"),
                      F.col("s.size").alias("sizes")))
-    cut = (known.join(spans, F.col("i") == F.col("doc"), "left")
-           .select(*inner.values(), "i", "z", "full", "compare", "names", "starts", "sizes")
+    cut = (known.join(spans, F.col("r") == F.col("doc"), "left")
+           .select(*inner.values(), "z", "full", "compare", "names", "starts", "sizes")
            .mapInArrow(slim(_cut(least)), f"{head}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"))
     return cut.select(*[F.col(n).alias(c) for c, n in inner.items()],
                       "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

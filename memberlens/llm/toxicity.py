@@ -32,7 +32,6 @@ from memberlens.llm.common import checkpointed, pieces, slim
 from memberlens.llm.sampling import labelled, logistic, remainder, sigmoid
 
 FIT_ROWS = 20_000
-MAX_ENTRIES = 2_000
 STEMS = (4, 5, 6, 7)
 STEM_WORDS = 8
 MIN_WEIGHT = 2.0
@@ -158,7 +157,7 @@ def learn(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1, fit_r
                   .where(F.col("weight") >= MIN_WEIGHT)
                   .join(spread, "entry").where(
                       F.col("spread") >= F.when(F.col("entry").endswith("*"), STEM_WORDS).otherwise(2 * least))
-                  .orderBy(F.desc("spread"), "entry").limit(MAX_ENTRIES).collect())
+                  .orderBy(F.desc("spread"), "entry").collect())  # of the words of fit_rows texts
         weights = choose({r["entry"]: (r["weight"], r["toxic"]) for r in chosen})
     inside = {}
     for phrase in map(fold, exceptions):

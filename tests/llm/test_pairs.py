@@ -155,6 +155,22 @@ def test_repeat_groups_are_maximal():
     assert found == want
 
 
+def test_rows_without_an_id_cost_no_more(spark):
+    """Hundreds of rows without an id, and of one id, with shared passages: what the plain removal gives, in its time."""
+    rng = random.Random(8)
+    shared = [prose(900 + k, 16) for k in range(6)]
+
+    def text(k):
+        parts = [prose(2000 + 3 * k + j, rng.randint(4, 12)) for j in range(2)]
+        return f"{parts[0]} {rng.choice(shared)} {parts[1]} {rng.choice(shared)[rng.randint(0, 20):]}"
+
+    rows = [(None, text(k)) for k in range(150)] + [(77, text(500 + k)) for k in range(150)]
+    rows += [(k, text(1000 + k)) for k in range(40)] + [(None, rows[3][1])] * 20 + [(77, rows[160][1])] * 20
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept").collect()
+    order = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, got), key=order) == sorted(removal(rows, 50), key=order)
+
+
 def plain_links(rows, least):
     good = [(i, np.array(v, float), l) for i, v, l in rows
             if l is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
