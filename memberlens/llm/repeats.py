@@ -400,7 +400,7 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
              .select("doc", F.col("s.name").alias("names"), F.col("s.start").alias("starts"),
                      F.col("s.size").alias("sizes")))
     cut = (known.join(spans, F.col("r") == F.col("doc"), "left")
-           .select(*inner.values(), "z", "full", "compare", "names", "starts", "sizes")
+           .select(*inner.values(), "i", "r", "z", "full", "compare", "names", "starts", "sizes")
            .mapInArrow(slim(_cut(least)), f"{head}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"))
     return cut.select(*[F.col(n).alias(c) for c, n in inner.items()],
                       "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

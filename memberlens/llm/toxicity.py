@@ -6,7 +6,7 @@ and its weights are learned from labelled rows; exception phrases take the
 weight of the entry inside them back. The sum of the weights, and the sum
 against the length of the text, give the score.
 
-Bounds of the fit: ``FIT_ROWS`` labelled rows, ``MAX_ENTRIES`` entries.
+Bound of the fit: ``FIT_ROWS`` labelled rows.
 
 Nulls: a null or empty text has no match and the score of one without any. Labels that are null are not learned
 from; without positive labels the lexicon is empty and every score the base
