@@ -31,8 +31,8 @@ from memberlens.llm.token_counts import byte_letters
 #: The pattern that byte-level pre-tokenizers split with (a fixed value; letters first, which matches alike).
 PATTERN = r""" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words and pairs that a Python worker keeps; beyond it the memory starts anew.
-KEPT_WORDS = 200_000
-KEPT_PAIRS = 250_000
+KEPT_WORDS = 400_000
+KEPT_PAIRS = 400_000
 
 
 State = tuple[dict, list[tuple[int, int]], bytes]
