@@ -181,13 +181,13 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 _KEPT: dict[str, Coded] = {}
 
 
-def encode_texts(texts: list[str | None], path: str) -> list[tuple[np.ndarray, bytes, bytes]]:
+def encode_texts(texts: list[str | None], path: str, kept_words: int | None = None) -> list[tuple[np.ndarray, bytes, bytes]]:
     """For each text its ids, the ids joined by commas, and the UTF-8 text decoded from them."""
     trie = byte_trie(path)
     coded = _KEPT.get(path)
     if coded is None:
         coded = _KEPT[path] = Coded(trie)
-    elif len(coded.index) > KEPT_WORDS:
+    elif len(coded.index) > (KEPT_WORDS if kept_words is None else kept_words):
         coded.clear()
     split = []
     for text in texts:
@@ -216,11 +216,13 @@ def encode_texts(texts: list[str | None], path: str) -> list[tuple[np.ndarray, b
              raw[raw_at[k]:raw_at[k + 1]].decode("utf-8", "replace").encode()) for k in range(len(texts))]
 
 
-def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids: bool = False,
+                     kept_words: int | None = None) -> DataFrame:
     """Every row with its encoding: ``n_tokens, ids_sha256, decoded_sha256`` and, if asked, ``ids`` and ``decoded``.
 
     All columns of ``docs`` stay (a clashing column of the input is replaced);
-    a map without a shuffle.
+    a map without a shuffle. ``kept_words`` bounds the words that a Python
+    worker remembers (results are the same; fewer take more time).
     """
     added = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if ids else [])
     kinds = ["long", "string", "string", "array<int>", "string"]
@@ -234,7 +236,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
-            coded = encode_texts(batch.column(text).to_pylist(), path)
+            coded = encode_texts(batch.column(text).to_pylist(), path, kept_words)
             more = [pa.array([len(c[0]) for c in coded], pa.int64()),
                     pa.array([hashlib.sha256(c[1]).hexdigest() for c in coded]),
                     pa.array([hashlib.sha256(c[2]).hexdigest() for c in coded])]
