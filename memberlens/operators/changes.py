@@ -9,7 +9,7 @@ over Kafka).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,12 +185,17 @@ def newest_changes(envelope: DataFrame, key: str = "id", tiebreak: str | None =
     is still folded in every task first.
     """
     tie = F.col(tiebreak).cast("bigint") if tiebreak else F.lit(None).cast("bigint")
+    keyed = envelope.withColumn("_key", F.try_element_at(F.col("data"), F.lit(key))).filter("_key is not null")
+    return newest_per_key(keyed, F.col("_key").alias(key), tie)
+
+
+def newest_per_key(changes: DataFrame, key: Column, tie: Column) -> DataFrame:
+    """The newest of ``changes`` for each database, table and ``key``; see :func:`newest_changes`."""
     order = F.struct(F.col("timestamp").cast("bigint"), tie, F.col("operation"),
                      F.to_json("data", JSON_KEEP_NULLS))
-    return (envelope.withColumn("_key", F.try_element_at(F.col("data"), F.lit(key))).filter("_key is not null")
-            .groupBy("database", "table", F.col("_key").alias(key))
+    return (changes.groupBy("database", "table", key)
             .agg(F.max_by(F.struct("operation", "timestamp", "data", tie.alias("tie")), order).alias("s"))
-            .select("database", "table", key, "s.operation", "s.timestamp", "s.data", "s.tie"))
+            .selectExpr("* except (s)", "s.operation", "s.timestamp", "s.data", "s.tie"))
 
 
 def cdc_current_state(envelope: DataFrame, key: str = "id",

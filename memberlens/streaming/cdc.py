@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from memberlens.operators.changes import ORDER_INFO_SCHEMA, cdc_route_topics, newest_changes
+from memberlens.operators.changes import ORDER_INFO_SCHEMA, cdc_route_topics, newest_changes, newest_per_key
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}   # fixed value: 5 s checkpoint cadence
 ODS_PARTITIONS = ("dt", "hr")
@@ -292,50 +292,114 @@ def read_ods_as_marked(spark: SparkSession, path: str, version: int | None = 1,
 STATE_SCHEMA = "database string, table string, {key} string, operation string, timestamp string, data map<string,string>, tie long"
 
 
+MANIFEST_SCHEMA = "first long, last long, rows long"
+
+
 def current_state_stream(envelope: DataFrame, path: str, *, key: str = "id",
                          tiebreak: str | None = None, checkpoint: str | None = None,
-                         trigger: dict | None = None, compact_every: int = 20,
+                         trigger: dict | None = None, compact_every: int = 20, ratio: float = 2.0,
                          name: str = "cdc_current_state") -> StreamingQuery:
-    """Newest change per ``(database, table, key)``, kept as a log of batches and a folded snapshot.
-
-    Each micro-batch writes the newest change of the keys it touched to
-    ``{path}/changes/batch=N``; every ``compact_every`` batches the last
-    snapshot and the batches since are folded into ``{path}/snapshots/batch=N``
-    and what it covers is dropped, so the log stays as large as the state and
-    a few batches. :func:`read_current_state` resolves both. Deletes stay in
-    the state (a later re-insert must win over them). A replayed batch
-    overwrites its own folder.
+    """Newest change per ``(database, table, key)``, kept as a tiered log; :func:`append_state` is one batch of it.
+
+    :func:`read_current_state` resolves the log. Deletes stay in the state (a
+    later re-insert must win over them).
     """
-    def fold(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        newest_changes(batch, key, tiebreak).write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
-        if (number + 1) % compact_every == 0:
-            state = _folded(spark, path, key, number)
-            state.write.mode("overwrite").parquet(f"{path}/snapshots/batch={number}")
-            for kind in ("changes", "snapshots"):
-                for old in _versions(spark, f"{path}/{kind}"):
-                    if old < number or (kind == "changes" and old == number):
-                        _drop(spark, f"{path}/{kind}/batch={old}")
+    def on_batch(batch: DataFrame, number: int) -> None:
+        append_state(batch, number, path, key=key, tiebreak=tiebreak, compact_every=compact_every, ratio=ratio)
 
     checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoints/{name}"
-    return _writer(envelope, name, checkpoint, trigger).foreachBatch(fold).start()
+    return _writer(envelope, name, checkpoint, trigger).foreachBatch(on_batch).start()
+
+
+def append_state(batch: DataFrame, number: int, path: str, *, key: str = "id", tiebreak: str | None = None,
+                 compact_every: int = 20, ratio: float = 2.0) -> None:
+    """Add one batch of changes to the state log in ``path``.
+
+    * The newest change of the keys that the batch touched goes to
+      ``changes/batch=N``.
+    * Every ``compact_every`` batches those since the last merge become a run
+      ``runs/FIRST-LAST`` of files by key range, together with the older runs
+      that have fewer than ``ratio`` times the rows to merge. A large state is
+      thus written again only once a share of it has changed, and a change is
+      written a number of times that grows with the logarithm of the state.
+    * ``manifests/batch=N`` names the runs that hold all changes up to N. The
+      last two manifests, their runs and the batches after the older one are
+      kept, so a reader goes on through a merge, or reads the state of any
+      batch after the older manifest.
+
+    A batch that is replayed overwrites its own folders with the same rows;
+    a merge that a manifest names already isn't done again.
+    """
+    spark = batch.sparkSession
+    if _exists(spark, f"{path}/snapshots"):
+        raise ValueError(f"{path} holds a state log in an older layout; start it again in another folder")
+    newest_changes(batch, key, tiebreak).write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
+    manifests = _versions(spark, f"{path}/manifests")
+    covered = max((v for v in manifests if v < number), default=-1)
+    if number in manifests or number - covered < compact_every:
+        return
+    runs = state_runs(spark, path, covered)
+    log = spark.read.schema(STATE_SCHEMA.format(key=key))
+    parts = [f"{path}/changes/batch={v}" for v in _versions(spark, f"{path}/changes") if covered < v <= number]
+    first, rows = covered + 1, log.parquet(*parts).count()      # counted from the files' footers
+    while runs and runs[-1][2] < ratio * rows:
+        first, last, more = runs.pop()
+        parts.append(f"{path}/runs/{first}-{last}")
+        rows += more
+    folder = f"{path}/runs/{first}-{number}"
+    # A key is once in a part, so there is nothing to fold before the one shuffle, which makes the key ranges.
+    ranges = log.parquet(*parts).repartitionByRange("database", "table", key)
+    newest_per_key(ranges, F.col(key), F.col("tie")).sortWithinPartitions("database", "table", key).write.mode("overwrite").parquet(folder)
+    runs.append((first, number, spark.read.schema(STATE_SCHEMA.format(key=key)).parquet(folder).count()))
+    spark.createDataFrame(runs, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifests/batch={number}")
+    _drop_covered(spark, path, [*(v for v in manifests if v < number), number])
+
+
+def _drop_covered(spark: SparkSession, path: str, manifests: list[int]) -> None:
+    """Drop what only manifests before the last two name."""
+    if len(manifests) < 2:
+        return
+    for old in manifests[:-2]:
+        _drop(spark, f"{path}/manifests/batch={old}")
+    for old in _versions(spark, f"{path}/changes"):
+        if old <= manifests[-2]:
+            _drop(spark, f"{path}/changes/batch={old}")
+    named = {f"{first}-{last}" for v in manifests[-2:] for first, last, _ in state_runs(spark, path, v)}
+    fs, folder = _fs(spark, f"{path}/runs")
+    for status in fs.listStatus(folder):
+        if status.getPath().getName() not in named:
+            fs.delete(status.getPath(), True)
+
+
+def state_runs(spark: SparkSession, path: str, manifest: int) -> list[tuple[int, int, int]]:
+    """``(first, last, rows)`` of the runs that a manifest names, oldest first; their sizes fall by a ratio, so they are few."""
+    if manifest < 0:
+        return []
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/manifests/batch={manifest}").collect()
+    return sorted(tuple(r) for r in rows)
 
 
-def _folded(spark: SparkSession, path: str, key: str, until: int | None = None) -> DataFrame:
-    """The newest change per key over the last snapshot and the batches after it."""
-    snapshots = [v for v in _versions(spark, f"{path}/snapshots") if until is None or v <= until]
-    since = snapshots[-1] if snapshots else -1
-    parts = [f"{path}/snapshots/batch={v}" for v in snapshots[-1:]]
-    parts += [f"{path}/changes/batch={v}" for v in _versions(spark, f"{path}/changes")
-              if v > since and (until is None or v <= until)]
-    schema = STATE_SCHEMA.format(key=key)
-    log = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
-    return newest_changes(log, key, "tie")
+def state_version(spark: SparkSession, path: str) -> int:
+    """The number of the last batch in a state log; -1 where there is none."""
+    return max((v for kind in ("manifests", "changes") for v in _versions(spark, f"{path}/{kind}")), default=-1)
+
 
+def read_current_state(spark: SparkSession, path: str, key: str = "id", at: int | None = None) -> DataFrame:
+    """Current rows from what :func:`current_state_stream` wrote (deletes removed).
 
-def read_current_state(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """Current rows from what :func:`current_state_stream` wrote (deletes removed)."""
-    return _folded(spark, path, key).filter("operation <> 'delete'").drop("tie")
+    ``at`` reads the state as of a batch (:func:`state_version` names the
+    last), as long as it is kept. A filter on database, table or key reaches
+    the files, which hold key ranges.
+    """
+    manifests, batches = (_versions(spark, f"{path}/{kind}") for kind in ("manifests", "changes"))
+    if at is not None and at not in (*manifests, *batches):
+        raise ValueError(f"the state of batch {at} is not kept in {path}")
+    base = max((v for v in manifests if at is None or v <= at), default=-1)
+    parts = [f"{path}/runs/{first}-{last}" for first, last, _ in state_runs(spark, path, base)]
+    parts += [f"{path}/changes/batch={v}" for v in batches if v > base and (at is None or v <= at)]
+    schema = STATE_SCHEMA.format(key=key)
+    log = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+    return newest_per_key(log, F.col(key), F.col("tie")).filter("operation <> 'delete'").drop("tie")
 
 
 # ----------------------------------------------------------------- catalog table

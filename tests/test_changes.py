@@ -349,6 +349,54 @@ def test_current_state_log_with_delete_and_reinsert(spark, workdir):
     assert got == {"1": ("create", "7"), "2": ("update", "5")}
 
 
+def _state_batch(spark, number, keys, value, op="update"):
+    rows = [("db", "t", op, str(T0 + number), {"id": str(k), "v": str(value)}) for k in keys]
+    return spark.createDataFrame(rows, "database string, table string, operation string, timestamp string, data map<string,string>")
+
+
+def test_state_log_of_200_batches_writes_each_change_a_few_times(spark, workdir):
+    """A first load, then small batches: the state is right, written rows and kept folders stay bounded."""
+    path, want, changes, written = f"{workdir}/state", {}, 0, 0
+    for number in range(200):
+        keys = range(600) if number == 0 else [(7 * number + i) % 640 for i in range(3)]
+        gone = number % 9 == 5
+        batch = _state_batch(spark, number, keys, number, "delete" if gone else "update").coalesce(1)
+        ST.append_state(batch, number, path, compact_every=8)
+        changes += len(keys)
+        for k in keys:
+            want[str(k)] = None if gone else str(number)
+        if number in ST._versions(spark, f"{path}/manifests"):
+            runs = ST.state_runs(spark, path, number)
+            assert all(old[2] >= 2 * new[2] for old, new in zip(runs, runs[1:]))
+            assert runs[0][0] == 0 and runs[-1][1] == number and all(a[1] + 1 == b[0] for a, b in zip(runs, runs[1:]))
+            written += runs[-1][2]
+    got = {r.id: r.data["v"] for r in ST.read_current_state(spark, path).collect()}
+    assert got == {k: v for k, v in want.items() if v is not None}
+    assert written <= 4 * changes < 25 * 600                     # a fold of everything would write 25 times the state
+    assert len(os.listdir(f"{path}/manifests")) == 2 and len(os.listdir(f"{path}/changes")) <= 16
+    assert len(os.listdir(f"{path}/runs")) <= 8
+    assert ST.state_version(spark, path) == 199
+
+
+def test_state_log_readers_stay_on_their_batch(spark, workdir):
+    path = f"{workdir}/state"
+    def values(df):
+        return {r.id: r.data["v"] for r in df.collect()}
+    for number in range(5):
+        ST.append_state(_state_batch(spark, number, [1, number + 10], number), number, path, compact_every=2)
+    pinned = ST.read_current_state(spark, path)                  # planned now, read after the next merge
+    ST.append_state(_state_batch(spark, 5, [1, 15], 5), 5, path, compact_every=2)
+    want = {"1": "4", **{str(n + 10): str(n) for n in range(5)}}
+    assert values(pinned) == want == values(ST.read_current_state(spark, path, at=4))
+    ST.append_state(_state_batch(spark, 5, [1, 15], 5), 5, path, compact_every=2)      # replayed
+    assert values(ST.read_current_state(spark, path)) == {**want, "1": "5", "15": "5"}
+    with pytest.raises(ValueError):
+        ST.read_current_state(spark, path, at=0)
+    plan = ST.read_current_state(spark, path).where("id = '15'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,15)" in plan
+    assert ST.read_current_state(spark, f"{workdir}/none").count() == 0
+
+
 def test_stream_equals_batch_operator(spark, workdir):
     from memberlens.sources.tables import read_parquet_table
     from tests.conftest import SF_SMALL
