@@ -26,7 +26,7 @@ they are not, AQE splits a value that every member has.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -277,10 +277,10 @@ def clause_index(tags: DataFrame, norm: DataFrame, asked: dict[str, set[str]], f
                  F.max(F.bitmap_bit_position("n")).alias("last")))
 
 
-def _segment_bitmaps(tags: DataFrame, rules: DataFrame, combine: str) -> tuple[DataFrame, DataFrame]:
-    """``(segment_id, bucket, yes, no, last)`` and the numbered tag rows ``(n, memberId)``.
+def _clause_bitmaps(tags: DataFrame, rules: DataFrame, combine: str, by_member: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(segment_id, negated, nShould, bucket, bitmap, last)``, a row for each clause of a segment; the numbered tag rows.
 
-    A segment holds the rows in ``yes`` that are not in ``no`` (NULL: none).
+    ``by_member`` numbers the rows in the order of their members.
     """
     if combine not in ("any", "all"):
         raise ValueError("combine must be 'any' or 'all'")
@@ -289,13 +289,22 @@ def _segment_bitmaps(tags: DataFrame, rules: DataFrame, combine: str) -> tuple[D
     n_rules, asked = _check_rules(norm)
     few = n_rules <= FEW_RULES
     # Written, so that the numbers of the rows stay the same if a task runs again.
-    numbered = materialize(tags.withColumn("n", F.monotonically_increasing_id() + 1))
-    rows = numbered.select("n", KEY)
+    ordered = tags.orderBy(KEY) if by_member else tags
+    rows = materialize(ordered.withColumn("n", F.monotonically_increasing_id() + 1))
     cores = tags.sparkSession.sparkContext.defaultParallelism
+    numbered = rows
     if numbered.rdd.getNumPartitions() < cores:        # a small table, written by a few tasks
         numbered = numbered.repartition(cores, "n")
     uses = norm.select("segment_id", "clause", "negated", "nShould").distinct()
-    held = clause_index(numbered, norm, asked, few).join(F.broadcast(uses) if few else uses, "clause")
+    return clause_index(numbered, norm, asked, few).join(F.broadcast(uses) if few else uses, "clause"), rows
+
+
+def _segment_bitmaps(tags: DataFrame, rules: DataFrame, combine: str) -> tuple[DataFrame, DataFrame]:
+    """``(segment_id, bucket, yes, no, last)`` and the numbered tag rows ``(n, memberId)``.
+
+    A segment holds the rows in ``yes`` that are not in ``no`` (NULL: none).
+    """
+    held, rows = _clause_bitmaps(tags, rules, combine)
     join = "bitmap_or_agg" if combine == "any" else "bitmap_and_agg"
     made = held.groupBy("segment_id", "bucket").agg(
         F.expr(f"{join}(bitmap) filter (where not negated)").alias("yes"),
@@ -304,7 +313,20 @@ def _segment_bitmaps(tags: DataFrame, rules: DataFrame, combine: str) -> tuple[D
         F.max("nShould").alias("nShould"), F.expr("max(last) filter (where not negated)").alias("last"))
     need = F.lit(1) if combine == "any" else F.greatest(F.col("nShould"), F.lit(1))
     return (made.where(F.col("met") >= need).withColumn("no", F.when(F.bitmap_count("no") > 0, F.col("no")))
-            .select("segment_id", "bucket", "yes", "no", "last"), rows)
+            .select("segment_id", "bucket", "yes", "no", "last"), rows.select("n", KEY))
+
+
+def _byte(column: str, k):
+    return F.ascii(F.decode(F.substring(F.col(column), k + 1, F.lit(1)), "ISO-8859-1"))
+
+
+def _set_bits(bitmaps: DataFrame, octet, *keep: str) -> DataFrame:
+    """``keep`` and ``n`` of each bit that is set; ``octet`` gives byte ``k`` of a row's bitmap, ``last`` its last bit."""
+    used = F.sequence(F.lit(0), F.floor(F.col("last") / 8).cast("int"))
+    octets = F.filter(F.transform(used, lambda k: F.struct(k.alias("k"), octet(k).alias("v"))), lambda o: o["v"] != 0)
+    bits = bitmaps.select(*dict.fromkeys([*keep, "bucket"]), F.explode(octets).alias("o")).select(
+        "*", F.explode(F.expr("filter(sequence(0, 7), b -> (shiftright(o.v, b) & 1) = 1)")).alias("b"))
+    return bits.select(*keep, ((F.col("bucket") - 1) * BITS + F.col("o.k") * 8 + F.col("b") + 1).alias("n"))
 
 
 def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any") -> DataFrame:
@@ -317,22 +339,53 @@ def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any") -> Dat
     """
     bitmaps, rows = _segment_bitmaps(tags, rules, combine)
 
-    def byte(column: str, k):
-        return F.ascii(F.decode(F.substring(F.col(column), k + 1, F.lit(1)), "ISO-8859-1"))
-
     def left(k):
-        yes = byte("yes", k)
-        return F.when(F.col("no").isNull(), yes).otherwise(yes.bitwiseAND(F.bitwise_not(byte("no", k))))
+        yes = _byte("yes", k)
+        return F.when(F.col("no").isNull(), yes).otherwise(yes.bitwiseAND(F.bitwise_not(_byte("no", k))))
 
-    used = F.sequence(F.lit(0), F.floor(F.col("last") / 8).cast("int"))
-    octets = F.filter(F.transform(used, lambda k: F.struct(k.alias("k"), left(k).alias("v"))), lambda o: o["v"] != 0)
-    bits = bitmaps.select("segment_id", "bucket", F.explode(octets).alias("o")).select(
-        "segment_id", "bucket", "o.k", F.explode(F.expr("filter(sequence(0, 7), b -> (shiftright(o.v, b) & 1) = 1)")).alias("b"))
-    hits = bits.select("segment_id", ((F.col("bucket") - 1) * BITS + F.col("k") * 8 + F.col("b") + 1).alias("n"))
+    hits = _set_bits(bitmaps, left, "segment_id")
     rows = F.broadcast(rows) if rows.count() <= FEW_ROWS else rows
     return hits.join(rows, "n").select("segment_id", KEY).where(F.col(KEY).isNotNull()).distinct()
 
 
+#: Shards of a segment whose best rows are found before those of the segment.
+SHARDS = 256
+
+
+def segment_top(tags: DataFrame, rules: DataFrame, k: int = PAGE_SIZE, combine: str = "any") -> DataFrame:
+    """``(segment_id, rank, memberId, phone, matched)``: the best ``k`` rows of every segment of ``rules``.
+
+    The order is that of :func:`segment_select`, so a segment's rows are those
+    of ``segment_select(..., limit=k)``; all segments take one plan. A row's
+    ``matched`` is the number of its segment's should bitmaps that hold it.
+    Rows are numbered in the order of their members, so the bitmaps alone
+    decide ties, and only the best rows are joined with the tag table. Each
+    task hands on at most ``k`` rows of a segment's shard, each shard ``k`` to
+    its segment; no task gets a whole segment. Rows without a member id take
+    no part; a segment without rows has none here.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    held, rows = _clause_bitmaps(tags.where(F.col(KEY).isNotNull()), rules, combine, by_member=True)
+    # All bitmaps of a bucket meet before they are expanded; the counting needs no further exchange.
+    met = held.repartition("segment_id", "bucket")
+    bits = _set_bits(met, lambda i: _byte("bitmap", i), "segment_id", "bucket", "negated", "nShould")
+    scored = bits.groupBy("segment_id", "bucket", "n").agg(
+        F.count_if(~F.col("negated")).alias("met"), F.max("negated").alias("out"), F.max("nShould").alias("nShould"))
+    need = F.lit(1) if combine == "any" else F.greatest(F.col("nShould"), F.lit(1))
+    # A segment without should clauses has one that every member meets; it counts for nothing.
+    hits = scored.where(~F.col("out") & (F.col("met") >= need)).select(
+        "segment_id", (F.col("bucket") % SHARDS).alias("shard"), "n",
+        F.when(F.col("nShould") > 0, F.col("met")).otherwise(0).cast("int").alias("matched"))
+    best = [F.desc("matched"), F.asc("n")]
+    by_shard = Window.partitionBy("segment_id", "shard").orderBy(*best)
+    by_segment = Window.partitionBy("segment_id").orderBy(*best)
+    top = (hits.withColumn("place", F.row_number().over(by_shard)).where(F.col("place") <= k)
+           .withColumn("rank", F.row_number().over(by_segment)).where(F.col("rank") <= k)
+           .select("segment_id", "n", "matched", "rank"))
+    return rows.select("n", KEY, "phone").join(top, "n").select("segment_id", "rank", KEY, "phone", "matched")
+
+
 def segment_sizes(tags: DataFrame, rules: DataFrame, combine: str = "any") -> DataFrame:
     """``(segment_id, members)`` of every segment that has members.
 

@@ -340,6 +340,19 @@ def _bulk_sql() -> str:
 ORACLE["segment_bulk"] = _bulk_sql()
 
 
+def _top_sql() -> str:
+    segs: dict[str, list] = {}
+    for sid, name, value, typ in _R.bulk_rule_rows():
+        segs.setdefault(sid, []).append({"name": name, "value": value, "type": typ})
+    parts = [f"select '{sid}' as segment_id, cast(row_number() over (order by {sql_segment(cl)[1]} desc, memberId) as integer) as rank, "
+             f"memberId, phone, cast({sql_segment(cl)[1]} as integer) as matched from user_tag_member "
+             f"where {sql_segment(cl)[0]} qualify rank <= {_R.TOP_K}" for sid, cl in segs.items()]
+    return _TAGS_WITH + "\nunion all\n".join(parts)
+
+
+ORACLE["segment_top"] = _top_sql()
+
+
 def _sizes_sql() -> str:
     segs: dict[str, list] = {}
     for sid, name, value, typ in _R.range_rule_rows():

@@ -257,6 +257,16 @@ def q_segment_bulk(spark, root):
     return SG.segment_bulk(_tags(spark, root), rules)
 
 
+TOP_K = 50
+
+
+@register("segment_top")
+def q_segment_top(spark, root):
+    rules = spark.createDataFrame(bulk_rule_rows(),
+                                  "segment_id string, name string, value string, type string")
+    return SG.segment_top(_tags(spark, root), rules, TOP_K)
+
+
 def range_rule_rows():
     """The bulk rules, and 150 ranges of money and days that overlap one another."""
     rows = bulk_rule_rows()

@@ -253,6 +253,49 @@ def test_tag_counts_equal_single_tag_segments(spark, tags):
         assert counts[(n, v, t)] == expect
 
 
+TOP_SEGMENTS = {
+    "two": [("sex", "1", "match"), ("channel", "2", "match"), ("orderCount", "3", "rangeGte")],
+    "some": [("orderMoney", "100-300", "rangeBoth"), ("favGoods", "6", "match"), ("subOpenId", "null", "notMatch"),
+             ("overTime", "500", "rangeLte")],
+    "no_should": [("subOpenId", "null", "notMatch"), ("address", "3", "notMatch")],
+    "all_of_them": [("memberId", "", "exists")],
+    "none": [("memberId", "-5", "match")],
+}
+
+
+@pytest.mark.parametrize("combine", ["any", "all"])
+def test_top_rows_of_many_segments(spark, combine):
+    """For each rule set the rows, places and counts of ``segment_select(limit=k)``, whatever the order of the table."""
+    r = random.Random(5)
+    pick = lambda *xs: r.choice(xs)
+    made = [(i if i % 50 else None, f"1{i}", pick(1, 2, -1, None), pick(1, 2, 3), pick("null", "wx", None), pick(1, 3, 5), None,
+             pick(1, 2, 3, 4, None), None, float(r.randrange(500)), pick([], [5, 6], [6, 6], None), None, None, None,
+             pick(100, 500, 900, None), None) for i in range(1, 3001)]
+    r.shuffle(made)
+    table = spark.createDataFrame(made, TAG_SCHEMA).repartition(6)
+    rules = spark.createDataFrame([(s, *c) for s, cs in TOP_SEGMENTS.items() for c in cs],
+                                  "segment_id string, name string, value string, type string")
+    known = table.where("memberId is not null")
+    got = {}
+    for row in SG.segment_top(table, rules, 40, combine).collect():
+        got.setdefault(row.segment_id, []).append((row["rank"], row.memberId, row.phone, row.matched))
+    assert "none" not in got and len(got) == 4
+    for segment, rows in got.items():
+        clauses = [dict(zip(("name", "value", "type"), c)) for c in TOP_SEGMENTS[segment]]
+        want = SG.segment_select(known, clauses, combine, limit=40).collect()
+        assert sorted(rows) == [(i, *w) for i, w in enumerate(want, 1)]
+    with pytest.raises(ValueError):
+        SG.segment_top(table, rules, 0)
+    assert SG.segment_top(table.limit(0), rules, 3).count() == 0
+
+
+def test_top_rows_join_only_the_best(spark, tags):
+    """Each task limits its rows of a segment before they are shuffled, and the tag table meets only what is left."""
+    rules = spark.createDataFrame([("a", "sex", "1", "match")], "segment_id string, name string, value string, type string")
+    plan = SG.segment_top(tags, rules, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 # ----------------------------------------------------------------- property test
 
 def _py_clause(row, name, value, typ):
