@@ -60,7 +60,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     coded = bpe_trie.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=True,
-                                      kept_words=200_000)  # workers share the executor with what earlier stages left
+                                      kept_words=100_000)  # workers share the executor with what earlier stages left
     return coded.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
