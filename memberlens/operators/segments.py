@@ -316,8 +316,9 @@ def _segment_bitmaps(tags: DataFrame, rules: DataFrame, combine: str) -> tuple[D
             .select("segment_id", "bucket", "yes", "no", "last"), rows.select("n", KEY))
 
 
-def _byte(column: str, k):
-    return F.ascii(F.decode(F.substring(F.col(column), k + 1, F.lit(1)), "ISO-8859-1"))
+def _byte(bitmap, k):
+    bitmap = F.col(bitmap) if isinstance(bitmap, str) else bitmap
+    return F.ascii(F.decode(F.substring(bitmap, k + 1, F.lit(1)), "ISO-8859-1"))
 
 
 def _set_bits(bitmaps: DataFrame, octet, *keep: str) -> DataFrame:
@@ -352,6 +353,39 @@ def segment_bulk(tags: DataFrame, rules: DataFrame, combine: str = "any") -> Dat
 SHARDS = 256
 
 
+#: More than the clauses of any segment.
+MOST = 2**31
+
+
+def _best_of_bucket(k: int, combine: str):
+    """The best ``k`` rows of a segment's ``bitmaps`` of one bucket, less those in ``no``.
+
+    One number a row, the better the smaller: ``(MOST - met) * BITS`` and its
+    bit. Byte by byte, so that what is made at once are a bucket's rows and one
+    byte of each bitmap, however many clauses a segment and rows the table has.
+    """
+    one = lambda bits, b: F.call_function("shiftright", bits, b).bitwiseAND(F.lit(1))
+
+    def rows(i):
+        octets = F.transform("bitmaps", lambda bitmap: _byte(bitmap, i))
+        held = F.struct(octets.alias("octets"), F.coalesce(_byte("no", i), F.lit(0)).alias("no"))
+
+        def of(h):
+            left = F.aggregate(h["octets"], F.lit(0), lambda a, o: a.bitwiseOR(o)).bitwiseAND(F.bitwise_not(h["no"]))
+            bits = F.filter(F.sequence(F.lit(0), F.lit(7)), lambda b: one(left, b) == 1)
+
+            def number(b):
+                met = F.aggregate(h["octets"], F.lit(0), lambda n, o: n + one(o, b))
+                return (F.lit(MOST) - met) * BITS + i * 8 + b
+            return F.when(left != 0, F.transform(bits, number)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(F.array(held), of)[0]             # of one element: each byte is read once
+
+    found = F.flatten(F.transform(F.sequence(F.lit(0), F.floor(F.col("last") / 8).cast("int")), rows))
+    if combine == "all":
+        found = F.filter(found, lambda x: x < (MOST + 1 - F.greatest(F.col("nShould"), F.lit(1))) * BITS)
+    return F.slice(F.array_sort(found), 1, k)
+
+
 def segment_top(tags: DataFrame, rules: DataFrame, k: int = PAGE_SIZE, combine: str = "any") -> DataFrame:
     """``(segment_id, rank, memberId, phone, matched)``: the best ``k`` rows of every segment of ``rules``.
 
@@ -359,24 +393,29 @@ def segment_top(tags: DataFrame, rules: DataFrame, k: int = PAGE_SIZE, combine:
     of ``segment_select(..., limit=k)``; all segments take one plan. A row's
     ``matched`` is the number of its segment's should bitmaps that hold it.
     Rows are numbered in the order of their members, so the bitmaps alone
-    decide ties, and only the best rows are joined with the tag table. Each
-    task hands on at most ``k`` rows of a segment's shard, each shard ``k`` to
-    its segment; no task gets a whole segment. Rows without a member id take
-    no part; a segment without rows has none here.
+    decide ties, and only the best rows are joined with the tag table. The
+    bitmaps of a segment and a bucket are counted together and give ``k`` rows
+    at most, so no task holds a row for each hit; each task hands on at most
+    ``k`` rows of a segment's shard, each shard ``k`` to its segment. Rows
+    without a member id take no part; a segment without rows has none here.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     held, rows = _clause_bitmaps(tags.where(F.col(KEY).isNotNull()), rules, combine, by_member=True)
-    # All bitmaps of a bucket meet before they are expanded; the counting needs no further exchange.
-    met = held.repartition("segment_id", "bucket")
-    bits = _set_bits(met, lambda i: _byte("bitmap", i), "segment_id", "bucket", "negated", "nShould")
-    scored = bits.groupBy("segment_id", "bucket", "n").agg(
-        F.count_if(~F.col("negated")).alias("met"), F.max("negated").alias("out"), F.max("nShould").alias("nShould"))
-    need = F.lit(1) if combine == "any" else F.greatest(F.col("nShould"), F.lit(1))
+    # The bitmaps are few bytes and much work: the tasks are as many as the table's, not as few as the bytes ask for.
+    tasks = max(tags.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    met = held.repartition(tasks, "segment_id", "bucket").groupBy("segment_id", "bucket").agg(
+        F.expr("collect_list(bitmap) filter (where not negated)").alias("bitmaps"),
+        F.expr("bitmap_or_agg(bitmap) filter (where negated)").alias("no"),
+        F.max("nShould").alias("nShould"), F.expr("max(last) filter (where not negated)").alias("last"))
+    # Outer, as a plain explode is planned with a filter that works the array out once more.
+    found = (met.select("segment_id", "bucket", "nShould", F.explode_outer(_best_of_bucket(k, combine)).alias("x"))
+             .where("x is not null"))
     # A segment without should clauses has one that every member meets; it counts for nothing.
-    hits = scored.where(~F.col("out") & (F.col("met") >= need)).select(
-        "segment_id", (F.col("bucket") % SHARDS).alias("shard"), "n",
-        F.when(F.col("nShould") > 0, F.col("met")).otherwise(0).cast("int").alias("matched"))
+    matched = F.when(F.col("nShould") > 0, F.lit(MOST) - F.floor(F.col("x") / BITS)).otherwise(0).cast("int")
+    hits = found.select("segment_id", ((F.col("bucket") - 1) * BITS + F.col("x") % BITS + 1).alias("n"), matched.alias("matched"))
+    # Each partition of the table numbers its buckets from a multiple of SHARDS, so a hash deals them out.
+    hits = hits.withColumn("shard", F.pmod(F.xxhash64(F.bitmap_bucket_number("n")), F.lit(SHARDS)))
     best = [F.desc("matched"), F.asc("n")]
     by_shard = Window.partitionBy("segment_id", "shard").orderBy(*best)
     by_segment = Window.partitionBy("segment_id").orderBy(*best)

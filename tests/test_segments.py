@@ -296,6 +296,46 @@ def test_top_rows_join_only_the_best(spark, tags):
     assert plan.count("WindowGroupLimit") >= 2 and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def _rows_of_segments(plan):
+    """The rows that each node of an executed plan made, of those nodes that give a segment."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        below = [plan.executedPlan()]
+    elif "QueryStage" in name or name == "ReusedExchange":
+        below = [plan.plan() if "QueryStage" in name else plan.child()]
+    else:
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+    made = plan.metrics().get("numOutputRows")
+    if made.isDefined() and "segment_id" in plan.output().mkString(","):
+        yield name, made.get().value()
+    for p in below:
+        yield from _rows_of_segments(p)
+
+
+def test_top_rows_without_a_row_for_each_hit(spark):
+    """Three buckets of members: no node makes a row of a segment for each hit, and the best rows are those of select."""
+    n = 70_000
+    made = {"memberId": F.col("id"), "phone": F.concat(F.lit("1"), F.col("id")), "sex": F.col("id") % 5, "channel": F.col("id") % 5}
+    table = spark.range(1, n + 1, numPartitions=3).select(
+        *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], TAG_SCHEMA).schema])
+    segments = {"all": [("memberId", "", "exists"), ("sex", "1", "match"), ("channel", "1", "match")],
+                "most": [("sex", "0", "rangeGte"), ("channel", "3", "rangeGte"), ("sex", "2", "notMatch")],
+                "few": [("memberId", str(n - 3), "rangeGte")], "no_should": [("sex", "1", "notMatch")]}
+    rules = spark.createDataFrame([(s, *c) for s, cs in segments.items() for c in cs],
+                                  "segment_id string, name string, value string, type string")
+    for k in (4, 33_000):                                # fewer and more than a bucket has
+        top = SG.segment_top(table, rules, k)
+        got = {}
+        for row in top.collect():
+            got.setdefault(row.segment_id, []).append((row["rank"], row.memberId, row.phone, row.matched))
+        for segment, rule in segments.items():
+            want = SG.segment_select(table, [dict(zip(("name", "value", "type"), c)) for c in rule], limit=k).collect()
+            assert sorted(got[segment]) == [(i, *w) for i, w in enumerate(want, 1)], segment
+        if k == 4:
+            made = list(_rows_of_segments(top._jdf.queryExecution().executedPlan()))
+            assert made and max(rows for _, rows in made) < 300, made
+
+
 # ----------------------------------------------------------------- property test
 
 def _py_clause(row, name, value, typ):
